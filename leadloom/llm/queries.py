@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .hamming_topk import embedding_codes, hamming_top_k
+from .hilbert_ann import nearest_by_curves
 from .packing import pack_documents
 from .simhash import simhash_components
 from .token_counts import count_tokens
@@ -25,13 +27,35 @@ def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op4_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hamming_top_k(embedding_codes(spark.read.parquet(f"{sf_dir}/embeddings.parquet")))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(_documents(spark, sf_dir))
 
 
+def op8_curve_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest_by_curves(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(ORACLES)
+
+
+ORACLES = {
+    "op4_exact_topk": """
+        WITH c AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings WHERE embedding IS NOT NULL),
+        ok AS (SELECT vec_id, list_transform(v[1:64], lambda x: x > 0) AS b FROM c
+               WHERE len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(v, lambda x: x <> 0)) > 0),
+        d AS (SELECT q.vec_id AS query_id, r.vec_id,
+                     CAST(len(list_filter(list_zip(q.b, r.b), lambda p: p[1] <> p[2])) AS INTEGER) AS distance
+              FROM ok q JOIN ok r ON q.vec_id <> r.vec_id WHERE q.vec_id % 100 = 0),
+        n AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) AS INTEGER) AS rank, vec_id, distance FROM d)
+        SELECT query_id, rank, vec_id, distance FROM n WHERE rank <= 10
+    """,
+}
