@@ -94,7 +94,7 @@ class ChunkIds:
     def learn(self, chunks: set[str]) -> dict[str, bytes]:
         """Ids of the long chunks among these; the others are in self.known afterwards."""
         known = self.known
-        if len(known) > CACHE_ENTRIES:
+        if len(known) > 2 * CACHE_ENTRIES:
             known.clear()
             known[""] = b""
         new = [c for c in chunks if c not in known]

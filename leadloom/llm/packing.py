@@ -12,7 +12,9 @@ an empty table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,10 +23,50 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunk_ids, public_vocabulary, whole_text, word_chunks
+from .common import CACHE_ENTRIES, ChunkIds, public_vocabulary, whole_text, word_chunks
+from .token_counts import byte_symbols
 
 OPEN_BINS = 1 << 18
 
+#: Chunks that the vocabulary's pre-tokenizer cuts into a run of letters and perhaps a full stop or comma.
+_PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,]?)")
+
+
+class WordIds(ChunkIds):
+    """ChunkIds for vocabularies of lower-case words: a plain word goes to the library's merges alone, past its
+    normalizer and pre-tokenizer, which would leave it as it is, and is learned once for all its ways of writing."""
+
+    def __init__(self, path: str):
+        super().__init__(path)
+        self.words: dict[str, bytes] = {}
+        self.ends = {"": b""} | {c: array("I", self.tok.encode(c, add_special_tokens=False).ids).tobytes() for c in ".,"}
+        self.letters = {c: "".join(byte_symbols()[b] for b in c.encode()) for c in map(chr, range(0xC0, 0x100))}
+
+    def learn(self, chunks: set[str]) -> dict[str, bytes]:
+        known, words, merge, rest = self.known, self.words, self.tok.model.tokenize, set()
+        if len(words) > CACHE_ENTRIES:
+            words.clear()
+        if len(known) > CACHE_ENTRIES:
+            known.clear()
+            known[""] = b""
+        for c in chunks:
+            if c in known:
+                continue
+            plain = _PLAIN.fullmatch(c)
+            if plain and len(c) <= 40:
+                word = plain[1].lower()
+                ids = words.get(word)
+                if ids is None:
+                    mapped = word if word.isascii() else "".join(self.letters.get(x, x) for x in word)
+                    ids = words[word] = array("I", [t.id for t in merge(mapped)]).tobytes()
+                known[c] = ids + self.ends[plain[2]]
+            else:
+                rest.add(c)
+        return super().learn(rest) if rest else {}
+
+
+_word_ids: dict[str, WordIds] = {}
+
 
 def token_pieces(docs: DataFrame, tokenizer_path: str, length: int = 2048, end_id: int = 0, with_ids: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row a piece: doc_id, piece, start, length, ids_crc32 and, if asked for, ids (little-endian uint32 bytes).
@@ -36,7 +78,9 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, length: int = 2048, end_i
     end, step = np.uint32(end_id).tobytes(), 4 * length
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids = chunk_ids(tokenizer_path)
+        if tokenizer_path not in _word_ids:
+            _word_ids[tokenizer_path] = WordIds(tokenizer_path)
+        ids = _word_ids[tokenizer_path]
         for b in batches:
             doc, piece, start, size, crc, raw = [], [], [], [], [], []
             for d, t in zip(b.column(0).to_pylist(), b.column(1), strict=True):
