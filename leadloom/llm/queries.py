@@ -11,6 +11,7 @@ from .hamming_topk import embedding_codes, hamming_top_k
 from .hilbert_ann import nearest_by_curves
 from .packing import pack_documents
 from .simhash import simhash_components
+from .suffix_dedup import remove_repeats
 from .token_counts import count_tokens
 
 
@@ -35,6 +36,10 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(_documents(spark, sf_dir))
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(_documents(spark, sf_dir)).select("doc_id", "repeats.*")
+
+
 def op8_curve_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest_by_curves(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
