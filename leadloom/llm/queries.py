@@ -13,6 +13,7 @@ from .packing import pack_documents
 from .simhash import simhash_components
 from .suffix_dedup import remove_repeats
 from .token_counts import count_tokens
+from .toxicity import held_out, toxicity
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,6 +45,11 @@ def op8_curve_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest_by_curves(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = toxicity(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return found.select("doc_id", held_out().alias("held_out"), "score", "predicted")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()}
 
