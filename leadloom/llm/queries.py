@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .hamming_topk import embedding_codes, hamming_top_k
 from .hilbert_ann import nearest_by_curves
+from .html_text import main_text
 from .packing import pack_documents
 from .simhash import simhash_components
 from .suffix_dedup import remove_repeats
@@ -45,6 +46,10 @@ def op8_curve_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest_by_curves(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
+def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = toxicity(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return found.select("doc_id", held_out().alias("held_out"), "score", "predicted")
