@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .bpe import encode_decode
 from .hamming_topk import embedding_codes, hamming_top_k
 from .hilbert_ann import nearest_by_curves
 from .html_text import main_text
@@ -25,6 +26,10 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_documents(spark, sf_dir))
 
 
+def op2_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_decode(_documents(spark, sf_dir))
+
+
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash_components(_documents(spark, sf_dir))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
