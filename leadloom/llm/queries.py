@@ -11,6 +11,7 @@ from .bpe import encode_decode
 from .hamming_topk import embedding_codes, hamming_top_k
 from .hilbert_ann import nearest_by_curves
 from .html_text import main_text
+from .line_dedup import dedup_lines
 from .packing import pack_documents
 from .simhash import simhash_components
 from .suffix_dedup import remove_repeats
@@ -43,6 +44,11 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(_documents(spark, sf_dir))
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = dedup_lines(_documents(spark, sf_dir))
+    return left.select("doc_id", "lines.*", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(_documents(spark, sf_dir)).select("doc_id", "repeats.*")
 

@@ -174,7 +174,12 @@ def simhash_components(docs: DataFrame, shingle: int = 3, most_bits: int = 3, id
 
 
 def near_duplicate_documents(docs: DataFrame, shingle: int = 5, most_bits: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs without the rows whose component has a smaller id: one document of each group stays."""
-    found = simhash_components(docs, shingle, most_bits, id_col, text_col)
+    """One row of docs for each component: one with the smallest id. Rows without an id stay."""
+    found = cut(simhash_components(docs, shingle, most_bits, id_col, text_col).select("doc_id", "component_id"))
     gone = found.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias(id_col)).distinct()
-    return docs.join(gone, id_col, "left_anti")
+    kept = docs.join(gone, id_col, "left_anti")
+    twice = cut(found.groupBy("doc_id").count().where("count > 1 and doc_id is not null").select(F.col("doc_id").alias(id_col)))
+    if twice.isEmpty():
+        return kept
+    once = kept.join(twice, id_col, "left_semi").dropDuplicates([id_col])
+    return kept.join(twice, id_col, "left_anti").unionByName(once)
