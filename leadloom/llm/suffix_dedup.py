@@ -28,31 +28,36 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import cut, whole_text
-from .superwords import SuperWords
+from .superwords import SuperWords, gram_hashes, powers
 
 #: Contents and bytes from which on a bucket is counted by window, and bytes that a task refines at a time.
-MOST, MOST_BYTES, AT_ONCE = 8192, 6 << 20, 2 << 20
+MOST, MOST_BYTES, AT_ONCE = 8192, 3 << 20, 1 << 20
 RUN = ["mh", "k1", "k2"]
 
 
 def repeated_windows(data: np.ndarray, valid: np.ndarray, span: int) -> np.ndarray:
     """For each position whether valid is set and another valid position starts the same `span` bytes (9 at least)."""
     n = len(data)
-    wide = np.concatenate([data, np.zeros(span + 8, np.uint8)]).astype(np.uint64)
-    first = np.zeros(n, np.uint64)
+    wide = np.concatenate([data, np.zeros(2 * span + 16, np.uint8)])
+    eight = np.zeros(n + span, np.uint64)
     for j in range(8):
-        first = first << np.uint64(8) | wide[j : j + n]
-    bucket = np.full(n + span, 0xFFFFFFFF, np.uint64)
-    active, keys, made, depth = np.arange(n), first, 0, 8
-    while True:
-        if depth == span:
-            keys, active = keys[valid[active]], active[valid[active]]
+        eight = eight << np.uint64(8) | wide[j : j + n + span]
+    # initial buckets of q bytes are found by a hash and then compared; should two differ, they start at 8 bytes
+    depth = max(8, min(64, (span - 1) // 8 * 8))
+    keys = gram_hashes(wide[: n + depth - 1], depth, _powers(n + depth))
+    order = np.argsort(keys)
+    same = np.flatnonzero(keys[order[1:]] == keys[order[:-1]])
+    a, b = order[same], order[same + 1]
+    if not all(np.array_equal(eight[a + k], eight[b + k]) for k in range(0, depth, 8)):
+        depth, keys = 8, eight[:n]
         order = np.argsort(keys)
+    active = np.arange(n)
+    bucket, made = np.full(n + span, 0xFFFFFFFF, np.uint64), 0
+    while True:
         ordered = keys[order]
         new = np.append(True, ordered[1:] != ordered[:-1])[: len(order)]
         group = new.cumsum() - 1
-        alone = np.append(np.flatnonzero(new), len(order))
-        several = np.diff(alone)[group] > 1
+        several = np.diff(np.append(np.flatnonzero(new), len(order)))[group] > 1
         if depth == span:
             out = np.zeros(n, bool)
             out[active[order[several]]] = True
@@ -61,8 +66,20 @@ def repeated_windows(data: np.ndarray, valid: np.ndarray, span: int) -> np.ndarr
         made += int(group[-1]) + 1 if len(group) else 0
         active = np.sort(active[order[several]])
         later = min(depth, span - depth)
-        keys = bucket[active] << np.uint64(32) | bucket[active + later]
         depth += later
+        if depth == span:
+            active = active[valid[active]]
+        keys = bucket[active] << np.uint64(32) | bucket[active + later]
+        order = np.argsort(keys)
+
+
+_known_powers: list = [np.zeros(0, np.uint64)] * 2
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    if len(_known_powers[0]) < n:
+        _known_powers[:] = powers(max(n, AT_ONCE))
+    return tuple(_known_powers)
 
 
 def stretches(flags: np.ndarray) -> list[tuple[int, int]]:
@@ -71,22 +88,39 @@ def stretches(flags: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True))
 
 
+#: Texts that a task has in memory as Python objects at a time.
+FEW = 256
+
+
+def _few(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    return (b.slice(k, FEW) for k in range(0, b.num_rows, FEW))
+
+
+def _least_grams(base: DataFrame, span: int, q: int) -> DataFrame:
+    """(mh, own) of every run."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cutter = SuperWords(span, q)
+        for b in (x for y in batches for x in _few(y)):
+            for r in cutter.runs(t.as_py().encode() for t in b.column(2)):
+                yield pa.RecordBatch.from_arrays([pa.array(r.least), pa.array(r.own)], ["mh", "own"])
+
+    return base.mapInArrow(run, "mh bigint, own boolean")
+
+
 def _runs(base: DataFrame, span: int, q: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from xxhash import xxh3_128_digest
 
         cutter = SuperWords(span, q)
-        for b in batches:
-            texts = [t.as_py().encode() for t in b.column(2)]
-            found = list(cutter.runs(texts))
-            if not found:
-                continue
-            which, start, windows, least, own = zip(*found, strict=True)
-            hashes = b"".join([xxh3_128_digest(texts[k][a : a + n + span - 1]) for k, a, n in zip(which, start, windows, strict=True)])
-            k = np.frombuffer(hashes, "<i8").reshape(-1, 2)
-            at = pa.array(which, pa.int64())
-            cols = [b.column(0).take(at), b.column(1).take(at), pa.array(least, pa.int64()), pa.array(k[:, 0].copy()), pa.array(k[:, 1].copy()), pa.array(start, pa.int64()), pa.array(windows, pa.int64()), pa.array(own, pa.bool_())]
-            yield pa.RecordBatch.from_arrays(cols, ["key", "rid", *RUN, "start", "n", "own"])
+        for b in (x for y in batches for x in _few(y)):
+            for r in cutter.runs(t.as_py().encode() for t in b.column(2)):
+                ends = r.start + r.windows + (span - 1)
+                hashes = b"".join([xxh3_128_digest(r.parts[k][i:j]) for k, i, j in zip(r.part.tolist(), r.start.tolist(), ends.tolist(), strict=True)])
+                k = np.frombuffer(hashes, "<i8").reshape(-1, 2)
+                at = pa.array(r.text)
+                cols = [b.column(0).take(at), b.column(1).take(at), *map(pa.array, (r.least, k[:, 0].copy(), k[:, 1].copy(), r.start + r.shift, r.windows.astype(np.int64), r.own))]
+                yield pa.RecordBatch.from_arrays(cols, ["key", "rid", *RUN, "start", "n", "own"])
 
     return base.mapInArrow(run, "key binary, rid bigint, mh bigint, k1 bigint, k2 bigint, start bigint, n bigint, own boolean")
 
@@ -110,7 +144,7 @@ def _refined(contents: DataFrame, span: int) -> DataFrame:
         rows: list[tuple] = []
         size = 0
         for b in batches:
-            for r in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            for r in (r for x in _few(b) for r in zip(*(c.to_pylist() for c in x.columns), strict=True)):
                 if rows and r[:3] == rows[-1][:3]:
                     continue  # a row that repeats with its id
                 if size > AT_ONCE and r[0] != rows[-1][0]:
@@ -132,7 +166,7 @@ def _counted(contents: DataFrame, span: int) -> DataFrame:
         from xxhash import xxh3_128_digest
 
         for b in batches:
-            for mh, k1, k2, _, n, content in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            for mh, k1, k2, _, n, content in (r for x in _few(b) for r in zip(*(c.to_pylist() for c in x.columns), strict=True)):
                 w = np.frombuffer(b"".join([xxh3_128_digest(content[j : j + span]) for j in range(n)]), "<i8").reshape(-1, 2)
                 cols = [pa.array(np.full(n, x)) for x in (mh, k1, k2)] + [pa.array(np.arange(n)), pa.array(w[:, 0].copy()), pa.array(w[:, 1].copy())]
                 yield pa.RecordBatch.from_arrays(cols, [*RUN, "at", "w1", "w2"])
@@ -149,8 +183,8 @@ def repeated_spans(docs: DataFrame, span: int = 400, q: int = 64, id_col: str =
     text = whole_text(text_col)
     base = docs.select(F.unhex(F.md5(text)).alias("key"), F.xxhash64(id_col).alias("rid"), text.alias("text"))
     runs = _runs(base, span, q)
-    # made twice rather than kept: first only to find the buckets with more than one run
-    shared = runs.groupBy("mh").agg(F.count("*").alias("c"), F.max("own").alias("own")).where("c > 1 or own").select("mh")
+    # cut twice rather than kept: first only to find the buckets with more than one run
+    shared = _least_grams(base, span, q).groupBy("mh").agg(F.count("*").alias("c"), F.max("own").alias("own")).where("c > 1 or own").select("mh")
     kept = cut(runs.join(shared, "mh", "left_semi"))
     kinds = kept.groupBy(*RUN).agg(F.count("*").alias("copies"), F.min(F.struct("key", "rid", "start")).alias("at"), F.max("n").alias("n"), F.max("own").alias("own"))
     mixed = kinds.groupBy("mh").agg(F.count("*").alias("kinds"), F.sum(F.col("n") + (span - 1)).alias("bytes"), F.max("own").alias("any_own")).where("kinds > 1 or any_own")

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 
@@ -11,7 +12,7 @@ SLAB = 1 << 20
 BASE = 0x9E3779B97F4A7C15
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     def of(b: int) -> np.ndarray:
         out = np.full(n, b & (1 << 64) - 1, np.uint64)
         out[0] = 1
@@ -45,12 +46,26 @@ def window_extreme(x: np.ndarray, w: int, least: bool = True) -> np.ndarray:
     return f(back[:n], ahead[w - 1 : w - 1 + n])
 
 
+class Runs(NamedTuple):
+    """Parts of texts and, of each run: its text, its part, where it starts in the part and the part in the text, how
+    many windows it has, their least hash, and whether that may occur in it more than once."""
+
+    parts: list[bytes]
+    text: np.ndarray
+    part: np.ndarray
+    start: np.ndarray
+    shift: np.ndarray
+    windows: np.ndarray
+    least: np.ndarray
+    own: np.ndarray
+
+
 class SuperWords:
     """Runs of neighbouring windows of `span` bytes whose least hash of q bytes is one value."""
 
     def __init__(self, span: int, q: int):
         self.span, self.q = span, q
-        self.powers = _powers(SLAB + 2 * span)
+        self.powers = powers(SLAB + 2 * span)
 
     def slab(self, data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(start, windows, least hash, own): of texts laid end to end. own: the run's least q-gram may occur in it
@@ -83,8 +98,8 @@ class SuperWords:
         own = (hi - lo >= 2) & (equal[np.maximum(hi - 2, 0)] > before)
         return start, stop - start, m[start], own
 
-    def runs(self, texts: list[bytes]) -> Iterator[tuple[int, int, int, int, bool]]:
-        """(text, start, windows, least hash, own) of all texts; long texts go slab by slab, with overlap."""
+    def runs(self, texts: Iterable[bytes]) -> Iterator[Runs]:
+        """The runs of all texts, a few texts at a time; long texts go slab by slab, with overlap."""
         group: list[tuple[int, int, bytes]] = []
         size = 0
         for k, t in enumerate(texts):
@@ -93,18 +108,16 @@ class SuperWords:
             for at in range(0, max(1, len(t) - self.span + 1), SLAB):
                 part = t[at : at + SLAB + self.span - 1]
                 if group and size + len(part) > SLAB + self.span:
-                    yield from self._flush(group)
+                    yield self._flush(group)
                     group, size = [], 0
                 group.append((k, at, part))
                 size += len(part)
         if group:
-            yield from self._flush(group)
-
-    def _flush(self, group: list[tuple[int, int, bytes]]) -> Iterator[tuple[int, int, int, int, bool]]:
-        data = np.frombuffer(b"".join(p for _, _, p in group), np.uint8)
-        ends = np.cumsum([len(p) for _, _, p in group])
-        start, windows, least, own = self.slab(data, ends)
-        which = np.searchsorted(ends, start, side="right")
-        text = np.array([k for k, _, _ in group])[which]
-        shift = (np.array([at for _, at, _ in group]) - (ends - np.array([len(p) for _, _, p in group])))[which]
-        yield from zip(text.tolist(), (start + shift).tolist(), windows.tolist(), least.view(np.int64).tolist(), own.tolist(), strict=True)
+            yield self._flush(group)
+
+    def _flush(self, group: list[tuple[int, int, bytes]]) -> Runs:
+        sizes = np.array([len(p) for _, _, p in group])
+        ends = np.cumsum(sizes)
+        start, windows, least, own = self.slab(np.frombuffer(b"".join(p for _, _, p in group), np.uint8), ends)
+        part = np.searchsorted(ends, start, side="right")
+        return Runs([p for _, _, p in group], np.array([k for k, _, _ in group])[part], part, start - (ends - sizes)[part], np.array([at for _, at, _ in group])[part], windows, least.view(np.int64), own)
