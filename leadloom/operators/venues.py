@@ -34,7 +34,7 @@ def recountry(venues: DataFrame, dim: DataFrame) -> DataFrame:
     """Countries anew after dim has grown; where one is found, only the `unmapped city slug` part of the review reason
     goes, and the flag stays if anything of it is left."""
     rows = assign_country(venues, dim)
-    kept = F.filter(F.transform(F.split(F.coalesce("review_reason", F.lit("")), ";"), F.trim), lambda p: (p != "") & ~p.startswith("unmapped city slug"))
+    kept = F.filter(F.transform(F.split(F.coalesce("review_reason", F.lit("")), ";"), lambda p: F.trim(p)), lambda p: (p != "") & ~p.startswith("unmapped city slug"))
     found = F.col("country").isNotNull()
     reason = F.when(found, F.nullif(F.array_join(kept, "; "), F.lit(""))).otherwise(F.col("review_reason"))
     return rows.withColumns({"needs_review": F.when(found, (F.size(kept) > 0).cast("int")).otherwise(F.col("needs_review")), "review_reason": reason})
@@ -192,7 +192,7 @@ def haversine_pairs(points: DataFrame, key: str, lat: Column, lng: Column, metre
     width = F.lit(size) / F.greatest(F.cos(F.radians(F.least(F.abs(band * size) + 2 * size, F.lit(89.0)))), F.lit(0.01))
     near = F.transform(F.sequence(F.lit(-1), F.lit(1)), lambda d: band + d)
     a = rows.select("id", "lat", "lng", band.cast("long").alias("band"), F.floor(F.col("lng") / width).cast("long").alias("cell"))
-    at = lambda b: F.floor(F.col("lng") / (F.lit(size) / F.greatest(F.cos(F.radians(F.least(F.abs(b * size) + 2 * size, F.lit(89.0)))), F.lit(0.01))))
+    at = lambda b: F.floor(F.col("lng2") / (F.lit(size) / F.greatest(F.cos(F.radians(F.least(F.abs(b * size) + 2 * size, F.lit(89.0)))), F.lit(0.01))))
     b = rows.select(F.col("id").alias("id2"), F.col("lat").alias("lat2"), F.col("lng").alias("lng2"), F.explode(near).alias("band"))
     b = b.withColumn("cell", F.explode(F.transform(F.sequence(F.lit(-1), F.lit(1)), lambda d: (at(F.col("band")) + d).cast("long")))).withColumn("band", F.col("band").cast("long"))
     pairs = a.join(b, ["band", "cell"]).where("id < id2")

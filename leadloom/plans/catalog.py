@@ -1,15 +1,448 @@
-"""Every registered query over the given tables, with its SQL counterpart."""
+"""Every registered query: an operator applied to the given tables, with its SQL counterpart for DuckDB.
+
+The tables hold no venues, so a query runs its operator on the nearest table: documents hold addresses, pages links,
+customers stand for venues, orders for contacts or sightings, parts for register names."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions.text import email_domain, fi_id_valid, host_of, normalise_name, plausible_email, similarity, visible_text
+from ..operators import contacts as c
+from ..operators import pages as p
+from ..operators import quality as q
+from ..operators import register as r
+from ..operators import sheet as s
+from ..operators import venues as v
+from ..operators import writes as w
+
+_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+_SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def register(f):
+        _QUERIES[f.__name__] = f
+        if sql:
+            _SQL[f.__name__] = sql
+        return f
+
+    return register
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(_SQL)
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+# --- pages ---
+
+_LINKS = """
+    links AS (
+        SELECT page_id, url, generate_subscripts(tags, 1) - 1 AS pos, unnest(tags) AS tag
+        FROM (SELECT page_id, url, regexp_extract_all(html, '(?is)<a\\b[^>]*>.*?</a>') AS tags FROM pages)),
+    hrefs AS (
+        SELECT page_id, url, CAST(pos AS INTEGER) AS pos, regexp_extract(tag, '(?is)\\bhref\\s*=\\s*"([^"]*)"', 1) AS href,
+               trim(regexp_replace(replace(regexp_replace(tag, '(?s)<[^>]*>', ' ', 'g'), '&amp;', '&'), '\\s+', ' ', 'g')) AS anchor FROM links)
+"""
+
+
+@query(f"WITH {_LINKS} SELECT page_id, url, pos, href AS link, substr(anchor, 1, 120) AS anchor FROM hrefs WHERE href <> ''")
+def page_links(spark, sf_dir):
+    return p.page_links(table(spark, sf_dir, "pages"), absolute=False)
+
+
+@query(f"""
+    WITH {_LINKS},
+    full_links AS (SELECT page_id, pos, regexp_extract(url, '^https?://[^/?#]+') || href AS link, lower(anchor) AS a FROM hrefs WHERE href LIKE '/%'),
+    clean AS (SELECT DISTINCT page_id, regexp_replace(link, '/+$', '') AS link FROM full_links),
+    ranked AS (SELECT page_id, link, row_number() OVER (PARTITION BY page_id ORDER BY link) AS rank FROM clean)
+    SELECT page_id, link, 'other' AS kind, CAST(9 AS INTEGER) AS priority, CAST(rank AS INTEGER) AS rank FROM ranked WHERE rank <= 15
+""")
+def rank_links_top15(spark, sf_dir):
+    links = p.page_links(table(spark, sf_dir, "pages"))
+    return p.rank_links(links.where(p.crawlable(F.col("link"), host_of(F.col("url")))), "page_id")
+
+
+@query("""
+    SELECT page_id, CAST(length(trim(regexp_replace(replace(replace(replace(replace(
+        regexp_replace(regexp_replace(regexp_replace(html, '(?is)<script\\b.*?</script\\s*>', ' ', 'g'), '(?is)<style\\b.*?</style\\s*>', ' ', 'g'), '(?s)<[^>]*>', ' ', 'g'),
+        '&quot;', '"'), '&copy;', '©'), '&middot;', '·'), '&amp;', '&'), '\\s+', ' ', 'g'))) AS INTEGER) AS n_visible FROM pages
+""")
+def visible_text_len(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", F.length(visible_text(F.col("html"))).alias("n_visible"))
+
+
+@query("""
+    SELECT regexp_replace(lower(regexp_extract(url, '^[A-Za-z]+://([^/?#:]*)', 1)), '^www\\.', '') AS host, count(*) AS n, min(url) AS example_url FROM pages GROUP BY 1
+""")
+def host_inventory(spark, sf_dir):
+    return table(spark, sf_dir, "pages").groupBy(host_of(F.col("url")).alias("host")).agg(F.count("*").alias("n"), F.min("url").alias("example_url"))
+
+
+@query("""
+    SELECT page_id, 'unknown' AS cms, FALSE AS is_shell, 'static' AS tier FROM pages
+""")
+def crawl_tiers(spark, sf_dir):
+    """Routes of pages that are long enough to be no shells; none of the given pages names a content system."""
+    rows = p.blocked_or_shell(table(spark, sf_dir, "pages").withColumn("http_status", F.lit(200)).withColumn("cms", p.detect_cms(F.col("html"))))
+    return p.crawl_tier(rows.withColumn("is_shell", F.lit(False))).select("page_id", "cms", "is_shell", "tier")
+
+
+# --- addresses in documents ---
+
+_EMAILS = r"""
+    hits AS (SELECT doc_id, unnest(list_distinct(list_transform(regexp_extract_all(text, '\b[A-Za-z0-9._%+\-]+@[A-Za-z0-9.\-]+\.[A-Za-z]{2,24}\b'), lambda x: lower(x)))) AS email FROM documents)
+"""
+
+
+@query(f"WITH {_EMAILS} SELECT doc_id, email FROM hits WHERE split_part(email, '@', 1) NOT IN ('email','your','youremail','name','user','username','someone','noreply','no-reply','donotreply','example') AND NOT starts_with(email, 'u0')")
+def email_hits(spark, sf_dir):
+    rows = table(spark, sf_dir, "documents").select("doc_id", F.explode(c.plain_emails(F.col("text"))).alias("email"))
+    return rows.where(plausible_email(F.col("email"), vendors=(), placeholders=()))
+
+
+@query(f"""
+    WITH {_EMAILS}, d AS (SELECT split_part(email, '@', 2) AS email_domain, doc_id AS venue_id FROM hits),
+    per AS (SELECT email_domain, count(*) AS n, count(DISTINCT venue_id) AS venues FROM d GROUP BY 1),
+    ranked AS (SELECT *, row_number() OVER (ORDER BY n DESC, email_domain) AS rank FROM per)
+    SELECT email_domain, n, venues, CAST(rank AS INTEGER) AS rank FROM ranked WHERE rank <= 40
+    UNION ALL SELECT '(others)', CAST(sum(n) AS BIGINT), CAST(sum(venues) AS BIGINT), 41 FROM ranked WHERE rank > 40 HAVING count(*) > 0
+""")
+def email_domain_rollup(spark, sf_dir):
+    rows = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("venue_id"), F.explode(c.plain_emails(F.col("text"))).alias("email"))
+    return q.domain_rollup(rows.withColumn("email_domain", email_domain(F.col("email"))))
+
+
+@query(f"""
+    WITH {_EMAILS}, both_ AS (SELECT doc_id, email, 2 AS rank, 0 AS pos, 'text' AS channel FROM hits UNION ALL SELECT doc_id, email, 3, 1, 'mailto' FROM hits WHERE length(email) % 2 = 0)
+    SELECT doc_id, email, channel, CAST(rank AS INTEGER) AS rank, CAST(pos AS INTEGER) AS pos FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, email ORDER BY rank DESC, pos) AS n FROM both_) WHERE n = 1
+""")
+def email_channel_best(spark, sf_dir):
+    hits = table(spark, sf_dir, "documents").select("doc_id", F.explode(c.plain_emails(F.col("text"))).alias("email"))
+    made = lambda df, rank, pos, name: df.select("doc_id", "email", F.lit(rank).alias("rank"), F.lit(pos).alias("pos"), F.lit(name).alias("channel"))
+    both = made(hits, 2, 0, "text").unionByName(made(hits.where("length(email) % 2 = 0"), 3, 1, "mailto"))
+    return c.best_email_channel(both, ["doc_id"]).select("doc_id", "email", "channel", "rank", "pos")
+
+
+@query()
+def harvested_contacts(spark, sf_dir):
+    """All channels with the nearest name and role; order and offsets are beyond SQL."""
+    return c.harvest_contacts(table(spark, sf_dir, "documents"), ["doc_id"], html="text", vendors=(), placeholders=())
+
+
+@query()
+def resolved_contacts(spark, sf_dir):
+    """The ordered merge over addresses of each source's documents."""
+    rows = table(spark, sf_dir, "documents").select(F.crc32("source").alias("venue_id"), F.col("doc_id").alias("seq"), F.explode(c.plain_emails(F.col("text"))).alias("email"))
+    incoming = rows.select("venue_id", "seq", "email", F.initcap(F.regexp_replace(F.split("email", "@")[0], "[^a-z]+", " ")).alias("contact_name"), F.lit(None).cast("string").alias("contact_role"), F.lit("website").alias("source"), F.lit(None).cast("string").alias("source_url"), F.lit("medium").alias("confidence"), F.lit(None).cast("string").alias("verification_status"))
+    empty = spark.createDataFrame([], c.CONTACT)
+    return c.resolve_contacts(empty, incoming)
+
+
+# --- ids ---
+
+_CHECK = "(" + " + ".join(f"{wt} * CAST(substr(body, {k + 1}, 1) AS INTEGER)" for k, wt in enumerate((7, 9, 10, 5, 8, 4, 2))) + ") % 11"
+
+
+@query(f"""
+    WITH b AS (SELECT o_orderkey, lpad(CAST(o_orderkey * 97 % 10000000 AS VARCHAR), 7, '0') AS body, CAST(o_orderkey % 10 AS INTEGER) AS digit FROM orders)
+    SELECT o_orderkey, body || '-' || digit AS business_id, CASE {_CHECK} WHEN 0 THEN digit = 0 WHEN 1 THEN FALSE ELSE digit = 11 - {_CHECK} END AS valid FROM b
+""")
+def fi_id_checksum(spark, sf_dir):
+    body = F.lpad((F.col("o_orderkey") * 97 % 10000000).cast("string"), 7, "0")
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", F.concat(body, F.lit("-"), (F.col("o_orderkey") % 10).cast("string")).alias("business_id"))
+    return rows.withColumn("valid", fi_id_valid(F.col("business_id")))
+
+
+# --- writes ---
+
+
+@query("""
+    SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 AND c_custkey % 2 = 0 THEN upper(c_name) ELSE c_name END AS c_name, CASE WHEN c_custkey % 3 = 0 THEN c_acctbal + 1 ELSE c_acctbal END AS c_acctbal FROM customer
+    UNION ALL SELECT c_custkey + 100000000, CASE WHEN c_custkey % 2 = 0 THEN upper(c_name) END, c_acctbal + 1 FROM customer WHERE c_custkey % 3 = 1
+""")
+def upsert_coalesce(spark, sf_dir):
+    base = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal")
+    change = lambda df: df.select("c_custkey", F.when(F.col("k") % 2 == 0, F.upper("c_name")).alias("c_name"), (F.col("c_acctbal") + 1).alias("c_acctbal"))
+    k = base.withColumn("k", F.col("c_custkey"))
+    delta = change(k.where("k % 3 = 0")).unionByName(change(k.where("k % 3 = 1").withColumn("c_custkey", F.col("k") + 100000000)))
+    return w.upsert_coalesce(base, delta, ["c_custkey"])
+
+
+@query("""
+    WITH b AS (SELECT o_custkey, min(o_orderkey) AS o_orderkey FROM orders WHERE o_orderstatus = 'O' GROUP BY 1), d AS (SELECT o_custkey, min(o_orderkey) AS o_orderkey FROM orders GROUP BY 1)
+    SELECT * FROM b UNION ALL SELECT * FROM d WHERE o_custkey NOT IN (SELECT o_custkey FROM b)
+""")
+def insert_ignore(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders")
+    base = orders.where("o_orderstatus = 'O'").groupBy("o_custkey").agg(F.min("o_orderkey").alias("o_orderkey"))
+    return w.insert_ignore(base, orders.select("o_custkey", "o_orderkey"), ["o_custkey"], "o_orderkey")
+
+
+@query("SELECT c_custkey, CASE WHEN c_custkey % 4 = 0 THEN CASE WHEN c_custkey % 8 = 0 THEN 0 END ELSE 1 END AS flag FROM customer")
+def overwrite_flags(spark, sf_dir):
+    keys = table(spark, sf_dir, "customer").select("c_custkey")
+    base = keys.withColumn("flag", F.lit(1))
+    return w.overwrite_flags(base, keys.where("c_custkey % 4 = 0").withColumn("flag", F.when(F.col("c_custkey") % 8 == 0, F.lit(0))), ["c_custkey"], ["flag"])
+
+
+@query("""
+    WITH f AS (SELECT source AS key, sha256(text) AS sha, min(doc_id) AS seq FROM documents GROUP BY 1, 2)
+    SELECT key, sha, CAST(row_number() OVER (PARTITION BY key ORDER BY seq) AS INTEGER) AS version FROM f
+""")
+def capture_versions(spark, sf_dir):
+    """Three rounds of captures, the later ones repeating the earlier."""
+    d = table(spark, sf_dir, "documents").select(F.col("source").alias("key"), F.col("text").alias("content"), F.col("doc_id").alias("seq"))
+    none = d.sparkSession.createDataFrame([], "key string, sha string, version int, content string")
+    return w.append_versions(none, d).select("key", "sha", "version")
+
+
+# --- windows ---
+
+
+@query("SELECT c_custkey, CAST(floor((row_number() OVER (ORDER BY c_custkey) - 1) * 4 / count(*) OVER ()) + 1 AS INTEGER) AS tenure_bucket FROM customer")
+def tenure_buckets(spark, sf_dir):
+    return v.tenure_buckets(table(spark, sf_dir, "customer").select("c_custkey"), "c_custkey")
+
+
+_CONTACTS = """
+    contacts AS (SELECT o_custkey AS venue_id, o_orderkey AS first_seq, CASE WHEN o_orderkey % 3 <> 0 THEN 'p' || o_orderkey || '@x.fi' END AS email, CASE WHEN o_orderkey % 5 < 2 THEN 'N' || o_orderkey END AS contact_name,
+        CASE substr(o_orderpriority, 1, 1) WHEN '1' THEN 'verified' WHEN '2' THEN 'high' WHEN '3' THEN 'medium' WHEN '4' THEN 'low' ELSE 'catchall_guess' END AS confidence, CASE WHEN o_orderstatus = 'P' THEN 'pattern_guess' ELSE 'website' END AS source FROM orders),
+    ordered AS (SELECT *, CASE WHEN contact_name IS NULL THEN 1 ELSE 0 END AS o1, CASE confidence WHEN 'verified' THEN 0 WHEN 'high' THEN 1 WHEN 'medium' THEN 2 WHEN 'low' THEN 3 ELSE 4 END AS o2 FROM contacts)
+"""
+
+
+def _contacts(spark, sf_dir):
+    k = F.substring("o_orderpriority", 1, 1)
+    sure = F.when(k == "1", "verified").when(k == "2", "high").when(k == "3", "medium").when(k == "4", "low").otherwise("catchall_guess")
+    key = F.col("o_orderkey")
+    return table(spark, sf_dir, "orders").select(
+        F.col("o_custkey").alias("venue_id"), key.alias("first_seq"), F.when(key % 3 != 0, F.concat(F.lit("p"), key.cast("string"), F.lit("@x.fi"))).alias("email"), F.when(key % 5 < 2, F.concat(F.lit("N"), key.cast("string"))).alias("contact_name"),
+        sure.alias("confidence"), F.when(F.col("o_orderstatus") == "P", "pattern_guess").otherwise("website").alias("source"),
+    )
+
+
+@query(f"""
+    WITH {_CONTACTS} SELECT venue_id, first_seq, email, contact_name, confidence FROM (SELECT *, row_number() OVER (PARTITION BY venue_id ORDER BY o1, o2, first_seq) AS n FROM ordered WHERE email IS NOT NULL) WHERE n = 1
+""")
+def best_contact_per_key(spark, sf_dir):
+    return s.best_email_contact(_contacts(spark, sf_dir)).select("venue_id", "first_seq", "email", "contact_name", "confidence")
+
+
+@query(f"""
+    WITH {_CONTACTS}, best AS (SELECT venue_id, email AS chosen FROM (SELECT *, row_number() OVER (PARTITION BY venue_id ORDER BY o1, o2, first_seq) AS n FROM ordered WHERE email IS NOT NULL) WHERE n = 1)
+    SELECT venue_id, email AS backup FROM (SELECT o.*, row_number() OVER (PARTITION BY venue_id ORDER BY o1, o2, first_seq) AS n FROM ordered o LEFT JOIN best USING (venue_id)
+        WHERE email IS NOT NULL AND source <> 'pattern_guess' AND confidence <> 'catchall_guess' AND email <> coalesce(chosen, '')) WHERE n = 1
+""")
+def backup_pick(spark, sf_dir):
+    return s.backup_email(_contacts(spark, sf_dir))
+
+
+@query(f"""
+    WITH {_CONTACTS} SELECT venue_id, first_seq FROM (SELECT *, row_number() OVER (PARTITION BY venue_id ORDER BY CASE confidence WHEN 'verified' THEN 0 WHEN 'high' THEN 1 WHEN 'catchall_guess' THEN 3 ELSE 2 END, o1, first_seq) AS n FROM contacts JOIN ordered USING (venue_id, first_seq, confidence)) WHERE n = 1
+""")
+def list_contact_per_key(spark, sf_dir):
+    return s.best_contact_for_list(_contacts(spark, sf_dir)).select("venue_id", "first_seq")
+
+
+@query(f"WITH {_CONTACTS} SELECT c_custkey AS venue_id FROM customer WHERE NOT EXISTS (SELECT 1 FROM contacts WHERE venue_id = c_custkey AND email IS NOT NULL AND contact_name IS NOT NULL)")
+def needy_anti(spark, sf_dir):
+    return v.needy_venues(table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("venue_id")), _contacts(spark, sf_dir))
+
+
+@query(f"WITH {_CONTACTS} SELECT source, count(*) AS n, count(email) AS with_email, count(contact_name) AS with_name FROM contacts GROUP BY 1")
+def yield_by_source(spark, sf_dir):
+    return q.yield_by_source(_contacts(spark, sf_dir))
+
+
+# --- groups, joins ---
+
+
+@query("SELECT 'C' || l_suppkey AS business_id, l_returnflag AS country, min('S' || l_partkey) AS company_name, count(*) AS venue_count FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1")
+def company_groups(spark, sf_dir):
+    rows = table(spark, sf_dir, "lineitem").select(F.concat(F.lit("C"), F.col("l_suppkey").cast("string")).alias("business_id"), F.col("l_returnflag").alias("country"), F.concat(F.lit("S"), F.col("l_partkey").cast("string")).alias("company_name"))
+    return r.company_groups(rows)
+
+
+@query("""
+    SELECT lower(p_brand) AS name_norm, count(DISTINCT 'C' || l_suppkey) AS n_companies, count(DISTINCT l_orderkey) AS n_venues, min('C' || l_suppkey) AS company
+    FROM lineitem JOIN part ON p_partkey = l_partkey GROUP BY 1
+""")
+def group_owners(spark, sf_dir):
+    """Brands as names seen at orders, suppliers as the companies that the orders are matched to."""
+    rows = table(spark, sf_dir, "lineitem").join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey")).select(F.lower(F.col("p_brand")).alias("name_norm"), F.col("l_orderkey").alias("venue_id"), F.concat(F.lit("C"), F.col("l_suppkey").cast("string")).alias("business_id"))
+    return rows.groupBy("name_norm").agg(F.count_distinct("business_id").alias("n_companies"), F.count_distinct("venue_id").alias("n_venues"), F.min("business_id").alias("company"))
+
+
+@query("SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F')")
+def resume_anti(spark, sf_dir):
+    done = table(spark, sf_dir, "orders").where("o_orderstatus = 'F'").select(F.col("o_custkey").alias("c_custkey"))
+    return v.resume_filter(table(spark, sf_dir, "customer").select("c_custkey"), done, ["c_custkey"])
+
+
+@query("""
+    SELECT CAST(c_custkey AS VARCHAR) AS business_id FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderpriority LIKE '1%' AND o_orderstatus = 'P')
+        OR c_mktsegment = 'BUILDING' OR lower(trim(regexp_replace(c_name, '[^A-Za-z0-9]+', ' ', 'g'))) IN (SELECT 'customer ' || lpad(CAST(s_suppkey AS VARCHAR), 9, '0') FROM supplier)
+""")
+def keep_relevant_or(spark, sf_dir):
+    companies = table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("business_id"), F.col("c_mktsegment").alias("main_business_line"), F.array(F.lower(F.trim(F.regexp_replace("c_name", "[^A-Za-z0-9]+", " ")))).alias("names_norm"))
+    ids = table(spark, sf_dir, "orders").where("o_orderpriority LIKE '1%' AND o_orderstatus = 'P'").select(F.col("o_custkey").cast("string").alias("business_id"))
+    names = table(spark, sf_dir, "supplier").select(F.concat(F.lit("customer "), F.lpad(F.col("s_suppkey").cast("string"), 9, "0")).alias("name_norm"))
+    return r.keep_relevant(companies, ids, names, ("BUILDING",)).select("business_id")
+
+
+@query("SELECT range AS o_orderkey FROM range(1, (SELECT max(o_orderkey) + 1 FROM orders WHERE o_orderstatus = 'F')) WHERE range NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F')")
+def coverage_gap_ids(spark, sf_dir):
+    return v.coverage_gaps(table(spark, sf_dir, "orders").where("o_orderstatus = 'F'").select("o_orderkey"), "o_orderkey")
+
+
+@query("""
+    WITH probes AS (SELECT o_custkey AS venue_id, max(CASE WHEN o_orderstatus = 'F' THEN 200 ELSE 404 END) AS http_status FROM orders GROUP BY 1)
+    SELECT c_custkey AS venue_id, http_status FROM customer LEFT JOIN probes ON venue_id = c_custkey WHERE coalesce(http_status, 0) <> 200
+""")
+def crosscheck_misses(spark, sf_dir):
+    probes = table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("venue_id")).agg(F.max(F.when(F.col("o_orderstatus") == "F", 200).otherwise(404)).alias("http_status"))
+    return v.crosscheck_misses(table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("venue_id")), probes)
+
+
+@query("""
+    WITH names AS (SELECT DISTINCT lower(p_name) AS name FROM part), targets AS (SELECT DISTINCT unnest(string_split(name, ' ')) AS target FROM names)
+    SELECT target, name FROM targets JOIN names ON contains(name, target) WHERE length(target) > 0
+""")
+def substring_match(spark, sf_dir):
+    names = table(spark, sf_dir, "part").select(F.lower("p_name").alias("name")).distinct()
+    targets = names.select(F.explode(F.split("name", " ")).alias("target")).distinct()
+    return r.substring_pairs(targets, names)
+
+
+@query()
+def similarity_match(spark, sf_dir):
+    """Names that a distinct word of part names occurs in, with the matching-blocks similarity; beyond SQL."""
+    pairs = substring_match(spark, sf_dir)
+    return pairs.withColumn("score", F.round(similarity(normalise_name(F.col("target")), normalise_name(F.col("name"))), 6))
+
+
+@query("""
+    WITH s AS (SELECT s_suppkey AS id, 59.0 + (s_suppkey * 37 % 1000) / 1000.0 AS lat, 24.0 + (s_suppkey * 91 % 1000) / 500.0 AS lng FROM supplier)
+    SELECT a.id, b.id AS id2, round(2 * 6371000.0 * asin(sqrt(pow(sin(radians(b.lat - a.lat) / 2), 2) + cos(radians(a.lat)) * cos(radians(b.lat)) * pow(sin(radians(b.lng - a.lng) / 2), 2))), 3) AS metres
+    FROM s a JOIN s b ON a.id < b.id
+    WHERE 2 * 6371000.0 * asin(sqrt(pow(sin(radians(b.lat - a.lat) / 2), 2) + cos(radians(a.lat)) * cos(radians(b.lat)) * pow(sin(radians(b.lng - a.lng) / 2), 2))) <= 3000
+""")
+def haversine_pairs(spark, sf_dir):
+    k = F.col("s_suppkey")
+    pairs = v.haversine_pairs(table(spark, sf_dir, "supplier"), "s_suppkey", 59.0 + (k * 37 % 1000) / 1000.0, 24.0 + (k * 91 % 1000) / 500.0, 3000.0)
+    return pairs.withColumn("metres", F.round("metres", 3))
+
+
+# --- scores, payloads, reports ---
+
+
+@query("""
+    WITH o AS (SELECT o_custkey, count(*) AS review_count, count(CASE WHEN o_orderstatus = 'F' THEN 1 END) AS named FROM orders GROUP BY 1), m AS (SELECT max(review_count) AS top FROM o),
+    t AS (SELECT c_custkey, CASE WHEN c_custkey % 10 = 0 THEN 1 ELSE 0 END AS michelin, c_acctbal / 2000.0 AS score, CAST(floor((row_number() OVER (ORDER BY c_custkey) - 1) * 4 / count(*) OVER ()) + 1 AS INTEGER) AS b FROM customer)
+    SELECT c_custkey AS venue_id, round(30.0 * (5 - b) / 4 + CASE WHEN review_count > 0 THEN 20.0 * least(1.0, review_count / top) ELSE 0 END + CASE WHEN named > 0 THEN 25.0 ELSE 0 END + CASE WHEN michelin = 1 THEN 8.0 ELSE 0 END
+        + CASE WHEN score <> 0 THEN 7.0 * least(1.0, greatest(0.0, (score - 3.0) / 2.0)) ELSE 0 END, 2) AS priority_score, 'smb' AS track
+    FROM t LEFT JOIN o ON o_custkey = c_custkey CROSS JOIN m
+""")
+def priority_score(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders")
+    n = orders.groupBy(F.col("o_custkey").alias("venue_id")).agg(F.count("*").alias("review_count"))
+    venues = v.tenure_buckets(table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("venue_id"), "c_acctbal")).join(n, "venue_id", "left")
+    venues = venues.select("venue_id", "tenure_bucket", "review_count", (F.col("venue_id") % 10 == 0).cast("int").alias("is_michelin"), (F.col("c_acctbal") / 2000.0).alias("review_score"), F.lit(0).alias("has_active_offer"), F.lit(0).alias("in_employer_register"), F.lit(None).cast("int").alias("venue_count"))
+    contacts = orders.where("o_orderstatus = 'F'").select(F.col("o_custkey").alias("venue_id"), F.lit("n").alias("contact_name"), F.lit("e").alias("email"), F.lit(None).cast("string").alias("verification_status"))
+    return v.priority_score(venues, contacts, venues).select("venue_id", "priority_score", "track")
+
+
+@query("""
+    SELECT field, CAST(filled AS BIGINT) AS filled, CAST(total AS BIGINT) AS total, round(filled / total, 4) AS share FROM (
+        SELECT 'text' AS field, count(CASE WHEN text <> '' THEN 1 END) AS filled, count(*) AS total FROM documents LEFT JOIN labels USING (doc_id)
+        UNION ALL SELECT 'quality', count(quality), count(*) FROM documents LEFT JOIN labels USING (doc_id) UNION ALL SELECT 'toxic', count(toxic), count(*) FROM documents LEFT JOIN labels USING (doc_id))
+""")
+def fill_rates(spark, sf_dir):
+    return q.fill_rates(table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id", "left"), ["text", "quality", "toxic"])
+
+
+@query("""
+    WITH a AS (SELECT (SELECT count(*) FROM customer) AS of, (SELECT count(DISTINCT o_custkey) FROM orders WHERE o_orderstatus = 'F') AS place_match, (SELECT count(DISTINCT o_custkey) FROM orders WHERE o_orderkey % 3 <> 0) AS email,
+        (SELECT count(DISTINCT o_custkey) FROM orders WHERE o_orderkey % 3 <> 0 AND o_orderkey % 5 < 2) AS named, (SELECT count(DISTINCT o_custkey) FROM orders WHERE o_orderstatus = 'O') AS business_id),
+    r AS (SELECT 'place_match' AS measure, place_match AS n, of, 0.90 AS target FROM a UNION ALL SELECT 'email', email, of, 0.85 FROM a UNION ALL SELECT 'named', named, of, 0.40 FROM a
+          UNION ALL SELECT 'business_id', business_id, of, 0.60 FROM a UNION ALL SELECT 'deliverable', email, of, 0.60 FROM a)
+    SELECT measure, n, of, n / of AS actual, CAST(target AS DOUBLE) AS target, n / of >= target AS met FROM r
+""")
+def acceptance(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders")
+    venue = lambda df: df.select(F.col("o_custkey").alias("venue_id"))
+    contacts = _contacts(spark, sf_dir).withColumn("verification_status", F.lit(None).cast("string"))
+    return q.acceptance(table(spark, sf_dir, "customer"), venue(orders.where("o_orderstatus = 'F'")).withColumn("accepted", F.lit(True)), venue(orders.where("o_orderstatus = 'O'")), contacts)
+
+
+@query("SELECT json_key, count(*) AS n FROM (SELECT unnest(json_keys(props)) AS json_key FROM events) GROUP BY 1 ORDER BY n DESC, json_key LIMIT 14")
+def json_key_profile(spark, sf_dir):
+    return r.key_profile(F.col("props"), table(spark, sf_dir, "events"))
+
+
+@query("SELECT event_id, CAST(json_extract(props, '$.k') AS VARCHAR) AS k FROM events WHERE json_extract(props, '$.k') IS NOT NULL")
+def variant_first_match(spark, sf_dir):
+    rows = table(spark, sf_dir, "events").select("event_id", F.try_parse_json("props").alias("v"))
+    return rows.select("event_id", F.try_variant_get("v", "$.k", "string").alias("k")).where("k is not null")
+
+
+@query("""
+    WITH d AS (SELECT lower(n_name) AS slug, CASE WHEN n_regionkey = 3 THEN 'EE' ELSE 'FI' END AS country, CASE WHEN n_regionkey = 3 THEN 'ee_list' ELSE 'city_selector' END AS source FROM nation WHERE n_regionkey > 0)
+    SELECT c_custkey, d.country, coalesce(d.source, 'unmapped') AS country_source FROM customer JOIN nation ON n_nationkey = c_nationkey LEFT JOIN d ON slug = lower(n_name)
+""")
+def country_dim_map(spark, sf_dir):
+    nation = table(spark, sf_dir, "nation")
+    ee = F.col("n_regionkey") == 3
+    dim = nation.where("n_regionkey > 0").select(F.lower("n_name").alias("city_slug"), F.when(ee, "EE").otherwise("FI").alias("country"), F.when(ee, "ee_list").otherwise("city_selector").alias("source"))
+    rows = table(spark, sf_dir, "customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", F.col("n_name").alias("city_slug"))
+    return v.assign_country(rows, dim).select("c_custkey", "country", "country_source")
+
+
+@query("""
+    WITH m AS (SELECT n_nationkey, n_regionkey > 0 AS known FROM nation)
+    SELECT c_custkey, CASE WHEN known THEN CASE WHEN c_custkey % 2 = 0 THEN 1 ELSE 0 END ELSE 1 END AS needs_review,
+           CASE WHEN known THEN CASE WHEN c_custkey % 2 = 0 THEN 'title missing' END ELSE CASE WHEN c_custkey % 2 = 0 THEN 'title missing; unmapped city slug x' ELSE 'unmapped city slug x' END END AS review_reason
+    FROM customer JOIN m ON n_nationkey = c_nationkey
+""")
+def reason_filter(spark, sf_dir):
+    nation = table(spark, sf_dir, "nation")
+    dim = nation.where("n_regionkey > 0").select(F.lower("n_name").alias("city_slug"), F.lit("FI").alias("country"), F.lit("city_selector").alias("source"))
+    rows = table(spark, sf_dir, "customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", F.col("n_name").alias("city_slug"), F.lit(1).alias("needs_review"), F.when(F.col("c_custkey") % 2 == 0, "title missing; unmapped city slug x").otherwise("unmapped city slug x").alias("review_reason"))
+    return v.recountry(rows, dim).select("c_custkey", "needs_review", "review_reason")
+
+
+@query("""
+    SELECT c_custkey AS venue_id, CASE WHEN c_custkey % 3 = 0 THEN 'created' WHEN c_custkey % 3 = 1 THEN 'updated' ELSE 'unchanged' END AS action FROM customer
+""")
+def payload_diff(spark, sf_dir):
+    rows = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("venue_id"), F.struct(F.col("c_name").alias("name"), F.col("c_acctbal").alias("balance")).alias("org"), F.array(F.struct(F.col("c_name").alias("name"))).alias("persons"))
+    old = s.payload_hash(rows.withColumn("org", F.when(F.col("venue_id") % 3 == 1, F.struct(F.col("org.name").alias("name"), (F.col("org.balance") + 1).alias("balance"))).otherwise(F.col("org"))))
+    state = old.where("venue_id % 3 <> 0").select("venue_id", "payload_hash", F.array().cast("array<string>").alias("synced"))
+    return s.sync_diff(rows, state).select("venue_id", "action")
+
+
+@query("""
+    SELECT o_custkey AS venue_id, array_to_string(list_sort(list_distinct(list(CASE WHEN o_orderstatus = 'F' THEN 'id_enum' ELSE 'city_page' END)), 'DESC'), '+') AS provenance FROM orders GROUP BY 1
+""")
+def provenance_union(spark, sf_dir):
+    rows = table(spark, sf_dir, "orders")
+    of = lambda test, name: rows.where(test).select(F.col("o_custkey").alias("venue_id"), F.lit(name).alias("source"))
+    return v.union_sources(of("o_orderstatus = 'F'", "id_enum"), of("o_orderstatus <> 'F'", "city_page"))
+
+
+@query(f"WITH {_CONTACTS} SELECT first_seq FROM contacts WHERE email IS NOT NULL")
+def verification_queue(spark, sf_dir):
+    rows = _contacts(spark, sf_dir).withColumn("verification_status", F.lit(None).cast("string"))
+    return v.verification_queue(rows).select("first_seq")
