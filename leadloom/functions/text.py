@@ -109,7 +109,7 @@ def haversine_m(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Colum
 
 def fi_id_valid(c: Column) -> Column:
     """Whether 1234567-8 carries the right check digit: 11 less the weighted sum's remainder by 11; 0 for 0, none for 1."""
-    rest = sum((F.substring(c, k + 1, 1).cast("int") * w for k, w in enumerate(fixed.FI_WEIGHTS)), F.lit(0)) % 11
+    rest = sum((F.substring(c, k + 1, 1).try_cast("int") * w for k, w in enumerate(fixed.FI_WEIGHTS)), F.lit(0)) % 11
     due = F.when(rest == 0, F.lit(0)).when(rest > 1, 11 - rest)
     return F.coalesce(c.rlike("^[0-9]{7}-[0-9]$") & (F.substring(c, 9, 1).try_cast("int") == due), F.lit(False))
 

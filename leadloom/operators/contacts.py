@@ -107,7 +107,11 @@ def harvest_business_ids(pages: DataFrame, keys: list[str], text: Column, countr
 
 def harvest_socials(pages: DataFrame, keys: list[str], html: str = "html") -> DataFrame:
     """(keys, platform, handle, url), distinct."""
-    found = F.concat(*[F.transform(F.regexp_extract_all(F.coalesce(html, F.lit("")), F.lit(p), F.lit(0)), lambda u, n=name, p=p: F.struct(F.lit(n).alias("platform"), F.regexp_extract(u, p, 1).alias("handle"), F.regexp_replace(u, "/$", "").alias("url"))) for name, p in fixed.SOCIALS])
+    def of(name: str, pattern: str) -> Column:
+        urls = F.regexp_extract_all(F.coalesce(html, F.lit("")), F.lit(pattern), F.lit(0))
+        return F.transform(urls, lambda u: F.struct(F.lit(name).alias("platform"), F.regexp_extract(u, pattern, 1).alias("handle"), F.regexp_replace(u, "/$", "").alias("url")))
+
+    found = F.concat(*[of(name, pattern) for name, pattern in fixed.SOCIALS])
     return pages.select(*keys, F.inline(found)).where(~F.lower("handle").isin(*fixed.SOCIAL_JUNK) & (F.length("handle") >= 2)).distinct()
 
 

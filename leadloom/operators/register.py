@@ -34,7 +34,8 @@ def register_flatten_fi(raw: DataFrame) -> DataFrame:
     )
     entry = lambda kind, register: F.exists(F.coalesce("registeredEntries", F.array()), lambda e: (e["type"] == kind) & (e["register"] == register) & (F.coalesce(e["status"], F.lit("")) != "2") & e["endDate"].isNull())
     blobs = F.transform(F.coalesce("companySituations", F.array()), lambda s: F.lower(F.concat_ws(" ", s["type"], F.array_join(F.transform(F.coalesce(s["descriptions"], F.array()), lambda d: d["description"]), " "))))
-    flags = F.filter(F.array(*[F.when(F.exists(blobs, lambda b, w=words: b.rlike("|".join(w))), F.lit(flag)) for flag, words in fixed.FI_SITUATIONS]), lambda f: f.isNotNull())
+    told = lambda words: F.exists(blobs, lambda b: b.rlike("|".join(words)))
+    flags = F.filter(F.array(*[F.when(told(words), F.lit(flag)) for flag, words in fixed.FI_SITUATIONS]), lambda f: f.isNotNull())
     flags = F.when((F.size(flags) == 0) & F.exists(blobs, lambda b: F.trim(b) != ""), F.array(F.lit("other"))).otherwise(F.array_sort(flags))
     rows = raw.withColumns({"__n": names, "__a": F.try_element_at(address, F.lit(1))})
     first = F.try_element_at("__n", F.lit(1))["name"]
@@ -76,7 +77,7 @@ def register_persons(records: DataFrame, list_hints: tuple[str, ...] = ("kaardil
     is_list = lambda x: F.lower(x["key"]).rlike("|".join(list_hints)) & ~F.lower(x["key"]).rlike("|".join(list_denied)) & F.coalesce(x["value"], F.lit("")).startswith("[")
     lists = F.flatten(F.transform(F.filter("e", is_list), lambda x: F.from_json(x["value"], "array<map<string,string>>")))
     head = text.select("rid", pick(F.col("e"), PERSON_HINTS["code"]).alias("business_id"), F.col("e").alias("own"), lists.alias("people"))
-    nested = head.where(F.size("people") > 0).select("rid", "business_id", F.map_entries(F.explode("people")).alias("p"))
+    nested = head.where(F.size("people") > 0).select("rid", "business_id", F.explode("people").alias("m")).select("rid", "business_id", F.map_entries("m").alias("p"))
     flat = head.where(F.coalesce(F.size("people"), F.lit(0)) <= 0).select("rid", "business_id", F.col("own").alias("p"))
     everyone = nested.unionByName(flat)
     given, surname = pick(F.col("p"), PERSON_HINTS["given"]), pick(F.col("p"), PERSON_HINTS["surname"])
