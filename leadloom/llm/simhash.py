@@ -174,12 +174,14 @@ def simhash_components(docs: DataFrame, shingle: int = 3, most_bits: int = 3, id
 
 
 def near_duplicate_documents(docs: DataFrame, shingle: int = 5, most_bits: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row of docs for each component: one with the smallest id. Rows without an id stay."""
-    found = cut(simhash_components(docs, shingle, most_bits, id_col, text_col).select("doc_id", "component_id"))
-    gone = found.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias(id_col)).distinct()
-    kept = docs.join(gone, id_col, "left_anti")
-    twice = cut(found.groupBy("doc_id").count().where("count > 1 and doc_id is not null").select(F.col("doc_id").alias(id_col)))
-    if twice.isEmpty():
-        return kept
-    once = kept.join(twice, id_col, "left_semi").dropDuplicates([id_col])
-    return kept.join(twice, id_col, "left_anti").unionByName(once)
+    """One row of docs for each component: one with the smallest id, and of several with that id the one with the least
+    text hash. A null id counts as the smallest."""
+    keyed = docs.withColumn("__key", F.struct(F.col(id_col).alias("id"), F.xxhash64(whole_text(text_col)).alias("h")))
+    found = cut(simhash_components(keyed, shingle, most_bits, "__key", text_col).select(F.col("doc_id").alias("__key"), "component_id"))
+    gone = found.where(F.col("__key") != F.col("component_id")).select("__key").distinct()
+    kept = keyed.join(gone, "__key", "left_anti")
+    twice = cut(found.groupBy("__key").count().where("count > 1").select("__key"))
+    if not twice.isEmpty():
+        once = kept.join(twice, "__key", "left_semi").dropDuplicates(["__key"])
+        kept = kept.join(twice, "__key", "left_anti").unionByName(once)
+    return kept.drop("__key")
