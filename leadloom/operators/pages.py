@@ -240,3 +240,11 @@ def discovery_scan(captures: DataFrame, body: str = "body", skip: tuple[str, ...
     of = lambda kind, pattern: F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(1)), lambda v: F.struct(F.lit(kind).alias("kind"), v.alias("value")))
     found = F.concat(of("sitemap", "(?im)^\\s*sitemap:\\s*(\\S+)"), of("city_slug", "(?i)href=[\"']/(?:[a-z]{2}/)?([a-z][a-z-]+)/?[\"']"), of("api_path", "[\"'](/(?:api|graphql|wp-json)/[^\"'\\s]*)[\"']"))
     return captures.select(F.inline(found)).where(~((F.col("kind") == "city_slug") & F.col("value").isin(*skip))).distinct()
+
+
+def cms_user_names(captures: DataFrame, body: str = "body") -> DataFrame:
+    """(…, contact_name) of a content system's user list: display names of two words or more."""
+    rest = [x for x in captures.columns if x != body]
+    text = F.to_json(F.try_parse_json(F.coalesce(body, F.lit(""))))
+    names = F.transform(F.from_json(text, "array<struct<name:string>>"), lambda u: F.trim(u["name"]))
+    return captures.select(*rest, F.explode(F.filter(names, lambda n: F.size(F.split(n, "\\s+")) >= 2)).alias("contact_name"))

@@ -446,3 +446,86 @@ def provenance_union(spark, sf_dir):
 def verification_queue(spark, sf_dir):
     rows = _contacts(spark, sf_dir).withColumn("verification_status", F.lit(None).cast("string"))
     return v.verification_queue(rows).select("first_seq")
+
+
+# --- more reports and joins ---
+
+
+@query(f"""
+    WITH {_CONTACTS}, sites AS (SELECT c_custkey AS venue_id, CASE c_custkey % 3 WHEN 0 THEN 'x.fi' WHEN 1 THEN 'y.fi' END AS site_domain FROM customer)
+    SELECT venue_id, first_seq, email, site_domain, 'x.fi' AS email_domain FROM contacts JOIN sites USING (venue_id) WHERE email IS NOT NULL AND site_domain = 'y.fi'
+""")
+def off_domain_contacts(spark, sf_dir):
+    k = F.col("c_custkey")
+    sites = table(spark, sf_dir, "customer").select(k.alias("venue_id"), F.when(k % 3 == 0, "x.fi").when(k % 3 == 1, "y.fi").alias("domain"))
+    return c.off_domain_contacts(_contacts(spark, sf_dir), sites).select("venue_id", "first_seq", "email", "site_domain", "email_domain")
+
+
+@query("SELECT lower(p_brand) AS name_norm, count(DISTINCT l_orderkey) AS n_sites FROM lineitem JOIN part ON p_partkey = l_partkey GROUP BY 1")
+def name_sites(spark, sf_dir):
+    """Brands, with their mark made a letter, as names at orders."""
+    rows = table(spark, sf_dir, "lineitem").join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey")).select(F.col("l_orderkey").alias("venue_id"), F.regexp_replace("p_brand", "#", "å").alias("contact_name"))
+    return c.name_sites(rows).withColumn("name_norm", F.regexp_replace("name_norm", "^branda", "brand#"))
+
+
+@query(f"SELECT * FROM ({_SQL['priority_score']}) ORDER BY priority_score DESC, venue_id LIMIT 15")
+def top_scored(spark, sf_dir):
+    return v.top_by_score(priority_score(spark, sf_dir))
+
+
+@query("""
+    SELECT c_custkey AS venue_id, CASE WHEN c_custkey % 4 = 0 THEN CASE WHEN c_mktsegment = 'MACHINERY' THEN 'inactive' END WHEN c_mktsegment = 'BUILDING' THEN 'bankruptcy' WHEN c_acctbal < 0 THEN 'ceased' END AS exclusion_reason FROM customer
+""")
+def register_exclusion(spark, sf_dir):
+    seg = F.col("c_mktsegment")
+    rows = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("venue_id"), F.when(F.col("c_custkey") % 4 == 0, "EE").otherwise("FI").alias("country"), F.when(seg == "BUILDING", F.array(F.lit("restructuring"), F.lit("bankruptcy"))).otherwise(F.array(F.lit("restructuring"))).alias("situation_flags"),
+        F.when(F.col("c_acctbal") < 0, "2020").alias("endDate"), F.lit("1").alias("trade_status"), F.when(seg == "MACHINERY", "Kustutátud").alias("ee_status"),
+    )
+    return r.register_exclusion(rows).select("venue_id", "exclusion_reason")
+
+
+@query("SELECT event_type AS phase, count(*) AS n FROM events GROUP BY 1")
+def failure_counts(spark, sf_dir):
+    return q.failure_counts(table(spark, sf_dir, "events").select(F.col("event_type").alias("phase")))
+
+
+@query("SELECT event_id AS failure_id, event_type AS phase FROM events ORDER BY ts DESC, event_id DESC LIMIT 40")
+def latest_failures(spark, sf_dir):
+    rows = table(spark, sf_dir, "events").select(F.col("event_id").alias("failure_id"), F.col("event_type").alias("phase"), F.col("ts").alias("at"))
+    return q.latest_failures(rows).select("failure_id", "phase")
+
+
+@query("""
+    SELECT c_custkey AS venue_id, CAST(unnest(range(2)) AS INTEGER) AS query_no, unnest([c_name || ', ' || c_mktsegment || ', ' || n_name || ', Finland', c_name || ', ' || n_name || ', Finland']) AS query FROM customer JOIN nation ON n_nationkey = c_nationkey
+""")
+def places_queries(spark, sf_dir):
+    rows = table(spark, sf_dir, "customer").join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    return v.places_queries(rows.select(F.col("c_custkey").alias("venue_id"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("street_address"), F.col("n_name").alias("city"), F.lit("FI").alias("country")))
+
+
+@query("""
+    SELECT n_name AS city_slug, count(*) AS n, min(c_name) AS example_url, min(c_name) AS example_name, CASE WHEN n_regionkey > 0 THEN 'mapped' ELSE 'unmapped' END AS status
+    FROM customer JOIN nation ON n_nationkey = c_nationkey GROUP BY n_name, n_regionkey
+""")
+def slug_inventory(spark, sf_dir):
+    nation = table(spark, sf_dir, "nation")
+    dim = nation.where("n_regionkey > 0").select(F.col("n_name").alias("city_slug"), F.lit("FI").alias("country"), F.lit("city_selector").alias("source"))
+    rows = table(spark, sf_dir, "customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey")).select(F.col("n_name").alias("city_slug"), F.col("c_name").alias("url"), F.col("c_name").alias("name"))
+    return v.slug_inventory(rows, dim).select("city_slug", "n", "example_url", "example_name", "status")
+
+
+@query()
+def contact_sheet(spark, sf_dir):
+    """Customers as venues with orders as contacts; the thirteen columns."""
+    rows = table(spark, sf_dir, "customer").join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey")).select(
+        F.col("c_custkey").alias("venue_id"), F.col("c_name").alias("name"), F.lit(None).cast("string").alias("city"), F.lower("n_name").alias("city_slug"), F.lit("FI").alias("country"), F.lit(None).cast("string").alias("phone"), F.lit("u").alias("url"), F.lit(None).cast("string").alias("international_phone"), F.lit(None).cast("string").alias("company_name"))
+    contacts = _contacts(spark, sf_dir).withColumns({"contact_role": F.lit(None).cast("string"), "verification_status": F.lit(None).cast("string")})
+    return s.contact_sheet(rows, contacts)
+
+
+@query()
+def crm_payloads(spark, sf_dir):
+    scores = priority_score(spark, sf_dir)
+    venues = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("venue_id"), F.col("c_name").alias("name"), *[F.lit(None).cast("string").alias(x) for x in ("street_address", "postal_code", "city", "business_id")], F.lit("u").alias("url"), F.lit("FI").alias("country"), F.lit(1).alias("venue_count")).join(scores, "venue_id")
+    return s.payload_hash(s.crm_payloads(venues, _contacts(spark, sf_dir).withColumn("contact_role", F.lit(None).cast("string")))).select("venue_id", "payload_hash", F.size("persons").alias("n_persons"))
