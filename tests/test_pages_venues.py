@@ -70,3 +70,41 @@ def test_stream_once(spark, tmp_path):
     for _ in range(2):
         incremental_harvest(dedupe_captures(stream), lambda df: df.select("content"), lambda df, n: df.write.mode("overwrite").parquet(f"{out}/{n}"), str(tmp_path / "cp")).awaitTermination()
     assert spark.read.parquet(f"{out}/*").count() == 2
+
+
+def test_captures(spark):
+    rows = [(1, '[{"link":"u","title":{"rendered":"t"},"content":{"rendered":"h"}}]'), (2, "<html>"), (3, '{"items":[{"fullUrl":"/a","title":"b","body":"c"}]}'), (4, None)]
+    assert sorted((r["id"], r["url"], r["html"]) for r in p.flatten_cms_api(spark.createDataFrame(rows, "id int, body string")).collect()) == [(1, "u", "h"), (3, "/a", "c")]
+    users = spark.createDataFrame([(1, '[{"name":"Matti Virtanen"},{"name":"admin"}]'), (2, "x")], "id int, body string")
+    assert [tuple(r) for r in p.cms_user_names(users).collect()] == [(1, "Matti Virtanen")]
+    maps = spark.createDataFrame([(1, "<loc> a </loc><loc>b</loc><loc>a</loc><loc>c</loc>")], "id int, body string")
+    assert [r["link"] for r in p.sitemap_urls(maps, "body", 2).orderBy("pos").collect()] == ["a", "b"]
+    scan = p.discovery_scan(spark.createDataFrame([('Sitemap: http://x/s.xml\nhref="/helsinki/" href="/en/" "/api/v1/x"',)], "body string"))
+    assert {tuple(r) for r in scan.collect()} == {("sitemap", "http://x/s.xml"), ("city_slug", "helsinki"), ("api_path", "/api/v1/x")}
+
+
+def test_reports(spark):
+    from leadloom.operators import quality as q
+
+    venues = spark.createDataFrame([(1, "FI", "1", None), (2, None, None, "s"), (3, "EE", None, None)], "venue_id long, country string, phone string, street_address string")
+    places = spark.createDataFrame([(3, "+372")], "venue_id long, international_phone string")
+    sites = spark.createDataFrame([(1, "a.fi", "done"), (2, "b.fi", None)], "venue_id long, domain string, crawl_status string")
+    contacts = spark.createDataFrame([(1, "a@a.fi", "A B"), (1, "b@a.fi", None), (2, None, "C D")], "venue_id long, email string, contact_name string")
+    got = {r["measure"]: r["n"] for r in q.coverage_report(venues, places, sites, contacts).collect()}
+    assert got == {"country:FI": 1, "country:none": 1, "country:EE": 1, "phone": 2, "address": 1, "site": 2, "crawled": 1, "any_email": 1, "named": 1}
+    off = spark.createDataFrame([(1, "a.fi"), (2, "a.fi"), (2, "b.fi"), (3, "c.fi")], "venue_id long, email_domain string")
+    assert {r["email_domain"]: (r["n"], r["venues"]) for r in q.domain_rollup(off, 1).collect()} == {"a.fi": (2, 2), "(others)": (2, 2)}
+
+
+def test_payload_differences(spark):
+    from leadloom.operators import sheet as s
+
+    venues = spark.createDataFrame([(1, "Aoi", "K 1", "00100", "Helsinki", "u", "FI", None, 1.0, 1, "smb")], "venue_id long, name string, street_address string, postal_code string, city string, url string, country string, business_id string, priority_score double, venue_count int, track string")
+    contacts = spark.createDataFrame([(1, 1, "m@a.fi", "Matti V", "owner", "high"), (1, 2, "info@a.fi", "Liisa K", None, "high"), (1, 3, None, "Olli S", None, "verified")], "venue_id long, first_seq long, email string, contact_name string, contact_role string, confidence string")
+    rows = s.crm_payloads(venues, contacts)
+    r = rows.first()
+    assert [x["name"] for x in r["persons"]] == ["Olli S", "Matti V"] and r["shared_inboxes"] == ["info@a.fi"] and r["org"]["address"] == "K 1, 00100, Helsinki"
+    state = s.payload_hash(rows).selectExpr("venue_id", "payload_hash", "array('Matti V') AS synced")
+    d = s.sync_diff(rows, state).first()
+    assert d["action"] == "unchanged" and [x["name"] for x in d["new_persons"]] == ["Olli S"]
+    assert s.sync_diff(rows, state.where("false")).first()["action"] == "created"
