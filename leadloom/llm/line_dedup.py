@@ -8,6 +8,10 @@ in hash order. A set posts its prefix, the shortest that a match must share a wo
 Within a bucket, postings of a word are sorted by size and pass the length filter, the positional filter (the words
 that can still be shared) and a parity sketch (a lower bound of the difference). What passes is verified on the sets.
 
+Groups of n alike lines have n * n matches, of which one a line is needed. So a line first names only the earliest of
+those that pass; lines for which that one fails, and which had others, then name them all. The earliest is by a coarse
+order of the ids that postings carry; the exact order decides after verification.
+
 Each step is a job over lines or postings; postings travel packed by bucket. A task posts a repeated set once.
 
 Defined results: null text counts as empty; lines without words (blank ones) never match and stay; rows that repeat with
@@ -26,14 +30,19 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import cut, whole_text
 
 #: Words whose counts rank them, buckets of postings, texts and postings that a task works on at a time.
-RANKED, BUCKETS, FEW, AT_ONCE = 50_000, 4096, 256, 400_000
-#: Lines that verification asks for up to which their hashes are broadcast.
+RANKED, BUCKETS, FEW, AT_ONCE = 50_000, 4096, 1024, 400_000
+#: Lines that verification asks for up to which their hashes and texts' keys are broadcast.
 BROADCAST = 500_000
-POSTING = np.dtype([("word", "<u4"), ("sketch", "<u4"), ("size", "<u2"), ("place", "<u2"), ("set", "<u8")])
+#: A word is named by its bucket and 16 more bits (words that share them only make more candidates).
+POSTING = np.dtype([("word", "<u2"), ("size", "<u2"), ("place", "u1"), ("order", "<u4"), ("sketch", "<u8"), ("set", "<u8")])
+#: Sets left for the second round up to which only their candidates are named, rather than all.
+OPEN = 200_000
+COUNT = np.dtype([("word", "<u8"), ("n", "<u4")])
 
 
 class Lines(NamedTuple):
@@ -53,7 +62,7 @@ def _mixed(x: np.ndarray, by: int) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-def lines_of(texts: pa.Array, ranks: dict[str, int]) -> Lines | None:
+def lines_of(texts: pa.Array, ranked: tuple[np.ndarray, np.ndarray]) -> Lines | None:
     from xxhash import xxh3_64_intdigest
 
     lines = pc.split_pattern(texts, "\n")
@@ -65,7 +74,10 @@ def lines_of(texts: pa.Array, ranks: dict[str, int]) -> Lines | None:
     if not forms:
         return None
     h = np.fromiter((xxh3_64_intdigest(w) for w in forms), np.uint64, len(forms))
-    r = np.fromiter((ranks.get(w, 0) for w in forms), np.int64, len(forms))
+    r = np.zeros(len(forms), np.int64)
+    if len(ranked[0]):
+        at = np.minimum(np.searchsorted(ranked[0], h), len(ranked[0]) - 1)
+        r = np.where(ranked[0][at] == h, ranked[1][at], 0)
     order_of_form = np.empty(len(forms), np.int64)
     order_of_form[np.lexsort((h, r))] = np.arange(len(forms))
     form = coded.indices.to_numpy(zero_copy_only=False)
@@ -91,17 +103,54 @@ def _few(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     return (b.slice(k, FEW) for b in batches for k in range(0, b.num_rows, FEW))
 
 
-def frequent_words(texts: DataFrame) -> dict[str, int]:
-    """Rank (1 for the rarest of them) of the RANKED words that occur most, counted over all texts."""
+def frequent_words(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes, in order, and ranks (1 for the rarest of them) of the RANKED words that occur most in all texts."""
+
+    def packed(words: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        bucket = (words % np.uint64(1024)).astype(np.int32)
+        order = np.argsort(bucket, kind="stable")
+        rows = np.empty(len(words), COUNT)
+        rows["word"], rows["n"] = words[order], np.minimum(n[order], 0xFFFFFFFF)
+        cuts = np.append(np.flatnonzero(np.append(True, np.diff(bucket[order]) != 0)[: len(order)]), len(order))
+        return pa.RecordBatch.from_arrays([pa.array(bucket[order][cuts[:-1]]), pa.array([rows[i:j].tobytes() for i, j in zip(cuts, cuts[1:], strict=False)], pa.binary())], ["bucket", "counts"])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from xxhash import xxh3_64_intdigest
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             counts = pc.value_counts(pc.utf8_split_whitespace(pc.utf8_lower(b.column(0))).flatten())
-            yield pa.RecordBatch.from_arrays([counts.field("values"), counts.field("counts")], ["word", "n"])
+            forms = counts.field("values").to_pylist()
+            words = np.fromiter((xxh3_64_intdigest(w) for w in forms), np.uint64, len(forms))
+            n = counts.field("counts").to_numpy(zero_copy_only=False)
+            real = np.fromiter((w != "" for w in forms), bool, len(forms))
+            yield packed(words[real], n[real])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own: list[bytes] = []
+        last = -1
+
+        def summed() -> pa.RecordBatch:
+            x = np.frombuffer(b"".join(own), COUNT)
+            words, at = np.unique(x["word"], return_inverse=True)
+            n = np.bincount(at, x["n"], len(words)).astype(np.int64)
+            top = np.lexsort((words, -n))[:RANKED]
+            return pa.RecordBatch.from_arrays([pa.array(words[top].view(np.int64)), pa.array(n[top])], ["word", "n"])
 
-    counts = texts.select("text").mapInArrow(run, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+        for b in batches:
+            for bucket, raw in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+                if bucket != last and own:
+                    yield summed()
+                    own.clear()
+                last = bucket
+                own.append(raw.as_py())
+        if own:
+            yield summed()
+
+    counts = texts.select("text").mapInArrow(count, "bucket int, counts binary").repartition("bucket").sortWithinPartitions("bucket").mapInArrow(add, "word bigint, n bigint")
     top = counts.orderBy(F.desc("n"), "word").limit(RANKED).collect()
-    return {r["word"]: len(top) - k for k, r in enumerate(top)}
+    words = np.array([r["word"] for r in top], np.int64).view(np.uint64)
+    order = np.argsort(words)
+    return words[order], (len(top) - np.arange(len(top)))[order]
 
 
 def overlap_needed(a: np.ndarray, b: np.ndarray, share: float) -> np.ndarray:
@@ -109,10 +158,15 @@ def overlap_needed(a: np.ndarray, b: np.ndarray, share: float) -> np.ndarray:
     return np.ceil(share / (1 + share) * (a + b) - 1e-9)
 
 
-def matching_postings(p: np.ndarray, share: float) -> np.ndarray:
-    """Pairs (n x 2) of sets among postings that pass the filters."""
+def matching_postings(p: np.ndarray, share: float, still: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(pairs, more) of sets among postings that pass the filters: for each set the earliest other one, and whether
+    there are others; or, with `still` (sorted set hashes), all pairs with one of these; with an empty one, all."""
     p = p[np.lexsort((p["size"], p["word"]))]
-    size, place = p["size"].astype(np.int64), p["place"].astype(np.int64)
+    size, place, order = (p[c].astype(np.int64) for c in ("size", "place", "order"))
+    best, with_, met = np.full(len(p), 1 << 40), np.zeros(len(p), np.uint64), np.zeros(len(p), np.int64)
+    wanted = None
+    if still is not None and len(still):
+        wanted = still[np.minimum(np.searchsorted(still, p["set"]), len(still) - 1)] == p["set"]
     at, step, out = np.arange(len(p)), 1, []
     while len(at):
         at = at[at + step < len(p)]
@@ -121,19 +175,36 @@ def matching_postings(p: np.ndarray, share: float) -> np.ndarray:
         at = a = a[near]
         b = a + step
         step += 1
-        left = 1 + np.minimum(size[a] - place[a], size[b] - place[b]) - 1
         needed = overlap_needed(size[a], size[b], share)
-        differ = np.bitwise_count(p["sketch"][a] ^ p["sketch"][b])
-        fine = (p["set"][a] != p["set"][b]) & (left >= needed) & (differ <= size[a] + size[b] - 2 * needed)
-        fine |= (p["set"][a] != p["set"][b]) & (size[b] == 0xFFFF)
-        if fine.any():
-            x, y = p["set"][a[fine]], p["set"][b[fine]]
-            out.append(np.stack([np.minimum(x, y), np.maximum(x, y)], axis=1))
-    return np.unique(np.concatenate(out), axis=0) if out else np.zeros((0, 2), np.uint64)
-
-
-def _candidates(texts: DataFrame, ranks: dict[str, int], share: float) -> DataFrame:
-    """(a, b): hashes of sets that may match."""
+        enough = (np.minimum(size[a] - place[a], size[b] - place[b]) >= needed) | (place[a] == 0xFF) | (place[b] == 0xFF)
+        close = np.bitwise_count(p["sketch"][a] ^ p["sketch"][b]) <= size[a] + size[b] - 2 * needed
+        fine = (p["set"][a] != p["set"][b]) & (enough & close | (size[b] == 0xFFFF))
+        if wanted is not None:
+            fine &= wanted[a] | wanted[b]
+        a, b = a[fine], b[fine]
+        if still is not None:
+            out.append(np.stack([p["set"][a], p["set"][b]], axis=1))
+            continue
+        for one, other in ((a, b), (b, a)):
+            earlier = order[other] <= order[one]
+            one, other = one[earlier], other[earlier]
+            met[one] += 1
+            first = order[other] < best[one]
+            best[one[first]], with_[one[first]] = order[other[first]], p["set"][other[first]]
+    if still is not None:
+        pairs = np.concatenate(out) if out else np.zeros((0, 2), np.uint64)
+        return np.unique(np.sort(pairs, axis=1), axis=0), np.zeros(0, bool)
+    named = met > 0
+    rows = np.empty(named.sum(), [("own", "<u8"), ("best", "<i8"), ("with", "<u8"), ("n", "<i8")])
+    rows["own"], rows["best"], rows["with"], rows["n"] = p["set"][named], best[named], with_[named], met[named]
+    rows = rows[np.lexsort((rows["best"], rows["own"]))]  # of a set's words in this bucket, the one with the earliest
+    new = np.append(True, rows["own"][1:] != rows["own"][:-1])[: len(rows)]
+    most = np.maximum.reduceat(rows["n"], np.flatnonzero(new)) if len(rows) else np.zeros(0, np.int64)
+    return np.stack([rows["own"][new], rows["with"][new]], axis=1), most > 1
+
+
+def _candidates(texts: DataFrame, ranks: tuple[np.ndarray, np.ndarray], share: float, still: np.ndarray | None = None) -> DataFrame:
+    """(a, b, more): hashes of sets that may match, as matching_postings names them. texts: text, order (0 to 1)."""
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -163,11 +234,13 @@ def _candidates(texts: DataFrame, ranks: dict[str, int], share: float) -> DataFr
             ends = np.cumsum(prefix)
             place = np.arange(ends[-1]) - np.repeat(ends - prefix, prefix)
             word = x.words[np.repeat(first, prefix) + place]
-            one_hot = np.uint32(1) << (x.words >> np.uint64(59)).astype(np.uint32)
+            one_hot = np.uint64(1) << (x.words >> np.uint64(58))
             sketch = np.bitwise_xor.reduceat(one_hot, x.end - x.size)[use]
             p = np.empty(len(word), POSTING)
-            p["word"], p["set"] = word >> np.uint64(16) & np.uint64(0xFFFFFFFF), np.repeat(x.key[0][use].view(np.uint64), prefix)
-            p["size"], p["place"], p["sketch"] = np.repeat(np.minimum(n, 0xFFFF), prefix), np.minimum(place, 0xFFFF), np.repeat(sketch, prefix)
+            p["word"], p["set"] = word >> np.uint64(16) & np.uint64(0xFFFF), np.repeat(x.key[0][use].view(np.uint64), prefix)
+            order = b.column(1).to_numpy(zero_copy_only=False)[x.text[use]]
+            p["order"] = np.repeat((np.nan_to_num(order) * 0xFFFFFFFE).astype(np.uint32), prefix)
+            p["size"], p["place"], p["sketch"] = np.repeat(np.minimum(n, 0xFFFF), prefix), np.minimum(place, 0xFF), np.repeat(sketch, prefix)
             held.append(p)
             where.append((word % np.uint64(BUCKETS)).astype(np.int64))
             if sum(map(len, held)) >= AT_ONCE:
@@ -180,7 +253,12 @@ def _candidates(texts: DataFrame, ranks: dict[str, int], share: float) -> DataFr
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own: list[bytes] = []
         last = -1
-        pairs = lambda: pa.RecordBatch.from_arrays([pa.array(c) for c in matching_postings(np.frombuffer(b"".join(own), POSTING), share).view(np.int64).T.copy()], ["a", "b"])
+
+        def pairs() -> pa.RecordBatch:
+            found, more = matching_postings(np.frombuffer(b"".join(own), POSTING), share, still)
+            a, b = np.ascontiguousarray(found.T).view(np.int64)
+            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(more if still is None else np.zeros(len(a), bool))], ["a", "b", "more"])
+
         for b in batches:
             for bucket, raw in zip(b.column(0).to_pylist(), b.column(1), strict=True):
                 if bucket != last and own:
@@ -191,11 +269,11 @@ def _candidates(texts: DataFrame, ranks: dict[str, int], share: float) -> DataFr
         if own:
             yield pairs()
 
-    posted = texts.select("text").mapInArrow(post, "bucket int, postings binary").repartition("bucket").sortWithinPartitions("bucket")
-    return posted.mapInArrow(match, "a bigint, b bigint")
+    posted = texts.select("text", "order").mapInArrow(post, "bucket int, postings binary").repartition("bucket").sortWithinPartitions("bucket")
+    return posted.mapInArrow(match, "a bigint, b bigint, more boolean")
 
 
-def _line_table(texts: DataFrame, ranks: dict[str, int], with_words: bool) -> DataFrame:
+def _line_table(texts: DataFrame, ranks: tuple[np.ndarray, np.ndarray], with_words: bool) -> DataFrame:
     """(k1, k2, rest..., place[, words]) of every line with words; texts has text and other columns."""
     others = [f for f in texts.schema if f.name != "text"]
 
@@ -216,24 +294,43 @@ def _line_table(texts: DataFrame, ranks: dict[str, int], with_words: bool) -> Da
     return texts.select("text", *(f.name for f in others)).mapInArrow(run, schema)
 
 
+def number_of_id(texts: DataFrame):
+    return F.col("id").try_cast("double") if isinstance(texts.schema["id"].dataType, T.StringType) else F.col("id").cast("double")
+
+
 def later_lines(docs: DataFrame, share: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, h, places): of each text (by id and XXH64) the places of its lines that match an earlier line."""
     text = whole_text(text_col)
     texts = docs.select(text.alias("text"), F.col(id_col).alias("id"), F.xxhash64(text).alias("h"))
+    low, high = texts.agg(F.min(number_of_id(texts)), F.max(number_of_id(texts))).first()
+    placed = texts.withColumn("order", F.coalesce((number_of_id(texts) - F.lit(low)) / F.lit((high - low) or 1.0), F.lit(0.0)) if low is not None else F.lit(0.0))
     ranks = frequent_words(texts)
-    lines = _line_table(texts, ranks, False)
+    lines = cut(_line_table(texts, ranks, False))
     at = F.struct("id", "h", "place")
     sets = cut(lines.groupBy("k1", "k2").agg(F.min(at).alias("first"), F.max(at).alias("last")).select("k1", "k2", "first", (F.col("first") != F.col("last")).alias("again")))
     copies = lines.join(sets.where("again").select("k1", "k2", "first"), ["k1", "k2"]).where(at != F.col("first")).select("id", "h", "place")
-
-    pairs = cut(_candidates(texts, ranks, share).distinct())
-    asked = cut(pairs.select(F.col("a").alias("k1")).union(pairs.select("b")).distinct())
-    few = asked.count() <= BROADCAST
-    found = _line_table(texts.select("text"), ranks, True).join(F.broadcast(asked) if few else asked, "k1").groupBy("k1").agg(F.max_by("words", "k2").alias("words"))
-    found = found.join(sets.groupBy("k1").agg(F.min("first").alias("first")), "k1")
-    a, b = (found.select(F.col("k1").alias(x), F.col("words").alias(f"w{x}"), F.col("first").alias(f"f{x}")) for x in "ab")
-    both = F.size(F.array_intersect("wa", "wb"))
-    near = pairs.join(a, "a").join(b, "b").where(both >= F.lit(share) * (F.size("wa") + F.size("wb") - both) - F.lit(1e-9))
+    firsts = sets.groupBy("k1").agg(F.min("first").alias("first"))
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        """(a, b, fa, fb): the pairs that match, with the first line of each set."""
+        asked = cut(pairs.select(F.col("a").alias("k1")).union(pairs.select("b")).distinct())
+        few = asked.count() <= BROADCAST
+        own = asked.join(firsts, "k1").select(F.col("first.id").alias("own_id"), F.col("first.h").alias("own_h")).distinct()
+        there = texts.join(F.broadcast(own) if few else own, F.col("id").eqNullSafe(F.col("own_id")) & (F.col("h") == F.col("own_h")), "left_semi")
+        found = _line_table(there.select("text"), ranks, True).join(F.broadcast(asked) if few else asked, "k1").groupBy("k1").agg(F.max_by("words", "k2").alias("words")).join(firsts, "k1")
+        a, b = (found.select(F.col("k1").alias(x), F.col("words").alias(f"w{x}"), F.col("first").alias(f"f{x}")) for x in "ab")
+        both = F.size(F.array_intersect("wa", "wb"))
+        alike = both >= F.lit(share) * (F.size("wa") + F.size("wb") - both) - F.lit(1e-9)
+        return pairs.select("a", "b").distinct().join(a, "a").join(b, "b").where(alike).select("a", "b", "fa", "fb")
+
+    named = cut(_candidates(placed, ranks, share))
+    near = cut(verified(named))
+    done = near.select(F.when(F.col("fa") > F.col("fb"), F.col("a")).otherwise(F.col("b")).alias("a")).distinct()
+    open_ = cut(named.where("more").select("a").distinct().join(done, "a", "left_anti"))
+    n = open_.count()
+    if n:
+        still = np.sort(np.array([r["a"] for r in open_.collect()], np.int64).view(np.uint64)) if n <= OPEN else np.zeros(0, np.uint64)
+        near = near.unionByName(verified(cut(_candidates(placed, ranks, share, still).distinct())))
     later = near.select(F.greatest("fa", "fb").alias("p")).select("p.*")
     return copies.unionByName(later).groupBy("id", "h").agg(F.collect_set("place").alias("places"))
 
