@@ -10,7 +10,7 @@ are dealt into chunks, to each of which the shelf's probes go, so no task holds
 passes on only the best of each probe. Equal codes are folded to their k + 1 smallest ids.
 
 Defined results: vectors that are null, zero, or hold null or non-finite components take no part; ties go to the
-smaller id; with fewer than k other rows, all of them; an empty table gives no rows; other columns are ignored.
+smaller id; a row that repeats with its id counts once; with fewer than k other rows, all of them; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -41,7 +41,7 @@ def segments_of(code: Column) -> Column:
 
 def hamming_top_k(codes: DataFrame, k: int = 10, query_step: int = 100) -> DataFrame:
     """query_id, rank, vec_id, distance int: the k nearest rows by Hamming distance of every query row of codes(id, code)."""
-    rows = codes.where("id is not null and code is not null").select(F.col("id").cast("long").alias("id"), "code")
+    rows = codes.where("id is not null and code is not null").select(F.col("id").cast("long").alias("id"), "code").distinct()
     index = cut(rows.groupBy("code").count().select("code"))
     asking = rows.where(F.col("id") % query_step == 0).select(F.col("code").alias("own"), F.col("id").alias("query_id"))
     ids = first_ids(rows.withColumnRenamed("code", "other"), "other", k + 1)

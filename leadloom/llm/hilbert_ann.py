@@ -10,7 +10,7 @@ The window is a share of the table, as the share that recall needs depends on th
 defaults, recall@10 on the given 64-dimensional vectors (which hardly cluster below their ten groups) is over 0.9.
 
 Defined results: vectors that are null, zero, of another length than the most frequent, or hold null or non-finite
-components take no part, neither as query nor as candidate; equal vectors are indexed once and tie by id; an empty
+components take no part, neither as query nor as candidate; equal vectors are indexed once and tie by id; a row that repeats with its id counts once; an empty
 table gives no rows; other columns are ignored.
 """
 
@@ -91,7 +91,7 @@ def nearest_by_curves(vectors: DataFrame, k: int = 10, curves: int = 16, axes: i
     own = cut(rows.groupBy("v").agg(F.min("id").alias("own")))
     n = own.count()
     window = max(least_window, int(np.ceil(window_share * n)))
-    members = cut(rows.join(own, "v").select("id", "own"))
+    members = cut(rows.join(own, "v").select("id", "own").distinct())
     asking = members.where(F.col("id") % query_step == 0).select("own", F.col("id").alias("query_id"))
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -8,9 +8,10 @@ in hash order. A set posts its prefix, the shortest that a match must share a wo
 Within a bucket, postings of a word are sorted by size and pass the length filter, the positional filter (the words
 that can still be shared) and a parity sketch (a lower bound of the difference). What passes is verified on the sets.
 
-Groups of n alike lines have n * n matches, of which one a line is needed. So a line first names only the earliest of
-those that pass; lines for which that one fails, and which had others, then name them all. The earliest is by a coarse
-order of the ids that postings carry; the exact order decides after verification.
+Groups of n alike lines have n * n matches, of which one a line is needed. So a line first names only one of those that
+pass and are earlier, the one whose sketch is the nearest; lines for which it fails, and which had others, then name
+them all. What is earlier is told by a coarse order of the ids that postings carry; the exact order decides after
+verification.
 
 Each step is a job over lines or postings; postings travel packed by bucket. A task posts a repeated set once.
 
@@ -87,7 +88,8 @@ def lines_of(texts: pa.Array, ranked: tuple[np.ndarray, np.ndarray]) -> Lines |
         form, line = form[real], line[real]
     if not len(form):
         return None
-    pair = np.unique(line * len(forms) + order_of_form[form])
+    pair = np.sort(line * len(forms) + order_of_form[form])  # np.unique would hash, which takes ten times as long
+    pair = pair[np.append(True, pair[1:] != pair[:-1])]
     line, form = pair // len(forms), np.argsort(order_of_form)[pair % len(forms)]
     words = h[form]
     first = np.flatnonzero(np.append(True, line[1:] != line[:-1]))
@@ -159,11 +161,11 @@ def overlap_needed(a: np.ndarray, b: np.ndarray, share: float) -> np.ndarray:
 
 
 def matching_postings(p: np.ndarray, share: float, still: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """(pairs, more) of sets among postings that pass the filters: for each set the earliest other one, and whether
+    """(pairs, more) of sets among postings that pass the filters: for each set the nearest earlier one, and whether
     there are others; or, with `still` (sorted set hashes), all pairs with one of these; with an empty one, all."""
     p = p[np.lexsort((p["size"], p["word"]))]
     size, place, order = (p[c].astype(np.int64) for c in ("size", "place", "order"))
-    best, with_, met = np.full(len(p), 1 << 40), np.zeros(len(p), np.uint64), np.zeros(len(p), np.int64)
+    best, with_, met = np.full(len(p), 1 << 62), np.zeros(len(p), np.uint64), np.zeros(len(p), np.int64)
     wanted = None
     if still is not None and len(still):
         wanted = still[np.minimum(np.searchsorted(still, p["set"]), len(still) - 1)] == p["set"]
@@ -177,27 +179,28 @@ def matching_postings(p: np.ndarray, share: float, still: np.ndarray | None = No
         step += 1
         needed = overlap_needed(size[a], size[b], share)
         enough = (np.minimum(size[a] - place[a], size[b] - place[b]) >= needed) | (place[a] == 0xFF) | (place[b] == 0xFF)
-        close = np.bitwise_count(p["sketch"][a] ^ p["sketch"][b]) <= size[a] + size[b] - 2 * needed
+        differ = np.bitwise_count(p["sketch"][a] ^ p["sketch"][b]).astype(np.int64)
+        close = differ <= size[a] + size[b] - 2 * needed
         fine = (p["set"][a] != p["set"][b]) & (enough & close | (size[b] == 0xFFFF))
         if wanted is not None:
             fine &= wanted[a] | wanted[b]
-        a, b = a[fine], b[fine]
+        a, b, differ = a[fine], b[fine], differ[fine]
         if still is not None:
             out.append(np.stack([p["set"][a], p["set"][b]], axis=1))
             continue
         for one, other in ((a, b), (b, a)):
             earlier = order[other] <= order[one]
-            one, other = one[earlier], other[earlier]
+            one, other, far = one[earlier], other[earlier], (differ[earlier] << 33) + order[other[earlier]]
             met[one] += 1
-            first = order[other] < best[one]
-            best[one[first]], with_[one[first]] = order[other[first]], p["set"][other[first]]
+            first = far < best[one]
+            best[one[first]], with_[one[first]] = far[first], p["set"][other[first]]
     if still is not None:
         pairs = np.concatenate(out) if out else np.zeros((0, 2), np.uint64)
         return np.unique(np.sort(pairs, axis=1), axis=0), np.zeros(0, bool)
     named = met > 0
     rows = np.empty(named.sum(), [("own", "<u8"), ("best", "<i8"), ("with", "<u8"), ("n", "<i8")])
     rows["own"], rows["best"], rows["with"], rows["n"] = p["set"][named], best[named], with_[named], met[named]
-    rows = rows[np.lexsort((rows["best"], rows["own"]))]  # of a set's words in this bucket, the one with the earliest
+    rows = rows[np.lexsort((rows["best"], rows["own"]))]  # of a set's words in this bucket, the one with the nearest
     new = np.append(True, rows["own"][1:] != rows["own"][:-1])[: len(rows)]
     most = np.maximum.reduceat(rows["n"], np.flatnonzero(new)) if len(rows) else np.zeros(0, np.int64)
     return np.stack([rows["own"][new], rows["with"][new]], axis=1), most > 1
