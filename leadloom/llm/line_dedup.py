@@ -290,10 +290,12 @@ def _line_table(texts: DataFrame, ranks: tuple[np.ndarray, np.ndarray], with_wor
             names = ["k1", "k2", "place", *(f.name for f in others)]
             if with_words:
                 cols.append(pa.ListArray.from_arrays(pa.array(np.append(0, x.end).astype(np.int32)), pa.array(x.words.view(np.int64))))
-                names.append("words")
+                one_hot, lane = np.uint64(1) << (x.words >> np.uint64(58)), x.words >> np.uint64(56) & np.uint64(3)
+                cols += [pa.array(np.bitwise_xor.reduceat(np.where(lane == k, one_hot, np.uint64(0)), x.end - x.size).view(np.int64)) for k in range(4)]
+                names += ["words", "s0", "s1", "s2", "s3"]
             yield pa.RecordBatch.from_arrays(cols, names)
 
-    schema = "k1 bigint, k2 bigint, place int" + "".join(f", {f.name} {f.dataType.simpleString()}" for f in others) + ", words array<bigint>" * with_words
+    schema = "k1 bigint, k2 bigint, place int" + "".join(f", {f.name} {f.dataType.simpleString()}" for f in others) + ", words array<bigint>, s0 bigint, s1 bigint, s2 bigint, s3 bigint" * with_words
     return texts.select("text", *(f.name for f in others)).mapInArrow(run, schema)
 
 
@@ -320,11 +322,18 @@ def later_lines(docs: DataFrame, share: float = 0.8, id_col: str = "doc_id", tex
         few = asked.count() <= BROADCAST
         own = asked.join(firsts, "k1").select(F.col("first.id").alias("own_id"), F.col("first.h").alias("own_h")).distinct()
         there = texts.join(F.broadcast(own) if few else own, F.col("id").eqNullSafe(F.col("own_id")) & (F.col("h") == F.col("own_h")), "left_semi")
-        found = _line_table(there.select("text"), ranks, True).join(F.broadcast(asked) if few else asked, "k1").groupBy("k1").agg(F.max_by("words", "k2").alias("words")).join(firsts, "k1")
+        found = _line_table(there.select("text"), ranks, True).join(F.broadcast(asked) if few else asked, "k1").groupBy("k1").agg(F.max_by(F.struct("words", "s0", "s1", "s2", "s3"), "k2").alias("x")).select("k1", "x.*").join(firsts, "k1")
+        found = cut(found)
+        # pairs meet longer parity sketches first, as words are many bytes and most pairs that fail do so here
+        a, b = (found.select(F.col("k1").alias(x), F.size("words").alias(f"n{x}"), *[F.col(f"s{k}").alias(f"{x}{k}") for k in range(4)]) for x in "ab")
+        total = F.col("na") + F.col("nb")
+        differ = sum((F.bit_count(F.col(f"a{k}").bitwiseXOR(F.col(f"b{k}"))) for k in range(4)), F.lit(0))
+        close = differ <= total - 2 * F.ceil(F.lit(share / (1 + share)) * total - F.lit(1e-9))
+        pairs = cut(pairs.select("a", "b").distinct().join(a, "a").join(b, "b").where(close).select("a", "b"))
         a, b = (found.select(F.col("k1").alias(x), F.col("words").alias(f"w{x}"), F.col("first").alias(f"f{x}")) for x in "ab")
         both = F.size(F.array_intersect("wa", "wb"))
         alike = both >= F.lit(share) * (F.size("wa") + F.size("wb") - both) - F.lit(1e-9)
-        return pairs.select("a", "b").distinct().join(a, "a").join(b, "b").where(alike).select("a", "b", "fa", "fb")
+        return pairs.join(a, "a").join(b, "b").where(alike).select("a", "b", "fa", "fb")
 
     named = cut(_candidates(placed, ranks, share))
     near = cut(verified(named))
