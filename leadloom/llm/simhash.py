@@ -17,7 +17,7 @@ its component; an empty table gives no rows; other columns are ignored; a null i
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import partial
 from itertools import accumulate
 
@@ -36,18 +36,26 @@ CHECKS = [sum(1 << j for j in range(31) if (j + 1) >> k & 1) for k in range(5)]
 _LANES = np.uint64(0x0101010101010101)
 
 
-def fingerprint(text: str, shingle: int = 3) -> int:
-    """Unsigned fingerprint of one text; see simhash_fingerprints."""
+def shingle_hashes(text: str, shingle: int) -> np.ndarray:
+    """Hashes of all shingles of a text, in order; see simhash_fingerprints. A text without words has none."""
     from xxhash import xxh64_intdigest
 
     words = text.encode().lower().split()  # of bytes: A-Z only, and the ASCII white space only
     if not words:
-        return 0
+        return np.zeros(0, np.uint64)
     line = b" ".join(words)
     ends = list(accumulate((len(w) + 1 for w in words), initial=0))
     n = max(1, len(words) - shingle + 1)
     last = [e - 1 for e in ends[min(shingle, len(words)) :]]
-    h = np.fromiter(map(partial(xxh64_intdigest, seed=42), (line[a:b] for a, b in zip(ends, last, strict=False))), np.uint64, n)
+    return np.fromiter(map(partial(xxh64_intdigest, seed=42), (line[a:b] for a, b in zip(ends, last, strict=False))), np.uint64, n)
+
+
+def fingerprint(text: str, shingle: int = 3) -> int:
+    """Unsigned fingerprint of one text; see simhash_fingerprints."""
+    h = shingle_hashes(text, shingle)
+    n = len(h)
+    if not n:
+        return 0
     starts = np.arange(0, n, 255)
     bits = np.empty((8, 8), np.int64)  # [byte, bit in byte]
     for k in range(8):
@@ -173,11 +181,11 @@ def simhash_components(docs: DataFrame, shingle: int = 3, most_bits: int = 3, id
     return rows.join(keyed.join(least, "root").select("fp", "component_id"), "fp")
 
 
-def near_duplicate_documents(docs: DataFrame, shingle: int = 5, most_bits: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row of docs for each component: one with the smallest id, and of several with that id the one with the least
-    text hash. A null id counts as the smallest."""
+def one_of_each(docs: DataFrame, components: Callable[[DataFrame], DataFrame], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of docs for each component (components gives doc_id and component_id of rows with their id in __key): one
+    with the smallest id, and of several with that id the one with the least text hash. A null id counts as the smallest."""
     keyed = docs.withColumn("__key", F.struct(F.col(id_col).alias("id"), F.xxhash64(whole_text(text_col)).alias("h")))
-    found = cut(simhash_components(keyed, shingle, most_bits, "__key", text_col).select(F.col("doc_id").alias("__key"), "component_id"))
+    found = cut(components(keyed).select(F.col("doc_id").alias("__key"), "component_id"))
     gone = found.where(F.col("__key") != F.col("component_id")).select("__key").distinct()
     kept = keyed.join(gone, "__key", "left_anti")
     twice = cut(found.groupBy("__key").count().where("count > 1").select("__key"))
@@ -185,3 +193,8 @@ def near_duplicate_documents(docs: DataFrame, shingle: int = 5, most_bits: int =
         once = kept.join(twice, "__key", "left_semi").dropDuplicates(["__key"])
         kept = kept.join(twice, "__key", "left_anti").unionByName(once)
     return kept.drop("__key")
+
+
+def near_duplicate_documents(docs: DataFrame, shingle: int = 5, most_bits: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of docs for each component of fingerprints; see one_of_each."""
+    return one_of_each(docs, lambda keyed: simhash_components(keyed, shingle, most_bits, "__key", text_col), id_col, text_col)
