@@ -19,12 +19,13 @@ which a removal took a part goes too.
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import cut, whole_text
@@ -242,3 +243,44 @@ def remove_repeats(docs: DataFrame, span: int = 400, q: int = 64, id_col: str =
     marks = repeated_spans(docs, span, q, id_col, text_col).select(F.col("key").alias("__key"), F.col("marks").alias("__marks"))
     keyed = docs.withColumn("__key", F.unhex(F.md5(text)))
     return keyed.join(marks, "__key", "left").withColumn("repeats", cut_out(text, F.col("__marks"))).drop("__key", "__marks")
+
+
+#: Bytes that a word with its separator has at least where passages are counted in words.
+WORD = 8
+_WORDS = re.compile(r"[^ \t\n\x0b\f\r]+")
+
+
+def spread_words(text: Column) -> Column:
+    """The words (between ASCII white space) of a text, each filled up to WORD bytes with its separator; no word is
+    shortened. So n words have n * WORD bytes or more, and whatever lies between them counts as one separator."""
+    words = F.filter(F.split(text, "[ \\t\\n\\x0B\\f\\r]+", -1), lambda w: w != "")
+    return F.array_join(F.transform(words, lambda w: F.concat(F.rpad(w, F.greatest(F.length(w), F.lit(WORD - 1)), "\x01"), F.lit(" "))), "")
+
+
+def without_passages(text: str, marks: np.ndarray) -> str:
+    """text without the words that lie wholly in the marked intervals of its spread words, and the spaces and tabs after."""
+    words = list(_WORDS.finditer(text))
+    ends = np.cumsum([0] + [len(m[0].encode()) + max(0, WORD - 1 - len(m[0])) + 1 for m in words])
+    at, parts = 0, []
+    for lo, hi in joined_runs(marks):
+        first, stop = int(np.searchsorted(ends, lo)), int(np.searchsorted(ends, hi, side="right")) - 1
+        if first < stop:
+            parts.append(text[at : words[first].start()])
+            at = words[stop - 1].end()
+            while at < len(text) and text[at] in " \t":
+                at += 1
+    return "".join([*parts, text[at:]])
+
+
+def remove_passages(docs: DataFrame, words: int = 50, q: int = 64, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """docs with text_col without each passage of so many words, or of words * WORD bytes in fewer and longer ones, that
+    also starts anywhere else in docs."""
+
+    @F.pandas_udf("string")
+    def cut_out(text: pd.Series, marks: pd.Series) -> pd.Series:
+        return pd.Series([t if m is None else without_passages(t, np.asarray(m)) for t, m in zip(text, marks, strict=True)], dtype=object)
+
+    spread = docs.select(F.col(id_col).alias("id"), spread_words(whole_text(text_col)).alias("text"))
+    marks = repeated_spans(spread, words * WORD, q, "id", "text").select(F.col("key").alias("__key"), F.col("marks").alias("__marks"))
+    keyed = docs.withColumn("__key", F.unhex(F.md5(spread_words(whole_text(text_col)))))
+    return keyed.join(marks, "__key", "left").withColumn(text_col, cut_out(whole_text(text_col), F.col("__marks"))).drop("__key", "__marks")
