@@ -13,7 +13,8 @@ pass and are earlier, the one whose sketch is the nearest; lines for which it fa
 them all. What is earlier is told by a coarse order of the ids that postings carry; the exact order decides after
 verification.
 
-Each step is a job over lines or postings; postings travel packed by bucket. A task posts a repeated set once.
+Each step is a job over lines or postings; postings travel packed by bucket. A task posts a repeated set
+once, with the least order of its occurrences; again only if an earlier one follows after it has been packed.
 
 Defined results: null text counts as empty; lines without words (blank ones) never match and stay; rows that repeat with
 one id and one text are alike, line by line; a null id is the earliest; an empty table gives no rows; other columns
@@ -29,7 +30,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -210,12 +211,24 @@ def _candidates(texts: DataFrame, ranks: tuple[np.ndarray, np.ndarray], share: f
     """(a, b, more): hashes of sets that may match, as matching_postings names them. texts: text, order (0 to 1)."""
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
+        least: dict[int, int] = {}  # of each set's occurrences so far
+        unpacked: set[int] = set()
         held: list[np.ndarray] = []
         where: list[np.ndarray] = []
 
+        def fresh(key: int, order: int) -> bool:
+            earlier = order < least.get(key, 1 << 32)
+            if earlier:
+                least[key] = order
+            if not earlier or key in unpacked:
+                return False
+            unpacked.add(key)
+            return True
+
         def packed() -> pa.RecordBatch:
             p, bucket = np.concatenate(held), np.concatenate(where)
+            sets, at = np.unique(p["set"], return_inverse=True)
+            p["order"] = np.array([least[k] for k in sets.view(np.int64).tolist()], np.uint32)[at]
             order = np.argsort(bucket, kind="stable")
             p, bucket = p[order], bucket[order]
             cuts = np.append(np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])), len(p))
@@ -228,7 +241,8 @@ def _candidates(texts: DataFrame, ranks: tuple[np.ndarray, np.ndarray], share: f
                 continue
             # a set of n words matches a set other than itself only from n of four on, at a threshold of 0.8
             use = np.flatnonzero(np.floor(x.size / share + 1e-9) > x.size)
-            use = use[[k not in seen and not seen.add(k) for k in x.key[0][use].tolist()]] if len(use) else use
+            order = (np.nan_to_num(b.column(1).to_numpy(zero_copy_only=False)) * 0xFFFFFFFE).astype(np.uint32)[x.text]
+            use = use[np.fromiter(map(fresh, x.key[0][use].tolist(), order[use].tolist()), bool, len(use))]
             if not len(use):
                 continue
             n = x.size[use]
@@ -241,8 +255,6 @@ def _candidates(texts: DataFrame, ranks: tuple[np.ndarray, np.ndarray], share: f
             sketch = np.bitwise_xor.reduceat(one_hot, x.end - x.size)[use]
             p = np.empty(len(word), POSTING)
             p["word"], p["set"] = word >> np.uint64(16) & np.uint64(0xFFFF), np.repeat(x.key[0][use].view(np.uint64), prefix)
-            order = b.column(1).to_numpy(zero_copy_only=False)[x.text[use]]
-            p["order"] = np.repeat((np.nan_to_num(order) * 0xFFFFFFFE).astype(np.uint32), prefix)
             p["size"], p["place"], p["sketch"] = np.repeat(np.minimum(n, 0xFFFF), prefix), np.minimum(place, 0xFF), np.repeat(sketch, prefix)
             held.append(p)
             where.append((word % np.uint64(BUCKETS)).astype(np.int64))
@@ -250,6 +262,7 @@ def _candidates(texts: DataFrame, ranks: tuple[np.ndarray, np.ndarray], share: f
                 yield packed()
                 held.clear()
                 where.clear()
+                unpacked.clear()
         if held:
             yield packed()
 
@@ -299,16 +312,30 @@ def _line_table(texts: DataFrame, ranks: tuple[np.ndarray, np.ndarray], with_wor
     return texts.select("text", *(f.name for f in others)).mapInArrow(run, schema)
 
 
-def number_of_id(texts: DataFrame):
-    return F.col("id").try_cast("double") if isinstance(texts.schema["id"].dataType, T.StringType) else F.col("id").cast("double")
+def coarse_order(texts: DataFrame) -> Column:
+    """From 0 to 1, never falling as id rises: of strings, by six bytes after those that all begin with; of what is
+    neither a number nor a string, always 0."""
+    kind, order = texts.schema["id"].dataType, F.lit(0.0)
+    if not isinstance(kind, (T.StringType, T.NumericType)):
+        return order
+    low, high = texts.agg(F.min("id"), F.max("id")).first()
+    if low is None:
+        return order
+    if isinstance(kind, T.StringType):
+        low, high = low.encode(), high.encode()
+        same = next((k for k, (x, y) in enumerate(zip(low, high, strict=False)) if x != y), min(len(low), len(high)))
+        six = F.rpad(F.hex(F.substring(F.col("id").cast("binary"), same + 1, 6)), 12, "0")
+        order = F.conv(six, 16, 10).cast("double") / F.lit(float(1 << 48))
+    elif math.isfinite(low) and math.isfinite(high) and high > low:
+        order = (F.col("id").cast("double") - F.lit(float(low))) / F.lit(float(high) - float(low))
+    return F.coalesce(order, F.lit(0.0))
 
 
 def later_lines(docs: DataFrame, share: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, h, places): of each text (by id and XXH64) the places of its lines that match an earlier line."""
     text = whole_text(text_col)
     texts = docs.select(text.alias("text"), F.col(id_col).alias("id"), F.xxhash64(text).alias("h"))
-    low, high = texts.agg(F.min(number_of_id(texts)), F.max(number_of_id(texts))).first()
-    placed = texts.withColumn("order", F.coalesce((number_of_id(texts) - F.lit(low)) / F.lit((high - low) or 1.0), F.lit(0.0)) if low is not None else F.lit(0.0))
+    placed = texts.withColumn("order", coarse_order(texts))
     ranks = frequent_words(texts)
     lines = cut(_line_table(texts, ranks, False))
     at = F.struct("id", "h", "place")
