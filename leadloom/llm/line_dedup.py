@@ -203,8 +203,12 @@ def matching_postings(p: np.ndarray, share: float, still: np.ndarray | None = No
     rows["own"], rows["best"], rows["with"], rows["n"] = p["set"][named], best[named], with_[named], met[named]
     rows = rows[np.lexsort((rows["best"], rows["own"]))]  # of a set's words in this bucket, the one with the nearest
     new = np.append(True, rows["own"][1:] != rows["own"][:-1])[: len(rows)]
-    most = np.maximum.reduceat(rows["n"], np.flatnonzero(new)) if len(rows) else np.zeros(0, np.int64)
-    return np.stack([rows["own"][new], rows["with"][new]], axis=1), most > 1
+    # others: of one word, or another word's nearest
+    first = np.flatnonzero(new)
+    several = np.zeros(0, bool)
+    if len(rows):
+        several = (np.maximum.reduceat(rows["n"], first) > 1) | (np.minimum.reduceat(rows["with"], first) != np.maximum.reduceat(rows["with"], first))
+    return np.stack([rows["own"][new], rows["with"][new]], axis=1), several
 
 
 def _candidates(texts: DataFrame, ranks: tuple[np.ndarray, np.ndarray], share: float, still: np.ndarray | None = None) -> DataFrame:

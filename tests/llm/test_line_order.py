@@ -2,6 +2,8 @@
 
 import random
 
+import numpy as np
+
 from leadloom.llm import line_dedup
 
 from .test_dedup_search import brute_lines
@@ -42,3 +44,13 @@ def test_lines_of_shuffled_ids(spark):
     want = brute_lines(rows)
     rng.shuffle(rows)
     assert kept(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)) == want
+
+
+def test_words_of_one_bucket_that_meet_different_sets_leave_more():
+    # set 9 shares word 1 with set 5 only, and word 2 with set 6 only
+    p = np.zeros(4, line_dedup.POSTING)
+    p["word"], p["set"], p["order"], p["size"] = [1, 2, 1, 2], [9, 9, 5, 6], [9, 9, 5, 6], 10
+    pairs, more = line_dedup.matching_postings(p, 0.8)
+    assert pairs[:, 0].tolist() == [9] and more.tolist() == [True]
+    pairs, more = line_dedup.matching_postings(p[[0, 2]], 0.8)
+    assert pairs.tolist() == [[9, 5]] and more.tolist() == [False]
