@@ -13,6 +13,10 @@ pass and are earlier, the one whose sketch is the nearest; lines for which it fa
 them all. What is earlier is told by a coarse order of the ids that postings carry; the exact order decides after
 verification.
 
+A word with more than MOST postings is dealt into blocks, each pair of blocks being a group of its own, so no task holds
+more than two blocks; large buckets are dealt into parts by word. The second round opens, of each group, the sets that
+had others in it; groups without such sets don't take part.
+
 Each step is a job over lines or postings; postings travel packed by bucket. A task posts a repeated set
 once, with the least order of its occurrences; again only if an earlier one follows after it has been packed.
 
@@ -42,8 +46,8 @@ RANKED, BUCKETS, FEW, AT_ONCE = 50_000, 4096, 1024, 400_000
 BROADCAST = 500_000
 #: A word is named by its bucket and 16 more bits (words that share them only make more candidates).
 POSTING = np.dtype([("word", "<u2"), ("size", "<u2"), ("place", "u1"), ("order", "<u4"), ("sketch", "<u8"), ("set", "<u8")])
-#: Sets left for the second round up to which only their candidates are named, rather than all.
-OPEN = 200_000
+#: Postings of a word from which on they are dealt into blocks of about as many.
+MOST = 8192
 COUNT = np.dtype([("word", "<u8"), ("n", "<u4")])
 
 
@@ -161,16 +165,11 @@ def overlap_needed(a: np.ndarray, b: np.ndarray, share: float) -> np.ndarray:
     return np.ceil(share / (1 + share) * (a + b) - 1e-9)
 
 
-def matching_postings(p: np.ndarray, share: float, still: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """(pairs, more) of sets among postings that pass the filters: for each set the nearest earlier one, and whether
-    there are others; or, with `still` (sorted set hashes), all pairs with one of these; with an empty one, all."""
-    p = p[np.lexsort((p["size"], p["word"]))]
-    size, place, order = (p[c].astype(np.int64) for c in ("size", "place", "order"))
-    best, with_, met = np.full(len(p), 1 << 62), np.zeros(len(p), np.uint64), np.zeros(len(p), np.int64)
-    wanted = None
-    if still is not None and len(still):
-        wanted = still[np.minimum(np.searchsorted(still, p["set"]), len(still) - 1)] == p["set"]
-    at, step, out = np.arange(len(p)), 1, []
+def _passing(p: np.ndarray, share: float, blocks: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(a, b, differ): indices of postings, sorted by word and size, that pass the filters, and how far sketches differ;
+    with more than one block, of different blocks only."""
+    size, place, block = p["size"].astype(np.int64), p["place"].astype(np.int64), p["set"] % np.uint64(blocks)
+    at, step = np.arange(len(p)), 1
     while len(at):
         at = at[at + step < len(p)]
         a, b = at, at + step
@@ -183,21 +182,40 @@ def matching_postings(p: np.ndarray, share: float, still: np.ndarray | None = No
         differ = np.bitwise_count(p["sketch"][a] ^ p["sketch"][b]).astype(np.int64)
         close = differ <= size[a] + size[b] - 2 * needed
         fine = (p["set"][a] != p["set"][b]) & (enough & close | (size[b] == 0xFFFF))
-        if wanted is not None:
-            fine &= wanted[a] | wanted[b]
-        a, b, differ = a[fine], b[fine], differ[fine]
-        if still is not None:
-            out.append(np.stack([p["set"][a], p["set"][b]], axis=1))
-            continue
+        if blocks > 1:
+            fine &= block[a] != block[b]
+        yield a[fine], b[fine], differ[fine]
+
+
+def open_pairs(p: np.ndarray, share: float, still: np.ndarray, blocks: int = 1) -> Iterator[np.ndarray]:
+    """Some at a time, all pairs of sets that pass the filters, the later one among `still` (sorted set hashes)."""
+    p = p[np.lexsort((p["size"], p["word"]))]
+    wanted = still[np.minimum(np.searchsorted(still, p["set"]), len(still) - 1)] == p["set"]
+    out, n = [], 0
+    for a, b, _ in _passing(p, share, blocks):
+        asked = wanted[a] & (p["order"][b] <= p["order"][a]) | wanted[b] & (p["order"][a] <= p["order"][b])
+        out.append(np.stack([p["set"][a[asked]], p["set"][b[asked]]], axis=1))
+        n += len(out[-1])
+        if n > AT_ONCE:
+            yield np.unique(np.sort(np.concatenate(out), axis=1), axis=0)
+            out, n = [], 0
+    if n:
+        yield np.unique(np.sort(np.concatenate(out), axis=1), axis=0)
+
+
+def matching_postings(p: np.ndarray, share: float, blocks: int = 1) -> tuple[np.ndarray, np.ndarray]:
+    """(pairs, more) of sets among postings that pass the filters: for each set the nearest earlier one, and whether
+    there are others."""
+    p = p[np.lexsort((p["size"], p["word"]))]
+    order = p["order"].astype(np.int64)
+    best, with_, met = np.full(len(p), 1 << 62), np.zeros(len(p), np.uint64), np.zeros(len(p), np.int64)
+    for a, b, differ in _passing(p, share, blocks):
         for one, other in ((a, b), (b, a)):
             earlier = order[other] <= order[one]
             one, other, far = one[earlier], other[earlier], (differ[earlier] << 33) + order[other[earlier]]
             met[one] += 1
             first = far < best[one]
             best[one[first]], with_[one[first]] = far[first], p["set"][other[first]]
-    if still is not None:
-        pairs = np.concatenate(out) if out else np.zeros((0, 2), np.uint64)
-        return np.unique(np.sort(pairs, axis=1), axis=0), np.zeros(0, bool)
     named = met > 0
     rows = np.empty(named.sum(), [("own", "<u8"), ("best", "<i8"), ("with", "<u8"), ("n", "<i8")])
     rows["own"], rows["best"], rows["with"], rows["n"] = p["set"][named], best[named], with_[named], met[named]
@@ -211,8 +229,8 @@ def matching_postings(p: np.ndarray, share: float, still: np.ndarray | None = No
     return np.stack([rows["own"][new], rows["with"][new]], axis=1), several
 
 
-def _candidates(texts: DataFrame, ranks: tuple[np.ndarray, np.ndarray], share: float, still: np.ndarray | None = None) -> DataFrame:
-    """(a, b, more): hashes of sets that may match, as matching_postings names them. texts: text, order (0 to 1)."""
+def _postings(texts: DataFrame, ranks: tuple[np.ndarray, np.ndarray], share: float) -> DataFrame:
+    """(bucket, postings): the packed postings of texts (text, order from 0 to 1)."""
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         least: dict[int, int] = {}  # of each set's occurrences so far
@@ -270,27 +288,138 @@ def _candidates(texts: DataFrame, ranks: tuple[np.ndarray, np.ndarray], share: f
         if held:
             yield packed()
 
+    return cut(texts.select("text", "order").mapInArrow(post, "bucket int, postings binary"))
+
+
+class Dealing(NamedTuple):
+    """How postings are dealt: the parts of buckets that hold many words, and the blocks of words with many postings."""
+
+    parts: dict[int, int]
+    blocks: dict[int, dict[int, int]]
+
+
+def dealing(postings: DataFrame) -> Dealing:
+    """Counts postings by bucket, and in buckets with more than MOST of them by word."""
+    n = F.length("postings") / POSTING.itemsize
+    large = {r["bucket"]: (int(r["n"]), r["packs"]) for r in postings.groupBy("bucket").agg(F.sum(n).alias("n"), F.count("*").alias("packs")).where(F.col("n") > MOST).collect()}
+    if not large:
+        return Dealing({}, {})
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for bucket, raw in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+                if bucket in large:  # a word with more than MOST has more than half of them where it has its share
+                    words, n = np.unique(np.frombuffer(raw.as_py(), POSTING)["word"], return_counts=True)
+                    many = n >= MOST / (2 * large[bucket][1])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(many.sum(), bucket, np.int32)), pa.array(words[many].astype(np.int32)), pa.array(n[many])], ["bucket", "word", "n"])
+
+    hot = postings.mapInArrow(count, "bucket int, word int, n bigint").groupBy("bucket", "word").agg(F.sum("n").alias("n")).where(F.col("n") > MOST // 2)
+    blocks: dict[int, dict[int, int]] = {}
+    for r in hot.collect():
+        blocks.setdefault(r["bucket"], {})[r["word"]] = max(2, -(-r["n"] // MOST))
+    return Dealing({b: min(1 << 15, -(-n // AT_ONCE)) for b, (n, _) in large.items()}, blocks)
+
+
+def _dealt(postings: DataFrame, how: Dealing) -> DataFrame:
+    """(g, postings): a group g holds a part of a bucket, or of a word with many postings two blocks (or one, with
+    itself). g: bucket, word (or 65536 + part), block, block."""
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows(g: list[int], raw: list[bytes]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(g, pa.int64()), pa.array(raw, pa.binary())], ["g", "postings"])
+
+        for b in batches:
+            for bucket, raw in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+                raw = raw.as_py()
+                parts, blocks = how.parts.get(bucket, 1), how.blocks.get(bucket, {})
+                if parts == 1 and not blocks:
+                    yield rows([group_of(bucket, 65536)], [raw])
+                    continue
+                p = np.frombuffer(raw, POSTING)
+                hot = np.isin(p["word"], np.fromiter(blocks, np.uint16, len(blocks)))
+                usual = p[~hot]
+                for k in range(parts):
+                    some = usual[usual["word"] % parts == k]
+                    if len(some):
+                        yield rows([group_of(bucket, 65536 + k)], [some.tobytes()])
+                p = p[hot]
+                for w in np.unique(p["word"]).tolist():
+                    own = p[p["word"] == w]
+                    n = blocks[w]
+                    block = own["set"] % np.uint64(n)
+                    for k in np.unique(block).tolist():
+                        one = own[block == k].tobytes()
+                        yield rows([group_of(bucket, w, min(k, d), max(k, d)) for d in range(n)], [one] * n)
+
+    return postings.mapInArrow(deal, "g bigint, postings binary")
+
+
+def group_of(bucket: int, word: int, i: int = 0, j: int = 0) -> int:
+    return ((bucket << 17 | word) << 17 | i) << 17 | j
+
+
+def blocks_of(g: int, how: Dealing) -> int:
+    """The blocks of a group's word if it holds two of them, else 1."""
+    i, j, word, bucket = g >> 17 & 0x1FFFF, g & 0x1FFFF, g >> 34 & 0x1FFFF, g >> 51
+    return how.blocks[bucket][word] if i != j else 1
+
+
+def _candidates(postings: DataFrame, how: Dealing, share: float) -> DataFrame:
+    """(g, a, b, more): hashes of sets that may match, as matching_postings names them."""
+
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own: list[bytes] = []
         last = -1
 
         def pairs() -> pa.RecordBatch:
-            found, more = matching_postings(np.frombuffer(b"".join(own), POSTING), share, still)
+            found, more = matching_postings(np.frombuffer(b"".join(own), POSTING), share, blocks_of(last, how))
             a, b = np.ascontiguousarray(found.T).view(np.int64)
-            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(more if still is None else np.zeros(len(a), bool))], ["a", "b", "more"])
+            return pa.RecordBatch.from_arrays([pa.array(np.full(len(a), last)), pa.array(a), pa.array(b), pa.array(more)], ["g", "a", "b", "more"])
 
         for b in batches:
-            for bucket, raw in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-                if bucket != last and own:
+            for g, raw in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+                if g != last and own:
                     yield pairs()
                     own.clear()
-                last = bucket
+                last = g
                 own.append(raw.as_py())
         if own:
             yield pairs()
 
-    posted = texts.select("text", "order").mapInArrow(post, "bucket int, postings binary").repartition("bucket").sortWithinPartitions("bucket")
-    return posted.mapInArrow(match, "a bigint, b bigint, more boolean")
+    return _dealt(postings, how).repartition("g").sortWithinPartitions("g").mapInArrow(match, "g bigint, a bigint, b bigint, more boolean")
+
+
+def _all_candidates(postings: DataFrame, how: Dealing, share: float, open_: DataFrame) -> DataFrame:
+    """(a, b): all pairs that pass the filters of the sets in open_ (g, a) with earlier ones of their group."""
+    stills = cut(open_.groupBy("g").agg(F.collect_set("a").alias("still")))
+    dealt = _dealt(postings, how)
+    if stills.count() <= BROADCAST:
+        dealt = dealt.join(F.broadcast(stills.select("g")), "g", "left_semi")
+    rows = dealt.withColumn("still", F.lit(None).cast("array<bigint>")).unionByName(stills.withColumn("postings", F.lit(None).cast("binary")))
+
+    def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own: list[bytes] = []
+        last, still = -1, None
+
+        def pairs() -> Iterator[pa.RecordBatch]:
+            if own:
+                for found in open_pairs(np.frombuffer(b"".join(own), POSTING), share, still, blocks_of(last, how)):
+                    a, b = np.ascontiguousarray(found.T).view(np.int64)
+                    yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+
+        for b in batches:
+            for g, raw, list_ in zip(b.column(0).to_pylist(), b.column(1), b.column(2), strict=True):
+                if g != last:
+                    yield from pairs()
+                    own.clear()
+                    last, still = g, None
+                if list_.is_valid:  # before the group's postings
+                    still = np.sort(np.array(list_.as_py(), np.int64).view(np.uint64))
+                elif still is not None:
+                    own.append(raw.as_py())
+        yield from pairs()
+
+    return rows.select("g", "postings", "still").repartition("g").sortWithinPartitions("g", F.col("postings").isNotNull()).mapInArrow(match, "a bigint, b bigint")
 
 
 def _line_table(texts: DataFrame, ranks: tuple[np.ndarray, np.ndarray], with_words: bool) -> DataFrame:
@@ -366,14 +495,14 @@ def later_lines(docs: DataFrame, share: float = 0.8, id_col: str = "doc_id", tex
         alike = both >= F.lit(share) * (F.size("wa") + F.size("wb") - both) - F.lit(1e-9)
         return pairs.join(a, "a").join(b, "b").where(alike).select("a", "b", "fa", "fb")
 
-    named = cut(_candidates(placed, ranks, share))
+    postings = _postings(placed, ranks, share)
+    how = dealing(postings)
+    named = cut(_candidates(postings, how, share))
     near = cut(verified(named))
     done = near.select(F.when(F.col("fa") > F.col("fb"), F.col("a")).otherwise(F.col("b")).alias("a")).distinct()
-    open_ = cut(named.where("more").select("a").distinct().join(done, "a", "left_anti"))
-    n = open_.count()
-    if n:
-        still = np.sort(np.array([r["a"] for r in open_.collect()], np.int64).view(np.uint64)) if n <= OPEN else np.zeros(0, np.uint64)
-        near = near.unionByName(verified(cut(_candidates(placed, ranks, share, still).distinct())))
+    open_ = cut(named.where("more").select("g", "a").distinct().join(done, "a", "left_anti"))
+    if not open_.isEmpty():
+        near = near.unionByName(verified(cut(_all_candidates(postings, how, share, open_).distinct())))
     later = near.select(F.greatest("fa", "fb").alias("p")).select("p.*")
     return copies.unionByName(later).groupBy("id", "h").agg(F.collect_set("place").alias("places"))
 

@@ -3,6 +3,9 @@
 import random
 
 import numpy as np
+import pytest
+
+from pyspark.sql import functions as F
 
 from leadloom.llm import line_dedup
 
@@ -29,7 +32,9 @@ def test_a_set_counts_by_its_earliest_line(spark):
             assert got == brute_lines(own)
 
 
-def test_lines_of_shuffled_ids(spark):
+@pytest.mark.parametrize("most", [8192, 6])
+def test_lines_of_shuffled_ids(spark, monkeypatch, most):
+    monkeypatch.setattr(line_dedup, "MOST", most)
     rng = random.Random(13)
     words = [f"w{i}" for i in range(40)]
     base = [[rng.choice(words) for _ in range(rng.randint(4, 14))] for _ in range(12)]
@@ -54,3 +59,15 @@ def test_words_of_one_bucket_that_meet_different_sets_leave_more():
     assert pairs[:, 0].tolist() == [9] and more.tolist() == [True]
     pairs, more = line_dedup.matching_postings(p[[0, 2]], 0.8)
     assert pairs.tolist() == [[9, 5]] and more.tolist() == [False]
+
+
+def test_words_with_many_postings_are_dealt_into_blocks(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "MOST", 20)
+    rows = [(k, f"page {k} of the same small book") for k in range(150)] + [(200 + k, f"page {k} of one quite other long volume x{k} y{k}") for k in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    postings = line_dedup._postings(df.select("text", F.lit(0.0).alias("order")), line_dedup.frequent_words(df), 0.6)
+    how = line_dedup.dealing(postings)
+    groups = line_dedup._dealt(postings, how).groupBy("g").agg((F.sum(F.length("postings")) / line_dedup.POSTING.itemsize).alias("n"))
+    assert how.blocks and groups.agg(F.max("n")).first()[0] <= 4 * 20 < postings.agg(F.sum(F.length("postings"))).first()[0] / line_dedup.POSTING.itemsize
+    left = {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(df, 0.7).collect()}
+    assert sum(t != "" for k, t in left.items() if k < 150) == 1 and left == brute_lines(rows, 0.7)
