@@ -1,11 +1,24 @@
-"""Connected components of a link table, entirely as Spark joins and aggregates."""
+"""Checkpoints, and connected components of a link table, entirely as Spark joins and aggregates."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import tempfile
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut
+
+def ready_to_checkpoint(spark: SparkSession) -> None:
+    """Uses the folder of spark.checkpoint.dir; only a session without one (a test) gets a folder of its own."""
+    sc = spark.sparkContext
+    if not sc.getConf().get("spark.checkpoint.dir") and sc._jsc.sc().getCheckpointDir().isEmpty():
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="leadloom-checkpoint-"))
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """The rows of df with their lineage cut by a reliable checkpoint."""
+    ready_to_checkpoint(df.sparkSession)
+    return df.checkpoint()
 
 
 def connected_components(links: DataFrame, most_rounds: int = 60) -> DataFrame:

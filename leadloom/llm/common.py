@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import os
 import re
-import tempfile
 from array import array
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ..functions.components import cut as cut
+from ..functions.components import ready_to_checkpoint as ready_to_checkpoint
+
 #: Most chunks a worker remembers, and the longest that it remembers.
 CACHE_ENTRIES, CACHE_CHARS = 300_000, 48
 
@@ -18,19 +20,6 @@ _RUN = re.compile(r"(\s{2,}|\s\Z)")
 _tokenizers: dict = {}
 
 
-def ready_to_checkpoint(spark: SparkSession) -> None:
-    """Uses the folder of spark.checkpoint.dir; only a session without one (a test) gets a folder of its own."""
-    sc = spark.sparkContext
-    if not sc.getConf().get("spark.checkpoint.dir") and sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="leadloom-checkpoint-"))
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """The rows of df with their lineage cut by a reliable checkpoint."""
-    ready_to_checkpoint(df.sparkSession)
-    return df.checkpoint()
-
-
 def whole_text(col: str = "text") -> Column:
     return F.coalesce(F.col(col), F.lit(""))
 

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import cut, whole_text
-from .components import connected_components
+from ..functions.components import connected_components
 
 #: Members of an anchor from which on it is dealt into blocks of about this many.
 MOST = 2048

@@ -1,7 +1,7 @@
 """Harvesting contacts from pages, merging them, screening their names, and guessing addresses.
 
 Extraction and joins are columns; Python does what Spark has no function for: XOR decoding, the person nearest to an
-address, and the ordered merge of one venue's few contacts."""
+address, and the ordered merge of rows that may be one contact."""
 
 from __future__ import annotations
 
@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import fixed
+from ..functions.components import connected_components, cut
 from ..functions.text import clean_email, ee_ids, email_domain, email_local, fi_ids, fold, normalise_name, plausible_email, shared_inbox, visible_text
 
 _CAP, _LOW = "A-ZÄÖÅÕÜŠŽ", "a-zäöåõüšž"
@@ -128,39 +129,105 @@ def resolve_contacts(existing: DataFrame, incoming: DataFrame) -> DataFrame:
 
     A row meets the contact with its address; else the first one with its normalised name, unless both have addresses;
     a name gets its first address so, along with the row's source and confidence, and otherwise only blanks are filled.
-    Rows with neither address nor name are refused."""
-    cols = [c.split()[0] for c in CONTACT.split(", ")]
+    Rows with neither address nor name are refused.
 
-    def merge(old: pd.DataFrame, new: pd.DataFrame) -> pd.DataFrame:
-        blank = lambda v: v is None or v != v or v == ""
-        rows = [{c: None if blank(v) else v for c, v in r.items()} for r in old.sort_values("first_seq").to_dict("records")]
-        for r in new.sort_values("seq").to_dict("records"):
-            r = {c: None if blank(v) else v for c, v in r.items()}
-            email = (r["email"] or "").strip().lower() or None
-            by_name = f"name:{r['name_norm']}" if r["contact_name"] else None
-            if not email and not by_name:
+    Rows that can't change anything are folded away first: of one address and name, all but the first row and the first
+    with a role, and later rows of a name alone without a role. The others are linked by shared addresses and names within
+    their venue; rows linked to no other are contacts as they are, and only linked rows meet in the ordered merge."""
+    cols = [c.split()[0] for c in CONTACT.split(", ")]
+    kinds = dict(c.split() for c in CONTACT.split(", "))
+    texts = [c for c in cols if kinds[c] == "string"]
+
+    def merge(both: pd.DataFrame) -> pd.DataFrame:
+        rows: list[dict] = []
+        by_key: dict[str, dict] = {}  # the first contact of each key and of each name
+        by_norm: dict[str, int] = {}
+
+        def named(at: int) -> None:
+            norm = rows[at]["name_norm"]
+            by_norm[norm] = min(at, by_norm.get(norm, at))
+
+        def again(key: str) -> None:  # the contact that had the key has another now
+            by_key.pop(key, None)
+            x = next((x for x in rows if x["dedupe_key"] == key), None)
+            if x is not None:
+                by_key[key] = x
+
+        def add(r: dict) -> None:
+            rows.append(r | {"at": len(rows)})
+            if r["dedupe_key"] is not None:
+                by_key.setdefault(r["dedupe_key"], rows[-1])
+            if r["contact_name"]:
+                named(len(rows) - 1)
+
+        for r in both.sort_values(["incoming", "seq"], kind="stable").to_dict("records"):
+            r = {c: None if v is None or v != v else v for c, v in r.items()}
+            if not r["incoming"]:
+                add({c: r[c] for c in (*cols, "name_norm")})
                 continue
-            hit = next((x for x in rows if email and x["dedupe_key"] == email), None)
+            email, by_name = r["email"], f"name:{r['name_norm']}" if r["contact_name"] else None
+            hit = by_key.get(email) if email else None
             promote = False
             if hit is None and by_name:
-                hit = next((x for x in rows if x["contact_name"] and x["name_norm"] == r["name_norm"]), None)
+                hit = rows[by_norm[r["name_norm"]]] if r["name_norm"] in by_norm else None
                 if hit is not None and email:
                     hit, promote = (None, False) if hit["email"] else (hit, True)
             if hit is None and not email:
-                hit = next((x for x in rows if x["dedupe_key"] == by_name), None)
+                hit = by_key.get(by_name)
             if hit is None:
-                rows.append({**{c: r.get(c) for c in cols}, "email": email, "dedupe_key": email or by_name, "first_seq": r["seq"], "name_norm": r["name_norm"]})
+                add({c: r[c] for c in (*cols, "name_norm")})
                 continue
-            if hit["contact_name"] is None and r["contact_name"]:
+            fresh = hit["contact_name"] is None and r["contact_name"]
+            if fresh:
                 hit["name_norm"] = r["name_norm"]
             for c, v in (("contact_name", r["contact_name"]), ("contact_role", r["contact_role"]), ("email", email)):
                 hit[c] = v if hit[c] is None else hit[c]
+            if fresh:
+                named(hit["at"])
             if promote:
+                was = hit["dedupe_key"]
                 hit |= {"dedupe_key": email, "source": r["source"], "source_url": r["source_url"], "confidence": r["confidence"]}
+                if was is not None and by_key.get(was) is hit:
+                    again(was)
+                if email not in by_key or by_key[email]["at"] > hit["at"]:
+                    by_key[email] = hit
         return pd.DataFrame(rows, columns=cols)
 
-    named = lambda df: df.withColumn("name_norm", normalise_name(F.col("contact_name")))
-    return named(existing).groupBy("venue_id").cogroup(named(incoming).groupBy("venue_id")).applyInPandas(merge, CONTACT)
+    def plain(df: DataFrame) -> DataFrame:
+        return df.withColumns({c: F.nullif(F.col(c).cast("string"), F.lit("")) for c in texts if c in df.columns})
+
+    has_name = F.col("contact_name").isNotNull()
+    norm = F.when(has_name, normalise_name(F.col("contact_name")))
+    old = plain(existing).select(*[F.col(c).cast(kinds[c]) for c in cols], norm.alias("name_norm"), F.col("first_seq").alias("seq"), F.lit(False).alias("incoming"))
+    absent = {c: F.lit(None).cast(kinds[c]) for c in cols if c not in incoming.columns}
+    new = plain(incoming.withColumns(absent)).withColumns({"email": F.nullif(F.lower(F.regexp_replace("email", r"(?U)^\s+|\s+$", "")), F.lit("")), "name_norm": norm}).where(F.col("email").isNotNull() | has_name)
+    new = new.withColumns({"first_seq": F.col("seq"), "dedupe_key": F.coalesce("email", F.concat(F.lit("name:"), F.col("name_norm")))})
+    new = new.select(*[F.col(c).cast(kinds[c]) for c in cols], "name_norm", F.col("seq"), F.lit(True).alias("incoming"))
+
+    # what may change something of each address and name
+    row = F.struct(*new.columns)
+    role = F.col("contact_role").isNotNull()
+    keys = ["venue_id", "email", "name_norm", has_name.alias("named")]
+    first = new.groupBy(*keys).agg(F.min_by(row, "seq").alias("r"), F.min_by(F.when(role, row), F.when(role, F.col("seq"))).alias("s"))
+    some = first.select(F.explode(F.array_distinct(F.filter(F.array("r", "s"), lambda x: x.isNotNull()))).alias("r")).select("r.*")
+    roles = new.where(F.col("email").isNull() & role)  # of a name alone any role may meet another contact
+    folded = some.where(~(F.col("email").isNull() & role)).unionByName(roles)
+    rows = cut(old.unionByName(folded).withColumn("id", F.monotonically_increasing_id()))
+
+    # links of rows by address, and by name where a row without an address has it: else a name decides nothing
+    of_venue = lambda k: F.concat_ws("\n", F.coalesce(F.col("venue_id").cast("string"), F.lit("")), k)
+    by_name = of_venue(F.concat(F.lit("name:"), F.col("name_norm")))
+    bare = rows.where("email is null and name_norm is not null").select(by_name.alias("k")).distinct()
+    names = rows.where("name_norm is not null").select("id", by_name.alias("k")).join(bare, "k", "left_semi").select("id", "k")
+    keys = F.array_distinct(F.filter(F.array("email", "dedupe_key"), lambda k: k.isNotNull()))
+    at = rows.select("id", "venue_id", F.explode(keys).alias("k")).select("id", of_venue(F.col("k")).alias("k")).unionByName(names).distinct()
+    least = at.groupBy("k").agg(F.min("id").alias("least"), F.count("*").alias("n")).where("n > 1").select("k", "least")
+    links = at.join(least, "k").select(F.col("id").alias("u"), F.col("least").alias("v"))
+    roots = cut(connected_components(links))
+    linked = roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())
+    several = rows.join(linked.withColumnRenamed("node", "id"), "id")
+    alone = rows.join(linked, rows["id"] == linked["node"], "left_anti").select(*cols)
+    return alone.unionByName(several.groupBy("root").applyInPandas(merge, CONTACT))
 
 
 def ingest_pages(hits: DataFrame, kinds: DataFrame, key: str = "url") -> DataFrame:
