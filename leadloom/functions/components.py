@@ -9,10 +9,14 @@ from pyspark.sql import functions as F
 
 
 def ready_to_checkpoint(spark: SparkSession) -> None:
-    """Uses the folder of spark.checkpoint.dir; only a session without one (a test) gets a folder of its own."""
+    """Uses the folder of spark.checkpoint.dir. A session without one gets a folder of its own if it is local, where
+    driver and executors share the disk; on a cluster it is an error."""
     sc = spark.sparkContext
-    if not sc.getConf().get("spark.checkpoint.dir") and sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="leadloom-checkpoint-"))
+    if sc.getConf().get("spark.checkpoint.dir") or sc._jsc.sc().getCheckpointDir().isDefined():
+        return
+    if not sc._jsc.sc().isLocal():
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+    sc.setCheckpointDir(tempfile.mkdtemp(prefix="leadloom-checkpoint-"))
 
 
 def cut(df: DataFrame) -> DataFrame:

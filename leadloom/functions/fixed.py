@@ -43,13 +43,52 @@ NAME_LABELS = (
     "yhteyshenkilo", "yhteystiedot", "rekisterinpitaja", "tietosuojaseloste", "kontaktisik", "kontakt", "contact", "person", "email", "e", "mail", "puh", "tel", "phone", "ravintola", "restaurant", "restoran", "oy", "ab", "ou",
     "as", "hei", "moi", "tere", "toimipiste", "osoite", "aadress", "vastutav", "isik", "andmekaitse", "juhatuse", "liige", "vastaava",
 )
-#: The words that most often pass for names; a fuller list is a parameter of the screens.
+
+# --- fixed values: patterns of addresses and people in pages ---
+MAILTO = r"(?i)mailto:([^\"'>\s?]+)"
+HIDDEN_EMAIL = r"data-cfemail=[\"']([0-9a-fA-F]+)[\"']"
+SPELT_EMAIL = (
+    r"(?i)([A-Za-z0-9._%+\-]+)"
+    r"(?:\s*[\[({]\s*(?:@|at|ät)\s*[\])}]\s*|\s+(?:at|ät|miuku|at-merkki)\s+|@)"
+    r"([A-Za-z0-9.\-]+)"
+    r"(?:\s*[\[({]\s*(?:\.|dot|piste|punkt)\s*[\])}]\s*|\s+(?:dot|piste|punkt)\s+|\.)"
+    r"([A-Za-z]{2,24})\b"
+)
+_CAP, _LOW = "A-ZÄÖÅÕÜŠŽ", "a-zäöåõüšž"
+PERSON = rf"(?<![\p{{L}}\p{{N}}_])[{_CAP}][{_LOW}]{{1,20}}(?:-[{_CAP}][{_LOW}]{{1,20}})?(?:\s+[{_CAP}][{_LOW}]{{1,20}}){{1,2}}(?![\p{{L}}\p{{N}}_])"
+
+# --- fixed values: what is no part of a person's name; English function words come from Spark's stop words, which lack
+# the first line, and the words of one's own product are a parameter ---
 PROSE_WORDS = (
-    "this", "that", "the", "and", "or", "for", "with", "your", "our", "their", "all", "read", "more", "please", "we", "us", "you", "privacy", "policy", "cookie", "cookies", "terms", "conditions", "data", "protection", "notice",
-    "rights", "service", "services", "information", "personal", "processing", "controller", "consent", "legal", "website", "page", "account", "finland", "estonia", "suomi", "eesti", "helsinki", "tallinn", "tartu", "espoo",
-    "vantaa", "tampere", "company", "group", "team", "menu", "booking", "bookings", "reservation", "table", "online", "gift", "card", "hotel", "opening", "hours", "address", "email", "phone", "welcome", "home", "news", "blog",
-    "shop", "order", "facebook", "instagram", "twitter", "linkedin", "youtube", "share", "follow", "newsletter", "voucher", "takeaway", "lunch", "dinner", "brunch", "gallery", "kitchen", "chef", "staff", "search", "login",
+    "read", "see", "please", "us", "may", "must", "shall", "also",
+    "privacy", "policy", "policies", "cookie", "cookies", "terms", "conditions", "condition", "data", "protection",
+    "notice", "statement", "rights", "right", "use", "usage", "using", "service", "services", "information", "personal",
+    "processing", "controller", "processor", "consent", "gdpr", "law", "legal", "purpose", "purposes", "period",
+    "storage", "security", "website", "site", "page", "content", "account", "subject", "party", "parties", "third",
+    "general", "regulation", "tietosuoja", "tietosuojaseloste", "rekisteriseloste", "evasteet", "kayttoehdot",
+    "privaatsuspoliitika", "privaatsus", "andmekaitse", "kupsised", "isikuandmete", "tootlemine",
+    "finland", "estonia", "suomi", "eesti", "sweden", "ruotsi", "helsinki", "tallinn", "tartu", "espoo", "vantaa",
+    "tampere",
+    "company", "ltd", "limited", "group", "team", "menu", "booking", "bookings", "reservation", "reservations",
+    "table", "online", "gift", "card", "hotel", "opening", "hours", "address", "email", "phone", "welcome", "home",
+    "news", "blog", "shop", "order", "delivery",
+    "facebook", "instagram", "twitter", "linkedin", "youtube", "tiktok", "whatsapp", "pinterest", "snapchat",
+    "telegram", "messenger", "share", "follow", "like", "subscribe", "newsletter", "tripadvisor", "yelp", "wolt",
+    "foodora", "resmio", "quandoo", "opentable",
+    "giftcard", "giftcards", "lahjakortti", "lahjakortit", "kinkekaart", "kinkekaardid", "voucher", "vouchers",
+    "takeaway", "catering", "lunch", "dinner", "brunch", "breakfast", "buffet", "lounas", "gallery", "photos",
+    "images", "video", "press", "calendar", "map", "directions", "parking", "allergens", "allergy", "vegan",
+    "vegetarian", "gluten", "wine", "beer", "cocktail", "cocktails", "drinks", "bar", "kitchen", "chef", "staff",
+    "search", "login", "register", "basket", "cart", "checkout", "back", "next", "previous", "close", "open", "closed",
+    "today", "tomorrow", "week", "weekend", "season", "summer", "winter", "spring", "autumn", "christmas", "joulu",
+    "uusi", "vuosi", "year", "happy", "hour", "sitemap", "language", "english", "svenska",
 )
+PROSE_PHRASES = (
+    "privacy policy", "cookie policy", "data controller", "restaurant manager", "head chef", "general manager",
+    "opening hours", "contact us", "about us", "group bookings", "private events", "gift card", "tietosuojaseloste",
+    "ota yhteytta", "ravintola oy", "helsinki finland", "tallinn estonia", "all rights", "read more", "book table",
+)
+PROSE_PIECES = ("policy", "oy", "ltd", "restaurant", "ravintola")
 
 # --- fixed values: kinds of pages, with priority, phrases of anchors and pieces of paths (folded) ---
 PAGE_KINDS = (
@@ -75,6 +114,11 @@ CMS_MARKERS = (
     ("shopify", r"(?i)cdn\.shopify\.com|Shopify\.theme"),
 )
 
+# --- fixed values: structured data: types of businesses by rank, keys that show a node's substance, links to maps ---
+BUSINESS_TYPES = {"restaurant": 0, "bar": 1, "barorpub": 1, "cafeorcoffeeshop": 1, "foodestablishment": 2, "hotel": 3, "localbusiness": 4, "place": 5, "organization": 6, "nightclub": 9}
+BUSINESS_KEYS = ("address", "telephone", "aggregateRating", "geo", "servesCuisine", "priceRange", "openingHours", "openingHoursSpecification", "description", "menu")
+MAP_LINK = r"(?i)href=[\"'](https?://(?:www\.)?(?:google\.[a-z.]+/maps[^\"']*|maps\.google\.[a-z.]+[^\"']*))[\"']"
+
 # --- fixed values: social networks ---
 SOCIALS = (
     ("instagram", r"https?://(?:www\.)?instagram\.com/([A-Za-z0-9_.]+)/?"),

@@ -6,6 +6,7 @@ import unicodedata
 from difflib import SequenceMatcher
 
 import pandas as pd
+from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -176,3 +177,18 @@ def plausible_email(c: Column, vendors: tuple[str, ...] = fixed.VENDOR_DOMAINS,
     if barred:
         good &= ~domain.isin(*barred) & ~domain.rlike("\\.(" + "|".join(d.replace(".", "\\.") for d in sorted(set(barred))) + ")$")
     return F.coalesce(good, F.lit(False))
+
+
+def prose_words(own: tuple[str, ...] = ()) -> tuple[str, ...]:
+    """Words that no person's name holds: the fixed ones, Spark's English stop words, and one's own."""
+    return tuple(dict.fromkeys((*fixed.PROSE_WORDS, *StopWordsRemover.loadDefaultStopWords("english"), *own)))
+
+
+def person_shaped(name: Column, prose: tuple[str, ...] | None = None) -> Column:
+    """Two or three words of two letters or more, none of them prose (by default prose_words()), no phrase of the trade."""
+    words = F.filter(F.split(F.trim(name), "\\s+"), lambda w: w != "")
+    flat = F.lower(fold(F.trim(name)))
+    bare = F.transform(F.split(flat, "\\s+"), lambda w: F.regexp_replace(w, "^[.,:;]+|[.,:;]+$", ""))
+    trade = flat.rlike("|".join(fixed.PROSE_PIECES)) | flat.isin(*fixed.PROSE_PHRASES)
+    shaped = F.size(words).between(2, 3) & F.forall(words, lambda w: F.length(w) >= 2)
+    return F.coalesce(shaped & ~trade & ~F.exists(bare, lambda w: w.isin(*(prose_words() if prose is None else prose))), F.lit(False))

@@ -1,91 +1,14 @@
-"""Harvesting contacts from pages, merging them, screening their names, and guessing addresses.
-
-Extraction and joins are columns; Python does what Spark has no function for: XOR decoding, the person nearest to an
-address, and the ordered merge of rows that may be one contact."""
+"""Merging contacts, screening their names, and guessing addresses; harvest.py has the extraction from pages."""
 
 from __future__ import annotations
 
-import re
-import unicodedata
-from urllib.parse import unquote
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import fixed
-from ..functions.components import connected_components, cut
-from ..functions.text import clean_email, ee_ids, email_domain, email_local, fi_ids, fold, normalise_name, plausible_email, shared_inbox, visible_text
-
-_CAP, _LOW = "A-ZÄÖÅÕÜŠŽ", "a-zäöåõüšž"
-_NAME = re.compile(rf"\b[{_CAP}][{_LOW}]{{1,20}}(?:-[{_CAP}][{_LOW}]{{1,20}})?(?:\s+[{_CAP}][{_LOW}]{{1,20}}){{1,2}}\b")
-_AT = r"(?:\s*[\[({]\s*(?:@|at|ät)\s*[\])}]\s*|\s+(?:at|ät|miuku|at-merkki)\s+|@)"
-_DOT = r"(?:\s*[\[({]\s*(?:\.|dot|piste|punkt)\s*[\])}]\s*|\s+(?:dot|piste|punkt)\s+|\.)"
-OBFUSCATED = rf"(?i)([A-Za-z0-9._%+\-]+){_AT}([A-Za-z0-9.\-]+){_DOT}([A-Za-z]{{2,24}})\b"
-_HIT = "array<struct<email:string,channel:string,rank:int,pos:int,contact_name:string,contact_role:string>>"
-
-
-def _flat(s: str) -> str:
-    s = "".join(fixed.FOLDS.get(c, c) for c in s.lower())
-    return "".join(c for c in unicodedata.normalize("NFKD", s) if not unicodedata.combining(c))
-
-
-_LABELS = frozenset(fixed.NAME_LABELS) | {w for role in fixed.ROLES for w in role.split()}
-_ROLE = re.compile("|".join(map(re.escape, sorted(fixed.ROLES, key=len, reverse=True))))
-
-
-def person_near(text: str, email: str, at: int, prose: frozenset[str], reach: int = 200) -> tuple[str | None, str | None]:
-    """The name and role nearest to an address. Names whose parts are in the local part count as 150 characters nearer;
-    a shared inbox has no name."""
-    lo = max(0, at - reach)
-    around, anchor = text[lo : at + len(email) + reach], at - lo
-    local = email.split("@")[0].lower()
-    roles = [(abs(m.start() - anchor), k, fixed.ROLES[m[0]]) for k, m in enumerate(_ROLE.finditer(_flat(around)))]
-    role = min(roles)[2] if roles else None
-    if local in fixed.SHARED_INBOXES or re.sub(r"[._\-].*", "", local) in fixed.SHARED_INBOXES:
-        return None, role
-    hidden = re.sub(r"[^\W\d_]+", lambda m: "·" * len(m[0]) if _flat(m[0]) in _LABELS else m[0], around)
-    best = None
-    for m in _NAME.finditer(hidden):
-        words = m[0].split()
-        flat = [_flat(w) for w in words]
-        if any(w in prose for w in flat) or any(x in " ".join(flat) for x in ("policy", "oy", "ltd", "restaurant", "ravintola")):
-            continue
-        far = abs(m.start() - anchor) - 150 * any(w in _flat(local) for w in flat)
-        best = min(best, (far, m.start(), " ".join(words))) if best else (far, m.start(), " ".join(words))
-    return (best[2] if best else None), role
-
-
-def harvest_contacts(pages: DataFrame, keys: list[str], html: str = "html", prose: tuple[str, ...] = fixed.PROSE_WORDS, vendors: tuple[str, ...] = fixed.VENDOR_DOMAINS, placeholders: tuple[str, ...] = fixed.PLACEHOLDER_DOMAINS) -> DataFrame:
-    """(keys, email, channel, confidence, contact_name, contact_role): one row an address and page, by its most certain
-    channel: mailto, hidden (XOR) or spelt-out addresses are high, addresses in the text medium."""
-    known = frozenset(prose)
-
-    def one(source: str, text: str) -> list[dict]:
-        source, text = unicodedata.normalize("NFKC", source), unicodedata.normalize("NFKC", text)
-        found = [("mailto", 3, unquote(m[1]), None) for m in re.finditer(r"(?i)mailto:([^\"'>\s?]+)", source)]
-        for m in re.finditer(r"data-cfemail=[\"']([0-9a-fA-F]+)[\"']", source):
-            raw = bytes.fromhex(m[1][: len(m[1]) // 2 * 2])
-            found.append(("cfemail", 3, "".join(chr(b ^ raw[0]) for b in raw[1:]), None))
-        found += [("obfuscated", 3, f"{m[1]}@{m[2]}.{m[3]}", m.start()) for m in re.finditer(OBFUSCATED, text) if not re.fullmatch(fixed.EMAIL, m[0].strip())]
-        found += [("text", 2, m[0], m.start()) for m in re.finditer(fixed.EMAIL, text)]
-        low, out = text.lower(), []
-        for k, (channel, rank, raw, at) in enumerate(found):
-            email = raw.strip().strip(".,;:!?)(<>\"'").lower()
-            at = low.find(email) if at is None else at
-            name, role = person_near(text, email, at, known) if at >= 0 else (None, None)
-            out.append({"email": email, "channel": channel, "rank": rank, "pos": k, "contact_name": name, "contact_role": role})
-        return out
-
-    @F.pandas_udf(_HIT)
-    def hits(source: pd.Series, text: pd.Series) -> pd.Series:
-        return pd.Series([one(s or "", t or "") for s, t in zip(source, text, strict=True)], dtype=object)
-
-    rows = pages.select(*keys, F.explode(hits(F.col(html), visible_text(F.col(html)))).alias("h")).select(*keys, "h.*").where(plausible_email(F.col("email"), vendors, placeholders))
-    w = Window.partitionBy(*keys, "email").orderBy(F.desc("rank"), "pos")
-    best = rows.withColumn("n", F.row_number().over(w)).where("n = 1")
-    return best.select(*keys, "email", "channel", F.when(F.col("rank") == 3, "high").otherwise("medium").alias("confidence"), "contact_name", "contact_role")
-
+from ..functions.components import cut
+from ..functions.text import clean_email, ee_ids, email_domain, email_local, fi_ids, fold, normalise_name, person_shaped, plausible_email, shared_inbox
+from .harvest import harvest_contacts as harvest_contacts
 
 def plain_emails(text: Column) -> Column:
     """Well-formed addresses of a text, lower-cased, distinct, in order."""
@@ -124,110 +47,79 @@ def purge_implausible(contacts: DataFrame, **lists) -> DataFrame:
 CONTACT = "venue_id bigint, email string, contact_name string, contact_role string, source string, source_url string, confidence string, verification_status string, dedupe_key string, first_seq bigint"
 
 
+def _filled(df: DataFrame) -> DataFrame:
+    """With every column of CONTACT, blanks as nulls, and the name's key."""
+    kinds = [c.split() for c in CONTACT.split(", ")]
+    cols = {c: F.col(c).cast(kind) if c in df.columns else F.lit(None).cast(kind) for c, kind in kinds}
+    cols |= {c: F.nullif(cols[c], F.lit("")) for c, kind in kinds if kind == "string"}
+    rows = df.select(*[x.alias(c) for c, x in cols.items()], *(["seq"] if "seq" in df.columns else [F.col("first_seq").alias("seq")]))
+    return rows.withColumn("name_norm", F.when(F.col("contact_name").isNotNull(), normalise_name(F.col("contact_name"))))
+
+
 def resolve_contacts(existing: DataFrame, incoming: DataFrame) -> DataFrame:
-    """Merges incoming rows (ordered by seq) into each venue's contacts (ordered by first_seq).
+    """Merges incoming rows (ordered by seq) into each venue's contacts (ordered by first_seq), as if they came one by one.
 
     A row meets the contact with its address; else the first one with its normalised name, unless both have addresses;
     a name gets its first address so, along with the row's source and confidence, and otherwise only blanks are filled.
-    Rows with neither address nor name are refused.
-
-    Rows that can't change anything are folded away first: of one address and name, all but the first row and the first
-    with a role, and later rows of a name alone without a role. The others are linked by shared addresses and names within
-    their venue; rows linked to no other are contacts as they are, and only linked rows meet in the ordered merge."""
-    cols = [c.split()[0] for c in CONTACT.split(", ")]
-    kinds = dict(c.split() for c in CONTACT.split(", "))
-    texts = [c for c in cols if kinds[c] == "string"]
-
-    def merge(both: pd.DataFrame) -> pd.DataFrame:
-        rows: list[dict] = []
-        by_key: dict[str, dict] = {}  # the first contact of each key and of each name
-        by_norm: dict[str, int] = {}
-
-        def named(at: int) -> None:
-            norm = rows[at]["name_norm"]
-            by_norm[norm] = min(at, by_norm.get(norm, at))
-
-        def again(key: str) -> None:  # the contact that had the key has another now
-            by_key.pop(key, None)
-            x = next((x for x in rows if x["dedupe_key"] == key), None)
-            if x is not None:
-                by_key[key] = x
-
-        def add(r: dict) -> None:
-            rows.append(r | {"at": len(rows)})
-            if r["dedupe_key"] is not None:
-                by_key.setdefault(r["dedupe_key"], rows[-1])
-            if r["contact_name"]:
-                named(len(rows) - 1)
-
-        for r in both.sort_values(["incoming", "seq"], kind="stable").to_dict("records"):
-            r = {c: None if v is None or v != v else v for c, v in r.items()}
-            if not r["incoming"]:
-                add({c: r[c] for c in (*cols, "name_norm")})
-                continue
-            email, by_name = r["email"], f"name:{r['name_norm']}" if r["contact_name"] else None
-            hit = by_key.get(email) if email else None
-            promote = False
-            if hit is None and by_name:
-                hit = rows[by_norm[r["name_norm"]]] if r["name_norm"] in by_norm else None
-                if hit is not None and email:
-                    hit, promote = (None, False) if hit["email"] else (hit, True)
-            if hit is None and not email:
-                hit = by_key.get(by_name)
-            if hit is None:
-                add({c: r[c] for c in (*cols, "name_norm")})
-                continue
-            fresh = hit["contact_name"] is None and r["contact_name"]
-            if fresh:
-                hit["name_norm"] = r["name_norm"]
-            for c, v in (("contact_name", r["contact_name"]), ("contact_role", r["contact_role"]), ("email", email)):
-                hit[c] = v if hit[c] is None else hit[c]
-            if fresh:
-                named(hit["at"])
-            if promote:
-                was = hit["dedupe_key"]
-                hit |= {"dedupe_key": email, "source": r["source"], "source_url": r["source_url"], "confidence": r["confidence"]}
-                if was is not None and by_key.get(was) is hit:
-                    again(was)
-                if email not in by_key or by_key[email]["at"] > hit["at"]:
-                    by_key[email] = hit
-        return pd.DataFrame(rows, columns=cols)
-
-    def plain(df: DataFrame) -> DataFrame:
-        return df.withColumns({c: F.nullif(F.col(c).cast("string"), F.lit("")) for c in texts if c in df.columns})
-
-    has_name = F.col("contact_name").isNotNull()
-    norm = F.when(has_name, normalise_name(F.col("contact_name")))
-    old = plain(existing).select(*[F.col(c).cast(kinds[c]) for c in cols], norm.alias("name_norm"), F.col("first_seq").alias("seq"), F.lit(False).alias("incoming"))
-    absent = {c: F.lit(None).cast(kinds[c]) for c in cols if c not in incoming.columns}
-    new = plain(incoming.withColumns(absent)).withColumns({"email": F.nullif(F.lower(F.regexp_replace("email", r"(?U)^\s+|\s+$", "")), F.lit("")), "name_norm": norm}).where(F.col("email").isNotNull() | has_name)
-    new = new.withColumns({"first_seq": F.col("seq"), "dedupe_key": F.coalesce("email", F.concat(F.lit("name:"), F.col("name_norm")))})
-    new = new.select(*[F.col(c).cast(kinds[c]) for c in cols], "name_norm", F.col("seq"), F.lit(True).alias("incoming"))
-
-    # what may change something of each address and name
-    row = F.struct(*new.columns)
-    role = F.col("contact_role").isNotNull()
-    keys = ["venue_id", "email", "name_norm", has_name.alias("named")]
-    first = new.groupBy(*keys).agg(F.min_by(row, "seq").alias("r"), F.min_by(F.when(role, row), F.when(role, F.col("seq"))).alias("s"))
-    some = first.select(F.explode(F.array_distinct(F.filter(F.array("r", "s"), lambda x: x.isNotNull()))).alias("r")).select("r.*")
-    roles = new.where(F.col("email").isNull() & role)  # of a name alone any role may meet another contact
-    folded = some.where(~(F.col("email").isNull() & role)).unionByName(roles)
-    rows = cut(old.unionByName(folded).withColumn("id", F.monotonically_increasing_id()))
-
-    # links of rows by address, and by name where a row without an address has it: else a name decides nothing
-    of_venue = lambda k: F.concat_ws("\n", F.coalesce(F.col("venue_id").cast("string"), F.lit("")), k)
-    by_name = of_venue(F.concat(F.lit("name:"), F.col("name_norm")))
-    bare = rows.where("email is null and name_norm is not null").select(by_name.alias("k")).distinct()
-    names = rows.where("name_norm is not null").select("id", by_name.alias("k")).join(bare, "k", "left_semi").select("id", "k")
-    keys = F.array_distinct(F.filter(F.array("email", "dedupe_key"), lambda k: k.isNotNull()))
-    at = rows.select("id", "venue_id", F.explode(keys).alias("k")).select("id", of_venue(F.col("k")).alias("k")).unionByName(names).distinct()
-    least = at.groupBy("k").agg(F.min("id").alias("least"), F.count("*").alias("n")).where("n > 1").select("k", "least")
-    links = at.join(least, "k").select(F.col("id").alias("u"), F.col("least").alias("v"))
-    roots = cut(connected_components(links))
-    linked = roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())
-    several = rows.join(linked.withColumnRenamed("node", "id"), "id")
-    alone = rows.join(linked, rows["id"] == linked["node"], "left_anti").select(*cols)
-    return alone.unionByName(several.groupBy("root").applyInPandas(merge, CONTACT))
+    Rows with neither address nor name are refused. Existing contacts with one address are one contact.
+
+    All of it is grouping. Rows of an address are one contact, named by its first row with a name. Rows of a name alone
+    are a contact of their own if the first of them comes before any address has the name; that contact takes the first
+    new address that comes with the name afterwards, unless an older contact has got the name by then. The remaining rows
+    of a name alone give their role to the oldest contact that has the name at their time, which is a running minimum.
+
+    Defined results: rows of one seq are ordered by a hash of their values; a null venue is a venue; empty tables give
+    what the other holds; other columns are ignored."""
+    key = F.coalesce(F.col("venue_id"), F.lit(-(1 << 63)))
+    old = _filled(existing).withColumn("new", F.lit(False))
+    new = _filled(incoming).withColumns({"email": F.nullif(F.lower(F.regexp_replace("email", r"(?U)^\s+|\s+$", "")), F.lit("")), "first_seq": F.col("seq"), "new": F.lit(True)})
+    new = new.withColumn("dedupe_key", F.coalesce("email", F.concat(F.lit("name:"), "name_norm"))).where("dedupe_key is not null")
+    tie = F.xxhash64("email", "contact_name", "contact_role", "source")
+    rows = cut(old.unionByName(new).withColumns({"v": key, "t": F.struct("new", "seq", tie.alias("tie"))}))
+    row = F.struct(*[c for c in rows.columns if c != "v"])
+    when_named = F.when(F.col("contact_name").isNotNull(), F.col("t"))
+
+    # contacts by address, and names without one
+    by_email = rows.where("email is not null").groupBy("v", "email").agg(F.min_by(row, "t").alias("first"), F.min_by("contact_name", when_named).alias("named"), F.min_by("name_norm", when_named).alias("n"), F.min(when_named).alias("since"))
+    bare = rows.where("email is null and name_norm is not null").withColumnRenamed("name_norm", "n")
+    started = bare.groupBy("v", "n").agg(F.min_by(F.struct(*[c for c in bare.columns if c not in ("v", "n")]), "t").alias("start"))
+    owners = by_email.where("n is not null").select("v", "n", "email", "since", F.col("first.t").alias("pos"))
+    # a contact that lost its name is found by the key that it had
+    nameless = rows.where("email is null and name_norm is null and dedupe_key like 'name:%'").groupBy("v", F.expr("substring(dedupe_key, 6)").alias("n")).agg(F.min_by(row, "t").alias("had"))
+    alone = started.join(owners.groupBy("v", "n").agg(F.min("since").alias("taken")), ["v", "n"], "left")
+    alone = alone.where(~F.col("start.new") | F.col("taken").isNull() | (F.col("start.t") < F.col("taken"))).join(nameless, ["v", "n"], "left")
+    alone = cut(alone.select("v", "n", "start", "had", F.coalesce("had.t", "start.t").alias("pos")))
+
+    # the address that a name alone takes
+    met = owners.join(alone.select("v", "n", F.col("start.t").alias("began"), F.col("pos").alias("own")), ["v", "n"])
+    older = met.where("pos < own").groupBy("v", "n").agg(F.min("since").alias("older"))
+    fresh = by_email.where("first.new and first.name_norm is not null").select("v", F.col("first.name_norm").alias("n"), "first").join(alone.select("v", "n", F.col("start.t").alias("began")), ["v", "n"]).where("first.t > began")
+    taken = fresh.join(older, ["v", "n"], "left").where("older is null or first.t < older").groupBy("v", "n").agg(F.min_by("first", "first.t").alias("by"))
+    taken = cut(taken)
+    promoted = taken.select("v", F.col("by.email").alias("email"), F.col("n").alias("of"))
+    emails = by_email.join(promoted, ["v", "email"], "left")
+
+    # which contact each row goes to: id is the address, or the name of a contact that began without one
+    ids = emails.where("of is null and n is not null").select("v", "n", F.col("since").alias("t"), F.struct("first.t", F.lit("e").alias("kind"), F.col("email").alias("id")).alias("contact"))
+    ids = ids.unionByName(alone.select("v", "n", F.col("start.t").alias("t"), F.struct(F.col("pos").alias("t"), F.lit("n").alias("kind"), F.col("n").alias("id")).alias("contact")))
+    asking = bare.where("contact_role is not null").select("v", "n", "t", "contact_role")
+    line = Window.partitionBy("v", "n").orderBy("t", F.col("contact").isNull()).rowsBetween(Window.unboundedPreceding, 0)
+    events = ids.withColumn("contact_role", F.lit(None).cast("string")).unionByName(asking.withColumn("contact", F.lit(None).cast(ids.schema["contact"].dataType)))
+    given = events.withColumn("hit", F.min("contact").over(line)).where("contact_role is not null and hit is not null").select("v", F.col("hit.kind").alias("kind"), F.col("hit.id").alias("id"), "t", "contact_role")
+    own = rows.where("email is not null and contact_role is not null").join(promoted, ["v", "email"], "left").select("v", F.when(F.col("of").isNull(), "e").otherwise("n").alias("kind"), F.coalesce("of", "email").alias("id"), "t", "contact_role")
+    had = nameless.where("had.contact_role is not null").select("v", F.lit("n").alias("kind"), F.col("n").alias("id"), F.col("had.t").alias("t"), F.col("had.contact_role").alias("contact_role"))
+    roles = given.unionByName(own).unionByName(had).groupBy("v", "kind", "id").agg(F.min_by("contact_role", "t").alias("role"))
+
+    fields = [c.split()[0] for c in CONTACT.split(", ")]
+    plain = emails.where("of is null").select("v", F.lit("e").alias("kind"), F.col("email").alias("id"), *[F.col(f"first.{c}").alias(c) for c in fields if c not in ("contact_name", "contact_role")], F.col("named").alias("contact_name"))
+    begun = alone.join(taken, ["v", "n"], "left")
+    moved = {c: F.when(F.col("by").isNotNull(), F.col(f"by.{c}")).otherwise(F.when(F.col("had").isNotNull(), F.col(f"had.{c}")).otherwise(F.col(f"start.{c}"))) for c in ("email", "dedupe_key", "source", "source_url", "confidence")}
+    kept = {c: F.when(F.col("had").isNotNull(), F.col(f"had.{c}")).otherwise(F.col(f"start.{c}")) for c in ("venue_id", "verification_status", "first_seq")}
+    begun = begun.select("v", F.lit("n").alias("kind"), F.col("n").alias("id"), *[x.alias(c) for c, x in (moved | kept).items()], F.col("start.contact_name").alias("contact_name"))
+    merged = plain.unionByName(begun).join(roles, ["v", "kind", "id"], "left").withColumn("contact_role", F.col("role")).select(*fields)
+    waiting = nameless.join(alone, ["v", "n"], "left_anti").select(*[F.col(f"had.{c}").alias(c) for c in fields])
+    empty = rows.where("email is null and name_norm is null and coalesce(dedupe_key, '') not like 'name:%'").select(*fields)
+    return merged.unionByName(waiting).unionByName(empty)
 
 
 def ingest_pages(hits: DataFrame, kinds: DataFrame, key: str = "url") -> DataFrame:
@@ -248,14 +140,7 @@ def group_owners(contacts: DataFrame, matches: DataFrame) -> DataFrame:
     return rows.groupBy(normalise_name(F.col("contact_name")).alias("name_norm")).agg(F.count_distinct("business_id").alias("n_companies"), F.count_distinct("venue_id").alias("n_venues"), F.min("business_id").alias("company"))
 
 
-def person_shaped(name: Column, prose: tuple[str, ...] = fixed.PROSE_WORDS) -> Column:
-    words = F.filter(F.split(F.trim(name), "\\s+"), lambda w: w != "")
-    flat = F.transform(words, lambda w: F.regexp_replace(F.lower(fold(w)), "^[.,:;]+|[.,:;]+$", ""))
-    trade = F.lower(fold(name)).rlike("policy|oy|ltd|restaurant|ravintola")
-    return F.coalesce(F.size(words).between(2, 3) & F.forall(words, lambda w: F.length(w) >= 2) & ~trade & ~F.exists(flat, lambda w: w.isin(*prose)), F.lit(False))
-
-
-def name_screen(contacts: DataFrame, venues: DataFrame, sites: DataFrame, matches: DataFrame, min_sites: int = 3, prose: tuple[str, ...] = fixed.PROSE_WORDS) -> DataFrame:
+def name_screen(contacts: DataFrame, venues: DataFrame, sites: DataFrame, matches: DataFrame, min_sites: int = 3, prose: tuple[str, ...] | None = None) -> DataFrame:
     """Named contacts with hard and soft reasons against the name. Hard ones clear name and role and leave the address."""
     norm = normalise_name(F.col("contact_name"))
     rows = contacts.where("contact_name is not null").withColumn("name_norm", norm).join(venues.select("venue_id", normalise_name(F.col("name")).alias("venue_norm")), "venue_id")
@@ -366,6 +251,25 @@ def jobad_match(ads: DataFrame, venues: DataFrame, text: str = "text") -> DataFr
     return rows.where(F.lower(text).contains(F.lower("name")) & ((F.col("board_country") == F.col("country")) | F.col("board_country").isNull())).drop("name", "country")
 
 
+def jobad_contacts(ads: DataFrame, venues: DataFrame, text: str = "text", url: str = "url") -> DataFrame:
+    """Incoming contacts of the job ads that name their venue, at medium confidence whatever their channel."""
+    found = harvest_contacts(jobad_match(ads, venues, text), ["venue_id", url], text)
+    return found.select("venue_id", "email", "contact_name", "contact_role", F.lit("jobad").alias("source"), F.col(url).alias("source_url"), F.lit("medium").alias("confidence"), F.lit(None).cast("string").alias("verification_status"))
+
+
+def cms_user_contacts(users: DataFrame, url: str = "url") -> DataFrame:
+    """Incoming contacts of a content system's users (pages.cms_user_names, with venue_id): names only, at low confidence."""
+    none = F.lit(None).cast("string")
+    return users.select("venue_id", none.alias("email"), "contact_name", none.alias("contact_role"), F.lit("website_cms_user").alias("source"), F.col(url).alias("source_url"), F.lit("low").alias("confidence"), none.alias("verification_status")).distinct()
+
+
+def off_domain_chosen(contacts: DataFrame, sites: DataFrame) -> DataFrame:
+    """Off-domain contacts among those that the sheet chooses."""
+    from .sheet import best_email_contact
+
+    return off_domain_contacts(best_email_contact(contacts), sites)
+
+
 def off_domain_contacts(contacts: DataFrame, sites: DataFrame) -> DataFrame:
     """Contacts whose address is neither at the venue's site nor at a subdomain of it."""
     domain = email_domain(F.col("email"))

@@ -6,6 +6,7 @@ for. A null page counts as empty; extra columns pass through where a job returns
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterator
 from urllib.parse import urljoin
 
@@ -121,15 +122,17 @@ def crawl_tier(sites: DataFrame) -> DataFrame:
     return sites.withColumn("tier", F.when(F.col("is_blocked"), F.lit("last_resort")).when(F.col("cms").isin("wordpress", "squarespace"), F.lit("api")).when(F.col("cms").isin("wix", "webflow") | F.col("is_shell"), F.lit("render")).otherwise(F.lit("static")))
 
 
-def listing_meta(pages: DataFrame, html: str = "html") -> DataFrame:
-    """Adds title (without the site's suffix), description, image_id, and lang, city_slug, venue_slug, listing_id of the
-    canonical URL. The order of a tag's attributes doesn't matter."""
+def listing_meta(pages: DataFrame, html: str = "html", site: str | None = None) -> DataFrame:
+    """Adds title (without the site's name after a bar; any name that stands after a bar and spaces if `site` isn't
+    given), description, image_id, and lang, city_slug, venue_slug, listing_id of the canonical URL. The order of a tag's
+    attributes doesn't matter."""
     tags = F.regexp_extract_all(F.coalesce(html, F.lit("")), F.lit("(?is)<(?:meta|link)\\b[^>]*>"), F.lit(0))
     rows = pages.withColumn("__tags", tags)
     value = lambda name, att: F.coalesce(F.nullif(F.trim(attribute(F.try_element_at(F.filter("__tags", lambda t: (attribute(t, "property") == name) | (attribute(t, "rel") == name)), F.lit(1)), att)), F.lit("")))
     canonical = value("canonical", "href")
     piece = lambda k: F.nullif(F.regexp_extract(canonical, "^(?:https?://[^/]+)?/([a-z]{2})/([^/]+)/([^/]+)/([0-9]+)", k), F.lit(""))
-    title = F.trim(F.regexp_replace(visible_text(value("og:title", "content")), "\\s*[|–-]\\s*[^|–-]*$", ""))
+    suffix = r"\s+\|\s+[^|]*$" if site is None else r"(?i)\s*\|\s*" + re.escape(site) + r"\s*$"
+    title = F.trim(F.regexp_replace(visible_text(value("og:title", "content")), suffix, ""))
     return rows.withColumns({
         "title": F.nullif(title, F.lit("")), "description": value("og:description", "content"),
         "image_id": F.regexp_extract(value("og:image", "content"), "/restaurant/([0-9]+)/", 1).try_cast("long"),
@@ -143,15 +146,12 @@ def listing_guards(listings: DataFrame, probed: str = "probed_id") -> DataFrame:
     return listings.withColumns({"refused": F.coalesce(F.trim("title"), F.lit("")) == "", "review_reason": F.nullif(reasons, F.lit("")), "needs_review": (reasons != "").cast("int")})
 
 
-_BUSINESS = ("restaurant", "localbusiness", "foodestablishment", "cafeorcoffeeshop", "barorpub", "bakery", "hotel", "organization")
 
 
 class JsonLdNodes:
     """A table function: business nodes of a page's JSON-LD blocks, however deep."""
 
     def eval(self, html: str) -> Iterator[tuple]:
-        import re
-
         pos = 0
         for block in re.findall(r"(?is)<script[^>]*application/ld\+json[^>]*>(.*?)</script>", html or ""):
             try:
@@ -169,14 +169,14 @@ class JsonLdNodes:
                 elif isinstance(x, dict):
                     kinds = x.get("@type")
                     kinds = [str(k).lower() for k in (kinds if isinstance(kinds, list) else [kinds])]
-                    rank = min((_BUSINESS.index(k) for k in kinds if k in _BUSINESS), default=None)
+                    rank = min((fixed.BUSINESS_TYPES[k] for k in kinds if k in fixed.BUSINESS_TYPES), default=None)
                     if rank is not None:
                         text = lambda v: None if v is None or isinstance(v, (dict, list)) else str(v)
                         part = lambda name, x=x: x[name] if isinstance(x.get(name), dict) else {}
                         address, rating, geo = part("address"), part("aggregateRating"), part("geo")
                         cuisine = x.get("servesCuisine")
-                        filled = sum(v not in (None, "", [], {}) for k, v in x.items() if not k.startswith("@"))
-                        yield (pos, rank, filled, text(x.get("@id") or x.get("url")), text(x.get("name")), text(x.get("telephone")), text(address.get("streetAddress")), text(address.get("postalCode")), text(address.get("addressLocality")),
+                        filled = sum(bool(x.get(k)) for k in fixed.BUSINESS_KEYS)
+                        yield (pos, rank, filled, text(x.get("@id")), text(x.get("name")), text(x.get("telephone")), text(address.get("streetAddress")), text(address.get("postalCode")), text(address.get("addressLocality")),
                                text(rating.get("ratingValue")), text(rating.get("reviewCount")), text(geo.get("latitude")), text(geo.get("longitude")), [str(c) for c in (cuisine if isinstance(cuisine, list) else [cuisine] if cuisine else [])])
                         pos += 1
                     todo += [v for k, v in x.items() if isinstance(v, (dict, list)) and k not in ("review", "author", "aggregateRating")]
@@ -191,14 +191,28 @@ def jsonld_nodes(pages: DataFrame, key: str = "page_id", html: str = "html") ->
 
 
 def best_jsonld_node(nodes: DataFrame, key: str = "page_id", wanted_id: str | None = None) -> DataFrame:
-    """One node a page: of the wanted id if any, else of the better type, then the fullest, then the first."""
-    miss = F.lit(0) if wanted_id is None else F.when(F.col("node_id").contains(F.col(wanted_id).cast("string")), 0).otherwise(1)
+    """One node a page: of the wanted id (the node's @id, or its last part) if any, else of the better type, then the
+    fullest, then the first."""
+    own = F.regexp_replace("node_id", "/+$", "")
+    wanted = F.col(wanted_id).cast("string") if wanted_id else F.lit("")
+    miss = F.when(F.endswith(own, F.concat(F.lit("/"), wanted)) | (F.col("node_id") == wanted), 0).otherwise(1) if wanted_id else F.lit(0)
     return nodes.groupBy(key).agg(F.min_by(F.struct(*nodes.columns), F.struct(miss, "type_rank", -F.col("filled"), "pos")).alias("n")).select("n.*")
 
 
+def map_address(html: Column) -> Column:
+    """The address in the first link to a map that names one, as its query, destination or place; bare coordinates don't
+    count."""
+    links = F.regexp_extract_all(F.coalesce(html, F.lit("")), F.lit(fixed.MAP_LINK), F.lit(1))
+    given = lambda u, pattern: F.trim(F.try_url_decode(F.nullif(F.regexp_extract(u, pattern, 1), F.lit(""))))
+    named = lambda x: F.when((x != "") & ~x.rlike(r"^[-0-9.,\s]+$"), x)
+    places = [*(rf"[?&](?:amp;)?{k}=([^&#]+)" for k in ("q", "query", "destination", "daddr")), r"/maps/place/([^/@?]+)"]
+    found = F.transform(links, lambda u: F.coalesce(*[named(given(u, x)) for x in places]))
+    return F.try_element_at(F.filter(found, lambda x: x.isNotNull()), F.lit(1))
+
+
 def detail_fields(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
-    """phone, street, postcode, rating, reviews, tags and three keyword flags: JSON-LD first, then patterns; `trace` says
-    which gave the phone and the postcode."""
+    """phone, street (or else the address in a map link), postcode, rating, reviews, tags and three keyword flags: JSON-LD
+    first, then patterns; `trace` says which gave the phone and the postcode."""
     node = best_jsonld_node(jsonld_nodes(pages, key, html), key).select(key, "telephone", "street", F.col("postcode").alias("ld_postcode"), "rating", "reviews", "cuisine")
     text = visible_text(F.col(html))
     none = lambda c: F.nullif(c, F.lit(""))
@@ -208,16 +222,28 @@ def detail_fields(pages: DataFrame, key: str = "page_id", html: str = "html") ->
     flag = lambda words: F.lower(text).rlike(words).cast("int")
     rows = pages.select(key, html).join(node, key, "left")
     return rows.select(
-        key, F.coalesce("telephone", tel, seen).alias("phone"), "street", F.coalesce("ld_postcode", postcode).alias("postcode"), F.col("rating").try_cast("double").alias("rating"), F.col("reviews").try_cast("int").alias("reviews"),
+        key, F.coalesce("telephone", tel, seen).alias("phone"), F.coalesce("street", map_address(F.col(html))).alias("street"), F.coalesce("ld_postcode", postcode).alias("postcode"), F.col("rating").try_cast("double").alias("rating"), F.col("reviews").try_cast("int").alias("reviews"),
         F.array_sort(F.array_distinct(F.coalesce("cuisine", F.array()))).alias("tags"), flag("michelin").alias("is_michelin"), flag("(special|campaign) offer|tarjous|pakkumine").alias("has_offer"), flag("gift ?card|lahjakortti|kinkekaart").alias("has_gift_card"),
         F.filter(F.array(F.when(F.col("telephone").isNotNull(), F.lit("phone:jsonld")).when(tel.isNotNull(), F.lit("phone:tel")).when(seen.isNotNull(), F.lit("phone:text")), F.when(F.col("ld_postcode").isNotNull(), F.lit("postcode:jsonld")).when(postcode.isNotNull(), F.lit("postcode:text"))), lambda x: x.isNotNull()).alias("trace"),
     )
 
 
 def page_profile(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
-    """Per page: JSON-LD blocks, telephone and map links, and the first 600 characters of its text."""
-    count = lambda p: F.size(F.regexp_extract_all(F.coalesce(html, F.lit("")), F.lit(p), F.lit(0)))
-    return pages.select(key, count("(?i)application/ld\\+json").alias("ld_blocks"), count("(?i)href=[\"']tel:").alias("tel_links"), count("(?i)href=[\"'][^\"']*(?:maps\\.google|google\\.[a-z.]+/maps)").alias("map_links"), F.substring(visible_text(F.col(html)), 1, 600).alias("opening"))
+    """Per page: JSON-LD blocks, their types and keys (sorted), telephone and map links, and the first 600 characters of
+    its text."""
+    source = F.coalesce(html, F.lit(""))
+    every = lambda p, group=0: F.regexp_extract_all(source, F.lit(p), F.lit(group))
+    blocks = F.array_join(every(r"(?is)<script[^>]*application/ld\+json[^>]*>(.*?)</script>", 1), "\n")
+    inside = lambda p: F.array_sort(F.array_distinct(F.regexp_extract_all(blocks, F.lit(p), F.lit(1))))
+    return pages.select(
+        key,
+        F.size(every(r"(?i)application/ld\+json")).alias("ld_blocks"),
+        inside(r'"@type"\s*:\s*\[?\s*"([^"]+)"').alias("ld_types"),
+        inside(r'"([A-Za-z]\w*)"\s*:').alias("ld_keys"),
+        F.size(every("(?i)href=[\"']tel:")).alias("tel_links"),
+        F.size(every(fixed.MAP_LINK)).alias("map_links"),
+        F.substring(visible_text(F.col(html)), 1, 600).alias("opening"),
+    )
 
 
 def flatten_cms_api(captures: DataFrame, body: str = "body") -> DataFrame:

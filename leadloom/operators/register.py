@@ -61,36 +61,74 @@ def board_members(rows: DataFrame) -> DataFrame:
 
 
 #: Pieces of keys that name fields of a person record, best first, and lists that hold no people.
-PERSON_HINTS = {"code": ("ariregistri_kood", "kood"), "given": ("eesnimi",), "surname": ("nimi_arinimi", "perenimi"), "combined": ("nimi",), "role": ("roll_tekstina", "roll"), "ended": ("lopp_kpv", "kehtivuse_lopp")}
+PERSON_HINTS = {"code": ("ariregistri_kood", "kood"), "given": ("eesnimi",), "surname": ("nimi_arinimi", "perenimi"), "combined": ("nimi",), "role": ("roll_tekstina", "roll"), "ended": ("kehtivuse_lopp", "end_date", "lopp_kpv", "loppemise")}
 
 
-def register_persons(records: DataFrame, list_hints: tuple[str, ...] = ("kaardile_kantud_isikud", "isikud", "persons"), list_denied: tuple[str, ...] = ("esindus",)) -> DataFrame:
+PERSON_LISTS, NO_PERSON_LISTS = ("kaardile_kantud_isikud", "isikud", "persons"), ("esindus",)
+
+
+def _pick(entries: Column, hints: tuple[str, ...]) -> Column:
+    """The value of the first hint that a key contains, with a plain value."""
+    full = lambda h: F.filter(entries, lambda x: F.lower(fold(x["key"])).contains(h) & (F.trim(F.coalesce(x["value"], F.lit(""))) != "") & ~x["value"].rlike("^\\s*[\\[{]"))
+    return F.coalesce(*[F.try_element_at(full(h), F.lit(1))["value"] for h in hints])
+
+
+def _person_name(entries: Column) -> Column:
+    given, surname = _pick(entries, PERSON_HINTS["given"]), _pick(entries, PERSON_HINTS["surname"])
+    return F.when(given.isNotNull() & surname.isNotNull(), F.concat_ws(" ", given, surname)).otherwise(_pick(entries, PERSON_HINTS["combined"]))
+
+
+def _people(records: DataFrame, list_hints: tuple[str, ...], list_denied: tuple[str, ...]) -> DataFrame:
+    """(business_id, own, lists, people) of each record: its entries, those that are lists of people, and these people."""
+    text = records.select(F.map_entries(F.from_json(F.to_json("record"), "map<string,string>")).alias("own"))
+    is_list = lambda x: F.lower(fold(x["key"])).rlike("|".join(list_hints)) & ~F.lower(fold(x["key"])).rlike("|".join(list_denied)) & F.coalesce(x["value"], F.lit("")).startswith("[")
+    rows = text.withColumn("lists", F.filter("own", is_list))
+    people = F.flatten(F.transform("lists", lambda x: F.coalesce(F.from_json(x["value"], "array<map<string,string>>"), F.array().cast("array<map<string,string>>"))))
+    return rows.select(_pick(F.col("own"), PERSON_HINTS["code"]).alias("business_id"), "own", "lists", people.alias("people"))
+
+
+def register_persons(records: DataFrame, list_hints: tuple[str, ...] = PERSON_LISTS, list_denied: tuple[str, ...] = NO_PERSON_LISTS) -> DataFrame:
     """(business_id, person_name, role, ended) of records whose keys differ by release: a field is the first hint that a
-    key contains, with a value; people are in a list whose key has a hint, or the record is one person itself."""
-    rows = records.withColumn("rid", F.monotonically_increasing_id())
-    text = rows.select("rid", F.map_entries(F.from_json(F.to_json("record"), "map<string,string>")).alias("e"))
-
-    def pick(entries: Column, hints: tuple[str, ...]) -> Column:
-        full = lambda h: F.filter(entries, lambda x: F.lower(fold(x["key"])).contains(h) & (F.trim(F.coalesce(x["value"], F.lit(""))) != "") & ~x["value"].rlike("^\\s*[\\[{]"))
-        return F.coalesce(*[F.try_element_at(full(h), F.lit(1))["value"] for h in hints])
-
-    is_list = lambda x: F.lower(x["key"]).rlike("|".join(list_hints)) & ~F.lower(x["key"]).rlike("|".join(list_denied)) & F.coalesce(x["value"], F.lit("")).startswith("[")
-    lists = F.flatten(F.transform(F.filter("e", is_list), lambda x: F.from_json(x["value"], "array<map<string,string>>")))
-    head = text.select("rid", pick(F.col("e"), PERSON_HINTS["code"]).alias("business_id"), F.col("e").alias("own"), lists.alias("people"))
-    nested = head.where(F.size("people") > 0).select("rid", "business_id", F.explode("people").alias("m")).select("rid", "business_id", F.map_entries("m").alias("p"))
-    flat = head.where(F.coalesce(F.size("people"), F.lit(0)) <= 0).select("rid", "business_id", F.col("own").alias("p"))
+    key contains, with a value; people are in a list whose key has a hint, or the record is one person itself. People who
+    have left are marked ended; current_persons leaves them out."""
+    head = _people(records, list_hints, list_denied)
+    nested = head.where(F.size("people") > 0).select("business_id", F.explode("people").alias("m")).select("business_id", F.map_entries("m").alias("p"))
+    flat = head.where(F.size("people") <= 0).select("business_id", F.col("own").alias("p"))
     everyone = nested.unionByName(flat)
-    given, surname = pick(F.col("p"), PERSON_HINTS["given"]), pick(F.col("p"), PERSON_HINTS["surname"])
-    name = F.when(given.isNotNull() & surname.isNotNull(), F.concat_ws(" ", given, surname)).otherwise(pick(F.col("p"), PERSON_HINTS["combined"]))
-    out = everyone.select("business_id", name.alias("person_name"), pick(F.col("p"), PERSON_HINTS["role"]).alias("role"), pick(F.col("p"), PERSON_HINTS["ended"]).isNotNull().alias("ended"))
+    out = everyone.select("business_id", _person_name(F.col("p")).alias("person_name"), _pick(F.col("p"), PERSON_HINTS["role"]).alias("role"), _pick(F.col("p"), PERSON_HINTS["ended"]).isNotNull().alias("ended"))
     return out.where("business_id is not null and person_name is not null")
 
 
-def person_loss_profile(records: DataFrame, people: DataFrame) -> DataFrame:
-    """One row: records, records with people, people, ended, current."""
-    a = records.agg(F.count("*").alias("records"))
-    b = people.agg(F.count_distinct("business_id").alias("companies"), F.count("*").alias("people"), F.count_if("ended").alias("ended"), F.count_if(~F.col("ended")).alias("kept"))
-    return a.crossJoin(b)
+def current_persons(records: DataFrame, **lists) -> DataFrame:
+    """(business_id, person_name, role) of people who haven't left; a missing role is a board member's."""
+    rows = register_persons(records, **lists).where(~F.col("ended"))
+    return rows.select("business_id", "person_name", F.coalesce("role", F.lit("board member")).alias("role"))
+
+
+def person_losses(records: DataFrame, list_hints: tuple[str, ...] = PERSON_LISTS, list_denied: tuple[str, ...] = NO_PERSON_LISTS) -> DataFrame:
+    """One row: records, those without a code, without a list of people and with an empty one, people in lists, those
+    without a name, who left, and who are current: why a dump yields as few people as it does."""
+    rows = _people(records, list_hints, list_denied)
+    one = rows.agg(
+        F.count("*").alias("records"),
+        F.count_if(F.col("business_id").isNull()).alias("no_code"),
+        F.count_if(F.col("business_id").isNotNull() & (F.size("lists") == 0)).alias("no_list"),
+        F.coalesce(F.sum(F.when(F.col("business_id").isNotNull(), F.size(F.filter("lists", lambda x: x["value"].rlike(r"^\s*\[\s*\]\s*$"))))), F.lit(0)).alias("empty_lists"),
+    )
+    person = rows.where("business_id is not null").select(F.explode("people").alias("m")).select(F.map_entries("m").alias("p"))
+    name, ended = _person_name(F.col("p")), _pick(F.col("p"), PERSON_HINTS["ended"]).isNotNull()
+    two = person.agg(F.count("*").alias("people"), F.count_if(name.isNull()).alias("no_name"), F.count_if(name.isNotNull() & ended).alias("ended"), F.count_if(name.isNotNull() & ~ended).alias("kept"))
+    return one.crossJoin(two)
+
+
+def person_keys(records: DataFrame, list_hints: tuple[str, ...] = PERSON_LISTS, list_denied: tuple[str, ...] = NO_PERSON_LISTS) -> DataFrame:
+    """(level, json_key, n): how often each key occurs in records, as a list of people, and in people."""
+    rows = _people(records, list_hints, list_denied)
+    keys = lambda level, c: c.select(F.lit(level).alias("level"), F.col("e.key").alias("json_key"))
+    coded = rows.where("business_id is not null")
+    every = keys("record", rows.select(F.explode("own").alias("e"))).unionByName(keys("list", coded.select(F.explode("lists").alias("e"))))
+    every = every.unionByName(keys("person", coded.select(F.explode("people").alias("m")).select(F.explode(F.map_entries("m")).alias("e"))))
+    return every.groupBy("level", "json_key").agg(F.count("*").alias("n"))
 
 
 def key_profile(objects: Column, df: DataFrame, top: int = 14) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.components import cut
 from ..functions.text import canonical_slug, haversine_m, host_of, normalise_name, number_of, similarity, street_of
 
 #: The weights of the score's parts.
@@ -100,9 +101,7 @@ def tenure_buckets(venues: DataFrame, key: str = "venue_id", buckets: int = 4) -
     The rank is found without one task for all rows: keys are range-partitioned, a partition counts its rows, and the
     counts before it (as many as there are partitions) are added to the ranks within it."""
     ordered = venues.withColumn("__key", F.col(key)).repartitionByRange("__key").sortWithinPartitions("__key").withColumn("__p", F.spark_partition_id())
-    from ..streaming.incremental import kept_once
-
-    ordered = kept_once(ordered)
+    ordered = cut(ordered)
     counts = ordered.groupBy("__p").agg(F.count("*").alias("c"))
     before = counts.select("__p", (F.sum("c").over(Window.orderBy("__p")) - F.col("c")).alias("__before"), F.sum("c").over(Window.partitionBy()).alias("__n"))
     rank = F.row_number().over(Window.partitionBy("__p").orderBy("__key")) - 1 + F.col("__before")

@@ -3,7 +3,7 @@ to a new path, as Parquet has no updates in place."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 
@@ -57,14 +57,21 @@ def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
     (df.coalesce(1) if single_file else df).write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
 
 
-def write_contact_sheet(sheet: DataFrame, path: str, single_file: bool = True) -> None:
+def write_contact_sheet(sheet: DataFrame, path: str, single_file: bool = False) -> None:
     """The sheet as CSV; a byte-order mark before the first column's name lets spreadsheets read it as UTF-8."""
     first, *rest = sheet.columns
     write_csv(sheet.select(F.col(first).alias("﻿" + first), *rest), path, single_file)
 
 
-def write_ranked_list(ranked: DataFrame, path: str) -> None:
-    write_csv(ranked, path, True)
+def write_ranked_list(ranked: DataFrame, path: str, single_file: bool = False) -> None:
+    """The list as CSV; in one file only if asked for (a list is as long as top_by_score makes it)."""
+    write_csv(ranked, path, single_file)
+
+
+def observed(rows: DataFrame, name: str, **counts: Column) -> tuple[DataFrame, Observation]:
+    """rows, counted while they are written: after the write, Observation.get holds n and each of the counts."""
+    seen = Observation(name)
+    return rows.observe(seen, F.count(F.lit(1)).alias("n"), *[F.count_if(c).alias(k) for k, c in counts.items()]), seen
 
 
 def write_payloads(payloads: DataFrame, path: str) -> None:
@@ -79,6 +86,7 @@ def audit_export(screened: DataFrame, path: str) -> None:
 
 
 def append_run_log(counts: DataFrame, path: str) -> None:
+    """counts: one row a run, as of Observation.get of what was written."""
     counts.withColumn("at", F.current_timestamp()).write.mode("append").parquet(path)
 
 

@@ -204,8 +204,11 @@ def overwrite_flags(spark, sf_dir):
 def capture_versions(spark, sf_dir):
     """Three rounds of captures, the later ones repeating the earlier."""
     d = table(spark, sf_dir, "documents").select(F.col("source").alias("key"), F.col("text").alias("content"), F.col("doc_id").alias("seq"))
-    none = d.sparkSession.createDataFrame([], "key string, sha string, version int, content string")
-    return w.append_versions(none, d).select("key", "sha", "version")
+    last = d.agg(F.max("seq")).first()[0] or 0
+    kept = d.sparkSession.createDataFrame([], "key string, sha string, version int, content string")
+    for upto in (last // 3, 2 * last // 3, last):
+        kept = w.append_versions(kept, d.where(F.col("seq") <= upto))
+    return kept.select("key", "sha", "version")
 
 
 # --- windows ---
@@ -529,3 +532,6 @@ def crm_payloads(spark, sf_dir):
     scores = priority_score(spark, sf_dir)
     venues = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("venue_id"), F.col("c_name").alias("name"), *[F.lit(None).cast("string").alias(x) for x in ("street_address", "postal_code", "city", "business_id")], F.lit("u").alias("url"), F.lit("FI").alias("country"), F.lit(1).alias("venue_count")).join(scores, "venue_id")
     return s.payload_hash(s.crm_payloads(venues, _contacts(spark, sf_dir).withColumn("contact_role", F.lit(None).cast("string")))).select("venue_id", "payload_hash", F.size("persons").alias("n_persons"))
+
+
+from . import derived_pages, derived_people  # noqa: E402, F401 - they register their queries here

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
@@ -10,14 +9,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 
-def kept_once(df: DataFrame) -> DataFrame:
-    """df with its lineage cut by a reliable checkpoint, in the session's folder if it names one."""
-    sc = df.sparkSession.sparkContext
-    if not sc.getConf().get("spark.checkpoint.dir") and sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="leadloom-checkpoint-"))
-    return df.checkpoint()
-
-
 def dedupe_captures(stream: DataFrame, delay: str = "1 day") -> DataFrame:
     """Drops a capture whose key and content came before within the delay; state older than that goes. Exact whatever the
     delay only together with writes.append_versions in the merge."""
