@@ -6,7 +6,7 @@ import os
 import re
 from array import array
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.components import cut as cut
@@ -24,6 +24,17 @@ def whole_text(col: str = "text") -> Column:
     return F.coalesce(F.col(col), F.lit(""))
 
 
+def spread_join(left: DataFrame, right: DataFrame, keys: list[str], hot: DataFrame, by: list[str], how: str = "inner", salts: int = 64) -> DataFrame:
+    """left join right, where the keys in `hot` (a table of bounded size) are spread over many tasks: left's rows by a hash
+    of the columns `by`, while right's, of which there are few for each key, are repeated."""
+    few = F.broadcast(hot.select(*keys).distinct().withColumn("__hot", F.lit(True)))
+    salt = F.when(F.col("__hot"), F.pmod(F.xxhash64(*by), F.lit(salts)).cast("int")).otherwise(0)
+    every = F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    a = left.join(few, keys, "left").withColumn("__salt", salt).drop("__hot")
+    b = right.join(few, keys, "left").withColumn("__salt", F.explode(every)).drop("__hot")
+    return a.join(b, [*keys, "__salt"], how).drop("__salt")
+
+
 def tokenizer(path: str):
     """The tokenizers library's object for a file, once a worker, without truncation and padding."""
     if path not in _tokenizers:

@@ -8,8 +8,10 @@ each content once, and suffixes inside them are refined: positions are bucketed
 their own bucket and that of the position 8, 16, 32, ... bytes later, each pass reusing the buckets that the last one
 set, until buckets are `span` deep; positions alone in a bucket drop out. Windows that share a bucket are equal.
 
-A bucket of more than MOST contents or bytes isn't refined in one task: its windows are counted by a 128-bit hash over
-the cluster, which gives the same. Copies of a text share its key, so their marks are made once and joined back.
+A bucket of more than MOST contents or bytes isn't refined in one task: its contents are dealt anew by deeper q-grams (of
+the bytes halfway to the span, and at last of the whole span, where a bucket holds equal windows only and is counted),
+and refined there. q-grams and contents with a thousandth of all runs or more, a thousand at most, are spread over many
+tasks. Copies of a text share its key, so their marks are made once and joined back.
 
 Defined results: null text counts as empty; texts under `span` bytes lose nothing; a row that repeats with one id is a
 copy like any other; an empty table gives no rows; other columns pass through. In texts kept as strings a character of
@@ -28,10 +30,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, whole_text
+from .common import cut, spread_join, whole_text
 from .superwords import SuperWords, gram_hashes, powers
 
-#: Contents and bytes from which on a bucket is counted by window, and bytes that a task refines at a time.
+#: Contents and bytes from which on a bucket is dealt anew by deeper q-grams, and bytes that a task refines at a time.
 MOST, MOST_BYTES, AT_ONCE = 8192, 3 << 20, 1 << 20
 RUN = ["mh", "k1", "k2"]
 
@@ -97,13 +99,18 @@ def _few(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     return (b.slice(k, FEW) for k in range(0, b.num_rows, FEW))
 
 
+def _bytes(t: pa.Scalar) -> bytes:
+    t = t.as_py()
+    return t.encode() if isinstance(t, str) else t
+
+
 def _least_grams(base: DataFrame, span: int, q: int) -> DataFrame:
     """(mh, own) of every run."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cutter = SuperWords(span, q)
         for b in (x for y in batches for x in _few(y)):
-            for r in cutter.runs(t.as_py().encode() for t in b.column(2)):
+            for r in cutter.runs(_bytes(t) for t in b.column(2)):
                 yield pa.RecordBatch.from_arrays([pa.array(r.least), pa.array(r.own)], ["mh", "own"])
 
     return base.mapInArrow(run, "mh bigint, own boolean")
@@ -115,7 +122,7 @@ def _runs(base: DataFrame, span: int, q: int) -> DataFrame:
 
         cutter = SuperWords(span, q)
         for b in (x for y in batches for x in _few(y)):
-            for r in cutter.runs(t.as_py().encode() for t in b.column(2)):
+            for r in cutter.runs(_bytes(t) for t in b.column(2)):
                 ends = r.start + r.windows + (span - 1)
                 hashes = b"".join([xxh3_128_digest(r.parts[k][i:j]) for k, i, j in zip(r.part.tolist(), r.start.tolist(), ends.tolist(), strict=True)])
                 k = np.frombuffer(hashes, "<i8").reshape(-1, 2)
@@ -161,7 +168,7 @@ def _refined(contents: DataFrame, span: int) -> DataFrame:
 
 
 def _counted(contents: DataFrame, span: int) -> DataFrame:
-    """As _refined, for buckets of any size: windows are counted by hash over the cluster."""
+    """As _refined where the q-grams are as long as the span: each window is a bucket's member, known by a 128-bit hash."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from xxhash import xxh3_128_digest
@@ -182,15 +189,23 @@ def _counted(contents: DataFrame, span: int) -> DataFrame:
 def repeated_spans(docs: DataFrame, span: int = 400, q: int = 64, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(key, marks): of every text (by the MD5 of its UTF-8) with bytes to remove, their intervals [lo, hi) flattened."""
     text = whole_text(text_col)
-    base = docs.select(F.unhex(F.md5(text)).alias("key"), F.xxhash64(id_col).alias("rid"), text.alias("text"))
+    marks = _intervals(docs.select(F.unhex(F.md5(text)).alias("key"), F.xxhash64(id_col).alias("rid"), text.alias("text")), span, q)
+    each = marks.groupBy("key").agg(F.collect_set(F.struct("lo", "hi")).alias("at"))
+    return each.select("key", F.flatten(F.transform(F.array_sort("at"), lambda x: F.array(x["lo"], x["hi"]))).alias("marks"))
+
+
+def _intervals(base: DataFrame, span: int, q: int) -> DataFrame:
+    """(key, lo, hi): intervals of the bytes of texts (key, rid, text) that repeat; text may be binary."""
     runs = _runs(base, span, q)
     # cut twice rather than kept: first only to find the buckets with more than one run
-    shared = _least_grams(base, span, q).groupBy("mh").agg(F.count("*").alias("c"), F.max("own").alias("own")).where("c > 1 or own").select("mh")
-    kept = cut(runs.join(shared, "mh", "left_semi"))
+    shared = cut(_least_grams(base, span, q).groupBy("mh").agg(F.count("*").alias("c"), F.max("own").alias("own")).where("c > 1 or own"))
+    share = max(1000, (shared.agg(F.sum("c")).first()[0] or 0) // 1000)
+    often = shared.where(F.col("c") > share)
+    kept = cut(spread_join(runs, shared.select("mh"), ["mh"], often, ["key", "start"], "left_semi"))
     kinds = kept.groupBy(*RUN).agg(F.count("*").alias("copies"), F.min(F.struct("key", "rid", "start")).alias("at"), F.max("n").alias("n"), F.max("own").alias("own"))
     mixed = kinds.groupBy("mh").agg(F.count("*").alias("kinds"), F.sum(F.col("n") + (span - 1)).alias("bytes"), F.max("own").alias("any_own")).where("kinds > 1 or any_own")
     many = ((F.col("kinds") > MOST) | (F.col("bytes") > MOST_BYTES)).alias("many")
-    todo = cut(kinds.join(mixed, "mh").select(*RUN, "copies", "n", "at.*", many))
+    todo = cut(spread_join(kinds, mixed, ["mh"], often, ["k1"]).select(*RUN, "copies", "n", "at.*", many))
 
     def contents(some: DataFrame) -> DataFrame:
         wanted = some.groupBy("key", "rid").agg(F.collect_list(F.struct(*RUN, "copies", "n", "start")).alias("runs"))
@@ -200,11 +215,20 @@ def repeated_spans(docs: DataFrame, span: int = 400, q: int = 64, id_col: str =
     whole = kinds.where("copies > 1").select(*RUN, F.array(F.struct(F.lit(0).cast("long").alias("a"), F.col("n").alias("b"))).alias("spans"))
     spans = whole.unionByName(_refined(contents(todo.where("not many")), span))
     if not todo.where("many").isEmpty():
-        spans = spans.unionByName(_counted(contents(todo.where("many")), span))
-    marks = kept.join(spans, RUN).select("key", "start", F.explode("spans").alias("s"))
-    at = F.struct((F.col("start") + F.col("s.a")).alias("lo"), (F.col("start") + F.col("s.b") + (span - 1)).alias("hi"))
-    each = marks.groupBy("key").agg(F.collect_set(at).alias("at"))
-    return each.select("key", F.flatten(F.transform(F.array_sort("at"), lambda x: F.array(x["lo"], x["hi"]))).alias("marks"))
+        large, deeper = contents(todo.where("many")), q + (span - q) // 2
+        spans = spans.unionByName(_deeper(cut(large.dropDuplicates(RUN)), span, deeper) if deeper < span - 8 else _counted(large, span))
+    hot = kinds.where(F.col("copies") > share)
+    marks = spread_join(kept, spans, RUN, cut(hot.select(*RUN)), ["key", "start"]).select("key", "start", F.explode("spans").alias("s"))
+    return marks.select("key", (F.col("start") + F.col("s.a")).alias("lo"), (F.col("start") + F.col("s.b") + (span - 1)).alias("hi"))
+
+
+def _deeper(contents: DataFrame, span: int, q: int) -> DataFrame:
+    """As _refined: the contents of large buckets, each once, as texts of their own with longer q-grams."""
+    name = F.concat(*[F.unhex(F.lpad(F.hex(c), 16, "0")) for c in RUN])
+    found = _intervals(contents.select(name.alias("key"), F.lit(0).cast("long").alias("rid"), F.col("content").alias("text")), span, q)
+    spans = found.groupBy("key").agg(F.collect_set(F.struct(F.col("lo").alias("a"), (F.col("hi") - (span - 1)).alias("b"))).alias("spans"))
+    once = contents.where("copies = 1").select(*RUN, name.alias("key"))
+    return once.join(spans, "key").select(*RUN, "spans")
 
 
 def joined_runs(marks: np.ndarray) -> list[tuple[int, int]]:
