@@ -1,14 +1,19 @@
-"""Main text of web pages: page structure, and subtrees that recur over a host's pages.
+"""Main text of web pages: site templates removed by counted subtree hashes, page structure for the rest.
 
-Each page is read once into blocks of text and the subtrees that hold them. Parts whose tag, class or id says that they
-aren't the article (menus, headers, footers, sidebars, notices, adverts, forms, reader comments, scripts, styles) never
-become blocks; where a page marks its article, only that counts. Every subtree left has a hash; Spark counts, for each
-host, on how many different pages a hash occurs, and a subtree that is on at least LEAST_PAGES and on SHARE of the
-host's different pages is the site's template and goes. Copies of one page count once, so an article that is mirrored
-on a host isn't taken for a template.
+Each page is read once into blocks of text and the elements that hold them. Every element's subtree (its tag and the
+text of its blocks) has a hash; Spark counts, for each host, on how many different pages a hash occurs, and a subtree
+that is on at least LEAST_PAGES and on SHARE of the host's different pages is the site's template and goes. Copies of
+one page count once, so an article that is mirrored on a host isn't taken for a template.
 
-A host's templates are few (each is on half its pages, so there are at most twice a page's subtrees); they come back to
-the pages by a join on the host, broadcast only if there are at most BROADCAST of them in all.
+What differs from page to page is told by structure. Elements for menus, footers, sidebars and dialogs go. Elements
+whose class, id or role names a part that isn't the article go as well, and so do forms, unless they hold most of the
+page's other text: then they are a wrapper. A name counts as a whole ("sidebar", not "with-sidebar"), by its last part
+("site-footer", unless the first says no or with) or, of reader comments, by its first ("comment-body"). Where articles
+(or else main elements) hold at least a third of what is left, only they count.
+
+A host's templates are few (each is on a quarter of its pages, so there are at most four times a page's subtrees); they
+come back to the pages by a join on the host, broadcast if there are at most BROADCAST of them in all, else by host and
+a salt, so that no host is one task.
 
 Defined results: null or empty html gives an empty text; a null url counts as a host of its own; markup cut off at the
 end of a page is dropped; repeated rows give repeated results; an empty table gives no rows; other columns are ignored.
@@ -26,125 +31,181 @@ from pyspark.sql import functions as F
 
 from .common import cut
 
-SHARE, LEAST_PAGES, BROADCAST = 0.5, 10, 100_000
+SHARE, LEAST_PAGES, BROADCAST, SALTS = 0.25, 5, 100_000, 32
+#: Share of the other text from which on a marked element is a wrapper, characters that it needs then, and share of the
+#: text that articles need to stand for the page.
+WRAPPER, WRAPPED, ARTICLE = 0.5, 200, 1 / 3
 
 _TAG = re.compile(r"<!--(?s:.*?)(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>\"']|\"[^\"]*+\"|'[^']*+')*+)>|<[!?/a-zA-Z][^<>]*+(?:>|\Z|(?=<))|<\Z")
 _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
+_SPAN = re.compile(r"<(/?)span\b[^>]*>", re.I)
 _RAW = {t: re.compile(rf"</{t}\b[^>]*>", re.I) for t in ("script", "style", "noscript", "template", "iframe", "textarea", "title", "svg", "math", "object", "select", "button", "canvas", "audio", "video")}
-#: Elements whose content is no article text, elements that are blocks, and those among them that hold other blocks.
-_ASIDE = frozenset("nav footer aside form head menu dialog fieldset".split())
-_HOLDERS = frozenset("div section article main header table ul ol dl blockquote figure details body".split())
-_BLOCKS = _HOLDERS | _ASIDE | frozenset("p h1 h2 h3 h4 h5 h6 li tr dt dd pre hr figcaption summary address caption html".split())
-#: Words of a class, id or role that mark what isn't the article.
+#: Elements that are no article text, elements that hold blocks, and other blocks.
+_ASIDE = frozenset("nav footer aside head menu dialog".split())
+_HOLDERS = frozenset("div section article main header table ul ol dl blockquote figure details body form fieldset".split())
+_BLOCKS = _ASIDE | _HOLDERS | frozenset("p h1 h2 h3 h4 h5 h6 li tr dt dd pre hr figcaption summary address caption html".split())
+#: Blocks that the start of another one ends.
+_ENDED_BY = {"p": _BLOCKS, "li": frozenset({"li"}), "dt": frozenset({"dt", "dd"}), "dd": frozenset({"dt", "dd"}), "tr": frozenset({"tr"}), **{f"h{k}": frozenset(f"h{n}" for n in range(1, 7)) for k in range(1, 7)}}
+#: Names, as a class, id or role has them, of what isn't the article.
 _MARKS = frozenset(
     "ad ads adbox advert adverts advertisement advertising sponsor sponsored promo promotion banner sidebar menu nav navbar navigation breadcrumb breadcrumbs cookie cookies consent gdpr notice notices alert "
     "comment comments disqus respond reply replies share sharing social related recommended newsletter subscribe subscription signup popup modal overlay pagination pager footer masthead topbar toolbar skip widget "
     "search searchbox login contentinfo complementary".split()
 )
+_COMMENTS = frozenset("comment comments reply replies".split())
+_NOT = frozenset("no not non with without has have is hide show".split())
 
 
 def _marked(attributes: str) -> bool:
-    return any(w in _MARKS for m in _NAMES.finditer(attributes) for w in re.findall(r"[a-z]+", m[1].lower()))
+    for m in _NAMES.finditer(attributes):
+        for name in m[1].lower().strip("\"'").split():
+            parts = [x for x in re.split(r"[-_]+", name) if x]
+            if parts and (name in _MARKS or parts[0] not in _NOT and (parts[-1] in _MARKS or parts[0] in _COMMENTS)):
+                return True
+    return False
+
+
+class Element:
+    """A block element: its tag, whether its names mark it, its first block and the block after its last."""
+
+    __slots__ = ("tag", "marked", "first", "stop", "outer")
+
+    def __init__(self, tag: str, marked: bool, first: int, outer: bool):
+        self.tag, self.marked, self.first, self.stop, self.outer = tag, marked, first, -1, outer
 
 
 class Page:
-    """Blocks of a page's main text, and its subtrees as (hash, first block, block after the last)."""
+    """Blocks of a page, its elements, its subtrees as (hash, first block, block after the last), and which blocks
+    structure leaves."""
 
     def __init__(self, source: str):
-        low = source.lower()
         self.blocks: list[str] = []
+        self.elements: list[Element] = []
         self.subtrees: list[tuple[int, int, int]] = []
-        for only in ("article", "main", ""):
-            if not only or f"<{only}" in low:
-                self._read(source, only)
-                if self.blocks:
-                    return
+        self._read(source)
+        self.kept = self._kept()
 
-    def _read(self, source: str, only: str) -> None:
+    def _read(self, source: str) -> None:
         from xxhash import xxh3_64_intdigest
 
-        blocks, subtrees = [], []
-        text: list[str] = []
-        open_: list[tuple[str, int]] = []  # holders: tag and first block
-        inside, tag_of_text, at = 0 if only else 1, "", 0
-        away, depth = "", 0  # the element that is passed over, and how often it is open
+        blocks, open_, text = self.blocks, [], []
+        at, tag_of_text = 0, ""
+        last_ends: dict[str, int] = {}
+
+        def last_end(tag: str) -> int:
+            if tag not in last_ends:
+                last_ends[tag] = source.lower().rfind(f"</{tag}")
+            return last_ends[tag]
 
         def end() -> None:
             if text:
                 words = " ".join(entities.unescape("".join(text)).split())
                 text.clear()
                 if words:
-                    subtrees.append((xxh3_64_intdigest(f"{tag_of_text}\0{words}") - (1 << 63), len(blocks), len(blocks) + 1))
+                    self.subtrees.append((xxh3_64_intdigest(f"{tag_of_text}\0{words}") - (1 << 63), len(blocks), len(blocks) + 1))
                     blocks.append(words)
 
-        def close(first: int, tag: str) -> None:
-            if len(blocks) - first > 1:
-                subtrees.append((xxh3_64_intdigest("\0".join([tag, *blocks[first:]])) - (1 << 63), first, len(blocks)))
+        def close(depth: int) -> None:
+            while len(open_) > depth:
+                x = open_.pop()
+                x.stop = len(blocks) if x.stop < 0 else x.stop
+                if x.stop - x.first > 1 and x.tag in _HOLDERS | _ASIDE:
+                    self.subtrees.append((xxh3_64_intdigest("\0".join([x.tag, *blocks[x.first : x.stop]])) - (1 << 63), x.first, x.stop))
 
         while at < len(source):
             m = _TAG.search(source, at)
             if m is None:
                 break
-            if m.start() > at and inside and not away:
+            if m.start() > at:
                 text.append(source[at : m.start()])
             at = m.end()
             tag = m[2] and m[2].lower()
             if not tag:
                 continue
-            closing = bool(m[1])
-            if away:
-                if tag == away and not m[3].endswith("/"):
-                    depth += -1 if closing else 1
-                elif away in ("p", "li") and tag in _BLOCKS:
-                    depth = 0
-                elif not closing and tag == only:
-                    depth = 0  # an element that was left open before the article
-                if depth:
-                    continue
-                was, away = away, ""
-                if tag == was and closing:
-                    continue
+            closing, alone = bool(m[1]), m[3].endswith("/")
             if tag in _RAW:
-                if not closing and not m[3].endswith("/"):
+                if not closing and not alone:
                     stop = _RAW[tag].search(source, at)
                     at = stop.end() if stop else len(source)
                 continue
-            if tag not in _BLOCKS and tag != "br" and not (tag in ("td", "th", "span") and not closing):
-                continue
             if tag in ("br", "td", "th"):
                 text.append(" ")
-                continue
-            aside = tag in _ASIDE or tag == "header" and not inside or tag not in ("article", "main", "body", "html") and _marked(m[3])
-            if not closing and aside and not m[3].endswith("/"):
-                if tag != "span":
-                    end()
-                away, depth = tag, 1
-                continue
-            if tag == "span":
-                continue
-            end()
-            tag_of_text = tag
-            if tag == only:
-                inside = max(0, inside + (-1 if closing else 1))
-            if tag in _HOLDERS:
-                if not closing:
-                    open_.append((tag, len(blocks)))
-                else:
-                    for k in range(len(open_) - 1, -1, -1):
-                        if open_[k][0] == tag:
-                            close(open_[k][1], tag)
-                            del open_[k:]
-                            break
-        if at < len(source) and inside and not away:
+            elif tag == "span":
+                if not closing and not alone and _marked(m[3]):
+                    at = self._past_span(source, at)
+            elif tag in _BLOCKS:
+                end()
+                tag_of_text = tag
+                if closing:
+                    depth = next((k for k in range(len(open_) - 1, -1, -1) if open_[k].tag == tag), None)
+                    if depth is not None:
+                        close(depth)
+                    continue
+                if open_ and tag in _ENDED_BY.get(open_[-1].tag, ()):
+                    close(len(open_) - 1)
+                if tag in ("article", "main"):  # a part that was left open before the article
+                    for x in open_:
+                        if x.tag in _ASIDE and x.stop < 0 and last_end(x.tag) < at:
+                            x.stop = len(blocks)
+                if not alone and tag != "hr":
+                    x = Element(tag, _marked(m[3]), len(blocks), all(o.tag not in ("article", "main") for o in open_))
+                    open_.append(x)
+                    self.elements.append(x)
+        if at < len(source):
             text.append(source[at:])
         end()
-        self.blocks, self.subtrees = blocks, subtrees
+        close(0)
+
+    @staticmethod
+    def _past_span(source: str, at: int) -> int:
+        depth = 1
+        for m in _SPAN.finditer(source, at):
+            depth += -1 if m[1] else 1
+            if not depth:
+                return m.end()
+        return at
+
+    def _kept(self) -> list[bool]:
+        size = [len(x) for x in self.blocks]
+        kept = [True] * len(size)
+
+        def drop(x: Element) -> None:
+            kept[x.first : x.stop] = [False] * (x.stop - x.first)
+
+        def long(x: Element) -> int:
+            return sum(n for n, k in zip(size[x.first : x.stop], kept[x.first : x.stop], strict=True) if k)
+
+        articles = [x for x in self.elements if x.tag in ("article", "main") and x.stop > x.first]
+
+        def has_article(x: Element) -> bool:
+            return any(y is not x and x.first <= y.first and y.stop <= x.stop for y in articles)
+
+        for x in self.elements:
+            if x.tag in _ASIDE or x.tag == "header" and x.outer and not has_article(x):
+                drop(x)
+        total = sum(n for n, k in zip(size, kept, strict=True) if k)
+        for x in self.elements:
+            if x.tag in ("form", "fieldset") or x.marked and x.tag not in ("body", "html"):
+                own = long(x)
+                if not (own > WRAPPER * total and (own >= WRAPPED or has_article(x))):
+                    drop(x)
+                    total -= own
+        for tag in ("article", "main"):
+            inside = [False] * len(size)
+            for x in self.elements:
+                if x.tag == tag:
+                    inside[x.first : x.stop] = [True] * (x.stop - x.first)
+            own = sum(n for n, k, i in zip(size, kept, inside, strict=True) if k and i)
+            if own and own >= ARTICLE * total:
+                return [k and i for k, i in zip(kept, inside, strict=True)]
+        return kept
 
     def text(self, templates: frozenset[int] | set[int]) -> str:
-        if not templates:
-            return "\n\n".join(self.blocks)
-        gone = {k for h, a, b in self.subtrees if h in templates for k in range(a, b)}
-        return "\n\n".join(x for k, x in enumerate(self.blocks) if k not in gone)
+        kept = self.kept
+        if templates:
+            gone = {k for h, a, b in self.subtrees if h in templates for k in range(a, b)}
+            kept = [k and n not in gone for n, k in enumerate(kept)]
+        return "\n\n".join(x for x, k in zip(self.blocks, kept, strict=True) if k)
 
 
 def site_templates(pages: DataFrame, html_col: str = "html") -> DataFrame:
@@ -178,5 +239,10 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
             got = [Page(t.as_py()).text(set(x.as_py() or ())) for t, x in zip(b.column(2), b.column(3), strict=True)]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(got, pa.string()), pa.array([len(x) for x in got], pa.int64())], ["page_id", "url", "text", "n_chars"])
 
-    known = rows.join(F.broadcast(templates) if few else templates, "host", "left").select("page_id", "url", "html", "templates")
+    if few:
+        known = rows.join(F.broadcast(templates), "host", "left")
+    else:
+        salted = templates.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        known = rows.withColumn("salt", F.pmod(F.xxhash64("html"), F.lit(SALTS)).cast("int")).join(salted, ["host", "salt"], "left")
+    known = known.select("page_id", "url", "html", "templates")
     return known.mapInArrow(run, f"page_id {kind}, url string, text string, n_chars bigint")
