@@ -1,10 +1,11 @@
 """Best-fit packing of tokenized documents into sequences of a fixed length.
 
-Bounded-space online best fit: a fixed number of bins is open; a bit set keyed by free space finds the fullest bin
-that still takes a piece; when too many are open, the fullest closes first. Spark deals pieces over partitions by a
-hash and feeds each partition longest first, so that small pieces fill what long ones leave; partitions pack on their
-own and share nothing. The waste is about one sequence a partition, so partitions should hold many sequences, which
-adaptive execution sees to by joining small ones.
+Bounded-space online best fit: OPEN_BINS bins are open; a bit set keyed by free space finds the fullest bin that still
+takes a piece; when too many are open, the fullest closes first. Spark deals pieces over partitions by a hash, and each
+partition reads its pieces in the order of another, ROUND at a time, the longest of a round first, so that small pieces
+fill what long ones leave. Partitions pack on their own and share nothing, in memory that doesn't grow with them. The
+waste is about one sequence a partition, so partitions should hold many sequences, which adaptive execution sees to by
+joining small ones.
 
 Defined results: null text counts as empty; an empty text is the end token alone; repeated rows are packed again;
 an empty table gives no rows; other columns are ignored.
@@ -26,7 +27,8 @@ from pyspark.sql import functions as F
 from .common import CACHE_ENTRIES, ChunkIds, public_vocabulary, whole_text, word_chunks
 from .token_counts import byte_symbols
 
-OPEN_BINS = 1 << 18
+#: Open bins of a partition, and pieces that it puts into the order of their length at a time.
+OPEN_BINS, ROUND = 512, 1024
 
 #: Chunks that the vocabulary's pre-tokenizer cuts into a run of letters and perhaps a full stop or comma.
 _PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,]?)")
@@ -138,16 +140,20 @@ class BestFit:
 def best_fit_pack(pieces: DataFrame, length: int = 2048, open_bins: int = OPEN_BINS, size_col: str = "length") -> DataFrame:
     """Adds sequence_id and offset to rows whose size_col lies between 1 and length; ids of different partitions differ.
 
-    The columns doc_id and piece order pieces of one size, so that a task that runs again packs alike."""
+    The columns doc_id, piece and, if there, ids_crc32 order pieces, so that a task that runs again packs alike."""
     at = pieces.columns.index(size_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bins, base = BestFit(length, open_bins), TaskContext.get().partitionId() << 36
-        for b in batches:
-            got = [bins.place(n) for n in b.column(at).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array([base + x for x, _ in got], pa.int64()), pa.array([y for _, y in got], pa.int64())], [*b.schema.names, "sequence_id", "offset"])
-
-    dealt = pieces.repartition(F.xxhash64("doc_id", "piece")).sortWithinPartitions(F.desc(size_col), "doc_id", "piece")
+        for b in (x.slice(k, ROUND) for x in batches for k in range(0, x.num_rows, ROUND)):
+            sizes = b.column(at).to_numpy(zero_copy_only=False)
+            own, offset = np.zeros(len(sizes), np.int64), np.zeros(len(sizes), np.int64)
+            for k in np.argsort(-sizes, kind="stable").tolist():
+                own[k], offset[k] = bins.place(int(sizes[k]))
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(own + base), pa.array(offset)], [*b.schema.names, "sequence_id", "offset"])
+
+    keys = ["doc_id", "piece", *(c for c in ("ids_crc32",) if c in pieces.columns)]
+    dealt = pieces.repartition(F.xxhash64(*keys)).sortWithinPartitions(F.xxhash64(F.lit(1), *keys), *keys)
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema)
     return dealt.mapInArrow(run, f"{fields}, sequence_id bigint, offset bigint")
 
