@@ -132,5 +132,7 @@ FI_TARGET_LINES = ("56101", "56102", "56301", "56302", "55101", "55102", "55201"
 FI_SITUATIONS = (("bankruptcy", ("konkurssi", "bankruptcy", "konkurs")), ("liquidation", ("selvitystila", "liquidation", "likvidation")), ("restructuring", ("yrityssaneeraus", "saneeraus", "restructuring", "företagssanering")))
 FI_EXCLUDED = ("bankruptcy", "liquidation")
 OFFICER_RANKS = (("toimitusjohtaja", 0, "managing director"), ("puheenjohtaja", 1, "board chair"), ("varapuheenjohtaja", 2, "deputy chair"), ("jasen", 3, "board member"), ("varajasen", 4, "deputy board member"))
+OFFICER_DATE, REGISTRATION_STAMP = r"\b[0-9]{2}\.[0-9]{2}\.[0-9]{4}\b", r"(?i)\(\s*rekister"
+COMPANY_MARKS = r"(?i)\b(oy|oyj|ab|ky|ry|tmi|as|ou|oü)\b|&|y-tunnus"
 AUDITOR_ROLES = ("tilintarkastaja", "paavastuullinen tilintarkastaja", "varatilintarkastaja")
 NAME_PARTICLES = ("von", "van", "de", "af", "la", "le", "der", "den", "di")

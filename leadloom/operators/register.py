@@ -253,12 +253,12 @@ def extract_officers(extracts: DataFrame) -> DataFrame:
     stamp whose role is a manager's; companies and auditors are left out; birth dates aren't kept. One row a person, in
     the best role."""
     lines = extracts.select("business_id", F.explode(F.split("text", "\r?\n")).alias("line")).select("business_id", F.trim("line").alias("line"))
-    lines = lines.where(F.col("line").rlike("\\b[0-9]{2}\\.[0-9]{2}\\.[0-9]{4}\\b") & ~F.col("line").rlike("(?i)\\(\\s*rekister"))
+    lines = lines.where(F.col("line").rlike(fixed.OFFICER_DATE) & ~F.col("line").rlike(fixed.REGISTRATION_STAMP))
     roles = sorted([*(r for r, _, _ in fixed.OFFICER_RANKS), *fixed.AUDITOR_ROLES], key=len, reverse=True)
     role = F.regexp_extract(_fi(F.col("line")), "^(" + "|".join(roles) + ")", 1)
-    rest = F.trim(F.regexp_replace(F.expr("substring(line, length(role) + 1)"), "\\b[0-9]{2}\\.[0-9]{2}\\.[0-9]{4}\\b", ""))
+    rest = F.trim(F.regexp_replace(F.expr("substring(line, length(role) + 1)"), fixed.OFFICER_DATE, ""))
     ranks = {r: (k, label) for r, k, label in fixed.OFFICER_RANKS}
-    rows = lines.withColumn("role", role).where(F.col("role").isin(*ranks)).withColumn("rest", rest).where(~F.col("rest").rlike("(?i)\\b(oy|oyj|ab|ky|ry|tmi|as|ou|oü)\\b|&|y-tunnus"))
+    rows = lines.withColumn("role", role).where(F.col("role").isin(*ranks)).withColumn("rest", rest).where(~F.col("rest").rlike(fixed.COMPANY_MARKS))
     words = F.filter(F.split(F.regexp_replace("rest", "^[ ,.]+|[ ,.]+$", ""), "\\s+"), lambda w: w != "")
     rows = rows.withColumn("w", words).where(F.size("w") >= 2).withColumns({"surname": F.col("w")[0], "given": F.array_join(F.slice("w", 2, 100), " ")})
     rank, label = F.lit(None).cast("int"), F.lit(None).cast("string")

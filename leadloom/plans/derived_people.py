@@ -135,13 +135,13 @@ def _records(spark, sf_dir):
     """Person records by supplier: without a code, without a list, with an empty list, or with two people, one of whom has
     left or has no name."""
     n = F.col("s_suppkey") % 6
-    other = F.when(n == 4, '{"eesnimi":"Jaan","nimi_arinimi":"Kask","lopp_kpv":"2020-01-01"}').otherwise('{"isiku_roll":"JUHL"}')
-    people = text_of('"kaardile_kantud_isikud":[{"eesnimi":"Mari', F.col("s_suppkey"), '","nimi_arinimi":"Tamm","isiku_roll":"JUHL"},', other, "]")
+    other = F.when(n == 4, '{"eesnimi":"Rein","nimi_arinimi":"Lepp","lopp_kpv":"2020-01-01"}').otherwise('{"isiku_roll":"JUHL"}')
+    people = text_of('"kaardile_kantud_isikud":[{"eesnimi":"Piret', F.col("s_suppkey"), '","nimi_arinimi":"Mets","isiku_roll":"JUHL"},', other, "]")
     own = F.when(n == 0, '{"nimi":"X"}').when(n == 1, text_of('{"ariregistri_kood":"', F.col("s_suppkey"), '","esindusoiguse_tavad":[{"x":"y"}]}')).when(n == 2, text_of('{"ariregistri_kood":"', F.col("s_suppkey"), '","isikud":[]}'))
     return suppliers(spark, sf_dir).select(F.try_parse_json(own.otherwise(text_of('{"ariregistri_kood":"', F.col("s_suppkey"), '",', people, "}"))).alias("record"))
 
 
-@query("SELECT CAST(s_suppkey AS VARCHAR) AS business_id, 'Mari' || s_suppkey || ' Tamm' AS person_name, 'JUHL' AS role FROM supplier WHERE s_suppkey % 6 > 2")
+@query("SELECT CAST(s_suppkey AS VARCHAR) AS business_id, 'Piret' || s_suppkey || ' Mets' AS person_name, 'JUHL' AS role FROM supplier WHERE s_suppkey % 6 > 2")
 def current_people(spark, sf_dir):
     return r.current_persons(_records(spark, sf_dir))
 
@@ -166,9 +166,9 @@ def person_keys(spark, sf_dir):
     return r.person_keys(_records(spark, sf_dir))
 
 
-@query("SELECT CAST(s_suppkey AS VARCHAR) AS business_id, 'Mari Tamm' AS person_name, CASE WHEN s_suppkey % 2 = 0 THEN 'board member' ELSE 'JUHL' END AS role FROM supplier WHERE s_suppkey % 3 = 0")
+@query("SELECT CAST(s_suppkey AS VARCHAR) AS business_id, 'Piret Mets' AS person_name, CASE WHEN s_suppkey % 2 = 0 THEN 'board member' ELSE 'JUHL' END AS role FROM supplier WHERE s_suppkey % 3 = 0")
 def board_names(spark, sf_dir):
-    rows = suppliers(spark, sf_dir).select(F.col("s_suppkey").cast("string").alias("business_id"), F.when(F.col("s_suppkey") % 3 == 0, "Mari Tamm").when(F.col("s_suppkey") % 3 == 1, "Firma OÜ").otherwise("Solo").alias("person_name"), F.when(F.col("s_suppkey") % 2 == 0, " ").otherwise("JUHL").alias("role"))
+    rows = suppliers(spark, sf_dir).select(F.col("s_suppkey").cast("string").alias("business_id"), F.when(F.col("s_suppkey") % 3 == 0, "Piret Mets").when(F.col("s_suppkey") % 3 == 1, "Firma OÜ").otherwise("Solo").alias("person_name"), F.when(F.col("s_suppkey") % 2 == 0, " ").otherwise("JUHL").alias("role"))
     return r.board_members(rows)
 
 
@@ -212,11 +212,11 @@ def officer_contacts(spark, sf_dir):
 
 
 @query("""
-    SELECT c_custkey AS venue_id, 'Mari Tamm' AS contact_name, 'JUHL' AS contact_role, 'register' AS source, 'medium' AS confidence FROM customer WHERE c_custkey % 3 > 0 AND c_custkey % 7 IN (SELECT s_suppkey FROM supplier WHERE s_suppkey % 2 = 0)
+    SELECT c_custkey AS venue_id, 'Piret Mets' AS contact_name, 'JUHL' AS contact_role, 'register' AS source, 'medium' AS confidence FROM customer WHERE c_custkey % 3 > 0 AND c_custkey % 7 IN (SELECT s_suppkey FROM supplier WHERE s_suppkey % 2 = 0)
 """)
 def board_contacts(spark, sf_dir):
     matches = customers(spark, sf_dir).select(F.col("k").alias("venue_id"), F.when(F.col("k") % 3 > 0, (F.col("k") % 7).cast("string")).alias("business_id"))
-    board = suppliers(spark, sf_dir).where(F.col("s_suppkey") % 2 == 0).select(F.col("s_suppkey").cast("string").alias("business_id"), F.lit("Mari Tamm").alias("person_name"), F.lit("JUHL").alias("role"))
+    board = suppliers(spark, sf_dir).where(F.col("s_suppkey") % 2 == 0).select(F.col("s_suppkey").cast("string").alias("business_id"), F.lit("Piret Mets").alias("person_name"), F.lit("JUHL").alias("role"))
     return r.board_contacts(matches, board).select("venue_id", "contact_name", "contact_role", "source", "confidence")
 
 
@@ -260,7 +260,7 @@ def _who(spark, sf_dir):
 """)
 def screened_names(spark, sf_dir):
     """Hard and soft reasons against names; the given tables match no venue to a company here."""
-    venues = customers(spark, sf_dir).select(F.col("k").alias("venue_id"), F.when(F.col("k") % 2 == 0, "Maija Rinne Oy").otherwise("Bierstube").alias("name"))
+    venues = customers(spark, sf_dir).select(F.col("k").alias("venue_id"), F.when(F.col("k") % 2 == 0, "Maija Rinne Oy").otherwise("Kaislikko").alias("name"))
     sites = customers(spark, sf_dir).select(F.col("k").alias("venue_id"), F.when(F.col("k") % 5 == 0, "korpela-x.fi").alias("domain"))
     rows = c.name_screen(_who(spark, sf_dir), venues, sites, venues.select("venue_id", F.lit(None).cast("string").alias("business_id")))
     return rows.select("n", F.array_join("hard", "; ").alias("hard"), "soft")
@@ -300,7 +300,7 @@ def _given(spark, sf_dir):
 """)
 def name_evidence(spark, sf_dir):
     n = F.col("k") % 5
-    names = customers(spark, sf_dir).select("c_custkey", F.when(n == 0, "Ánna Korpela").when(n == 1, "Aino-Maija Rinne").when(n == 2, "Korpela Anna").when(n == 3, "Mannerheimintie").otherwise("Big Deal").alias("name"))
+    names = customers(spark, sf_dir).select("c_custkey", F.when(n == 0, "Ánna Korpela").when(n == 1, "Aino-Maija Rinne").when(n == 2, "Korpela Anna").when(n == 3, "Satamakatu").otherwise("Big Deal").alias("name"))
     return c.name_evidence(names, _given(spark, sf_dir)).select("c_custkey", "first_is_given", "any_is_given", "is_address", "hint")
 
 

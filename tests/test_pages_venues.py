@@ -30,10 +30,10 @@ def test_jsonld(spark):
 
 
 def test_places(spark):
-    venues = spark.createDataFrame([(1, "Aoi", 60.0, 24.0, None, None), (2, "Vanha", 60.0, 24.0, None, None), (3, "Abc", None, None, "Mannerheimintie 12", "00100"), (4, "Abc", None, None, "Mannerheimintie 12", "00200")], "venue_id long, name string, lat double, lng double, street_address string, postal_code string")
+    venues = spark.createDataFrame([(1, "Aoi", 60.0, 24.0, None, None), (2, "Vanha", 60.0, 24.0, None, None), (3, "Abc", None, None, "Satamakatu 12", "00100"), (4, "Abc", None, None, "Satamakatu 12", "00200")], "venue_id long, name string, lat double, lng double, street_address string, postal_code string")
     kind = "venue_id long, query_no int, place struct<id:string,displayName:struct<text:string>,formattedAddress:string,location:struct<latitude:double,longitude:double>>"
     place = lambda i, n, a=None, la=None, lo=None: (i, (n,), a, (la, lo))
-    rows = [(1, 0, place("a", "Ravintola Aoi", la=61.0, lo=25.0)), (1, 1, place("b", "Other")), (2, 0, place("c", "Uusi", la=60.0005, lo=24.0)), (3, 0, place("d", "Xyz", "Mannerheimintie 12, 00100 Helsinki")), (4, 0, place("e", "Xyz", "Mannerheimintie 12, 00100 Helsinki")), (4, 1, place("f", "Qrs"))]
+    rows = [(1, 0, place("a", "Ravintola Aoi", la=61.0, lo=25.0)), (1, 1, place("b", "Other")), (2, 0, place("c", "Uusi", la=60.0005, lo=24.0)), (3, 0, place("d", "Xyz", "Satamakatu 12, 00100 Helsinki")), (4, 0, place("e", "Xyz", "Satamakatu 12, 00100 Helsinki")), (4, 1, place("f", "Qrs"))]
     got = {r["venue_id"]: (r["place"]["id"], r["method"], r["accepted"]) for r in v.best_place(v.place_candidates_score(venues, spark.createDataFrame(rows, kind))).collect()}
     assert got == {1: ("a", "name", True), 2: ("c", "distance", True), 3: ("d", "address", True), 4: ("f", "none", False)}
 
@@ -75,8 +75,8 @@ def test_stream_once(spark, tmp_path):
 def test_captures(spark):
     rows = [(1, '[{"link":"u","title":{"rendered":"t"},"content":{"rendered":"h"}}]'), (2, "<html>"), (3, '{"items":[{"fullUrl":"/a","title":"b","body":"c"}]}'), (4, None)]
     assert sorted((r["id"], r["url"], r["html"]) for r in p.flatten_cms_api(spark.createDataFrame(rows, "id int, body string")).collect()) == [(1, "u", "h"), (3, "/a", "c")]
-    users = spark.createDataFrame([(1, '[{"name":"Matti Virtanen"},{"name":"admin"}]'), (2, "x")], "id int, body string")
-    assert [tuple(r) for r in p.cms_user_names(users).collect()] == [(1, "Matti Virtanen")]
+    users = spark.createDataFrame([(1, '[{"name":"Paavo Kivela"},{"name":"admin"}]'), (2, "x")], "id int, body string")
+    assert [tuple(r) for r in p.cms_user_names(users).collect()] == [(1, "Paavo Kivela")]
     maps = spark.createDataFrame([(1, "<loc> a </loc><loc>b</loc><loc>a</loc><loc>c</loc>")], "id int, body string")
     assert [r["link"] for r in p.sitemap_urls(maps, "body", 2).orderBy("pos").collect()] == ["a", "b"]
     scan = p.discovery_scan(spark.createDataFrame([('Sitemap: http://x/s.xml\nhref="/helsinki/" href="/en/" "/api/v1/x"',)], "body string"))
