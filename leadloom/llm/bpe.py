@@ -9,7 +9,8 @@ each distinct word of a block, and the pieces go by position as well.
 
 Splitting happens twice, once for the words and once for the places: that costs less than keeping either. A block is
 named by a hash of what it holds, so a block that came out otherwise the second time would find no table, and the job
-would fail rather than answer wrongly. What is shuffled: each block's distinct words and their ids, packed by bucket,
+would fail rather than answer wrongly; rows that don't come from files in one order (those behind a shuffle, say) are
+kept first if asked for. The number of buckets follows the bytes of text, so that a bucket's words fit a worker. What is shuffled: each block's distinct words and their ids, packed by bucket,
 and the places, about two bytes a word of the texts; all of it compressed. A word occurs once a block, however frequent
 it is.
 
@@ -31,11 +32,12 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import public_vocabulary, spaced_chunks, tokenizer, whole_text
+from .common import cut, public_vocabulary, spaced_chunks, tokenizer, whole_text
 from .token_counts import byte_symbols
 
-#: A block ends before it would pass so many characters; words are dealt into so many buckets.
-BLOCK_CHARS, BUCKETS = 24 << 20, 1024
+#: A block ends before it would pass so many characters; words are dealt into so many buckets at least and at most, one
+#: for each GB of text between.
+BLOCK_CHARS, BUCKETS, MOST_BUCKETS = 24 << 20, 1024, 1 << 16
 #: Texts whose places travel in one row, and the compression level.
 TOGETHER, LEVEL = 64, 3
 
@@ -96,18 +98,23 @@ def _ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)
 
 
-def encode_decode(docs: DataFrame, vocabulary_path: str | None = None, digests: bool = True, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_tokens and, of every text, ids_sha256 and decoded_sha256, or else ids array<int> and decoded string."""
+def encode_decode(docs: DataFrame, vocabulary_path: str | None = None, digests: bool = True, id_col: str = "doc_id", text_col: str = "text", keep: bool = False) -> DataFrame:
+    """doc_id, n_tokens and, of every text, ids_sha256 and decoded_sha256, or else ids array<int> and decoded string.
+
+    keep: docs are checkpointed first, as their rows may come in another order when they are read again."""
     path = vocabulary_path or public_vocabulary("byte_bpe_50k.json")
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("doc_id"), whole_text(text_col).alias("text"))
+    rows = cut(rows) if keep else rows
+    n_bytes = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = max(BUCKETS, min(MOST_BUCKETS, n_bytes >> 30))
 
     def split_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from xxhash import xxh3_64_intdigest
 
         for name, words, _, _ in _blocks(batches):
             raw = [w.encode() for w in words]
-            bucket = np.fromiter((xxh3_64_intdigest(w) % BUCKETS for w in raw), np.int32, len(raw))
+            bucket = np.fromiter((xxh3_64_intdigest(w) % buckets for w in raw), np.int32, len(raw))
             order = np.argsort(bucket, kind="stable")
             cuts = np.append(np.flatnonzero(np.append(True, np.diff(bucket[order]) != 0)[: len(order)]), len(order))
             out: list[list] = [[], [], [], []]
