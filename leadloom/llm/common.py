@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import os
 import re
+import uuid
 from array import array
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -35,6 +38,21 @@ def spread_join(left: DataFrame, right: DataFrame, keys: list[str], hot: DataFra
     return a.join(b, [*keys, "__salt"], how).drop("__salt")
 
 
+@contextmanager
+def written(df: DataFrame) -> Iterator[DataFrame]:
+    """The rows of df as a table in the shared checkpoint folder, which is deleted when the block ends: for what is needed
+    several times before a result, but not by the result itself."""
+    spark = df.sparkSession
+    ready_to_checkpoint(spark)
+    path = f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/table-{uuid.uuid4().hex}"
+    try:
+        df.write.parquet(path)
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def tokenizer(path: str):
     """The tokenizers library's object for a file, once a worker, without truncation and padding."""
     if path not in _tokenizers:
