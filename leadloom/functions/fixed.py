@@ -136,3 +136,14 @@ OFFICER_DATE, REGISTRATION_STAMP = r"\b[0-9]{2}\.[0-9]{2}\.[0-9]{4}\b", r"(?i)\(
 COMPANY_MARKS = r"(?i)\b(oy|oyj|ab|ky|ry|tmi|as|ou|oü)\b|&|y-tunnus"
 AUDITOR_ROLES = ("tilintarkastaja", "paavastuullinen tilintarkastaja", "varatilintarkastaja")
 NAME_PARTICLES = ("von", "van", "de", "af", "la", "le", "der", "den", "di")
+
+# --- fixed values: pieces of keys that name fields of a person record, best first, of lists that hold people, and of lists
+# that hold none ---
+CODE_KEYS = ("ariregistri_kood", "registrikood", "reg_kood", "kood", "registry_code")
+GIVEN_NAME_KEYS = ("eesnimi", "first_name", "given_name")
+SURNAME_KEYS = ("nimi_arinimi", "perekonnanimi", "last_name", "surname")
+PERSON_NAME_KEYS = ("isiku_nimi", "person_name", "nimi_arinimi", "nimi", "name")
+PERSON_ROLE_KEYS = ("isiku_roll_tekstina", "roll_tekstina", "isiku_roll", "roll", "role", "ametikoht")
+ENDED_KEYS = ("kehtivuse_lopp", "end_date", "lopp_kpv", "loppemise")
+PERSON_LIST_KEYS = ("isik", "person", "kaardile", "kanne", "esindus")
+OTHER_LIST_KEYS = ("esindusoigus", "normaalregulatsioon", "eritingimus", "hooneyhistu")

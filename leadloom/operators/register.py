@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from ..functions import fixed
 from ..functions.text import fold, host_of, normalise_name, normalise_postcode, normalise_street, similarity
@@ -60,43 +61,60 @@ def board_members(rows: DataFrame) -> DataFrame:
     return rows.where((F.size(words) >= 2) & ~legal).withColumn("role", F.coalesce(_none(F.col("role")), F.lit("board member")))
 
 
-#: Pieces of keys that name fields of a person record, best first, and lists that hold no people.
-PERSON_HINTS = {"code": ("ariregistri_kood", "kood"), "given": ("eesnimi",), "surname": ("nimi_arinimi", "perenimi"), "combined": ("nimi",), "role": ("roll_tekstina", "roll"), "ended": ("kehtivuse_lopp", "end_date", "lopp_kpv", "loppemise")}
+def folded_key(c: Column) -> Column:
+    return F.regexp_replace(F.regexp_replace(F.lower(fold(c)), "[^a-z0-9]+", "_"), "^_+|_+$", "")
 
 
-PERSON_LISTS, NO_PERSON_LISTS = ("kaardile_kantud_isikud", "isikud", "persons"), ("esindus",)
+def _entries(record: Column) -> Column:
+    """array<struct<key, folded, kind, text>> of a JSON object, in the order of its text: kind is the value's type, text
+    is null for what counts as no value (null, an empty text, an empty list); null if it is no object."""
+    values = F.from_json(record, "map<string,variant>")
+    plain = lambda v: F.coalesce(F.try_variant_get(v, "$", "string"), F.to_json(v))
+    empty = lambda v: v.isNull() | F.is_variant_null(v) | plain(v).isin("", "[]")
+    return F.transform(F.map_entries(values), lambda e: F.struct(e["key"].alias("key"), folded_key(e["key"]).alias("folded"), F.coalesce(F.schema_of_variant(e["value"]), F.lit("VOID")).alias("kind"), F.when(~empty(e["value"]), plain(e["value"])).alias("text")))
 
 
 def _pick(entries: Column, hints: tuple[str, ...]) -> Column:
-    """The value of the first hint that a key contains, with a plain value."""
-    full = lambda h: F.filter(entries, lambda x: F.lower(fold(x["key"])).contains(h) & (F.trim(F.coalesce(x["value"], F.lit(""))) != "") & ~x["value"].rlike("^\\s*[\\[{]"))
-    return F.coalesce(*[F.try_element_at(full(h), F.lit(1))["value"] for h in hints])
+    """The value of the first hint that a key contains, of keys with a value, in their order."""
+    rank = lambda folded: F.coalesce(*[F.when(F.contains(folded, F.lit(h)), F.lit(k)) for k, h in enumerate(hints)])
+    ranked = F.transform(entries, lambda e, pos: F.struct(F.when(e["text"].isNotNull(), rank(e["folded"])).alias("hint"), pos.alias("pos"), e["text"].alias("text")))
+    return F.array_min(F.filter(ranked, lambda x: x["hint"].isNotNull()))["text"]
 
 
-def _person_name(entries: Column) -> Column:
-    given, surname = _pick(entries, PERSON_HINTS["given"]), _pick(entries, PERSON_HINTS["surname"])
-    return F.when(given.isNotNull() & surname.isNotNull(), F.concat_ws(" ", given, surname)).otherwise(_pick(entries, PERSON_HINTS["combined"]))
+def _person(entries: Column) -> Column:
+    """Struct (person_name, role, ended) of a person's entries: forename and surname, or else one field for both."""
+    given, surname = _pick(entries, fixed.GIVEN_NAME_KEYS), _pick(entries, fixed.SURNAME_KEYS)
+    both = F.when(given.isNotNull() & surname.isNotNull(), F.trim(F.concat_ws(" ", F.trim(given), F.trim(surname)))).otherwise(F.trim(_pick(entries, fixed.PERSON_NAME_KEYS)))
+    return F.struct(F.nullif(both, F.lit("")).alias("person_name"), _pick(entries, fixed.PERSON_ROLE_KEYS).alias("role"), _pick(entries, fixed.ENDED_KEYS).isNotNull().alias("ended"))
 
 
 def _people(records: DataFrame, list_hints: tuple[str, ...], list_denied: tuple[str, ...]) -> DataFrame:
-    """(business_id, own, lists, people) of each record: its entries, those that are lists of people, and these people."""
-    text = records.select(F.map_entries(F.from_json(F.to_json("record"), "map<string,string>")).alias("own"))
-    is_list = lambda x: F.lower(fold(x["key"])).rlike("|".join(list_hints)) & ~F.lower(fold(x["key"])).rlike("|".join(list_denied)) & F.coalesce(x["value"], F.lit("")).startswith("[")
-    rows = text.withColumn("lists", F.filter("own", is_list))
-    people = F.flatten(F.transform("lists", lambda x: F.coalesce(F.from_json(x["value"], "array<map<string,string>>"), F.array().cast("array<map<string,string>>"))))
-    return rows.select(_pick(F.col("own"), PERSON_HINTS["code"]).alias("business_id"), "own", "lists", people.alias("people"))
-
-
-def register_persons(records: DataFrame, list_hints: tuple[str, ...] = PERSON_LISTS, list_denied: tuple[str, ...] = NO_PERSON_LISTS) -> DataFrame:
-    """(business_id, person_name, role, ended) of records whose keys differ by release: a field is the first hint that a
-    key contains, with a value; people are in a list whose key has a hint, or the record is one person itself. People who
-    have left are marked ended; current_persons leaves them out."""
-    head = _people(records, list_hints, list_denied)
-    nested = head.where(F.size("people") > 0).select("business_id", F.explode("people").alias("m")).select("business_id", F.map_entries("m").alias("p"))
-    flat = head.where(F.size("people") <= 0).select("business_id", F.col("own").alias("p"))
-    everyone = nested.unionByName(flat)
-    out = everyone.select("business_id", _person_name(F.col("p")).alias("person_name"), _pick(F.col("p"), PERSON_HINTS["role"]).alias("role"), _pick(F.col("p"), PERSON_HINTS["ended"]).isNotNull().alias("ended"))
-    return out.where("business_id is not null and person_name is not null")
+    """(business_id, own, lists, people): a record's entries, the lists among them whose key may name people (with their
+    length), and the entries of each object in these lists that begin with one."""
+    text = F.col("record") if isinstance(records.schema["record"].dataType, StringType) else F.to_json("record")
+    rows = records.select(_entries(text).alias("own"), F.from_json(text, "map<string,string>").alias("raw")).where("own is not null")
+    named = lambda e: F.coalesce(F.rlike(e["folded"], F.lit("|".join(list_hints))), F.lit(False)) & ~F.rlike(e["folded"], F.lit("|".join(list_denied)))
+    found = F.filter("own", lambda e: e["kind"].startswith("ARRAY") & named(e))
+    parts = lambda e: F.coalesce(F.from_json(F.try_element_at("raw", e["key"]), "array<string>"), F.array().cast("array<string>"))
+    rows = rows.withColumn("lists", F.transform(found, lambda e: F.struct(e["key"].alias("key"), parts(e).alias("parts"))))
+    begins = F.filter("lists", lambda x: F.get(x["parts"], F.lit(0)).startswith("{"))
+    people = F.filter(F.transform(F.flatten(F.transform(begins, lambda x: x["parts"])), _entries), lambda p: p.isNotNull())
+    return rows.select(_pick(F.col("own"), fixed.CODE_KEYS).alias("business_id"), "own", "lists", people.alias("people"))
+
+
+def register_persons(records: DataFrame, list_hints: tuple[str, ...] = fixed.PERSON_LIST_KEYS, list_denied: tuple[str, ...] = fixed.OTHER_LIST_KEYS) -> DataFrame:
+    """(business_id, person_name, role, ended) of records whose keys differ by release; records: (record), an object as
+    JSON text or variant. A field is the value of the first hint that a key contains. People are in lists whose key has a
+    hint; only if no one there has a name is the record a person itself. People who have left are marked ended (and keep
+    the record from being a person itself); current_persons leaves them out. Records without a code, without a name or
+    that are no objects give no rows.
+
+    A variant has its keys in alphabetical order, which decides where one hint is in several keys; text keeps its own."""
+    named = F.filter(F.transform("people", _person), lambda x: x["person_name"].isNotNull())
+    itself = _person(F.col("own")).withField("ended", F.lit(False))
+    rows = _people(records, list_hints, list_denied).where("business_id is not null").withColumn("named", named)
+    rows = rows.select("business_id", F.inline(F.when(F.size("named") > 0, F.col("named")).otherwise(F.array(itself))))
+    return rows.where("person_name is not null")
 
 
 def current_persons(records: DataFrame, **lists) -> DataFrame:
@@ -105,30 +123,29 @@ def current_persons(records: DataFrame, **lists) -> DataFrame:
     return rows.select("business_id", "person_name", F.coalesce("role", F.lit("board member")).alias("role"))
 
 
-def person_losses(records: DataFrame, list_hints: tuple[str, ...] = PERSON_LISTS, list_denied: tuple[str, ...] = NO_PERSON_LISTS) -> DataFrame:
+def person_losses(records: DataFrame, list_hints: tuple[str, ...] = fixed.PERSON_LIST_KEYS, list_denied: tuple[str, ...] = fixed.OTHER_LIST_KEYS) -> DataFrame:
     """One row: records, those without a code, without a list of people and with an empty one, people in lists, those
     without a name, who left, and who are current: why a dump yields as few people as it does."""
     rows = _people(records, list_hints, list_denied)
-    one = rows.agg(
-        F.count("*").alias("records"),
-        F.count_if(F.col("business_id").isNull()).alias("no_code"),
-        F.count_if(F.col("business_id").isNotNull() & (F.size("lists") == 0)).alias("no_list"),
-        F.coalesce(F.sum(F.when(F.col("business_id").isNotNull(), F.size(F.filter("lists", lambda x: x["value"].rlike(r"^\s*\[\s*\]\s*$"))))), F.lit(0)).alias("empty_lists"),
-    )
-    person = rows.where("business_id is not null").select(F.explode("people").alias("m")).select(F.map_entries("m").alias("p"))
-    name, ended = _person_name(F.col("p")), _pick(F.col("p"), PERSON_HINTS["ended"]).isNotNull()
-    two = person.agg(F.count("*").alias("people"), F.count_if(name.isNull()).alias("no_name"), F.count_if(name.isNotNull() & ended).alias("ended"), F.count_if(name.isNotNull() & ~ended).alias("kept"))
-    return one.crossJoin(two)
+    coded = F.col("business_id").isNotNull()
+    people = F.when(coded, F.transform("people", _person)).otherwise(F.array())
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("long")
+    of = lambda test: F.size(F.filter("p", test))
+    rows = rows.select("business_id", "lists", people.alias("p"))
+    return rows.agg(
+        F.count("*").alias("records"), F.count_if(~coded).alias("no_code"), F.count_if(coded & (F.size("lists") == 0)).alias("no_list"),
+        total(F.when(coded, F.size(F.filter("lists", lambda x: F.size(x["parts"]) == 0)))).alias("empty_lists"), total(F.size("p")).alias("people"), total(of(lambda x: x["person_name"].isNull())).alias("no_name"),
+        total(of(lambda x: x["person_name"].isNotNull() & x["ended"])).alias("ended"), total(of(lambda x: x["person_name"].isNotNull() & ~x["ended"])).alias("kept"),
+    )
 
 
-def person_keys(records: DataFrame, list_hints: tuple[str, ...] = PERSON_LISTS, list_denied: tuple[str, ...] = NO_PERSON_LISTS) -> DataFrame:
+def person_keys(records: DataFrame, list_hints: tuple[str, ...] = fixed.PERSON_LIST_KEYS, list_denied: tuple[str, ...] = fixed.OTHER_LIST_KEYS) -> DataFrame:
     """(level, json_key, n): how often each key occurs in records, as a list of people, and in people."""
     rows = _people(records, list_hints, list_denied)
-    keys = lambda level, c: c.select(F.lit(level).alias("level"), F.col("e.key").alias("json_key"))
-    coded = rows.where("business_id is not null")
-    every = keys("record", rows.select(F.explode("own").alias("e"))).unionByName(keys("list", coded.select(F.explode("lists").alias("e"))))
-    every = every.unionByName(keys("person", coded.select(F.explode("people").alias("m")).select(F.explode(F.map_entries("m")).alias("e"))))
-    return every.groupBy("level", "json_key").agg(F.count("*").alias("n"))
+    keys = lambda level, found: F.transform(found, lambda e: F.struct(F.lit(level).alias("level"), e["key"].alias("json_key")))
+    coded = lambda c: F.when(F.col("business_id").isNotNull(), c).otherwise(F.array().cast("array<struct<level:string,json_key:string>>"))
+    every = F.concat(keys("record", F.col("own")), coded(keys("list", F.col("lists"))), coded(keys("person", F.flatten("people"))))
+    return rows.select(F.inline(every)).groupBy("level", "json_key").agg(F.count("*").alias("n"))
 
 
 def key_profile(objects: Column, df: DataFrame, top: int = 14) -> DataFrame:

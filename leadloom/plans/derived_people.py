@@ -166,6 +166,36 @@ def person_keys(spark, sf_dir):
     return r.person_keys(_records(spark, sf_dir))
 
 
+def _order_records(spark, sf_dir):
+    """A company for each customer, in the keys of one release or another, with its orders as people of the card: named in
+    one of six ways, some without a name, some who have left."""
+    o, one = table(spark, sf_dir, "orders"), lambda key, value: text_of(f'"{key}":"', value, '"')
+    given, own = text_of("G", F.col("o_custkey")), text_of("S", F.col("o_orderkey"))
+    ways = [(("eesnimi", given), ("nimi_arinimi", own)), (("first_name", given), ("last_name", own)), (("Given Name", given), ("Surname", own)), (("isiku_nimi", text_of(given, " ", own)),), (("Eesnimi", given), ("Perekonnanimi", own)), (("eesnimi", given), ("nimi", own))]
+    named = F.coalesce(*[F.when(F.col("o_orderkey") % 6 == k, F.concat_ws(",", *[one(key, v) for key, v in way])) for k, way in enumerate(ways)])
+    roles = F.concat_ws(",", one("isiku_roll", F.col("o_orderpriority")), F.when(F.col("o_totalprice") > 100_000, text_of('"isiku_roll_tekstina":"r', F.col("o_orderkey"), '"')))
+    left = F.when(F.col("o_orderdate") < F.lit("1998-01-01").cast("date"), '"lopp_kpv":"1995"').otherwise('"lopp_kpv":""')
+    person = text_of("{", F.concat_ws(",", F.when(F.col("o_orderstatus") != "P", named), F.lit('"kaardi_nr":[{"nr":1}]'), roles, left), "}")
+    people = o.select("o_custkey", "o_orderkey", person.alias("person")).groupBy("o_custkey").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("o_orderkey", "person"))), lambda x: x["person"]), ",").alias("people"))
+    rows = customers(spark, sf_dir).join(people, F.col("k") == F.col("o_custkey"), "left")
+    code = F.when(F.col("c_nationkey") % 3 == 0, text_of('"ariregistri_kood":', F.col("k"))).when(F.col("c_nationkey") % 3 == 1, text_of('"Registrikood":"', F.col("k"), '"')).otherwise(text_of('"kood":"","registry_code":"', F.col("k"), '"'))
+    key = F.element_at(F.array(*map(F.lit, ("kaardile_kantud_isikud", "Persons", "Kande isikud", "esindus"))), (F.col("c_nationkey") % 4 + 1).cast("int"))
+    cards = F.when(F.col("people").isNotNull(), text_of('"', key, '":[', F.col("people"), ',"no object"]'))
+    return rows.select(text_of("{", F.concat_ws(",", code, F.lit('"esindusoiguse_normaalregulatsioonid":[{"nimi":"Rule Two"}]'), cards, text_of('"Nimi":"', F.col("c_name"), '"')), "}").alias("record"))
+
+
+@query("""
+    WITH p AS (SELECT o_custkey, CASE WHEN o_orderstatus <> 'P' THEN CASE WHEN o_orderkey % 6 = 5 THEN 'G' || o_custkey ELSE 'G' || o_custkey || ' S' || o_orderkey END END AS person_name,
+        CASE WHEN o_totalprice > 100000 THEN 'r' || o_orderkey ELSE o_orderpriority END AS role, o_orderdate < DATE '1998-01-01' AS ended FROM orders)
+    SELECT CAST(o_custkey AS VARCHAR) AS business_id, person_name, role, ended FROM p WHERE person_name IS NOT NULL
+    UNION ALL SELECT CAST(c_custkey AS VARCHAR), c_name, NULL, FALSE FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM p WHERE person_name IS NOT NULL)
+""")
+def people_of_all_releases(spark, sf_dir):
+    """Every family of keys; a company none of whose people has a name is a person itself, one whose people have all left
+    is not."""
+    return r.register_persons(_order_records(spark, sf_dir))
+
+
 @query("SELECT CAST(s_suppkey AS VARCHAR) AS business_id, 'Piret Mets' AS person_name, CASE WHEN s_suppkey % 2 = 0 THEN 'board member' ELSE 'JUHL' END AS role FROM supplier WHERE s_suppkey % 3 = 0")
 def board_names(spark, sf_dir):
     rows = suppliers(spark, sf_dir).select(F.col("s_suppkey").cast("string").alias("business_id"), F.when(F.col("s_suppkey") % 3 == 0, "Piret Mets").when(F.col("s_suppkey") % 3 == 1, "Firma OÜ").otherwise("Solo").alias("person_name"), F.when(F.col("s_suppkey") % 2 == 0, " ").otherwise("JUHL").alias("role"))

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import normalise_name
+from .json_ranges import RANGE, json_records
 
 PLACES = "array<struct<id:string,displayName:struct<text:string>,formattedAddress:string,websiteUri:string,businessStatus:string,internationalPhoneNumber:string,rating:double,userRatingCount:int,primaryType:string,location:struct<latitude:double,longitude:double>>>"
 FI_COMPANY = (
@@ -25,16 +26,14 @@ def read_pages(spark: SparkSession, path: str, raw: bool = False) -> DataFrame:
     return spark.read.text(path, wholetext=True).select(F.input_file_name().alias("path"), F.col("value").alias("html"))
 
 
-def read_register_json(spark: SparkSession, path: str, start: str | None = None) -> DataFrame:
-    """One row a company: the file is an array, or an object with one under companies, results, data or items. businessId
-    may be an object or a string. A file is one task and one row unless `start` tells how its records begin."""
-    if start is not None:
-        rows = split_records(spark, path, start).select(F.from_json("record", FI_COMPANY).alias("c")).select("c.*")
-    else:
-        text = spark.read.text(path, wholetext=True)
-        inner = ", ".join(f"get_json_object(value, '$.{k}')" for k in ("companies", "results", "data", "items"))
-        array = F.expr(f"CASE WHEN ltrim(value) LIKE '[%' THEN value ELSE coalesce({inner}, concat('[', value, ']')) END")
-        rows = text.select(F.explode(F.from_json(array, f"array<{FI_COMPANY}>")).alias("c")).select("c.*")
+#: Keys under which a register dump has its companies, best first.
+COMPANY_KEYS = ("companies", "results", "data", "items")
+
+
+def read_register_json(spark: SparkSession, path: str, range_bytes: int = RANGE) -> DataFrame:
+    """One row a company: the file is an array, an object with one under companies, results, data or items, or objects one
+    after another. businessId may be an object or a string. Files of any size are read by many tasks, by byte ranges."""
+    rows = json_records(spark, path, COMPANY_KEYS, range_bytes=range_bytes).select(F.from_json("record", FI_COMPANY).alias("c")).select("c.*")
     own = F.coalesce(F.get_json_object("businessId", "$.value"), F.col("businessId"))
     return rows.withColumn("businessId", own).where("businessId is not null")
 
@@ -67,26 +66,10 @@ def read_by_header(spark: SparkSession, path: str, mapping: dict[str, str], sep:
     return by_header(spark.read.csv(path, header=True, sep=sep, encoding=encoding, escape='"'), mapping)
 
 
-def split_records(spark: SparkSession, path: str, start: str) -> DataFrame:
-    """(record): the JSON objects of dumps of any size that begin with `start`, such as '{"businessId":', by cutting the
-    files there. Unlike a file read whole, a dump is read by many tasks, and a row is one object."""
-    pieces = spark.read.text(path, lineSep=start).select(F.get_json_object(F.concat(F.lit(start), "value"), "$").alias("record"))
-    return pieces.where("record is not null")
-
-
-def read_register_persons(spark: SparkSession, path: str, start: str | None = None) -> DataFrame:
-    """(record variant) of a nested person dump of any wrapper; operators.register.register_persons picks the people. A
-    file is one task and one row unless `start` tells how its records begin."""
-    if start is not None:
-        return split_records(spark, path, start).select(F.try_parse_json("record").alias("record"))
-
-    def elements(df: DataFrame) -> DataFrame:
-        return df.lateralJoin(spark.tvf.variant_explode(F.col("v").outer())).select("value")
-
-    top = spark.read.text(path, wholetext=True).select(F.try_parse_json("value").alias("v"))
-    is_array = F.schema_of_variant("v").startswith("ARRAY")
-    inner = elements(top.where(~is_array)).where(F.schema_of_variant("value").startswith("ARRAY<OBJECT")).select(F.col("value").alias("v"))
-    return elements(top.where(is_array)).unionByName(elements(inner)).withColumnRenamed("value", "record")
+def read_register_persons(spark: SparkSession, path: str, wrapper: str | None = None, range_bytes: int = RANGE) -> DataFrame:
+    """(record) as JSON text, of a nested person dump: an array, the first array of objects in an object (or the one under
+    `wrapper`), or objects one after another; operators.register.register_persons picks the people."""
+    return json_records(spark, path, None, wrapper, range_bytes).select("record")
 
 
 def read_extracts(spark: SparkSession, path: str) -> DataFrame:

@@ -13,20 +13,38 @@ from leadloom.operators import writes as w
 from leadloom.sources import readers
 
 
-def test_dumps_are_split_at_the_start_of_records(spark, tmp_path):
-    companies = [{"businessId": {"value": f"{k}-1"}, "names": [{"name": f"A {{{k}}}", "type": "1"}], "website": None} for k in range(50)]
-    for name, text in (("a", json.dumps(companies)), ("b", json.dumps({"companies": companies}, indent=0))):
-        (tmp_path / f"{name}.json").write_text(text)
-        start = '{"businessId":' if name == "a" else '{\n"businessId":'
-        got = readers.read_register_json(spark, str(tmp_path / f"{name}.json"), start)
-        want = readers.read_register_json(spark, str(tmp_path / f"{name}.json"))
-        assert sorted(got.select("businessId", "names").collect()) == sorted(want.select("businessId", "names").collect()) and got.count() == 50
-    people = [{"ariregistri_kood": k, "kaardile_kantud_isikud": [{"eesnimi": "Piret", "perenimi": f"Mets{k}"}]} for k in range(20)]
-    (tmp_path / "p.json").write_text(json.dumps({"data": people}))
-    got = r.current_persons(readers.read_register_persons(spark, str(tmp_path / "p.json"), '{"ariregistri_kood":'))
+def test_people_of_a_dump_read_by_ranges(spark, tmp_path):
+    people = [{"ariregistri_kood": k, "kaardile_kantud_isikud": [{"eesnimi": "Piret", "perekonnanimi": f"Mets{k}"}]} for k in range(20)]
+    (tmp_path / "p.json").write_text(json.dumps({"meta": {"n": [1]}, "data": people}))
+    got = r.current_persons(readers.read_register_persons(spark, str(tmp_path / "p.json"), range_bytes=100))
     assert sorted(x["person_name"] for x in got.collect()) == sorted(f"Piret Mets{k}" for k in range(20))
 
 
+PERSONS = [
+    ({"kood": 1, "isikud": [{"eesnimi": "Piret", "perekonnanimi": "Mets"}]}, [("Piret Mets", False)]),
+    ({"kood": 1, "isikud": [{"first_name": "Piret", "last_name": "Mets", "role": "x"}]}, [("Piret Mets", False)]),
+    ({"kood": 1, "isikud": [{"eesnimi": "Piret", "surname": ""}]}, [("Piret", False)]),
+    ({"kood": 1, "isikud": [{"nimi": "A B", "isiku_nimi": "C D"}]}, [("C D", False)]),
+    ({"kood": 1, "isikud": [{"nimi": "A B", "eesnimi": "C"}]}, [("A B", False)]),  # the hint is first in the first key
+    ({"kood": 1, "isikud": [{"eesnimi": "C", "nimi": "A B"}]}, [("C", False)]),
+    ({"kood": 1, "nimi": "Own Name", "isikud": [{"nr": 3}, {"nimi": None}, {"nimi": []}]}, [("Own Name", False)]),  # no one there has a name
+    ({"kood": 1, "nimi": "Own Name", "isikud": [{"nimi": "A B", "end_date": "2020"}]}, [("A B", True)]),
+    ({"kood": 1, "nimi": "Own Name", "end_date": "2020", "isikud": []}, [("Own Name", False)]),
+    ({"kood": 1, "nimi": "Own Name", "isikud": ["text", {"nimi": "A B"}]}, [("Own Name", False)]),  # doesn't begin with an object
+    ({"kood": 1, "isikud": [{"nimi": "A B"}, "text", 3, None]}, [("A B", False)]),
+    ({"kood": 1, "esindusoiguse_isikud": [{"nimi": "A B"}], "nimi": "[x"}, [("[x", False)]),
+    ({"kood": "", "registry_code": None, "nimi": "A B"}, []), ({"kood": 1}, []), ({}, []), ([1], []), (None, []),
+    ({"Äriregistri-Kood": 7.5, "Kanne": [{"Isiku Nimi": "Õie Ä"}]}, [("Õie Ä", False)]),
+]
+
+
+@pytest.mark.parametrize("record, want", PERSONS)
+def test_person_keys(spark, record, want):
+    df = spark.createDataFrame([(None if record is None else json.dumps(record),)], "record string")
+    assert [(x["person_name"], x["ended"]) for x in r.register_persons(df).collect()] == want
+    assert r.person_losses(df).count() == 1 and r.person_keys(df).count() >= 0
+
+
 @pytest.mark.parametrize("name, want", [("Wolt Delivery", False), ("Christmas Buffet", False), ("Foodora Wolt", False), ("Joulu Lounas", False), ("Gift Card", False), ("Ota Yhteyttä", False), ("Read More", False), ("Would You", False), ("Anna Korpela", True), ("Aino-Maija Rinne", True), ("Anna", False), (None, False), ("Acme Oy", False)])
 def test_words_that_are_no_names(spark, name, want):
     df = spark.createDataFrame([(name,)], "n string")

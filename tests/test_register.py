@@ -28,7 +28,7 @@ def test_headers_and_persons(spark, tmp_path):
     rows = r.register_flatten_ee(raw.withColumn("address", F.lit(None).cast("string"))).collect()
     assert [(x["business_id"], x["name_norm"], x["status"]) for x in rows] == [("12345678", "aoi", "Registrisse kantud")]
     person = lambda **k: {"isiku_tyyp": "F", **k}
-    data = [{"ariregistri_kood": 1, "kaardile_kantud_isikud": [person(eesnimi="Piret", nimi_arinimi="Mets", isiku_roll="JUHL"), person(eesnimi="Rein", nimi_arinimi="Lepp", lopp_kpv="2020-01-01")], "esindusoiguse_tavad": [{"x": "y"}]}, {"ariregistri_kood": "2", "eesnimi": "Kaja", "perenimi": "Org"}]
+    data = [{"ariregistri_kood": 1, "kaardile_kantud_isikud": [person(eesnimi="Piret", nimi_arinimi="Mets", isiku_roll="JUHL"), person(eesnimi="Rein", nimi_arinimi="Lepp", lopp_kpv="2020-01-01")], "esindusoiguse_tavad": [{"x": "y"}]}, {"ariregistri_kood": "2", "eesnimi": "Kaja", "perekonnanimi": "Org"}]
     for wrapped in (data, {"data": data}):
         path = tmp_path / f"p{isinstance(wrapped, dict)}"
         path.mkdir()
