@@ -12,31 +12,39 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import fixed
+from .references import let, unescape
 
 
-def _table() -> tuple[str, str]:
-    """Letters that fold to one ASCII letter: the domain's own, and Latin ones by Unicode decomposition."""
-    pairs = {c: f for c, f in fixed.FOLDS.items() if len(f) == 1} | {c.upper(): f.upper() for c, f in fixed.FOLDS.items() if len(f) == 1}
-    for k in range(0xC0, 0x250):
+def _table() -> tuple[str, str, dict[str, str]]:
+    """Letters that fold to one ASCII character (the domain's own, and others by Unicode's compatibility decomposition
+    without marks), and those that fold to several."""
+    own = fixed.FOLDS | {c.upper(): f.upper() for c, f in fixed.FOLDS.items() if len(c.upper()) == 1}
+    pairs, several = {c: f for c, f in own.items() if len(f) == 1}, {c: f for c, f in own.items() if len(f) > 1}
+    for k in range(0xC0, 0x10000):
         c = chr(k)
         flat = "".join(x for x in unicodedata.normalize("NFKD", c) if not unicodedata.combining(x))
-        if c not in pairs and len(flat) == 1 and flat != c and flat.isascii():
-            pairs[c] = flat
-    return "".join(pairs), "".join(pairs.values())
+        if c not in own and flat != c and flat.isascii() and flat.isalnum():
+            if len(flat) == 1:
+                pairs[c] = flat
+            elif unicodedata.category(c)[0] == "L":
+                several[c] = flat
+    return "".join(pairs), "".join(pairs.values()), several
 
 
-_FROM, _TO = _table()
+_FROM, _TO, _SEVERAL = _table()
+_WHITE = "[\\s\\x{1c}-\\x{1f}\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]+"
 
 
 def fold(c: Column) -> Column:
-    """Latin letters without their marks; combining marks are dropped. Other scripts stay."""
-    out = F.regexp_replace(F.translate(c, _FROM, _TO), "\\p{M}+", "")
-    for letter, flat in fixed.FOLDS.items():
-        if len(flat) > 1:
-            out = F.replace(out, F.lit(letter), F.lit(flat))
-            if letter.upper() != "SS":
-                out = F.replace(out, F.lit(letter.upper()), F.lit(flat.upper()))
-    return out
+    """Latin letters without their marks and ligatures; combining marks are dropped. Other scripts stay."""
+
+    def apart(x: Column) -> Column:
+        for letter, flat in _SEVERAL.items():
+            x = F.replace(x, F.lit(letter), F.lit(flat))
+        return x
+
+    plain = F.regexp_replace(F.translate(c, _FROM, _TO), "\\p{M}+", "")
+    return let(plain, lambda x: F.when(F.rlike(x, F.lit(f"[{''.join(_SEVERAL)}]")), apart(x)).otherwise(x))
 
 
 def normalise_text(c: Column) -> Column:
@@ -133,12 +141,10 @@ def ee_vat_ids(text: Column) -> Column:
 
 
 def visible_text(html: Column) -> Column:
-    """Without scripts, styles and tags, common references decoded, white space as single spaces."""
+    """Without scripts, styles and tags, character references decoded, white space as single spaces."""
     bare = F.regexp_replace(F.coalesce(html, F.lit("")), "(?is)<(script|style|noscript)\\b.*?</\\1\\s*>", " ")
     bare = F.regexp_replace(bare, "(?s)<[^>]*>", " ")
-    for name, char in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")):
-        bare = F.replace(bare, F.lit(name), F.lit(char))
-    return F.trim(F.regexp_replace(bare, "\\s+", " "))
+    return F.trim(F.regexp_replace(unescape(bare), _WHITE, " "))
 
 
 def host_of(url: Column) -> Column:

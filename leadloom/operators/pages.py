@@ -1,22 +1,20 @@
 """Jobs over stored pages: links, kinds, ranks, routes, structured data, listing fields.
 
-Everything is columns over rows of pages, but absolute URLs and the walk through JSON-LD, which Spark has no function
-for. A null page counts as empty; extra columns pass through where a job returns its input's rows."""
+Everything is columns over rows of pages. A null page counts as empty; extra columns pass through where a job returns its
+input's rows."""
 
 from __future__ import annotations
 
-import json
 import re
-from collections.abc import Iterator
-from urllib.parse import urljoin
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions import fixed
+from ..functions.references import let
 from ..functions.text import city_label, fold, host_of, path_of, slugify, visible_text  # noqa: F401
+from ..functions.urls import absolute_url
+from .jsonld import best_jsonld_node, best_node, business_nodes, jsonld_nodes  # noqa: F401
 
 _ANCHOR = "(?is)<a\\b[^>]*>.*?</a>"
 _HREF = "(?is)^<a\\b[^>]*?\\bhref\\s*=\\s*(?:\"([^\"]*)\"|'([^']*)'|([^\\s\"'>]+))"
@@ -28,17 +26,6 @@ def attribute(tag: Column, name: str) -> Column:
     return F.concat(*[F.regexp_extract(tag, pattern, g) for g in (1, 2, 3)])
 
 
-@F.pandas_udf(T.StringType())
-def absolute_url(base: pd.Series, href: pd.Series) -> pd.Series:
-    def joined(b: str | None, h: str | None) -> str | None:
-        try:
-            return urljoin(b or "", (h or "").strip())
-        except ValueError:
-            return None
-
-    return pd.Series([joined(b, h) for b, h in zip(base, href, strict=True)], dtype=object)
-
-
 def page_links(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html", absolute: bool = True) -> DataFrame:
     """(key, url, pos, link, anchor) of every anchor with an href: its absolute URL and at most 120 characters of text,
     or else of its aria-label or title."""
@@ -62,7 +49,10 @@ def _any(words: tuple[str, ...], before: str, after: str) -> str:
 
 def page_kind(link: Column, anchor: Column) -> Column:
     """Struct (kind, priority): by the anchor's words first, then by the path's; one pattern a kind."""
-    text, path = _flat(anchor), _flat(path_of(link))
+    return let(F.struct(_flat(anchor).alias("text"), _flat(path_of(link)).alias("path")), lambda x: _kind(x["text"], x["path"]))
+
+
+def _kind(text: Column, path: Column) -> Column:
     made = lambda k, p: F.struct(F.lit(k).alias("kind"), F.lit(p).alias("priority"))
     out = None
     for kind, priority, phrases, _ in fixed.PAGE_KINDS:
@@ -84,9 +74,9 @@ def crawlable(link: Column, site: Column) -> Column:
 def rank_links(links: DataFrame, site_key: str, limit: int = 15) -> DataFrame:
     """The pages of each site worth reading: per URL its best kind (the first on ties), by priority, then URL."""
     clean = F.coalesce(F.nullif(F.regexp_replace(F.regexp_replace("link", "#.*$", ""), "/+$", ""), F.lit("")), F.lit("/"))
-    kinds = links.select(site_key, clean.alias("link"), page_kind(F.col("link"), F.col("anchor")).alias("k"), *(c for c in ("pos",) if c in links.columns))
-    first = Window.partitionBy(site_key, "link").orderBy("k.priority", *(c for c in ("pos",) if c in links.columns), "k.kind")
-    best = kinds.withColumn("n", F.row_number().over(first)).where("n = 1").select(site_key, "link", "k.*")
+    pos = F.col("pos") if "pos" in links.columns else F.lit(0)
+    kinds = links.select(site_key, clean.alias("link"), page_kind(F.col("link"), F.col("anchor")).alias("k"), pos.alias("at"))
+    best = kinds.groupBy(site_key, "link").agg(F.min(F.struct("k.priority", "at", "k.kind")).alias("k")).select(site_key, "link", "k.kind", "k.priority")
     order = Window.partitionBy(site_key).orderBy("priority", "link")
     return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= limit)
 
@@ -146,59 +136,6 @@ def listing_guards(listings: DataFrame, probed: str = "probed_id") -> DataFrame:
     return listings.withColumns({"refused": F.coalesce(F.trim("title"), F.lit("")) == "", "review_reason": F.nullif(reasons, F.lit("")), "needs_review": (reasons != "").cast("int")})
 
 
-
-
-class JsonLdNodes:
-    """A table function: business nodes of a page's JSON-LD blocks, however deep."""
-
-    def eval(self, html: str) -> Iterator[tuple]:
-        pos = 0
-        for block in re.findall(r"(?is)<script[^>]*application/ld\+json[^>]*>(.*?)</script>", html or ""):
-            try:
-                data = json.loads(block)
-            except ValueError:
-                try:
-                    data = json.loads(block[: block.rfind("}") + 1])
-                except ValueError:
-                    continue
-            todo = [data]
-            while todo:
-                x = todo.pop(0)
-                if isinstance(x, list):
-                    todo += x
-                elif isinstance(x, dict):
-                    kinds = x.get("@type")
-                    kinds = [str(k).lower() for k in (kinds if isinstance(kinds, list) else [kinds])]
-                    rank = min((fixed.BUSINESS_TYPES[k] for k in kinds if k in fixed.BUSINESS_TYPES), default=None)
-                    if rank is not None:
-                        text = lambda v: None if v is None or isinstance(v, (dict, list)) else str(v)
-                        part = lambda name, x=x: x[name] if isinstance(x.get(name), dict) else {}
-                        address, rating, geo = part("address"), part("aggregateRating"), part("geo")
-                        cuisine = x.get("servesCuisine")
-                        filled = sum(bool(x.get(k)) for k in fixed.BUSINESS_KEYS)
-                        yield (pos, rank, filled, text(x.get("@id")), text(x.get("name")), text(x.get("telephone")), text(address.get("streetAddress")), text(address.get("postalCode")), text(address.get("addressLocality")),
-                               text(rating.get("ratingValue")), text(rating.get("reviewCount")), text(geo.get("latitude")), text(geo.get("longitude")), [str(c) for c in (cuisine if isinstance(cuisine, list) else [cuisine] if cuisine else [])])
-                        pos += 1
-                    todo += [v for k, v in x.items() if isinstance(v, (dict, list)) and k not in ("review", "author", "aggregateRating")]
-
-
-_NODE = "pos int, type_rank int, filled int, node_id string, name string, telephone string, street string, postcode string, city string, rating string, reviews string, lat string, lon string, cuisine array<string>"
-
-
-def jsonld_nodes(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
-    nodes = F.udtf(JsonLdNodes, returnType=_NODE)
-    return pages.select(key, F.coalesce(html, F.lit("")).alias("__html")).lateralJoin(nodes(F.col("__html").outer())).drop("__html")
-
-
-def best_jsonld_node(nodes: DataFrame, key: str = "page_id", wanted_id: str | None = None) -> DataFrame:
-    """One node a page: of the wanted id (the node's @id, or its last part) if any, else of the better type, then the
-    fullest, then the first."""
-    own = F.regexp_replace("node_id", "/+$", "")
-    wanted = F.col(wanted_id).cast("string") if wanted_id else F.lit("")
-    miss = F.when(F.endswith(own, F.concat(F.lit("/"), wanted)) | (F.col("node_id") == wanted), 0).otherwise(1) if wanted_id else F.lit(0)
-    return nodes.groupBy(key).agg(F.min_by(F.struct(*nodes.columns), F.struct(miss, "type_rank", -F.col("filled"), "pos")).alias("n")).select("n.*")
-
-
 def map_address(html: Column) -> Column:
     """The address in the first link to a map that names one, as its query, destination or place; bare coordinates don't
     count."""
@@ -213,18 +150,20 @@ def map_address(html: Column) -> Column:
 def detail_fields(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
     """phone, street (or else the address in a map link), postcode, rating, reviews, tags and three keyword flags: JSON-LD
     first, then patterns; `trace` says which gave the phone and the postcode."""
-    node = best_jsonld_node(jsonld_nodes(pages, key, html), key).select(key, "telephone", "street", F.col("postcode").alias("ld_postcode"), "rating", "reviews", "cuisine")
-    text = visible_text(F.col(html))
     none = lambda c: F.nullif(c, F.lit(""))
     tel = none(F.regexp_extract(F.coalesce(html, F.lit("")), "(?i)href=[\"']tel:([^\"']+)", 1))
-    seen = none(F.regexp_extract(text, "(\\+(?:358|372)[0-9 ()-]{6,14}[0-9])", 1))
-    postcode = none(F.regexp_extract(text, "\\b([0-9]{5})\\b", 1))
-    flag = lambda words: F.lower(text).rlike(words).cast("int")
-    rows = pages.select(key, html).join(node, key, "left")
+    rows = pages.select(key, best_node(business_nodes(F.col(html))).alias("n"), visible_text(F.col(html)).alias("text"), tel.alias("tel"), map_address(F.col(html)).alias("on_map"))
+    seen = none(F.regexp_extract("text", "(\\+(?:358|372)[0-9 ()-]{6,14}[0-9])", 1))
+    rows = rows.withColumns({"seen": seen, "code": none(F.regexp_extract("text", "\\b([0-9]{5})\\b", 1)), "low": F.lower("text")})
+    flag = lambda words: F.rlike("low", F.lit(words)).cast("int")
+    trace = F.array(
+        F.when(F.col("n.telephone").isNotNull(), F.lit("phone:jsonld")).when(F.col("tel").isNotNull(), F.lit("phone:tel")).when(F.col("seen").isNotNull(), F.lit("phone:text")),
+        F.when(F.col("n.postcode").isNotNull(), F.lit("postcode:jsonld")).when(F.col("code").isNotNull(), F.lit("postcode:text")),
+    )
     return rows.select(
-        key, F.coalesce("telephone", tel, seen).alias("phone"), F.coalesce("street", map_address(F.col(html))).alias("street"), F.coalesce("ld_postcode", postcode).alias("postcode"), F.col("rating").try_cast("double").alias("rating"), F.col("reviews").try_cast("int").alias("reviews"),
-        F.array_sort(F.array_distinct(F.coalesce("cuisine", F.array()))).alias("tags"), flag("michelin").alias("is_michelin"), flag("(special|campaign) offer|tarjous|pakkumine").alias("has_offer"), flag("gift ?card|lahjakortti|kinkekaart").alias("has_gift_card"),
-        F.filter(F.array(F.when(F.col("telephone").isNotNull(), F.lit("phone:jsonld")).when(tel.isNotNull(), F.lit("phone:tel")).when(seen.isNotNull(), F.lit("phone:text")), F.when(F.col("ld_postcode").isNotNull(), F.lit("postcode:jsonld")).when(postcode.isNotNull(), F.lit("postcode:text"))), lambda x: x.isNotNull()).alias("trace"),
+        key, F.coalesce("n.telephone", "tel", "seen").alias("phone"), F.coalesce("n.street", "on_map").alias("street"), F.coalesce("n.postcode", "code").alias("postcode"), F.col("n.rating").try_cast("double").alias("rating"), F.col("n.reviews").try_cast("int").alias("reviews"),
+        F.array_sort(F.array_distinct(F.coalesce("n.cuisine", F.array()))).alias("tags"), flag("michelin").alias("is_michelin"), flag("(special|campaign) offer|tarjous|pakkumine").alias("has_offer"), flag("gift ?card|lahjakortti|kinkekaart").alias("has_gift_card"),
+        F.filter(trace, lambda x: x.isNotNull()).alias("trace"),
     )
 
 
