@@ -23,7 +23,9 @@ from __future__ import annotations
 
 import html as entities
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -38,6 +40,8 @@ WRAPPER, WRAPPED, ARTICLE = 0.5, 200, 1 / 3
 
 _TAG = re.compile(r"<!--(?s:.*?)(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>\"']|\"[^\"]*+\"|'[^']*+')*+)>|<[!?/a-zA-Z][^<>]*+(?:>|\Z|(?=<))|<\Z")
 _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
+#: Modulus and base of the rolling hash over a page's blocks.
+_PRIME, _BASE = (1 << 61) - 1, 0x5BD1E995_9E3779B1 % ((1 << 61) - 1)
 _SPAN = re.compile(r"<(/?)span\b[^>]*>", re.I)
 _RAW = {t: re.compile(rf"</{t}\b[^>]*>", re.I) for t in ("script", "style", "noscript", "template", "iframe", "textarea", "title", "svg", "math", "object", "select", "button", "canvas", "audio", "video")}
 #: Elements that are no article text, elements that hold blocks, and other blocks.
@@ -74,9 +78,52 @@ class Element:
         self.tag, self.marked, self.first, self.stop, self.outer = tag, marked, first, -1, outer
 
 
+class KeptSizes:
+    """Sizes of a page's blocks, of which runs are dropped: each block goes once, and what is left of a run is a difference
+    of Fenwick sums."""
+
+    def __init__(self, size: list[int]):
+        n = len(size)
+        self.size, self.total, self.next, self.tree = size, sum(size), list(range(n + 1)), [0, *size]
+        for k in range(1, n + 1):
+            if (up := k + (k & -k)) <= n:
+                self.tree[up] += self.tree[k]
+
+    def _first_kept(self, k: int) -> int:
+        root = k
+        while self.next[root] != root:
+            root = self.next[root]
+        while self.next[k] != root:
+            self.next[k], k = root, self.next[k]
+        return root
+
+    def drop(self, first: int, stop: int) -> None:
+        k = self._first_kept(first)
+        while k < stop:
+            self.next[k] = k + 1
+            self.total -= self.size[k]
+            at = k + 1
+            while at < len(self.tree):
+                self.tree[at] -= self.size[k]
+                at += at & -at
+            k = self._first_kept(k)
+
+    def _before(self, k: int) -> int:
+        total = 0
+        while k:
+            total, k = total + self.tree[k], k & (k - 1)
+        return total
+
+    def left(self, first: int, stop: int) -> int:
+        return self._before(stop) - self._before(first) if stop > first else 0
+
+    def kept(self) -> list[bool]:
+        return [self.next[k] == k for k in range(len(self.size))]
+
+
 class Page:
     """Blocks of a page, its elements, its subtrees as (hash, first block, block after the last), and which blocks
-    structure leaves."""
+    structure leaves. Time is in proportion to the page, but for a logarithm, however deep its elements are nested."""
 
     def __init__(self, source: str):
         self.blocks: list[str] = []
@@ -89,8 +136,12 @@ class Page:
         from xxhash import xxh3_64_intdigest
 
         blocks, open_, text = self.blocks, [], []
-        at, tag_of_text = 0, ""
+        at, tag_of_text, articles = 0, "", 0
         last_ends: dict[str, int] = {}
+        open_tags: dict[str, int] = {}
+        open_asides: dict[str, list[Element]] = {t: [] for t in _ASIDE}
+        spans: dict[int, int] | None = None
+        rolled, power = [0], [1]  # of the hashes of the blocks so far
 
         def last_end(tag: str) -> int:
             if tag not in last_ends:
@@ -102,15 +153,25 @@ class Page:
                 words = " ".join(entities.unescape("".join(text)).split())
                 text.clear()
                 if words:
-                    self.subtrees.append((xxh3_64_intdigest(f"{tag_of_text}\0{words}") - (1 << 63), len(blocks), len(blocks) + 1))
+                    own = xxh3_64_intdigest(f"{tag_of_text}\0{words}")
+                    self.subtrees.append((own - (1 << 63), len(blocks), len(blocks) + 1))
                     blocks.append(words)
+                    rolled.append((rolled[-1] * _BASE + xxh3_64_intdigest(words)) % _PRIME)
+                    power.append(power[-1] * _BASE % _PRIME)
 
         def close(depth: int) -> None:
+            nonlocal articles
             while len(open_) > depth:
                 x = open_.pop()
-                x.stop = len(blocks) if x.stop < 0 else x.stop
+                open_tags[x.tag] -= 1
+                articles -= x.tag in ("article", "main")
+                if x.stop < 0:
+                    x.stop = len(blocks)
+                    if x.tag in _ASIDE:
+                        open_asides[x.tag].pop()
                 if x.stop - x.first > 1 and x.tag in _HOLDERS | _ASIDE:
-                    self.subtrees.append((xxh3_64_intdigest("\0".join([x.tag, *blocks[x.first : x.stop]])) - (1 << 63), x.first, x.stop))
+                    inner = (rolled[x.stop] - rolled[x.first] * power[x.stop - x.first]) % _PRIME
+                    self.subtrees.append((xxh3_64_intdigest(f"{x.tag}\0{x.stop - x.first}\0{inner}") - (1 << 63), x.first, x.stop))
 
         while at < len(source):
             m = _TAG.search(source, at)
@@ -132,24 +193,33 @@ class Page:
                 text.append(" ")
             elif tag == "span":
                 if not closing and not alone and _marked(m[3]):
-                    at = self._past_span(source, at)
+                    spans = self._spans(source) if spans is None else spans
+                    at = spans.get(at, at)
             elif tag in _BLOCKS:
                 end()
                 tag_of_text = tag
                 if closing:
-                    depth = next((k for k in range(len(open_) - 1, -1, -1) if open_[k].tag == tag), None)
-                    if depth is not None:
+                    if open_tags.get(tag):
+                        depth = len(open_) - 1
+                        while open_[depth].tag != tag:
+                            depth -= 1
                         close(depth)
                     continue
                 if open_ and tag in _ENDED_BY.get(open_[-1].tag, ()):
                     close(len(open_) - 1)
                 if tag in ("article", "main"):  # a part that was left open before the article
-                    for x in open_:
-                        if x.tag in _ASIDE and x.stop < 0 and last_end(x.tag) < at:
-                            x.stop = len(blocks)
+                    for aside, some in open_asides.items():
+                        if some and last_end(aside) < at:
+                            for x in some:
+                                x.stop = len(blocks)
+                            some.clear()
                 if not alone and tag != "hr":
-                    x = Element(tag, _marked(m[3]), len(blocks), all(o.tag not in ("article", "main") for o in open_))
+                    x = Element(tag, _marked(m[3]), len(blocks), not articles)
                     open_.append(x)
+                    open_tags[tag] = open_tags.get(tag, 0) + 1
+                    articles += tag in ("article", "main")
+                    if tag in _ASIDE:
+                        open_asides[tag].append(x)
                     self.elements.append(x)
         if at < len(source):
             text.append(source[at:])
@@ -157,54 +227,59 @@ class Page:
         close(0)
 
     @staticmethod
-    def _past_span(source: str, at: int) -> int:
-        depth = 1
-        for m in _SPAN.finditer(source, at):
-            depth += -1 if m[1] else 1
-            if not depth:
-                return m.end()
-        return at
+    def _spans(source: str) -> dict[int, int]:
+        """Where each span begins -> the place behind its end; spans that don't end are left out."""
+        open_, out = [], {}
+        for m in _SPAN.finditer(source):
+            if not m[1]:
+                open_.append(m.end())
+            elif open_:
+                out[open_.pop()] = m.end()
+        return out
 
     def _kept(self) -> list[bool]:
-        size = [len(x) for x in self.blocks]
-        kept = [True] * len(size)
-
-        def drop(x: Element) -> None:
-            kept[x.first : x.stop] = [False] * (x.stop - x.first)
-
-        def long(x: Element) -> int:
-            return sum(n for n, k in zip(size[x.first : x.stop], kept[x.first : x.stop], strict=True) if k)
-
-        articles = [x for x in self.elements if x.tag in ("article", "main") and x.stop > x.first]
+        sizes = KeptSizes([len(x) for x in self.blocks])
+        articles = sorted((x for x in self.elements if x.tag in ("article", "main") and x.stop > x.first), key=lambda x: x.first)
+        starts, least = [x.first for x in articles], [(len(self.blocks) + 1, None)] * 2
+        ends = [least]  # from each article on, the two that end first
+        for x in reversed(articles):
+            least = sorted([*least, (x.stop, x)], key=lambda p: p[0])[:2]
+            ends.append(least)
+        ends.reverse()
 
         def has_article(x: Element) -> bool:
-            return any(y is not x and x.first <= y.first and y.stop <= x.stop for y in articles)
+            return any(stop <= x.stop and y is not x for stop, y in ends[bisect_left(starts, x.first)])
 
         for x in self.elements:
             if x.tag in _ASIDE or x.tag == "header" and x.outer and not has_article(x):
-                drop(x)
-        total = sum(n for n, k in zip(size, kept, strict=True) if k)
+                sizes.drop(x.first, x.stop)
         for x in self.elements:
             if x.tag in ("form", "fieldset") or x.marked and x.tag not in ("body", "html"):
-                own = long(x)
-                if not (own > WRAPPER * total and (own >= WRAPPED or has_article(x))):
-                    drop(x)
-                    total -= own
+                own = sizes.left(x.first, x.stop)
+                if not (own > WRAPPER * sizes.total and (own >= WRAPPED or has_article(x))):
+                    sizes.drop(x.first, x.stop)
+        kept = sizes.kept()
         for tag in ("article", "main"):
-            inside = [False] * len(size)
+            edges = [0] * (len(kept) + 1)
             for x in self.elements:
-                if x.tag == tag:
-                    inside[x.first : x.stop] = [True] * (x.stop - x.first)
-            own = sum(n for n, k, i in zip(size, kept, inside, strict=True) if k and i)
-            if own and own >= ARTICLE * total:
-                return [k and i for k, i in zip(kept, inside, strict=True)]
+                if x.tag == tag and x.stop > x.first:
+                    edges[x.first] += 1
+                    edges[x.stop] -= 1
+            inside = [k and d > 0 for k, d in zip(kept, accumulate(edges), strict=False)]
+            own = sum(n for n, i in zip(sizes.size, inside, strict=True) if i)
+            if own and own >= ARTICLE * sizes.total:
+                return inside
         return kept
 
     def text(self, templates: frozenset[int] | set[int]) -> str:
         kept = self.kept
         if templates:
-            gone = {k for h, a, b in self.subtrees if h in templates for k in range(a, b)}
-            kept = [k and n not in gone for n, k in enumerate(kept)]
+            edges = [0] * (len(kept) + 1)
+            for h, a, b in self.subtrees:
+                if h in templates:
+                    edges[a] += 1
+                    edges[b] -= 1
+            kept = [k and not d for k, d in zip(kept, accumulate(edges), strict=False)]
         return "\n\n".join(x for x, k in zip(self.blocks, kept, strict=True) if k)
 
 

@@ -47,3 +47,17 @@ def test_templates(spark, monkeypatch, broadcast):
     assert got == {k: of_host[url.split("/")[2]][html].text(want[url.split("/")[2]]) for k, url, html in rows}
     changed = sum(got[k] != Page(html).text(set()) for k, _, html in rows)
     assert changed >= 24 and got[2] == "Text 2" and got[3] == "Text 3\n\nFollow our letters 0" and got[100] == "Other 0\n\nOnce"
+
+
+@pytest.mark.parametrize("unit", ["<ul><li>a b c", "<div class=ad>x y", "<article>x<div class=menu>y", "<span class=ad>x", "<nav><main>x", "<article>x</article><div class=ad>y</div>"])
+def test_time_grows_with_the_page(unit):
+    """Deep or many elements: ten times the page takes about ten times as long, not a hundred times."""
+    import time
+
+    def took(n):
+        began = time.process_time()
+        Page(unit * n).text({1})
+        return time.process_time() - began
+
+    took(100)
+    assert took(40_000) < 40 * took(4_000) + 0.2

@@ -90,7 +90,7 @@ def test_html(spark):
 
 
 @pytest.mark.parametrize("html, want", [
-    ('<div class="cookie">We use</div><h1>T</h1><p>a&nbsp;b<br>c</p><form>x<p>y</p></form><aside>no</aside><p>z &lt;3 &eacute', "T\n\na b c\n\nz <3 é"), ("<p>one<p>two<nav>m</nav> three<li class=menu>q<li>ok", "one\n\ntwo\n\nthree"),
+    ('<div class="cookie">We use</div><h1>T</h1><p>a&nbsp;b<br>c</p><form>x<p>y</p></form><aside>no</aside><p>z &lt;3 &eacute', "T\n\na b c\n\nz <3 é"), ("<p>one<p>two<nav>m</nav> three<li class=menu>q<li>ok", "one\n\ntwo\n\nthree\n\nok"),
     ('<article><header><h1>T</h1></header><p>x</p><div id="comments"><div>c1</div></div><p>y</article>', "T\n\nx\n\ny"), ("a < b", "a < b"), ("<p>cut <b", "cut"), ('<script>var x="<p>no</p>"</script>text', "text"), ("<nav>open<article><p>hi</p>", "hi"), ("<!-- <p>no</p> --><p>yes<!-- open", "yes"),
 ])
 def test_page(html, want):
