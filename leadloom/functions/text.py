@@ -97,23 +97,64 @@ def number_of(address: Column) -> Column:
 
 @F.pandas_udf(T.DoubleType())
 def _ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([SequenceMatcher(None, x or "", y or "").ratio() for x, y in zip(a, b, strict=True)], dtype=float)
+    return pd.Series([0.0 if x is None or y is None else SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b, strict=True)], dtype=float)
+
+
+#: From this length of its second argument on the matching-blocks ratio leaves out frequent letters.
+JUNK_FROM = 200
+_LETTERS = "abcdefghijklmnopqrstuvwxyz0123456789 "
+
+
+def _most_matching(a: Column, b: Column) -> Column:
+    """No more letters can match than both texts have of each letter."""
+    times = lambda c, x: F.length(c) - F.length(F.replace(c, F.lit(x), F.lit("")))
+    known = sum((F.least(times(a, x), times(b, x)) for x in _LETTERS), F.lit(0))
+    others = lambda c: F.length(F.regexp_replace(c, "[a-z0-9 ]", ""))
+    return known + F.least(others(a), others(b))
+
+
+def similarity_parts(a: Column, b: Column, least: float = 0.0) -> Column:
+    """Struct (score, open) of two normalised names: the similarity where it follows without aligning the texts, else null
+    and open. It follows if a text is empty or holds the other (then all of the shorter one matches), or if an upper bound
+    of the ratio, by length or by counts of letters, isn't over what the words give. Scores under `least` may be lower."""
+    la, lb = F.length(a), F.length(b)
+    empty = (F.coalesce(a, F.lit("")) == "") | (F.coalesce(b, F.lit("")) == "")
+    held = (lb < JUNK_FROM) & (F.contains(a, b) | F.contains(b, a))
+    share = lambda n: 2.0 * n / (la + lb)
+
+    def scored(x: Column) -> Column:
+        floor = F.greatest(x["words"], F.lit(least))
+        low = x["words"]
+        return (
+            F.when(empty, F.struct(F.lit(0.0).alias("score"), F.lit(False).alias("open")))
+            .when(a == b, F.struct(F.lit(1.0).alias("score"), F.lit(False).alias("open")))
+            .when(held, F.struct(F.greatest(low, share(F.least(la, lb))).alias("score"), F.lit(False).alias("open")))
+            .when(share(F.least(la, lb)) <= floor, F.struct(low.alias("score"), F.lit(False).alias("open")))
+            .when(share(_most_matching(a, b)) <= floor, F.struct(low.alias("score"), F.lit(False).alias("open")))
+            .otherwise(F.struct(low.alias("score"), F.lit(True).alias("open")))
+        )
+
+    wa, wb = F.array_distinct(F.split(a, " ")), F.array_distinct(F.split(b, " "))
+    words = let(F.struct(F.size(F.array_intersect(wa, wb)).alias("both"), F.size(wa).alias("a"), F.size(wb).alias("b")), lambda n: F.when(n["both"] == F.least(n["a"], n["b"]), F.lit(0.9)).otherwise(n["both"] / (n["a"] + n["b"] - n["both"])))
+    return let(F.struct(words.alias("words")), scored)
 
 
-def similarity(a: Column, b: Column) -> Column:
+def similarity(a: Column, b: Column, least: float = 0.0) -> Column:
     """Of two normalised names: 1 if equal; at least 0.9 if the words of one are among the other's; else the better of
-    the matching-blocks ratio (in this order of arguments) and the words' Jaccard similarity; 0 if one is empty."""
-    wa, wb = F.array_distinct(F.split(a, " ")), F.array_distinct(F.split(b, " "))
-    both = F.size(F.array_intersect(wa, wb))
-    ratio = _ratio(a, b)
-    inside = both == F.least(F.size(wa), F.size(wb))
-    jaccard = both / F.size(F.array_union(wa, wb))
-    return F.when((F.coalesce(a, F.lit("")) == "") | (F.coalesce(b, F.lit("")) == ""), F.lit(0.0)).when(a == b, F.lit(1.0)).when(inside, F.greatest(F.lit(0.9), ratio)).otherwise(F.greatest(ratio, jaccard))
+    the matching-blocks ratio (in this order of arguments) and the words' Jaccard similarity; 0 if one is empty. Only
+    pairs that similarity_parts leaves open are aligned in Python; to the others it is handed nulls."""
+    parts = similarity_parts(a, b, least)
+    ratio = _ratio(F.when(parts["open"], a), F.when(parts["open"], b))
+    return F.greatest(parts["score"], F.when(parts["open"], ratio))
+
+
+#: Radius of the earth in metres.
+EARTH_M = 6_371_000.0
 
 
 def haversine_m(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
     h = F.pow(F.sin(F.radians(lat2 - lat1) / 2), 2) + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * F.pow(F.sin(F.radians(lon2 - lon1) / 2), 2)
-    return 2 * F.lit(6371000.0) * F.asin(F.sqrt(h))
+    return 2 * F.lit(EARTH_M) * F.asin(F.sqrt(h))
 
 
 def fi_id_valid(c: Column) -> Column:

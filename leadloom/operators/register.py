@@ -186,17 +186,40 @@ def trigrams(c: Column) -> Column:
     return F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(c) - 2), lambda k: F.substring(c, k, 3)))
 
 
-def substring_pairs(targets: DataFrame, names: DataFrame) -> DataFrame:
+#: Postings of a trigram in one task.
+POSTINGS_A_TASK = 50_000
+
+
+def _around(text: Column, at: Column) -> list[Column]:
+    """The three letters before and behind the trigram at a place (from 1), or as many as there are."""
+    first = F.greatest(at - 3, F.lit(1))
+    return [F.substring(text, first, at - first).alias("before"), F.substring(text, at + 3, F.lit(3)).alias("behind")]
+
+
+def substring_pairs(targets: DataFrame, names: DataFrame, postings_a_task: int = POSTINGS_A_TASK) -> DataFrame:
     """(target, name): every target that a name contains. Both tables have one distinct text column of that name.
 
-    Each target looks in the names with its rarest trigram; counts are of all names. Targets of one or two letters look
-    among the names' distinct pieces of their length."""
+    Each target looks in the names with its rarest trigram; counts are of all names. A posting is a trigram that some
+    target looks for, a hash of the name and the letters on either side, which have to fit before the name itself is
+    fetched; names whose hashes are equal are told apart by the last test. A trigram with many postings is spread over
+    tasks by name, each with all targets that look for it. Targets of one or two letters look among the names' distinct
+    pieces of their length."""
     long = targets.where(F.length("target") >= 3)
-    posts = names.where(F.length("name") >= 3).select("name", F.explode(trigrams(F.col("name"))).alias("gram"))
-    counts = posts.groupBy("gram").agg(F.count("*").alias("n"))
-    grams = long.select("target", F.explode(trigrams(F.col("target"))).alias("gram")).join(counts, "gram", "left")
-    rarest = grams.groupBy("target").agg(F.min_by("gram", F.struct(F.coalesce("n", F.lit(0)), "gram")).alias("gram"))
-    found = rarest.join(posts, "gram").where(F.col("name").contains(F.col("target"))).select("target", "name")
+    known = names.where(F.length("name") >= 3).select(F.xxhash64("name").alias("id"), "name")
+    counts = known.select(F.explode(trigrams(F.col("name"))).alias("gram")).groupBy("gram").agg(F.count("*").alias("n"))
+    grams = long.select("target", F.explode(trigrams(F.col("target"))).alias("gram")).join(counts, "gram")
+    salts = F.ceil(F.col("n") / postings_a_task).cast("int")
+    # a target with a trigram that no name has is in none
+    full = grams.groupBy("target").agg(F.min(F.struct("n", "gram")).alias("r"), F.count("*").alias("found")).where(F.col("found") == F.size(trigrams(F.col("target"))))
+    rarest = full.select("target", "r.*").withColumn("at", F.call_function("locate", F.col("gram"), F.col("target")))
+    rarest = rarest.select("target", "gram", salts.alias("salts"), *[c.alias(f"own_{n}") for c, n in zip(_around(F.col("target"), F.col("at")), ("before", "behind"), strict=True)])
+    wanted = rarest.select("gram", "salts").distinct()
+    places = F.transform(F.sequence(F.lit(1), F.length("name") - 2), lambda k: F.struct(F.substring("name", k, F.lit(3)).alias("gram"), *_around(F.col("name"), k)))
+    posts = known.select("id", F.inline(places)).join(wanted, "gram").withColumn("salt", F.pmod("id", "salts").cast("int")).drop("salts")
+    looking = rarest.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).drop("salts")
+    fits = F.endswith("before", "own_before") & F.startswith("behind", "own_behind")
+    near = posts.join(looking, ["gram", "salt"]).where(fits).select("target", "id").distinct()
+    found = near.join(known, "id").where(F.col("name").contains(F.col("target"))).select("target", "name")
     piece = lambda n: names.where(F.length("name") >= n).select("name", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.length("name") - (n - 1)), lambda k: F.substring("name", k, n)))).alias("target"))
     short = targets.where(F.length("target").between(1, 2)).join(piece(1).unionByName(piece(2)), "target").select("target", "name")
     return found.unionByName(short)
@@ -216,12 +239,12 @@ def match_by_name(venues: DataFrame, companies: DataFrame, accept: float = 0.9,
     post_code; venues: venue_id, name, street, number, postcode. Ties go to the least id."""
     v = venues.select("venue_id", normalise_name(F.col("name")).alias("target"), "street", "number", F.col("postcode").alias("pc")).where("target <> ''")
     c = companies.select("business_id", F.explode("names_norm").alias("name"), F.col("street").alias("c_street"), "building_number", "post_code")
-    pairs = substring_pairs(v.select("target").distinct(), c.select("name").distinct()).withColumn("score", similarity(F.col("target"), F.col("name")))
+    pairs = substring_pairs(v.select("target").distinct(), c.select("name").distinct()).withColumn("score", similarity(F.col("target"), F.col("name"), min(accept, accept_with_address)))
     rows = v.join(pairs, "target").join(c, "name")
     one = rows.groupBy("venue_id", "business_id").agg(F.max("score").alias("score"), *[F.first(x).alias(x) for x in ("street", "number", "pc", "c_street", "building_number", "post_code")])
     same_number = F.coalesce((F.lower("number") == F.lower("building_number")) | (F.coalesce("number", F.lit("")) == "") | (F.coalesce("building_number", F.lit("")) == ""), F.lit(True))
     near = (F.coalesce("street", F.lit("")) != "") & (F.coalesce("c_street", F.lit("")) != "") & (normalise_postcode(F.col("pc")) == normalise_postcode(F.col("post_code"))) & same_number
-    one = one.withColumn("alike", F.when(near, similarity(F.col("street"), F.col("c_street"))).otherwise(0.0))
+    one = one.withColumn("alike", F.when(near, similarity(F.when(near, F.col("street")), F.when(near, F.col("c_street")), 0.9)).otherwise(0.0))
     both = (F.col("alike") >= 0.9) & (F.col("score") >= accept_with_address)
     scored = one.select("venue_id", "business_id", F.round(F.when(both, F.greatest("score", F.lit(0.95))).when(F.col("score") >= accept, F.col("score")), 3).alias("confidence"), F.when(both, "name_address").otherwise("name").alias("method")).where("confidence is not null")
     w = Window.partitionBy("venue_id").orderBy(F.desc("confidence"), "business_id")
@@ -233,8 +256,9 @@ def match_by_website(venues: DataFrame, companies: DataFrame) -> DataFrame:
     host = F.when(F.col("website").contains("//"), host_of(F.col("website"))).otherwise(F.regexp_replace(F.lower(F.regexp_extract("website", "^([^/?#]*)", 1)), "^www\\.", ""))
     parts = F.split(host, "\\.")
     ends = F.transform(F.sequence(F.lit(1), F.greatest(F.size(parts) - 1, F.lit(1))), lambda k: F.array_join(F.slice(parts, k, F.size(parts)), "."))
-    c = companies.where("website is not null").select("business_id", F.explode(ends).alias("domain"))
-    rows = venues.where("domain is not null").join(c, "domain").groupBy("venue_id").agg(F.min("business_id").alias("business_id"))
+    # one company a domain before the join, so that a domain which many companies and venues share makes no pairs
+    c = companies.where("website is not null").select("business_id", F.explode(ends).alias("domain")).groupBy("domain").agg(F.min("business_id").alias("business_id"))
+    rows = venues.where("domain is not null").select("venue_id", "domain").join(c, "domain").groupBy("venue_id").agg(F.min("business_id").alias("business_id"))
     return rows.select("venue_id", "business_id", F.lit(0.85).alias("confidence"), F.lit("website").alias("method"))
 
 

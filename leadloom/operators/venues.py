@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.components import cut
-from ..functions.text import canonical_slug, haversine_m, host_of, normalise_name, number_of, similarity, street_of
+from ..functions.text import EARTH_M, canonical_slug, haversine_m, host_of, normalise_name, number_of, similarity, street_of
 
 #: The weights of the score's parts.
 WEIGHTS = {"tenure": 30.0, "review_count": 20.0, "named_contact": 25.0, "verified_email": 10.0, "michelin": 8.0, "review_score": 7.0, "active_offer": 5.0, "employer_register": 5.0}
@@ -182,18 +184,34 @@ def verification_queue(contacts: DataFrame, id_col: str = "first_seq") -> DataFr
     return contacts.where("email is not null and verification_status is null").orderBy(F.when(F.col("source") == "pattern_guess", 0).otherwise(1), id_col)
 
 
-def haversine_pairs(points: DataFrame, key: str, lat: Column, lng: Column, metres: float) -> DataFrame:
-    """Pairs of points within a distance, met by cells of a grid of that size (in degrees of latitude; of longitude at
-    the row's own latitude, with neighbours), so that no pair of far points is formed."""
-    size = metres / 111_194.0
-    rows = points.select(F.col(key).alias("id"), lat.alias("lat"), lng.alias("lng")).where("lat is not null and lng is not null")
-    band = F.floor(F.col("lat") / size)
-    width = F.lit(size) / F.greatest(F.cos(F.radians(F.least(F.abs(band * size) + 2 * size, F.lit(89.0)))), F.lit(0.01))
-    near = F.transform(F.sequence(F.lit(-1), F.lit(1)), lambda d: band + d)
-    a = rows.select("id", "lat", "lng", band.cast("long").alias("band"), F.floor(F.col("lng") / width).cast("long").alias("cell"))
-    at = lambda b: F.floor(F.col("lng2") / (F.lit(size) / F.greatest(F.cos(F.radians(F.least(F.abs(b * size) + 2 * size, F.lit(89.0)))), F.lit(0.01))))
-    b = rows.select(F.col("id").alias("id2"), F.col("lat").alias("lat2"), F.col("lng").alias("lng2"), F.explode(near).alias("band"))
-    b = b.withColumn("cell", F.explode(F.transform(F.sequence(F.lit(-1), F.lit(1)), lambda d: (at(F.col("band")) + d).cast("long")))).withColumn("band", F.col("band").cast("long"))
-    pairs = a.join(b, ["band", "cell"]).where("id < id2")
+def _band_cells(band: Column, size: float, metres: float) -> Column:
+    """Into how many equal cells a band of latitude is cut, so that points within the distance, in this band and the next
+    ones, are in the same cell or in neighbours; 1 round the poles."""
+    edge = F.least((F.greatest(F.abs(band), F.abs(band + 1)) + 1) * size, F.lit(90.0))
+    half = F.sin(F.lit(metres / 2 / EARTH_M)) / F.greatest(F.cos(F.radians(edge)), F.lit(1e-12))
+    return F.when(half >= 1, F.lit(1)).otherwise(F.greatest(F.floor(F.lit(math.pi) / F.asin(F.least(half * 1.000001, F.lit(1.0)))), F.lit(1))).cast("long")
+
+
+def radius_join(left: DataFrame, right: DataFrame, metres: float) -> DataFrame:
+    """(id, id2, metres) of all pairs of a left and a right point within a distance; both: (id, lat, lng).
+
+    Points meet by cells: bands of latitude as high as the distance, cut into cells of equal longitude that go round the
+    earth, so that cells on either side of the 180th meridian are neighbours. A left point is in one cell, a right one is
+    sent to the neighbours as well; a pair meets once. Points without a place, or beyond a pole, take no part."""
+    size = math.degrees(metres / EARTH_M) * 1.000001
+    fine = lambda df: df.where(F.col("lat").between(-90, 90) & F.col("lng").isNotNull() & ~F.isnan("lng")).withColumn("band", F.floor(F.col("lat") / size).cast("long"))
+    cell = lambda lng, n: F.least(F.floor(F.pmod(lng + 180.0, F.lit(360.0)) / 360.0 * n), n - 1).cast("long")
+    a = fine(left.select("id", "lat", "lng"))
+    a = a.withColumn("cell", cell(F.col("lng"), _band_cells(F.col("band"), size, metres)))
+    b = fine(right.select(F.col("id").alias("id2"), "lat", "lng")).withColumn("band", F.explode(F.transform(F.sequence(F.lit(-1), F.lit(1)), lambda d: F.col("band") + d)))
+    b = b.withColumn("n", _band_cells(F.col("band"), size, metres)).withColumn("own", cell(F.col("lng"), F.col("n")))
+    near = F.array_distinct(F.transform(F.sequence(F.lit(-1), F.lit(1)), lambda d: F.pmod(F.col("own") + d, F.col("n"))))
+    b = b.select("id2", F.col("lat").alias("lat2"), F.col("lng").alias("lng2"), "band", F.explode(near).alias("cell"))
     far = haversine_m(F.col("lat"), F.col("lng"), F.col("lat2"), F.col("lng2"))
-    return pairs.withColumn("metres", far).where(F.col("metres") <= metres).select("id", "id2", "metres").distinct()
+    return a.join(b, ["band", "cell"]).withColumn("metres", far).where(F.col("metres") <= metres).select("id", "id2", "metres")
+
+
+def haversine_pairs(points: DataFrame, key: str, lat: Column, lng: Column, metres: float) -> DataFrame:
+    """Pairs of points of one table within a distance, each once."""
+    rows = points.select(F.col(key).alias("id"), lat.alias("lat"), lng.alias("lng"))
+    return radius_join(rows, rows, metres).where("id < id2")

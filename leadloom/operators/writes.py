@@ -1,11 +1,15 @@
 """Idempotent table writes: merges on natural keys, versions, exports. Merges return the new snapshot; a caller writes it
-to a new path, as Parquet has no updates in place."""
+to a new path, or lets merge_snapshot replace the buckets that change."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation, Window
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.components import cut
+
 
 def _joined(base: DataFrame, delta: DataFrame, keys: list[str], how: str) -> tuple[DataFrame, Column]:
     cols = [c for c in delta.columns if c not in keys]
@@ -41,15 +45,65 @@ def overwrite_flags(base: DataFrame, delta: DataFrame, keys: list[str], cols: li
     return both.select(*[F.when(hit, F.col(f"__{c}")).otherwise(F.col(c)).alias(c) if c in cols else F.col(c) for c in base.columns])
 
 
+def numbered(rows: DataFrame, key: str, order: list[str], name: str) -> DataFrame:
+    """Adds name: the rank (from 1) of each row among those of its key. A key of any size is spread over tasks: rows are
+    range-partitioned by key and order, a partition ranks its own, and the counts of its key before it (a row a key and
+    partition) are added."""
+    placed = cut(rows.repartitionByRange(key, *order).sortWithinPartitions(key, *order).withColumn("__p", F.spark_partition_id()))
+    counts = placed.groupBy(key, "__p").agg(F.count("*").alias("__c"))
+    # keys that are in one partition need no offset; of the others each begins or ends one, so they are few
+    before = F.sum("__c").over(Window.partitionBy(key).orderBy("__p")) - F.col("__c")
+    offsets = counts.withColumn("__before", before).where("__before > 0").drop("__c")
+    own = F.row_number().over(Window.partitionBy(key, "__p").orderBy(*order))
+    ranked = placed.withColumn(name, own).join(offsets, [key, "__p"], "left")
+    return ranked.withColumn(name, (F.col(name) + F.coalesce("__before", F.lit(0))).cast("int")).drop("__p", "__before")
+
+
 def append_versions(captures: DataFrame, new: DataFrame, seq: str = "seq") -> DataFrame:
     """(key, sha, version, content): content equal to any version of its key changes nothing; other content gets the
-    next versions in the order of seq."""
-    fresh = new.withColumn("sha", F.sha2(F.col("content").cast("binary"), 256))
-    fresh = fresh.withColumn("__n", F.row_number().over(Window.partitionBy("key", "sha").orderBy(seq))).where("__n = 1").join(captures.select("key", "sha"), ["key", "sha"], "left_anti")
+    next versions in the order of seq (of equal ones, of the hash). Null content is no capture.
+
+    Versions are numbered by hashes alone; the content is shuffled once, to its number, and only if it is new."""
+    hashed = new.where("content is not null").withColumn("sha", F.sha2(F.col("content").cast("binary"), 256))
+    first = hashed.groupBy("key", "sha").agg(F.min(seq).alias("__seq")).join(captures.select("key", "sha"), ["key", "sha"], "left_anti")
     last = captures.groupBy("key").agg(F.max("version").alias("__last"))
-    number = F.row_number().over(Window.partitionBy("key").orderBy(seq))
-    rows = fresh.join(last, "key", "left").withColumn("version", (F.coalesce("__last", F.lit(0)) + number).cast("int"))
-    return captures.select("key", "sha", "version", "content").unionByName(rows.select("key", "sha", "version", "content"))
+    rows = numbered(first, "key", ["__seq", "sha"], "__n").join(last, "key", "left")
+    rows = rows.select("key", "sha", "__seq", (F.coalesce("__last", F.lit(0)) + F.col("__n")).cast("int").alias("version"))
+    fresh = hashed.select("key", "sha", F.col(seq).alias("__seq"), "content").join(rows, ["key", "sha", "__seq"]).dropDuplicates(["key", "sha"])
+    return captures.select("key", "sha", "version", "content").unionByName(fresh.select("key", "sha", "version", "content"))
+
+
+# --- snapshots in buckets, so that a small change rewrites little ---
+
+
+def _bucketed(df: DataFrame, keys: list[str], buckets: int) -> DataFrame:
+    return df.withColumn("bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
+
+
+def write_snapshot(table: DataFrame, path: str, keys: list[str], buckets: int) -> None:
+    """Writes a table as a snapshot whose rows lie in folders by a hash of their keys."""
+    _bucketed(table, keys, buckets).repartition("bucket").write.partitionBy("bucket").parquet(path)
+
+
+def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path).drop("bucket")
+
+
+def merge_snapshot(path: str, delta: DataFrame, keys: list[str], buckets: int, merge: Callable[[DataFrame, DataFrame], DataFrame]) -> list[int]:
+    """Replaces the buckets of a snapshot in which delta has keys by merge(their rows, delta), such as an upsert, an
+    insert that ignores what is there, flags or versions; returns these buckets. Other buckets aren't read or written.
+
+    keys and buckets are those of write_snapshot, and merge has to keep rows within their keys. What replaces is made
+    whole (in the checkpoint folder) before the first bucket goes. If the job is lost while buckets are replaced, the same
+    call again ends it, as merges are idempotent. The driver gets the numbers of buckets only."""
+    spark, rows = delta.sparkSession, _bucketed(delta, keys, buckets)
+    touched = sorted(r["bucket"] for r in rows.select("bucket").distinct().collect())
+    if not touched:
+        return []
+    base = spark.read.parquet(path).where(F.col("bucket").isin(*touched)).drop("bucket")
+    merged = cut(_bucketed(merge(base, delta), keys, buckets))
+    merged.repartition("bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(path)
+    return touched
 
 
 def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:

@@ -336,15 +336,25 @@ def similarity_match(spark, sf_dir):
     return pairs.withColumn("score", F.round(similarity(normalise_name(F.col("target")), normalise_name(F.col("name"))), 6))
 
 
-@query("""
-    WITH s AS (SELECT s_suppkey AS id, 59.0 + (s_suppkey * 37 % 1000) / 1000.0 AS lat, 24.0 + (s_suppkey * 91 % 1000) / 500.0 AS lng FROM supplier)
-    SELECT a.id, b.id AS id2, round(2 * 6371000.0 * asin(sqrt(pow(sin(radians(b.lat - a.lat) / 2), 2) + cos(radians(a.lat)) * cos(radians(b.lat)) * pow(sin(radians(b.lng - a.lng) / 2), 2))), 3) AS metres
-    FROM s a JOIN s b ON a.id < b.id
-    WHERE 2 * 6371000.0 * asin(sqrt(pow(sin(radians(b.lat - a.lat) / 2), 2) + cos(radians(a.lat)) * cos(radians(b.lat)) * pow(sin(radians(b.lng - a.lng) / 2), 2))) <= 3000
-""")
+#: Customers round the 180th meridian, some of them at the poles.
+_PLACES = """
+    s AS (SELECT c_custkey AS id, CASE WHEN c_custkey % 10 = 0 THEN 89.95 + c_acctbal / 1000000.0 WHEN c_custkey % 10 = 1 THEN -89.99 ELSE 60.0 + c_acctbal / 100000.0 END AS lat,
+        CASE WHEN c_custkey % 10 < 2 THEN c_custkey * 37 % 360 - 180.0 ELSE CASE WHEN c_custkey % 400 < 200 THEN -180.0 ELSE 179.8 END + c_custkey % 200 / 1000.0 END AS lng FROM customer)
+"""
+_METRES = "2 * 6371000.0 * asin(sqrt(pow(sin(radians(b.lat - a.lat) / 2), 2) + cos(radians(a.lat)) * cos(radians(b.lat)) * pow(sin(radians(b.lng - a.lng) / 2), 2)))"
+
+
+def _placed(spark, sf_dir):
+    k, c = F.col("c_custkey"), table(spark, sf_dir, "customer")
+    lat = F.when(k % 10 == 0, 89.95 + F.col("c_acctbal") / 1000000.0).when(k % 10 == 1, -89.99).otherwise(60.0 + F.col("c_acctbal") / 100000.0)
+    lng = F.when(k % 10 < 2, k * 37 % 360 - 180.0).otherwise(F.when(k % 400 < 200, -180.0).otherwise(179.8) + k % 200 / 1000.0)
+    return c.select(k.alias("id"), lat.alias("lat"), lng.alias("lng"))
+
+
+@query(f"WITH {_PLACES} SELECT a.id, b.id AS id2, round({_METRES}, 3) AS metres FROM s a JOIN s b ON a.id < b.id WHERE {_METRES} <= 3000")
 def haversine_pairs(spark, sf_dir):
-    k = F.col("s_suppkey")
-    pairs = v.haversine_pairs(table(spark, sf_dir, "supplier"), "s_suppkey", 59.0 + (k * 37 % 1000) / 1000.0, 24.0 + (k * 91 % 1000) / 500.0, 3000.0)
+    """Pairs across the meridian and the poles too."""
+    pairs = v.haversine_pairs(_placed(spark, sf_dir), "id", F.col("lat"), F.col("lng"), 3000.0)
     return pairs.withColumn("metres", F.round("metres", 3))
 
 
