@@ -41,31 +41,42 @@ class WordIds(ChunkIds):
     def __init__(self, path: str):
         super().__init__(path)
         self.words: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.old_words: dict[str, bytes] = {}
         self.ends = {"": b""} | {c: array("I", self.tok.encode(c, add_special_tokens=False).ids).tobytes() for c in ".,"}
-        self.letters = {c: "".join(byte_symbols()[b] for b in c.encode()) for c in map(chr, range(0xC0, 0x100))}
+        self.letters = {k: "".join(byte_symbols()[b] for b in chr(k).encode()) for k in range(0xC0, 0x100)}
 
     def learn(self, chunks: set[str]) -> dict[str, bytes]:
-        known, words, merge, rest = self.known, self.words, self.tok.model.tokenize, set()
-        if len(words) > CACHE_ENTRIES:
-            words.clear()
-        if len(known) > CACHE_ENTRIES:
-            known.clear()
-            known[""] = b""
+        known, old, words, merge, rest = self.known, self.old, self.words, self.tok.model.tokenize, set()
         for c in chunks:
-            if c in known:
+            if (ids := old.get(c)) is not None:
+                known[c] = ids
                 continue
             plain = _PLAIN.fullmatch(c)
             if plain and len(c) <= 40:
                 word = plain[1].lower()
-                ids = words.get(word)
+                ids = words.get(word) or self.old_words.get(word)
                 if ids is None:
-                    mapped = word if word.isascii() else "".join(self.letters.get(x, x) for x in word)
-                    ids = words[word] = array("I", [t.id for t in merge(mapped)]).tobytes()
+                    ids = array("I", [t.id for t in merge(word if word.isascii() else word.translate(self.letters))]).tobytes()
+                words[word] = ids
                 known[c] = ids + self.ends[plain[2]]
             else:
                 rest.add(c)
         return super().learn(rest) if rest else {}
 
+    def of(self, chunks: list[str]) -> bytes:
+        # a full memory becomes the old one; what is met again moves from there to the new one, and the rest goes with it
+        if len(self.words) > CACHE_ENTRIES:
+            self.old_words, self.words = self.words, {}
+        if len(self.known) > CACHE_ENTRIES:
+            self.old, self.known = self.known, {"": b""}
+        missing = set(chunks).difference(self.known)
+        far = self.learn(missing) if missing else {}
+        known = self.known
+        if far:
+            return b"".join([known[c] if c in known else far[c] for c in chunks])
+        return b"".join(map(known.__getitem__, chunks))
+
 
 _word_ids: dict[str, WordIds] = {}
 
