@@ -9,7 +9,8 @@ many rounds as the widest segment has bits at the latest.
 
 Codes and probes meet in Spark by (segment, shelf, chunk); a shelf is 16 neighbouring buckets. Shelves over MOST codes
 are dealt into chunks, to each of which the shelf's probes go, so no task holds more than about MOST codes, and a chunk
-passes on only the best of each query. Equal codes are folded to their k + 1 smallest ids. Of codes at one distance
+passes on only the best of each query, and of these only such as are no farther than the worst of the k + 1 that the query
+has already. Equal codes are folded to their k + 1 smallest ids. Of codes at one distance
 those with the smallest least id are kept: any other is behind k + 1 rows.
 
 Defined results: vectors that are null, zero, or hold null or non-finite components take no part; codes meet codes of
@@ -98,6 +99,8 @@ def _of_one_length(rows: DataFrame, bits: int, k: int, query_step: int) -> DataF
         met = np.repeat(np.arange(len(q)), n)
         at = np.arange(len(met)) - np.repeat(np.cumsum(n) - n, n) + lo[met]
         gap = np.bitwise_count((code[at] ^ own[met]).view(np.uint64)).sum(axis=1, dtype=np.int32)
+        near = gap <= q["far"].to_numpy()[met]  # a farther one can't be among the best any more
+        met, at, gap = met[near], at[near], gap[near]
         _, who = np.unique(own, axis=0, return_inverse=True)
         who = who.reshape(-1)[met]
         order = np.lexsort((least[at], gap, who))
@@ -107,20 +110,21 @@ def _of_one_length(rows: DataFrame, bits: int, k: int, query_step: int) -> DataF
         best = order[place <= k]
         return found_in(list(own[met[best]]), list(code[at[best]]), least[at[best]], gap[best])
 
-    open_ = cut(asking.select("own").distinct())
+    open_ = cut(asking.select("own", F.lit(bits).alias("far")).distinct())
     widths = F.array(*[F.lit(w) for _, w in cuts])
     found = None
     line = Window.partitionBy("own").orderBy("distance", "least")
     for r in range(widest + 1):
-        values = open_.select("own", F.posexplode(segments_of(F.col("own"), cuts)).alias("segment", "mine")).withColumn("width", widths[F.col("segment")])
-        probes = values.join(F.broadcast(_masks(open_.sparkSession, {w for _, w in cuts}, r)), "width").select("own", "segment", F.col("mask").bitwiseXOR(F.col("mine")).alias("value"))
+        values = open_.select("own", "far", F.posexplode(segments_of(F.col("own"), cuts)).alias("segment", "mine")).withColumn("width", widths[F.col("segment")])
+        probes = values.join(F.broadcast(_masks(open_.sparkSession, {w for _, w in cuts}, r)), "width").select("own", "far", "segment", F.col("mask").bitwiseXOR(F.col("mine")).alias("value"))
         probes = probes.select("*", shelf).join(large, ["segment", "shelf"], "left").withColumn("chunk", F.explode(F.sequence(F.lit(0), chunks - 1))).drop("n")
         key = ["segment", "shelf", "chunk"]
         hits = probes.groupBy(*key).cogroup(dealt.groupBy(*key)).applyInPandas(search, "own array<bigint>, other array<bigint>, least bigint, distance int")
         hits = (hits if found is None else hits.unionByName(found)).distinct()
         found = cut(hits.withColumn("n", F.row_number().over(line)).where(F.col("n") <= k + 1).drop("n"))
-        kth = found.groupBy("own").agg(F.count("*").alias("n"), F.max("distance").alias("far")).where((F.col("n") > k) & (F.col("far") < m * (r + 1)))
-        open_ = cut(open_.join(kth, "own", "left_anti"))
+        worst = found.groupBy("own").agg(F.when(F.count("*") > k, F.max("distance")).otherwise(bits).alias("far"), (F.count("*") > k).alias("full"))
+        left = open_.select("own").join(worst, "own", "left").where(~F.coalesce(F.col("full") & (F.col("far") < m * (r + 1)), F.lit(False)))
+        open_ = cut(left.select("own", F.coalesce("far", F.lit(bits)).alias("far")))
         if open_.isEmpty():
             break
     return unfolded(found.drop("least"), ids, asking, "distance", k)
