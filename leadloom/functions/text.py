@@ -114,35 +114,34 @@ def _most_matching(a: Column, b: Column) -> Column:
 
 
 def similarity_parts(a: Column, b: Column, least: float = 0.0) -> Column:
-    """Struct (score, open) of two normalised names: the similarity where it follows without aligning the texts, else null
-    and open. It follows if a text is empty or holds the other (then all of the shorter one matches), or if an upper bound
-    of the ratio, by length or by counts of letters, isn't over what the words give. Scores under `least` may be lower."""
-    la, lb = F.length(a), F.length(b)
-    empty = (F.coalesce(a, F.lit("")) == "") | (F.coalesce(b, F.lit("")) == "")
-    held = (lb < JUNK_FROM) & (F.contains(a, b) | F.contains(b, a))
-    share = lambda n: 2.0 * n / (la + lb)
-
-    def scored(x: Column) -> Column:
-        floor = F.greatest(x["words"], F.lit(least))
-        low = x["words"]
-        return (
-            F.when(empty, F.struct(F.lit(0.0).alias("score"), F.lit(False).alias("open")))
-            .when(a == b, F.struct(F.lit(1.0).alias("score"), F.lit(False).alias("open")))
-            .when(held, F.struct(F.greatest(low, share(F.least(la, lb))).alias("score"), F.lit(False).alias("open")))
-            .when(share(F.least(la, lb)) <= floor, F.struct(low.alias("score"), F.lit(False).alias("open")))
-            .when(share(_most_matching(a, b)) <= floor, F.struct(low.alias("score"), F.lit(False).alias("open")))
-            .otherwise(F.struct(low.alias("score"), F.lit(True).alias("open")))
-        )
-
-    wa, wb = F.array_distinct(F.split(a, " ")), F.array_distinct(F.split(b, " "))
-    words = let(F.struct(F.size(F.array_intersect(wa, wb)).alias("both"), F.size(wa).alias("a"), F.size(wb).alias("b")), lambda n: F.when(n["both"] == F.least(n["a"], n["b"]), F.lit(0.9)).otherwise(n["both"] / (n["a"] + n["b"] - n["both"])))
-    return let(F.struct(words.alias("words")), scored)
+    """Struct (score, open) of two normalised names: the similarity where it follows without aligning the texts, else the
+    part of it that the words give, and open. It follows if a text is empty or holds the other (then all of the shorter
+    one matches), or if an upper bound of the ratio, by length or by counts of letters, isn't over what the words give.
+    Scores under `least` may be lower."""
+    out = lambda score, open_: F.struct(score.alias("score"), F.lit(open_).alias("open"))
+
+    def words(a: Column, b: Column) -> Column:
+        wa, wb = F.array_distinct(F.split(a, " ")), F.array_distinct(F.split(b, " "))
+        sizes = F.struct(F.size(F.array_intersect(wa, wb)).alias("both"), F.size(wa).alias("a"), F.size(wb).alias("b"))
+        return let(sizes, lambda n: F.when(n["both"] == F.least(n["a"], n["b"]), F.lit(0.9)).otherwise(n["both"] / (n["a"] + n["b"] - n["both"])))
+
+    def parts(v: Column) -> Column:
+        a, b = v["a"], v["b"]
+        la, lb = F.length(a), F.length(b)
+        share = lambda n: 2.0 * n / (la + lb)
+        held = (lb < JUNK_FROM) & (F.contains(a, b) | F.contains(b, a))
+        bounded = lambda low: (share(F.least(la, lb)) <= F.greatest(low, F.lit(least))) | (share(_most_matching(a, b)) <= F.greatest(low, F.lit(least)))
+        known = lambda low: F.when(held, out(F.greatest(low, share(F.least(la, lb))), False)).when(bounded(low), out(low, False)).otherwise(out(low, True))
+        empty = (F.coalesce(a, F.lit("")) == "") | (F.coalesce(b, F.lit("")) == "")
+        return F.when(empty, out(F.lit(0.0), False)).when(a == b, out(F.lit(1.0), False)).otherwise(let(words(a, b), known))
+
+    return let(F.struct(a.alias("a"), b.alias("b")), parts)
 
 
 def similarity(a: Column, b: Column, least: float = 0.0) -> Column:
     """Of two normalised names: 1 if equal; at least 0.9 if the words of one are among the other's; else the better of
     the matching-blocks ratio (in this order of arguments) and the words' Jaccard similarity; 0 if one is empty. Only
-    pairs that similarity_parts leaves open are aligned in Python; to the others it is handed nulls."""
+    pairs that similarity_parts leaves open are aligned in Python; for the others it is handed nulls."""
     parts = similarity_parts(a, b, least)
     ratio = _ratio(F.when(parts["open"], a), F.when(parts["open"], b))
     return F.greatest(parts["score"], F.when(parts["open"], ratio))

@@ -18,6 +18,7 @@ from ..operators import register as r
 from ..operators import sheet as s
 from ..operators import venues as v
 from ..operators import writes as w
+from ..streaming import incremental
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _SQL: dict[str, str] = {}
@@ -90,13 +91,21 @@ def host_inventory(spark, sf_dir):
     return table(spark, sf_dir, "pages").groupBy(host_of(F.col("url")).alias("host")).agg(F.count("*").alias("n"), F.min("url").alias("example_url"))
 
 
-@query("""
-    SELECT page_id, 'unknown' AS cms, FALSE AS is_shell, 'static' AS tier FROM pages
+_VISIBLE = r"""trim(regexp_replace(replace(replace(replace(replace(
+        regexp_replace(regexp_replace(regexp_replace(html, '(?is)<script\b.*?</script\s*>', ' ', 'g'), '(?is)<style\b.*?</style\s*>', ' ', 'g'), '(?s)<[^>]*>', ' ', 'g'),
+        '&quot;', '"'), '&copy;', '©'), '&middot;', '·'), '&amp;', '&'), '\s+', ' ', 'g'))"""
+
+
+@query(f"""
+    WITH c AS (SELECT page_id, regexp_matches(lower(substr(html, 1, 4000)), '(captcha|access denied|attention required|are you a robot|cf-browser-verification)') AS is_blocked, length({_VISIBLE}) < 400 AS is_shell,
+        CASE WHEN regexp_matches(html, '(?i)/wp-content/|/wp-includes/|wp-json') THEN 'wordpress' WHEN regexp_matches(html, '(?i)squarespace') THEN 'squarespace' WHEN regexp_matches(html, '(?i)wixstatic|wixsite|parastorage') THEN 'wix' WHEN regexp_matches(html, '(?i)webflow') THEN 'webflow'
+            WHEN regexp_matches(html, '(?i)cdn.shopify') THEN 'shopify' ELSE 'unknown' END AS cms FROM pages)
+    SELECT page_id, cms, is_blocked, is_shell, CASE WHEN is_blocked THEN 'last_resort' WHEN cms IN ('wordpress', 'squarespace') THEN 'api' WHEN cms IN ('wix', 'webflow') OR is_shell THEN 'render' ELSE 'static' END AS tier FROM c
 """)
 def crawl_tiers(spark, sf_dir):
-    """Routes of pages that are long enough to be no shells; none of the given pages names a content system."""
+    """Routes of the given pages, some of which are too short to be more than shells."""
     rows = p.blocked_or_shell(table(spark, sf_dir, "pages").withColumn("http_status", F.lit(200)).withColumn("cms", p.detect_cms(F.col("html"))))
-    return p.crawl_tier(rows.withColumn("is_shell", F.lit(False))).select("page_id", "cms", "is_shell", "tier")
+    return p.crawl_tier(rows).select("page_id", "cms", "is_blocked", "is_shell", "tier")
 
 
 # --- addresses in documents ---
@@ -141,13 +150,16 @@ def harvested_contacts(spark, sf_dir):
     return c.harvest_contacts(table(spark, sf_dir, "documents"), ["doc_id"], html="text", vendors=(), placeholders=())
 
 
-@query()
+@query(f"""
+    WITH {_EMAILS}, i AS (SELECT ascii(source) * 1000 + length(source) AS venue_id, h.doc_id AS seq, email, nullif(lower(trim(regexp_replace(split_part(email, '@', 1), '[^a-z]+', ' ', 'g'))), '') AS contact_name FROM hits h JOIN documents d ON d.doc_id = h.doc_id)
+    SELECT CAST(venue_id AS BIGINT) AS venue_id, email, arg_min(contact_name, seq) FILTER (contact_name IS NOT NULL) AS contact_name, email AS dedupe_key, min(seq) AS first_seq FROM i GROUP BY 1, 2
+""")
 def resolved_contacts(spark, sf_dir):
-    """The ordered merge over addresses of each source's documents."""
-    rows = table(spark, sf_dir, "documents").select(F.crc32("source").alias("venue_id"), F.col("doc_id").alias("seq"), F.explode(c.plain_emails(F.col("text"))).alias("email"))
-    incoming = rows.select("venue_id", "seq", "email", F.initcap(F.regexp_replace(F.split("email", "@")[0], "[^a-z]+", " ")).alias("contact_name"), F.lit(None).cast("string").alias("contact_role"), F.lit("website").alias("source"), F.lit(None).cast("string").alias("source_url"), F.lit("medium").alias("confidence"), F.lit(None).cast("string").alias("verification_status"))
-    empty = spark.createDataFrame([], c.CONTACT)
-    return c.resolve_contacts(empty, incoming)
+    """The ordered merge over addresses of each source's documents; all rows have addresses, so none is promoted."""
+    rows = table(spark, sf_dir, "documents").select((F.ascii("source") * 1000 + F.length("source")).cast("long").alias("venue_id"), F.col("doc_id").alias("seq"), F.explode(c.plain_emails(F.col("text"))).alias("email"))
+    name = F.nullif(F.lower(F.trim(F.regexp_replace(F.split("email", "@")[0], "[^a-z]+", " "))), F.lit(""))
+    incoming = rows.select("venue_id", "seq", "email", name.alias("contact_name"), F.lit(None).cast("string").alias("contact_role"), F.lit("website").alias("source"), F.lit(None).cast("string").alias("source_url"), F.lit("medium").alias("confidence"), F.lit(None).cast("string").alias("verification_status"))
+    return c.resolve_contacts(spark.createDataFrame([], c.CONTACT), incoming).select("venue_id", "email", "contact_name", "dedupe_key", "first_seq")
 
 
 # --- ids ---
@@ -279,13 +291,17 @@ def company_groups(spark, sf_dir):
 
 
 @query("""
-    SELECT lower(p_brand) AS name_norm, count(DISTINCT 'C' || l_suppkey) AS n_companies, count(DISTINCT l_orderkey) AS n_venues, min('C' || l_suppkey) AS company
-    FROM lineitem JOIN part ON p_partkey = l_partkey GROUP BY 1
+    WITH m AS (SELECT l_orderkey, 'C' || min(l_suppkey) AS business_id FROM lineitem GROUP BY 1)
+    SELECT lower(replace(p_brand, '#', ' ')) AS name_norm, count(DISTINCT business_id) AS n_companies, count(DISTINCT l_orderkey) AS n_venues, min(business_id) AS company
+    FROM lineitem JOIN part ON p_partkey = l_partkey JOIN m USING (l_orderkey) WHERE l_orderkey % 5 > 0 GROUP BY 1
 """)
 def group_owners(spark, sf_dir):
-    """Brands as names seen at orders, suppliers as the companies that the orders are matched to."""
-    rows = table(spark, sf_dir, "lineitem").join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey")).select(F.lower(F.col("p_brand")).alias("name_norm"), F.col("l_orderkey").alias("venue_id"), F.concat(F.lit("C"), F.col("l_suppkey").cast("string")).alias("business_id"))
-    return rows.groupBy("name_norm").agg(F.count_distinct("business_id").alias("n_companies"), F.count_distinct("venue_id").alias("n_venues"), F.min("business_id").alias("company"))
+    """Brands as names seen at orders; the least supplier as the company that an order is matched to, if it is."""
+    lines = table(spark, sf_dir, "lineitem")
+    names = lines.join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey")).select(F.col("l_orderkey").alias("venue_id"), F.col("p_brand").alias("contact_name"))
+    matches = lines.groupBy(F.col("l_orderkey").alias("venue_id")).agg(F.min("l_suppkey").alias("s"))
+    matches = matches.select("venue_id", F.when(F.col("venue_id") % 5 > 0, F.concat(F.lit("C"), F.col("s").cast("string"))).alias("business_id"))
+    return c.group_owners(names, matches)
 
 
 @query("SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F')")
@@ -329,9 +345,13 @@ def substring_match(spark, sf_dir):
     return r.substring_pairs(targets, names)
 
 
-@query()
+@query("""
+    WITH n AS (SELECT DISTINCT lower(p_name) AS name FROM part), t AS (SELECT DISTINCT unnest(string_split(name, ' ')) AS target FROM n)
+    SELECT target, name, round(CASE WHEN target = name THEN 1.0 WHEN list_contains(string_split(name, ' '), target) THEN greatest(0.9, 2.0 * length(target) / (length(target) + length(name))) ELSE 2.0 * length(target) / (length(target) + length(name)) END, 6) AS score
+    FROM n JOIN t ON contains(name, target)
+""")
 def similarity_match(spark, sf_dir):
-    """Names that a distinct word of part names occurs in, with the matching-blocks similarity; beyond SQL."""
+    """Names that a distinct word of part names occurs in, with their similarity, which needs no alignment."""
     pairs = substring_match(spark, sf_dir)
     return pairs.withColumn("score", F.round(similarity(normalise_name(F.col("target")), normalise_name(F.col("name"))), 6))
 
@@ -528,20 +548,61 @@ def slug_inventory(spark, sf_dir):
     return v.slug_inventory(rows, dim).select("city_slug", "n", "example_url", "example_name", "status")
 
 
-@query()
+@query(f"""
+    WITH {_CONTACTS}, e AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY venue_id ORDER BY o1, o2, first_seq) AS k FROM ordered WHERE email IS NOT NULL) WHERE k = 1),
+    n AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY venue_id ORDER BY o2, CASE WHEN email IS NULL THEN 1 ELSE 0 END, first_seq) AS k FROM ordered WHERE contact_name IS NOT NULL) WHERE k = 1),
+    b AS (SELECT venue_id, email AS backup FROM (SELECT o.*, row_number() OVER (PARTITION BY o.venue_id ORDER BY o.o1, o.o2, o.first_seq) AS k FROM ordered o LEFT JOIN e USING (venue_id)
+        WHERE o.email IS NOT NULL AND o.source <> 'pattern_guess' AND o.confidence <> 'catchall_guess' AND o.email <> coalesce(e.email, '')) WHERE k = 1)
+    SELECT c_name AS venue, coalesce(n.contact_name, '') AS first_name, coalesce(e.email, '') AS email, upper(substr(n_name, 1, 1)) || lower(substr(n_name, 2)) AS city, CASE c_nationkey % 3 WHEN 0 THEN 'Finland' WHEN 1 THEN 'Estonia' ELSE 'unknown' END AS country,
+        CASE WHEN c_custkey % 2 = 0 THEN '+358' || c_custkey WHEN c_custkey % 3 = 0 THEN '09' ELSE '' END AS phone, coalesce(n.contact_name, '') AS full_name, CASE WHEN n.contact_name IS NULL THEN '' ELSE 'role ' || n.first_seq % 4 END AS role,
+        CASE WHEN e.email IS NULL THEN '' WHEN e.confidence = 'catchall_guess' THEN 'catch-all (unconfirmed)' WHEN e.confidence = 'verified' THEN 'verified' WHEN e.source = 'pattern_guess' THEN 'guessed' ELSE 'personal' END AS email_type,
+        coalesce(backup, '') AS backup_email, coalesce(e.source, '') AS source, CASE WHEN c_custkey % 5 = 1 THEN 'Firma ' || c_custkey ELSE '' END AS company, 'u' || c_custkey AS listing
+    FROM customer JOIN nation ON n_nationkey = c_nationkey LEFT JOIN e ON e.venue_id = c_custkey LEFT JOIN n ON n.venue_id = c_custkey LEFT JOIN b ON b.venue_id = c_custkey
+    WHERE c_custkey % 5 > 0 AND c_custkey % 14 > 0
+""")
 def contact_sheet(spark, sf_dir):
-    """Customers as venues with orders as contacts; the thirteen columns."""
-    rows = table(spark, sf_dir, "customer").join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey")).select(
-        F.col("c_custkey").alias("venue_id"), F.col("c_name").alias("name"), F.lit(None).cast("string").alias("city"), F.lower("n_name").alias("city_slug"), F.lit("FI").alias("country"), F.lit(None).cast("string").alias("phone"), F.lit("u").alias("url"), F.lit(None).cast("string").alias("international_phone"), F.lit(None).cast("string").alias("company_name"))
-    contacts = _contacts(spark, sf_dir).withColumns({"contact_role": F.lit(None).cast("string"), "verification_status": F.lit(None).cast("string")})
-    return s.contact_sheet(rows, contacts)
+    """Customers as venues with orders as contacts; the thirteen columns. Venues of excluded companies and closed places
+    are left out."""
+    k, none = F.col("c_custkey"), F.lit(None).cast("string")
+    said = lambda x, c: F.concat(F.lit(x), c.cast("string"))
+    venues = table(spark, sf_dir, "customer").join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey")).select(
+        k.alias("venue_id"), F.col("c_name").alias("name"), none.alias("city"), F.lower("n_name").alias("city_slug"), F.when(F.col("c_nationkey") % 3 == 0, "FI").when(F.col("c_nationkey") % 3 == 1, "EE").alias("country"), F.when(k % 3 == 0, "09").alias("phone"), said("u", k).alias("url"))
+    keys = table(spark, sf_dir, "customer").select(k.alias("venue_id"))
+    of = F.col("venue_id")
+    matches = keys.where("venue_id % 5 < 2").select("venue_id", F.when(of % 5 == 0, "ceased").alias("exclusion_reason"), said("Firma ", of).alias("company_name"))
+    places = keys.where("venue_id % 2 = 0").select("venue_id", F.when(of % 14 == 0, "CLOSED_PERMANENTLY").alias("business_status"), said("+358", of).alias("international_phone"))
+    contacts = _contacts(spark, sf_dir).withColumns({"contact_role": said("role ", F.col("first_seq") % 4), "verification_status": none})
+    return s.contact_sheet(v.outreach_eligible(venues, matches, places), contacts)
 
 
-@query()
+@query(f"""
+    WITH {_CONTACTS}, made AS (SELECT venue_id, first_seq, contact_name, confidence, CASE WHEN first_seq % 7 = 0 AND email IS NOT NULL THEN 'info@x' || first_seq % 3 || '.fi' ELSE email END AS email FROM contacts),
+    ranked AS (SELECT *, coalesce(email LIKE 'info@%', FALSE) AS shared, CASE confidence WHEN 'verified' THEN 0 WHEN 'high' THEN 1 WHEN 'catchall_guess' THEN 3 ELSE 2 END AS r FROM made),
+    p AS (SELECT venue_id, string_agg(contact_name || '<' || coalesce(email, '') || '>', ';' ORDER BY r, first_seq) AS persons, count(*) AS n_persons FROM ranked WHERE contact_name IS NOT NULL AND NOT shared GROUP BY 1),
+    i AS (SELECT venue_id, string_agg(DISTINCT email, ';' ORDER BY email) AS shared_inboxes FROM ranked WHERE shared GROUP BY 1)
+    SELECT c_custkey AS venue_id, c_name AS org_name, nullif(concat_ws(', ', CASE WHEN c_custkey % 2 = 0 THEN 'Katu ' || c_custkey END, CASE WHEN c_custkey % 3 = 0 THEN 'Turku' END), '') AS address, CASE WHEN c_custkey % 4 > 1 THEN 'yes' ELSE 'no' END AS is_group, c_acctbal AS priority_score,
+        coalesce(persons, '') AS persons, CAST(coalesce(n_persons, 0) AS INTEGER) AS n_persons, coalesce(shared_inboxes, '') AS shared_inboxes
+    FROM customer LEFT JOIN p ON p.venue_id = c_custkey LEFT JOIN i ON i.venue_id = c_custkey
+""")
 def crm_payloads(spark, sf_dir):
-    scores = priority_score(spark, sf_dir)
-    venues = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("venue_id"), F.col("c_name").alias("name"), *[F.lit(None).cast("string").alias(x) for x in ("street_address", "postal_code", "city", "business_id")], F.lit("u").alias("url"), F.lit("FI").alias("country"), F.lit(1).alias("venue_count")).join(scores, "venue_id")
-    return s.payload_hash(s.crm_payloads(venues, _contacts(spark, sf_dir).withColumn("contact_role", F.lit(None).cast("string")))).select("venue_id", "payload_hash", F.size("persons").alias("n_persons"))
+    """Organisations with their people in the order of confidence; shared inboxes belong to the organisation."""
+    k, none = F.col("c_custkey"), F.lit(None).cast("string")
+    venues = table(spark, sf_dir, "customer").select(
+        k.alias("venue_id"), F.col("c_name").alias("name"), F.when(k % 2 == 0, F.concat(F.lit("Katu "), k.cast("string"))).alias("street_address"), none.alias("postal_code"), F.when(k % 3 == 0, "Turku").alias("city"), none.alias("business_id"), F.lit("u").alias("url"), F.lit("FI").alias("country"),
+        (k % 4).alias("venue_count"), F.col("c_acctbal").alias("priority_score"), F.lit("smb").alias("track"))
+    seq = F.col("first_seq")
+    inbox = F.when((seq % 7 == 0) & F.col("email").isNotNull(), F.concat(F.lit("info@x"), (seq % 3).cast("string"), F.lit(".fi"))).otherwise(F.col("email"))
+    out = s.crm_payloads(venues, _contacts(spark, sf_dir).withColumns({"email": inbox, "contact_role": none}))
+    persons = F.array_join(F.transform("persons", lambda x: F.concat(x["name"], F.lit("<"), F.coalesce(x["email"], F.lit("")), F.lit(">"))), ";")
+    return out.select("venue_id", F.col("org.name").alias("org_name"), F.col("org.address").alias("address"), F.col("org.is_group").alias("is_group"), F.col("org.priority_score").alias("priority_score"), persons.alias("persons"), F.size("persons").alias("n_persons"), F.array_join("shared_inboxes", ";").alias("shared_inboxes"))
+
+
+@query("""
+    SELECT CAST(user_id AS VARCHAR) AS key, event_type AS content, min(ts) AS fetched_at FROM events GROUP BY 1, 2
+""")
+def streamed_captures(spark, sf_dir):
+    """Events as captures of their users, read as a stream; a content that a user had before is dropped for good."""
+    return incremental.replayed(spark, f"{sf_dir}/events.parquet", table(spark, sf_dir, "events").schema, lambda rows: incremental.dedupe_captures_exactly(rows.select(F.col("user_id").cast("string").alias("key"), F.col("event_type").alias("content"), F.col("ts").alias("fetched_at")))).select("key", "content", "fetched_at")
 
 
 from . import derived_pages, derived_people  # noqa: E402, F401 - they register their queries here

@@ -179,6 +179,22 @@ def harvested_pages(spark, sf_dir):
     return c.harvest_contacts(customers(spark, sf_dir).select(F.col("k").alias("page_id"), html.alias("html")), ["page_id"])
 
 
+@query("""
+    SELECT c_custkey AS page_id, lower(c_mktsegment) || c_custkey || '@aoi.fi' AS email, CASE WHEN c_nationkey % 3 = 2 THEN 'mailto' ELSE 'text' END AS channel, CASE WHEN c_nationkey % 3 = 2 THEN NULL WHEN c_acctbal > 3000 THEN 'sales manager' WHEN c_acctbal > 0 THEN 'owner' END AS contact_role,
+        CASE WHEN c_nationkey % 3 = 2 THEN NULL WHEN c_acctbal > 3000 THEN 'Jörg Väyrynen' WHEN c_acctbal > 0 THEN 'Anna Korpela' END AS contact_name FROM customer
+""")
+def harvested_references(spark, sf_dir):
+    """Addresses, names and roles behind named, decimal and hexadecimal references, some without their semicolon. An
+    address that is in a link only has no place in the text, and so no one near it."""
+    local = F.lower("c_mktsegment")
+    spelt = F.transform(F.split(local, ""), lambda x: F.when(x == "i", "&#105;").when(x == "u", "&#x75;").otherwise(x))
+    written = text_of(F.array_join(spelt, ""), F.col("k"), F.when(F.col("c_nationkey") % 3 == 0, "&#64;").when(F.col("c_nationkey") % 3 == 1, "&#x40;").otherwise("&commat;"), "aoi&period;fi")
+    owner = F.when(F.col("c_acctbal") > 3000, "Myyntip&auml;&#228;llikk&#xF6; J&ouml;rg&nbsp;V&aumlyrynen").when(F.col("c_acctbal") > 0, "&Omicron;&#79;mistaja Anna&#160;Korpela").otherwise("&lt;&amp;&gt;")
+    html = text_of("<p>", owner, "</p> ", F.when(F.col("c_nationkey") % 3 == 2, text_of('<a href="m&#97;ilto&colon;', written, '">x</a>')).otherwise(text_of("<p>", written, "</p>")))
+    rows = c.harvest_contacts(customers(spark, sf_dir).select(F.col("k").alias("page_id"), html.alias("html")), ["page_id"])
+    return rows.select("page_id", "email", "channel", "contact_role", "contact_name")
+
+
 @query("""
     SELECT c_custkey AS page_id, 'instagram' AS platform, 'aoi_' || c_custkey AS handle FROM customer UNION ALL SELECT c_custkey, 'linkedin', 'aoi-oy' FROM customer WHERE c_custkey % 2 = 0
 """)

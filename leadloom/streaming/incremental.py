@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
+from pyspark.sql.types import StructType
+
+from ..functions.components import ready_to_checkpoint
 
 
 def dedupe_captures(stream: DataFrame, delay: str = "1 day") -> DataFrame:
@@ -62,3 +66,19 @@ def incremental_harvest(stream: DataFrame, harvest: Callable[[DataFrame], DataFr
 
     writer = stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer).start()
+
+
+def replayed(spark: SparkSession, path: str, schema: StructType, job: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The rows that a streaming job makes of what a folder or file of Parquet holds now; they, and the job's state, lie in the
+    shared checkpoint folder. State is kept in RocksDB while the job runs."""
+    ready_to_checkpoint(spark)
+    base = f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/stream-{uuid.uuid4().hex}"
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(provider)
+    with_rocksdb(spark)
+    try:
+        made = job(spark.readStream.schema(schema).parquet(f"{path[:-1]}[{path[-1]}]"))  # a pattern: the path may be a file
+        made.writeStream.format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/state").trigger(availableNow=True).start().awaitTermination()
+    finally:
+        spark.conf.set(provider, before)
+    return spark.read.schema(made.schema).parquet(f"{base}/out")
