@@ -1,6 +1,6 @@
 """They must equal the source domain's for right results, so they are stated plainly, in natural order.
 
-Longer lists (city slugs, given names, prose words) are parameters of the operators that need them."""
+Longer lists (city slugs, given names, words that are no names) are parameters of the operators that need them."""
 
 # --- fixed values: folds of letters that Unicode decomposition doesn't cover, or that the domain folds its own way ---
 FOLDS = {"ä": "a", "ö": "o", "å": "a", "õ": "o", "ü": "u", "š": "s", "ž": "z", "æ": "ae", "ø": "o", "ß": "ss", "þ": "th", "ð": "d"}
@@ -57,32 +57,22 @@ SPELT_EMAIL = (
 _CAP, _LOW = "A-ZÄÖÅÕÜŠŽ", "a-zäöåõüšž"
 PERSON = rf"(?<![\p{{L}}\p{{N}}_])[{_CAP}][{_LOW}]{{1,20}}(?:-[{_CAP}][{_LOW}]{{1,20}})?(?:\s+[{_CAP}][{_LOW}]{{1,20}}){{1,2}}(?![\p{{L}}\p{{N}}_])"
 
-# --- fixed values: what is no part of a person's name; English function words come from Spark's stop words, which lack
-# the first line, and the words of one's own product are a parameter ---
-PROSE_WORDS = (
-    "read", "see", "please", "us", "may", "must", "shall", "also",
-    "privacy", "policy", "policies", "cookie", "cookies", "terms", "conditions", "condition", "data", "protection",
-    "notice", "statement", "rights", "right", "use", "usage", "using", "service", "services", "information", "personal",
-    "processing", "controller", "processor", "consent", "gdpr", "law", "legal", "purpose", "purposes", "period",
-    "storage", "security", "website", "site", "page", "content", "account", "subject", "party", "parties", "third",
-    "general", "regulation", "tietosuoja", "tietosuojaseloste", "rekisteriseloste", "evasteet", "kayttoehdot",
-    "privaatsuspoliitika", "privaatsus", "andmekaitse", "kupsised", "isikuandmete", "tootlemine",
-    "finland", "estonia", "suomi", "eesti", "sweden", "ruotsi", "helsinki", "tallinn", "tartu", "espoo", "vantaa",
-    "tampere",
-    "company", "ltd", "limited", "group", "team", "menu", "booking", "bookings", "reservation", "reservations",
-    "table", "online", "gift", "card", "hotel", "opening", "hours", "address", "email", "phone", "welcome", "home",
-    "news", "blog", "shop", "order", "delivery",
-    "facebook", "instagram", "twitter", "linkedin", "youtube", "tiktok", "whatsapp", "pinterest", "snapchat",
-    "telegram", "messenger", "share", "follow", "like", "subscribe", "newsletter", "tripadvisor", "yelp", "wolt",
-    "foodora", "resmio", "quandoo", "opentable",
-    "giftcard", "giftcards", "lahjakortti", "lahjakortit", "kinkekaart", "kinkekaardid", "voucher", "vouchers",
-    "takeaway", "catering", "lunch", "dinner", "brunch", "breakfast", "buffet", "lounas", "gallery", "photos",
-    "images", "video", "press", "calendar", "map", "directions", "parking", "allergens", "allergy", "vegan",
-    "vegetarian", "gluten", "wine", "beer", "cocktail", "cocktails", "drinks", "bar", "kitchen", "chef", "staff",
-    "search", "login", "register", "basket", "cart", "checkout", "back", "next", "previous", "close", "open", "closed",
-    "today", "tomorrow", "week", "weekend", "season", "summer", "winter", "spring", "autumn", "christmas", "joulu",
-    "uusi", "vuosi", "year", "happy", "hour", "sitemap", "language", "english", "svenska",
+# --- a list of our own, by topic: words of web pages that are capitalised like names; callers pass their own instead ---
+NOT_NAMES = (
+    # navigation and forms
+    "home", "menu", "page", "site", "website", "search", "login", "read", "next", "back", "open", "closed", "subscribe", "newsletter", "share", "follow", "welcome", "news", "blog", "gallery", "online",
+    # contact blocks and places
+    "address", "email", "phone", "hours", "team", "staff", "company", "group", "ltd", "finland", "suomi", "estonia", "eesti", "helsinki", "tallinn", "tampere", "turku", "tartu",
+    # notices
+    "privacy", "policy", "cookie", "cookies", "terms", "data", "consent", "rights", "tietosuoja", "andmekaitse", "privaatsus",
+    # eating out
+    "table", "booking", "reservation", "delivery", "takeaway", "catering", "lunch", "lounas", "dinner", "brunch", "breakfast", "buffet", "bar", "kitchen", "wine", "beer", "drinks", "chef", "hotel",
+    "gift", "card", "voucher", "lahjakortti", "kinkekaart", "order", "shop", "christmas", "joulu", "summer", "winter", "weekend", "today", "happy",
+    # services named beside people
+    "facebook", "instagram", "linkedin", "tiktok", "youtube", "tripadvisor", "wolt", "foodora",
 )
+
+# --- fixed values: phrases and pieces that mark a text as no name ---
 PROSE_PHRASES = (
     "privacy policy", "cookie policy", "data controller", "restaurant manager", "head chef", "general manager",
     "opening hours", "contact us", "about us", "group bookings", "private events", "gift card", "tietosuojaseloste",

@@ -226,8 +226,8 @@ def plausible_email(c: Column, vendors: tuple[str, ...] = fixed.VENDOR_DOMAINS,
 
 
 def prose_words(own: tuple[str, ...] = ()) -> tuple[str, ...]:
-    """Words that no person's name holds: the fixed ones, Spark's English stop words, and one's own."""
-    return tuple(dict.fromkeys((*fixed.PROSE_WORDS, *StopWordsRemover.loadDefaultStopWords("english"), *own)))
+    """Words that no person's name holds: of web pages (fixed.NOT_NAMES), Spark's English stop words, and one's own."""
+    return tuple(dict.fromkeys((*fixed.NOT_NAMES, *StopWordsRemover.loadDefaultStopWords("english"), *own)))
 
 
 def person_shaped(name: Column, prose: tuple[str, ...] | None = None) -> Column:
