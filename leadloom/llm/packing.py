@@ -30,8 +30,8 @@ from .token_counts import byte_symbols
 #: Open bins of a partition, and pieces that it puts into the order of their length at a time.
 OPEN_BINS, ROUND = 512, 1024
 
-#: Chunks that the vocabulary's pre-tokenizer cuts into a run of letters and perhaps a full stop or comma.
-_PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,]?)")
+#: Letters of chunks that the vocabulary's pre-tokenizer cuts into a run of letters and perhaps a full stop or comma.
+_PLAIN = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
 
 
 class WordIds(ChunkIds):
@@ -43,25 +43,31 @@ class WordIds(ChunkIds):
         self.words: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
         self.old_words: dict[str, bytes] = {}
+        self.packed = [array("I", [k]).tobytes() for k in range(self.tok.get_vocab_size(with_added_tokens=True))]
         self.ends = {"": b""} | {c: array("I", self.tok.encode(c, add_special_tokens=False).ids).tobytes() for c in ".,"}
         self.letters = {k: "".join(byte_symbols()[b] for b in chr(k).encode()) for k in range(0xC0, 0x100)}
 
     def learn(self, chunks: set[str]) -> dict[str, bytes]:
-        known, old, words, merge, rest = self.known, self.old, self.words, self.tok.model.tokenize, set()
+        known, old, words, old_words, merge, rest = self.known, self.old, self.words, self.old_words, self.tok.model.tokenize, set()
+        letters, ends, packed = self.letters, self.ends, self.packed
         for c in chunks:
             if (ids := old.get(c)) is not None:
                 known[c] = ids
                 continue
-            plain = _PLAIN.fullmatch(c)
-            if plain and len(c) <= 40:
-                word = plain[1].lower()
-                ids = words.get(word) or self.old_words.get(word)
-                if ids is None:
-                    ids = array("I", [t.id for t in merge(word if word.isascii() else word.translate(self.letters))]).tobytes()
-                words[word] = ids
-                known[c] = ids + self.ends[plain[2]]
-            else:
+            if len(c) > 40:
                 rest.add(c)
+                continue
+            word, end = (c[:-1], c[-1]) if c[-1] in ".," else (c, "")
+            plain = word.isascii()
+            if not (word.isalpha() if plain else _PLAIN.fullmatch(word)):
+                rest.add(c)
+                continue
+            word = word.lower()
+            ids = words.get(word) or old_words.get(word)
+            if ids is None:
+                ids = b"".join([packed[t.id] for t in merge(word if plain else word.translate(letters))])
+            words[word] = ids
+            known[c] = ids + ends[end]
         return super().learn(rest) if rest else {}
 
     def of(self, chunks: list[str]) -> bytes:
