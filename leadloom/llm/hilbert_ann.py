@@ -3,8 +3,8 @@
 Distinct vectors of one length are projected on the leading principal axes of a bounded sample; each curve turns and
 shifts the projection by a rotation and an offset of its own and takes Hilbert keys. Spark range-partitions the keys of
 every curve, so each vector gets its position along each curve. A query looks at the window of positions round its own
-on every curve. Windows are read block by block (BLOCK positions each, whatever the table's size), with a byte for each
-component in place of the vectors; each block keeps a query's best, the blocks of all curves merge, and the best SPARE
+on every curve. Windows are read block by block (BLOCK positions each, whatever the table's size, by ASKED queries at a
+time, so that no group grows with the table), with a byte for each component in place of the vectors; each block keeps a query's best, the blocks of all curves merge, and the best SPARE
 of a query are reranked by distance, in double precision on the original vectors.
 
 The window isn't set but measured: the true neighbours of PROBES rows are found against all rows, and the window is what
@@ -30,9 +30,9 @@ from pyspark.sql import functions as F
 from .common import cut
 from .vectors import first_ids, unfolded, valid
 
-#: Positions of a curve that one task group holds, rows that the projection is fitted on, rows whose true neighbours set
-#: the window, and candidates of a query that are reranked for each that is asked for.
-BLOCK, SAMPLE, PROBES, SPARE = 8192, 5000, 64, 4
+#: Positions of a curve and queries that one task group holds, rows that the projection is fitted on, rows whose true
+#: neighbours set the window, and candidates of a query that are reranked for each that is asked for.
+BLOCK, ASKED, SAMPLE, PROBES, SPARE = 8192, 1024, 5000, 64, 4
 
 
 def hilbert_keys(cells: np.ndarray, bits: int) -> np.ndarray:
@@ -174,7 +174,11 @@ def _of_one_length(rows: DataFrame, k: int, curves: int, axes: int, windows: tup
     block = F.floor(F.col("pos") / BLOCK).alias("block")
     blocks = places.select("curve", block, "pos", "own").join(codes, "own")
     first, last = F.floor(F.greatest(F.col("pos") - window, F.lit(0)) / BLOCK), F.floor((F.col("pos") + window) / BLOCK)
-    asked = asking.select("own").distinct().join(own, "own").join(places.toDF("curve", "pos", "own"), "own").withColumn("block", F.explode(F.sequence(first, last)))
+    asked = asking.select("own").distinct().join(places.toDF("curve", "pos", "own"), "own").withColumn("block", F.explode(F.sequence(first, last)))
+    # the queries of a block grow with the window and so with the table: they are dealt into parts, each with the block
+    parts = asked.groupBy("curve", "block").agg(F.ceil(F.count("*") / ASKED).cast("int").alias("parts"))
+    asked = asked.join(parts, ["curve", "block"]).withColumn("part", F.pmod(F.xxhash64("own"), "parts").cast("int")).drop("parts").join(own, "own")
+    blocks = blocks.join(parts, ["curve", "block"]).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
 
     def search(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
         if not len(q) or not len(c):
@@ -189,7 +193,8 @@ def _of_one_length(rows: DataFrame, k: int, curves: int, axes: int, windows: tup
         out = pd.DataFrame({"own": np.repeat(q["own"].to_numpy(), n), "other": c["own"].to_numpy()[best].ravel(), "gap": gap.ravel().astype(float)})
         return out[np.isfinite(out["gap"])]
 
-    near = asked.groupBy("curve", "block").cogroup(blocks.groupBy("curve", "block")).applyInPandas(search, "own bigint, other bigint, gap double")
+    key = ["curve", "block", "part"]
+    near = asked.groupBy(*key).cogroup(blocks.groupBy(*key)).applyInPandas(search, "own bigint, other bigint, gap double")
     near = first_of(near.groupBy("own", "other").agg(F.min("gap").alias("gap")), most, "gap")
     # the few that are left by distance on the vectors themselves
     a, b = own.select("own", F.col("v").alias("a")), own.select(F.col("own").alias("other"), F.col("v").alias("b"))

@@ -42,6 +42,15 @@ def test_few_codes(spark):
     assert [(r["rank"], r["vec_id"], r["distance"]) for r in sorted(got)] == [(1, 2, 0), (2, 1, 1)]
 
 
+def test_queries_of_a_block_are_dealt_into_parts(spark, monkeypatch):
+    """All queries meet one block; with parts of three queries the result is the same."""
+    rng = np.random.default_rng(8)
+    df = spark.createDataFrame([(100 * k, rng.normal(size=8).tolist()) for k in range(90)], "vec_id long, embedding array<double>")
+    want = sorted(map(tuple, hilbert_ann.nearest_by_curves(df, target=1.0).collect()))
+    monkeypatch.setattr(hilbert_ann, "ASKED", 3)
+    assert sorted(map(tuple, hilbert_ann.nearest_by_curves(df, target=1.0).collect())) == want and len(want) == 900
+
+
 def test_neighbours_of_odd_vectors(spark):
     rows, x = odd_vectors(16, 300, 5)
     rows += [(1000 + k, [float(k + 1), 1.0]) for k in range(12)]  # a length of their own
