@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -184,18 +186,33 @@ def _order_records(spark, sf_dir):
     return rows.select(text_of("{", F.concat_ws(",", code, F.lit('"esindusoiguse_normaalregulatsioonid":[{"nimi":"Rule Two"}]'), cards, text_of('"Nimi":"', F.col("c_name"), '"')), "}").alias("record"))
 
 
-@query("""
+_PEOPLE = """
     WITH p AS (SELECT o_custkey, CASE WHEN o_orderstatus <> 'P' THEN CASE WHEN o_orderkey % 6 = 5 THEN 'G' || o_custkey ELSE 'G' || o_custkey || ' S' || o_orderkey END END AS person_name,
         CASE WHEN o_totalprice > 100000 THEN 'r' || o_orderkey ELSE o_orderpriority END AS role, o_orderdate < DATE '1998-01-01' AS ended FROM orders)
     SELECT CAST(o_custkey AS VARCHAR) AS business_id, person_name, role, ended FROM p WHERE person_name IS NOT NULL
     UNION ALL SELECT CAST(c_custkey AS VARCHAR), c_name, NULL, FALSE FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM p WHERE person_name IS NOT NULL)
-""")
+"""
+
+
+@query(_PEOPLE)
 def people_of_all_releases(spark, sf_dir):
     """Every family of keys; a company none of whose people has a name is a person itself, one whose people have all left
     is not."""
     return r.register_persons(_order_records(spark, sf_dir))
 
 
+@query(_PEOPLE)
+def people_of_a_dump(spark, sf_dir):
+    """The same records written as a dump to the shared checkpoint folder and read again by ranges of 64 KB."""
+    from ..functions.components import ready_to_checkpoint
+    from ..sources.readers import read_register_persons
+
+    ready_to_checkpoint(spark)
+    path = f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/dump-{uuid.uuid4().hex}"
+    _order_records(spark, sf_dir).write.text(path)
+    return r.register_persons(read_register_persons(spark, path, range_bytes=1 << 16))
+
+
 @query("SELECT CAST(s_suppkey AS VARCHAR) AS business_id, 'Piret Mets' AS person_name, CASE WHEN s_suppkey % 2 = 0 THEN 'board member' ELSE 'JUHL' END AS role FROM supplier WHERE s_suppkey % 3 = 0")
 def board_names(spark, sf_dir):
     rows = suppliers(spark, sf_dir).select(F.col("s_suppkey").cast("string").alias("business_id"), F.when(F.col("s_suppkey") % 3 == 0, "Piret Mets").when(F.col("s_suppkey") % 3 == 1, "Firma OÜ").otherwise("Solo").alias("person_name"), F.when(F.col("s_suppkey") % 2 == 0, " ").otherwise("JUHL").alias("role"))

@@ -213,6 +213,8 @@ def layout_of(head: bytes, whole: bool, keys: tuple[str, ...] | None) -> tuple[s
                 found.append(key)
         depth += 1 if c in _OPEN else -1
         if not depth:
+            if head[m.end() : m.end() + KEY].lstrip().startswith(b"{"):  # one of several
+                return "objects", ""
             closed = True
             break
     some = [k for k in (keys or found) if k in found]

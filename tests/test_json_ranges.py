@@ -73,6 +73,7 @@ def test_layouts():
     assert told([{}]) == ("array", "") and told({"a": 1}) == ("objects", "") and told({"m": [1], "p": [{}]}) == ("wrapped", "p")
     assert told({"items": [{}], "data": []}, ("data", "items")) == ("wrapped", "data") and told({"rows": [{}]}, ("data",)) == ("objects", "")
     assert j.layout_of(b"\xef\xbb\xbf [", True, None) == ("array", "") and j.layout_of(b'{"a":1}\n{"a":[{}]}', False, None) == ("objects", "")
+    assert j.layout_of(b'{"k":[{"n":1}]}\n {"k":[]}', True, None) == ("objects", "")
     with pytest.raises(ValueError):
         j.layout_of(b'{"meta": "' + b"x" * 50, False, None)
 
