@@ -24,11 +24,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import CACHE_ENTRIES, ChunkIds, public_vocabulary, whole_text, word_chunks
+from .common import ChunkIds, public_vocabulary, whole_text, word_chunks
 from .token_counts import byte_symbols
 
 #: Open bins of a partition, and pieces that it puts into the order of their length at a time.
 OPEN_BINS, ROUND = 512, 1024
+#: Chunks and plain words that a worker remembers; of chunks it has the old ones beside the new.
+CHUNKS, WORDS = 250_000, 100_000
 
 #: Letters of chunks that the vocabulary's pre-tokenizer cuts into a run of letters and perhaps a full stop or comma.
 _PLAIN = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
@@ -42,13 +44,12 @@ class WordIds(ChunkIds):
         super().__init__(path)
         self.words: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
-        self.old_words: dict[str, bytes] = {}
         self.packed = [array("I", [k]).tobytes() for k in range(self.tok.get_vocab_size(with_added_tokens=True))]
         self.ends = {"": b""} | {c: array("I", self.tok.encode(c, add_special_tokens=False).ids).tobytes() for c in ".,"}
         self.letters = {k: "".join(byte_symbols()[b] for b in chr(k).encode()) for k in range(0xC0, 0x100)}
 
     def learn(self, chunks: set[str]) -> dict[str, bytes]:
-        known, old, words, old_words, merge, rest = self.known, self.old, self.words, self.old_words, self.tok.model.tokenize, set()
+        known, old, words, merge, rest = self.known, self.old, self.words, self.tok.model.tokenize, set()
         letters, ends, packed = self.letters, self.ends, self.packed
         for c in chunks:
             if (ids := old.get(c)) is not None:
@@ -63,18 +64,17 @@ class WordIds(ChunkIds):
                 rest.add(c)
                 continue
             word = word.lower()
-            ids = words.get(word) or old_words.get(word)
+            ids = words.get(word)
             if ids is None:
-                ids = b"".join([packed[t.id] for t in merge(word if plain else word.translate(letters))])
-            words[word] = ids
+                ids = words[word] = b"".join([packed[t.id] for t in merge(word if plain else word.translate(letters))])
             known[c] = ids + ends[end]
         return super().learn(rest) if rest else {}
 
     def of(self, chunks: list[str]) -> bytes:
         # a full memory becomes the old one; what is met again moves from there to the new one, and the rest goes with it
-        if len(self.words) > CACHE_ENTRIES:
-            self.old_words, self.words = self.words, {}
-        if len(self.known) > CACHE_ENTRIES:
+        if len(self.words) > WORDS:
+            self.words.clear()
+        if len(self.known) > CHUNKS:
             self.old, self.known = self.known, {"": b""}
         missing = set(chunks).difference(self.known)
         far = self.learn(missing) if missing else {}
