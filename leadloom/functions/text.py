@@ -7,7 +7,7 @@ from difflib import SequenceMatcher
 
 import pandas as pd
 from pyspark.ml.feature import StopWordsRemover
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -140,11 +140,19 @@ def similarity_parts(a: Column, b: Column, least: float = 0.0) -> Column:
 
 def similarity(a: Column, b: Column, least: float = 0.0) -> Column:
     """Of two normalised names: 1 if equal; at least 0.9 if the words of one are among the other's; else the better of
-    the matching-blocks ratio (in this order of arguments) and the words' Jaccard similarity; 0 if one is empty. Only
-    pairs that similarity_parts leaves open are aligned in Python; for the others it is handed nulls."""
+    the matching-blocks ratio (in this order of arguments) and the words' Jaccard similarity; 0 if one is empty. As a
+    column it aligns every pair in Python; with_similarity aligns those only that similarity_parts leaves open."""
     parts = similarity_parts(a, b, least)
-    ratio = _ratio(F.when(parts["open"], a), F.when(parts["open"], b))
-    return F.greatest(parts["score"], F.when(parts["open"], ratio))
+    return F.greatest(parts["score"], F.when(parts["open"], _ratio(a, b)))
+
+
+def with_similarity(pairs: DataFrame, a: str, b: str, name: str, least: float = 0.0) -> DataFrame:
+    """Adds the similarity of two columns of normalised names. Only pairs whose score doesn't follow from bounds go to
+    Python, on a branch of their own."""
+    parts = pairs.withColumn("__s", similarity_parts(F.col(a), F.col(b), least))
+    closed = parts.where(~F.col("__s.open")).withColumn(name, F.col("__s.score")).drop("__s")
+    aligned = parts.where(F.col("__s.open")).withColumn(name, F.greatest(F.col("__s.score"), _ratio(F.col(a), F.col(b)))).drop("__s")
+    return closed.unionByName(aligned)
 
 
 #: Radius of the earth in metres.

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from ..functions import fixed
-from ..functions.text import fold, host_of, normalise_name, normalise_postcode, normalise_street, similarity
+from ..functions.text import fold, host_of, normalise_name, normalise_postcode, normalise_street, with_similarity
 
 _none = lambda c: F.nullif(F.trim(c), F.lit(""))
 
@@ -239,12 +239,13 @@ def match_by_name(venues: DataFrame, companies: DataFrame, accept: float = 0.9,
     post_code; venues: venue_id, name, street, number, postcode. Ties go to the least id."""
     v = venues.select("venue_id", normalise_name(F.col("name")).alias("target"), "street", "number", F.col("postcode").alias("pc")).where("target <> ''")
     c = companies.select("business_id", F.explode("names_norm").alias("name"), F.col("street").alias("c_street"), "building_number", "post_code")
-    pairs = substring_pairs(v.select("target").distinct(), c.select("name").distinct()).withColumn("score", similarity(F.col("target"), F.col("name"), min(accept, accept_with_address)))
+    pairs = with_similarity(substring_pairs(v.select("target").distinct(), c.select("name").distinct()), "target", "name", "score", min(accept, accept_with_address))
     rows = v.join(pairs, "target").join(c, "name")
     one = rows.groupBy("venue_id", "business_id").agg(F.max("score").alias("score"), *[F.first(x).alias(x) for x in ("street", "number", "pc", "c_street", "building_number", "post_code")])
     same_number = F.coalesce((F.lower("number") == F.lower("building_number")) | (F.coalesce("number", F.lit("")) == "") | (F.coalesce("building_number", F.lit("")) == ""), F.lit(True))
     near = (F.coalesce("street", F.lit("")) != "") & (F.coalesce("c_street", F.lit("")) != "") & (normalise_postcode(F.col("pc")) == normalise_postcode(F.col("post_code"))) & same_number
-    one = one.withColumn("alike", F.when(near, similarity(F.when(near, F.col("street")), F.when(near, F.col("c_street")), 0.9)).otherwise(0.0))
+    streets = one.withColumns({"__a": F.when(near, F.col("street")), "__b": F.when(near, F.col("c_street"))})
+    one = with_similarity(streets, "__a", "__b", "alike", 0.9)
     both = (F.col("alike") >= 0.9) & (F.col("score") >= accept_with_address)
     scored = one.select("venue_id", "business_id", F.round(F.when(both, F.greatest("score", F.lit(0.95))).when(F.col("score") >= accept, F.col("score")), 3).alias("confidence"), F.when(both, "name_address").otherwise("name").alias("method")).where("confidence is not null")
     w = Window.partitionBy("venue_id").orderBy(F.desc("confidence"), "business_id")

@@ -9,7 +9,7 @@ from difflib import SequenceMatcher
 import pytest
 from pyspark.sql import functions as F
 
-from leadloom.functions.text import similarity, similarity_parts
+from leadloom.functions.text import similarity_parts, with_similarity
 from leadloom.operators import register as r
 from leadloom.operators import venues as v
 from leadloom.operators import writes as w
@@ -34,7 +34,7 @@ def test_bounds_decide_most_pairs(spark):
     names = sorted({" ".join(rng.choice(words) for _ in range(rng.randint(1, 4))) for _ in range(120)})
     pairs = [(a, b) for a in names for b in names] + [("", "a"), (None, "a"), ("a", None), (None, None), ("ab" * 150, "ab" * 150 + "c")]
     df = spark.createDataFrame(pairs, "a string, b string").repartition(4)
-    got = df.select("a", "b", similarity(F.col("a"), F.col("b")).alias("s"), similarity(F.col("a"), F.col("b"), 0.75).alias("t")).collect()
+    got = with_similarity(with_similarity(df, "a", "b", "s"), "a", "b", "t", 0.75).collect()
     for x in got:
         want = plain_similarity(x["a"], x["b"])
         assert x["s"] == pytest.approx(want, abs=1e-12) and (x["t"] == pytest.approx(want, abs=1e-12) if want > 0.75 else x["t"] <= 0.75 + 1e-12)
