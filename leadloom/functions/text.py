@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import fixed
+from .components import cut
 from .references import let, unescape
 
 
@@ -148,8 +149,8 @@ def similarity(a: Column, b: Column, least: float = 0.0) -> Column:
 
 def with_similarity(pairs: DataFrame, a: str, b: str, name: str, least: float = 0.0) -> DataFrame:
     """Adds the similarity of two columns of normalised names. Only pairs whose score doesn't follow from bounds go to
-    Python, on a branch of their own."""
-    parts = pairs.withColumn("__s", similarity_parts(F.col(a), F.col(b), least))
+    Python, on a branch of their own; the pairs are checkpointed, so that they are made once for both branches."""
+    parts = cut(pairs.withColumn("__s", similarity_parts(F.col(a), F.col(b), least)))
     closed = parts.where(~F.col("__s.open")).withColumn(name, F.col("__s.score")).drop("__s")
     aligned = parts.where(F.col("__s.open")).withColumn(name, F.greatest(F.col("__s.score"), _ratio(F.col(a), F.col(b)))).drop("__s")
     return closed.unionByName(aligned)
