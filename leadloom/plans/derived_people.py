@@ -13,7 +13,7 @@ from ..operators import register as r
 from ..operators import sheet as s
 from ..operators import venues as v
 from .catalog import query, table
-from .derived_pages import customers, text_of
+from .derived_pages import customers, page_rows, text_of
 
 
 def suppliers(spark, sf_dir):
@@ -24,6 +24,11 @@ def padded(n: Column) -> Column:
     return F.lpad(n.cast("string"), 4, "0")
 
 
+def numbered(n: Column) -> Column:
+    """Nine digits, so that no number is cut or begins with another; longer ones stay."""
+    return F.when(n < 1_000_000_000, F.lpad(n.cast("string"), 9, "0")).otherwise(n.cast("string"))
+
+
 # --- matching ---
 
 
@@ -59,8 +64,8 @@ _BY_NAME = """
 def _named(spark, sf_dir):
     """Venues and companies of one number: equal names for even ones, else one more word; one address for every third."""
     number = F.when(F.col("k") % 6 == 0, None).otherwise("12")
-    venues = customers(spark, sf_dir).select(F.col("k").alias("venue_id"), text_of("Ravintola Kalla", padded(F.col("k")), " Oy").alias("name"), F.lit("katu").alias("street"), number.alias("number"), F.lit("FI-00100").alias("postcode"), F.lit(None).cast("string").alias("domain"))
-    name = F.when(F.col("s_suppkey") % 2 == 0, text_of("kalla", padded(F.col("s_suppkey")))).otherwise(text_of("kalla", padded(F.col("s_suppkey")), " helsinki"))
+    venues = customers(spark, sf_dir).select(F.col("k").alias("venue_id"), text_of("Ravintola Kalla", numbered(F.col("k")), " Oy").alias("name"), F.lit("katu").alias("street"), number.alias("number"), F.lit("FI-00100").alias("postcode"), F.lit(None).cast("string").alias("domain"))
+    name = F.when(F.col("s_suppkey") % 2 == 0, text_of("kalla", numbered(F.col("s_suppkey")))).otherwise(text_of("kalla", numbered(F.col("s_suppkey")), " helsinki"))
     companies = suppliers(spark, sf_dir).select(text_of("B", padded(F.col("s_suppkey"))).alias("business_id"), F.array(name, F.lit("other")).alias("names_norm"), F.lit("katu").alias("street"), F.lit("12").alias("building_number"), F.when(F.col("s_suppkey") % 3 == 0, "00100").otherwise("00200").alias("post_code"), F.lit(None).cast("string").alias("website"))
     return venues, companies
 
@@ -402,7 +407,7 @@ def jobad_contacts(spark, sf_dir):
     """Ads that name their venue, on a board of its country."""
     venues = customers(spark, sf_dir).select(F.col("k").alias("venue_id"), F.col("c_name").alias("name"), F.when(F.col("k") % 3 == 0, "EE").otherwise("FI").alias("country"))
     text = text_of(F.when(F.col("k") % 2 == 0, F.upper("c_name")).otherwise("Nobody"), ": kysy Anna Korpela anna@aoi.fi")
-    ads = customers(spark, sf_dir).select(F.col("k").alias("venue_id"), F.lit("u").alias("url"), F.when(F.col("k") % 4 == 0, "EE").otherwise("FI").alias("board_country"), text.alias("text"))
+    ads = page_rows(spark, sf_dir).select(F.col("k").alias("venue_id"), F.lit("u").alias("url"), F.when(F.col("k") % 4 == 0, "EE").otherwise("FI").alias("board_country"), text.alias("text"))
     return c.jobad_contacts(ads, venues).select("venue_id", "email", "contact_name", "source", "confidence")
 
 
