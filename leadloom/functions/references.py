@@ -83,8 +83,8 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 def once(df: DataFrame, **values: Column) -> DataFrame:
     """df with columns that are computed once a row. A generator makes them, so that neither a filter nor a projection
-    over them brings their expressions along, as often as it reads them."""
-    return df.select("*", F.inline(F.array(F.struct(*[c.alias(name) for name, c in values.items()]))))
+    over them brings their expressions along, as often as it reads them. They replace columns of their names."""
+    return df.select(*[f"`{c}`" for c in df.columns if c not in values], F.inline(F.array(F.struct(*[c.alias(name) for name, c in values.items()]))))
 
 
 def unescape(c: Column) -> Column:

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed
-from ..functions.references import let
+from ..functions.references import let, once
 
 _BLOCK = r"(?is)<script[^>]*application/ld\+json[^>]*>(.*?)</script>"
 _STRING = r'(?s)"(?:[^"\\]|\\.)*+"'
@@ -114,7 +114,7 @@ def best_node(nodes: Column, wanted: Column | None = None) -> Column:
 
 def jsonld_nodes(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
     """(key, NODE): a row for each business node."""
-    return pages.select(key, F.inline(business_nodes(F.col(html))))
+    return once(pages.select(key, F.col(html).alias("__html")), __nodes=business_nodes(F.col("__html"))).select(key, F.inline("__nodes"))
 
 
 def best_jsonld_node(nodes: DataFrame, key: str = "page_id", wanted_id: str | None = None) -> DataFrame:

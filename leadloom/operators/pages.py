@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import fixed
-from ..functions.references import let
+from ..functions.references import let, once
 from ..functions.text import city_label, fold, host_of, path_of, slugify, visible_text  # noqa: F401
 from ..functions.urls import absolute_url
 from .jsonld import best_jsonld_node, best_node, business_nodes, jsonld_nodes  # noqa: F401
@@ -34,8 +34,8 @@ def page_links(pages: DataFrame, key: str = "page_id", url: str = "url", html: s
     href = F.concat(*[F.regexp_extract("tag", _HREF, g) for g in (1, 2, 3)])
     head = F.regexp_extract("tag", "(?is)^<a\\b[^>]*>", 0)
     label = F.coalesce(F.nullif(visible_text(F.col("tag")), F.lit("")), F.nullif(attribute(head, "aria-label"), F.lit("")), attribute(head, "title"))
-    found = rows.withColumn("href", href).where("href <> ''")
-    return found.select(key, url, "pos", (absolute_url(F.col(url), F.col("href")) if absolute else F.col("href")).alias("link"), F.substring(label, 1, 120).alias("anchor"))
+    found = once(rows, href=href).where("href <> ''")
+    return once(found, link=absolute_url(F.col(url), F.col("href")) if absolute else F.col("href"), anchor=F.substring(label, 1, 120)).select(key, url, "pos", "link", "anchor")
 
 
 def _flat(c: Column) -> Column:
@@ -73,9 +73,9 @@ def crawlable(link: Column, site: Column) -> Column:
 
 def rank_links(links: DataFrame, site_key: str, limit: int = 15) -> DataFrame:
     """The pages of each site worth reading: per URL its best kind (the first on ties), by priority, then URL."""
-    clean = F.coalesce(F.nullif(F.regexp_replace(F.regexp_replace("link", "#.*$", ""), "/+$", ""), F.lit("")), F.lit("/"))
+    clean = let(F.regexp_replace(F.regexp_replace("link", "#.*$", ""), "/+$", ""), lambda x: F.coalesce(F.nullif(x, F.lit("")), F.lit("/")))
     pos = F.col("pos") if "pos" in links.columns else F.lit(0)
-    kinds = links.select(site_key, clean.alias("link"), page_kind(F.col("link"), F.col("anchor")).alias("k"), pos.alias("at"))
+    kinds = once(links.select(site_key, clean.alias("__clean"), "link", "anchor", pos.alias("at")), k=page_kind(F.col("link"), F.col("anchor"))).select(site_key, F.col("__clean").alias("link"), "k", "at")
     best = kinds.groupBy(site_key, "link").agg(F.min(F.struct("k.priority", "at", "k.kind")).alias("k")).select(site_key, "link", "k.kind", "k.priority")
     order = Window.partitionBy(site_key).orderBy("priority", "link")
     return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= limit)
@@ -96,7 +96,7 @@ def blocked_or_shell(pages: DataFrame, html: str = "html", status: str = "http_s
     """Adds is_blocked (status 403 or 503, or a marker in the first 4000 characters) and is_shell (under 400 characters
     of visible text)."""
     marked = F.lower(F.substring(F.coalesce(html, F.lit("")), 1, 4000)).rlike(markers)
-    return pages.withColumns({"is_blocked": F.coalesce(F.col(status).isin(403, 503), F.lit(False)) | marked, "is_shell": F.length(visible_text(F.col(html))) < 400})
+    return once(pages, is_blocked=F.coalesce(F.col(status).isin(403, 503), F.lit(False)) | marked, is_shell=F.length(visible_text(F.col(html))) < 400)
 
 
 def detect_cms(html: Column, link_header: Column | None = None) -> Column:
@@ -117,17 +117,18 @@ def listing_meta(pages: DataFrame, html: str = "html", site: str | None = None)
     given), description, image_id, and lang, city_slug, venue_slug, listing_id of the canonical URL. The order of a tag's
     attributes doesn't matter."""
     tags = F.regexp_extract_all(F.coalesce(html, F.lit("")), F.lit("(?is)<(?:meta|link)\\b[^>]*>"), F.lit(0))
-    rows = pages.withColumn("__tags", tags)
-    value = lambda name, att: F.coalesce(F.nullif(F.trim(attribute(F.try_element_at(F.filter("__tags", lambda t: (attribute(t, "property") == name) | (attribute(t, "rel") == name)), F.lit(1)), att)), F.lit("")))
-    canonical = value("canonical", "href")
-    piece = lambda k: F.nullif(F.regexp_extract(canonical, "^(?:https?://[^/]+)?/([a-z]{2})/([^/]+)/([^/]+)/([0-9]+)", k), F.lit(""))
+    names = F.transform(tags, lambda t: F.struct(t.alias("tag"), attribute(t, "property").alias("property"), attribute(t, "rel").alias("rel")))
+    tag = lambda name: F.try_element_at(F.filter("__tags", lambda t: (t["property"] == name) | (t["rel"] == name)), F.lit(1))["tag"]
+    given = lambda name, att: F.trim(attribute(tag(name), att))
+    rows = once(once(pages, __tags=names), __title=given("og:title", "content"), __description=given("og:description", "content"), __image=given("og:image", "content"), __canonical=given("canonical", "href"))
+    value = lambda name: F.nullif(F.col(name), F.lit(""))
+    piece = lambda k: F.nullif(F.regexp_extract(value("__canonical"), "^(?:https?://[^/]+)?/([a-z]{2})/([^/]+)/([^/]+)/([0-9]+)", k), F.lit(""))
     suffix = r"\s+\|\s+[^|]*$" if site is None else r"(?i)\s*\|\s*" + re.escape(site) + r"\s*$"
-    title = F.trim(F.regexp_replace(visible_text(value("og:title", "content")), suffix, ""))
-    return rows.withColumns({
-        "title": F.nullif(title, F.lit("")), "description": value("og:description", "content"),
-        "image_id": F.regexp_extract(value("og:image", "content"), "/restaurant/([0-9]+)/", 1).try_cast("long"),
-        "lang": piece(1), "city_slug": piece(2), "venue_slug": piece(3), "listing_id": piece(4).try_cast("long"),
-    }).drop("__tags")
+    title = F.trim(F.regexp_replace(visible_text(value("__title")), suffix, ""))
+    return once(
+        rows, title=F.nullif(title, F.lit("")), description=value("__description"), image_id=F.regexp_extract(value("__image"), "/restaurant/([0-9]+)/", 1).try_cast("long"),
+        lang=piece(1), city_slug=piece(2), venue_slug=piece(3), listing_id=piece(4).try_cast("long"),
+    ).drop("__tags", "__title", "__description", "__image", "__canonical")
 
 
 def listing_guards(listings: DataFrame, probed: str = "probed_id") -> DataFrame:
