@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from ..functions import fixed
+from ..functions.references import once
 from ..functions.text import fold, host_of, normalise_name, normalise_postcode, normalise_street, with_similarity
 
 _none = lambda c: F.nullif(F.trim(c), F.lit(""))
@@ -92,14 +93,14 @@ def _people(records: DataFrame, list_hints: tuple[str, ...], list_denied: tuple[
     """(business_id, own, lists, people): a record's entries, the lists among them whose key may name people (with their
     length), and the entries of each object in these lists that begin with one."""
     text = F.col("record") if isinstance(records.schema["record"].dataType, StringType) else F.to_json("record")
-    rows = records.select(_entries(text).alias("own"), F.from_json(text, "map<string,string>").alias("raw")).where("own is not null")
+    rows = once(records.select(text.alias("__text")), own=_entries(F.col("__text")), raw=F.from_json("__text", "map<string,string>")).where("own is not null")
     named = lambda e: F.coalesce(F.rlike(e["folded"], F.lit("|".join(list_hints))), F.lit(False)) & ~F.rlike(e["folded"], F.lit("|".join(list_denied)))
     found = F.filter("own", lambda e: e["kind"].startswith("ARRAY") & named(e))
     parts = lambda e: F.coalesce(F.from_json(F.try_element_at("raw", e["key"]), "array<string>"), F.array().cast("array<string>"))
-    rows = rows.withColumn("lists", F.transform(found, lambda e: F.struct(e["key"].alias("key"), parts(e).alias("parts"))))
+    rows = once(rows, lists=F.transform(found, lambda e: F.struct(e["key"].alias("key"), parts(e).alias("parts"))))
     begins = F.filter("lists", lambda x: F.get(x["parts"], F.lit(0)).startswith("{"))
     people = F.filter(F.transform(F.flatten(F.transform(begins, lambda x: x["parts"])), _entries), lambda p: p.isNotNull())
-    return rows.select(_pick(F.col("own"), fixed.CODE_KEYS).alias("business_id"), "own", "lists", people.alias("people"))
+    return once(rows, business_id=_pick(F.col("own"), fixed.CODE_KEYS), people=people).select("business_id", "own", "lists", "people")
 
 
 def register_persons(records: DataFrame, list_hints: tuple[str, ...] = fixed.PERSON_LIST_KEYS, list_denied: tuple[str, ...] = fixed.OTHER_LIST_KEYS) -> DataFrame:
@@ -112,7 +113,8 @@ def register_persons(records: DataFrame, list_hints: tuple[str, ...] = fixed.PER
     A variant has its keys in alphabetical order, which decides where one hint is in several keys; text keeps its own."""
     named = F.filter(F.transform("people", _person), lambda x: x["person_name"].isNotNull())
     itself = _person(F.col("own")).withField("ended", F.lit(False))
-    rows = _people(records, list_hints, list_denied).where("business_id is not null").withColumn("named", named)
+    rows = _people(records, list_hints, list_denied).where("business_id is not null")
+    rows = once(rows, named=named)
     rows = rows.select("business_id", F.inline(F.when(F.size("named") > 0, F.col("named")).otherwise(F.array(itself))))
     return rows.where("person_name is not null")
 

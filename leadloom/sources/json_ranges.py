@@ -96,6 +96,11 @@ class Span(InputPartition):
     key: str = ""
 
 
+@dataclass
+class Task(InputPartition):
+    spans: tuple
+
+
 def key_before(f, at: int) -> str | None:
     """The key whose value begins at `at`."""
     m = _KEY_BEFORE.search(f.read_at(min(at, KEY), at - min(at, KEY)))
@@ -152,7 +157,7 @@ def records_of(f, span: Span) -> Iterator[tuple[int, bytes]]:
 
 
 class JsonRanges(DataSource):
-    """Options: mode (effects or records) and spans, the ranges as JSON."""
+    """Options: mode (effects or records), spans, the ranges as JSON, and together, how many of them a task reads."""
 
     @classmethod
     def name(cls) -> str:
@@ -164,17 +169,21 @@ class JsonRanges(DataSource):
         return "file string, place bigint, record string"
 
     def reader(self, schema) -> DataSourceReader:
-        return JsonRangesReader(self.options["mode"], json.loads(self.options["spans"]))
+        return JsonRangesReader(self.options["mode"], json.loads(self.options["spans"]), int(self.options["together"]))
 
 
 class JsonRangesReader(DataSourceReader):
-    def __init__(self, mode: str, spans: list[dict]):
-        self.mode, self.spans = mode, spans
+    def __init__(self, mode: str, spans: list[dict], together: int):
+        self.mode, self.spans, self.together = mode, spans, together
 
     def partitions(self) -> list[InputPartition]:
-        return [Span(**x) for x in self.spans]
+        return [Task(tuple(Span(**x) for x in self.spans[k : k + self.together])) for k in range(0, len(self.spans), self.together)]
+
+    def read(self, task: Task) -> Iterator:
+        for span in task.spans:
+            yield from self._read(span)
 
-    def read(self, span: Span) -> Iterator:
+    def _read(self, span: Span) -> Iterator:
         with opened(span.file) as f:
             if self.mode == "effects":
                 data, escaped = f.read_at(span.stop - span.start, span.start), _escaped(f, span.start)
@@ -238,7 +247,9 @@ def json_records(spark: SparkSession, path: str, keys: tuple[str, ...] | None =
         else:
             kinds[file] = ("wrapped", wrapper)
     spans = [{"file": file, "start": at, "stop": min(at + range_bytes, size), "layout": kinds[file][0], "key": kinds[file][1]} for file, size in files for at in range(0, size, range_bytes)]
-    load = lambda mode: spark.read.format("json_ranges").option("mode", mode).option("spans", json.dumps(spans)).load()
+    # short ranges share a task: up to RANGE bytes, as long as there are two tasks a core
+    together = max(1, min(RANGE // range_bytes, len(spans) // (2 * spark.sparkContext.defaultParallelism)))
+    load = lambda mode: spark.read.format("json_ranges").option("mode", mode).option("spans", json.dumps(spans)).option("together", str(together)).load()
     if not spans:
         return spark.createDataFrame([], "file string, place bigint, record string")
     if len(spans) > len(files):  # whole files begin outside of everything
