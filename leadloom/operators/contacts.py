@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed
 from ..functions.components import cut
+from ..functions.references import once
 from ..functions.text import clean_email, ee_ids, email_domain, email_local, fi_ids, fold, normalise_name, person_shaped, plausible_email, shared_inbox
 from .harvest import harvest_contacts as harvest_contacts
 
@@ -137,7 +138,11 @@ def name_sites(contacts: DataFrame) -> DataFrame:
 def group_owners(contacts: DataFrame, matches: DataFrame) -> DataFrame:
     """Of each normalised name at matched venues: companies, venues and the least company id."""
     rows = contacts.where("contact_name is not null").join(matches.where("business_id is not null").select("venue_id", "business_id"), "venue_id")
-    return rows.groupBy(normalise_name(F.col("contact_name")).alias("name_norm")).agg(F.count_distinct("business_id").alias("n_companies"), F.count_distinct("venue_id").alias("n_venues"), F.min("business_id").alias("company"))
+    # venues are counted where the join has put them: each with the first of its companies, so no venue id goes further
+    seen = once(rows.groupBy("venue_id", "contact_name").agg(F.collect_set("business_id").alias("ids")), name_norm=normalise_name(F.col("contact_name")))
+    venues = seen.groupBy("venue_id", "name_norm").agg(F.array_distinct(F.flatten(F.collect_list("ids"))).alias("ids"))
+    pairs = venues.select("name_norm", F.posexplode("ids").alias("k", "business_id")).groupBy("name_norm", "business_id").agg(F.count_if(F.col("k") == 0).alias("n"))
+    return pairs.groupBy("name_norm").agg(F.count("*").alias("n_companies"), F.sum("n").alias("n_venues"), F.min("business_id").alias("company"))
 
 
 def name_screen(contacts: DataFrame, venues: DataFrame, sites: DataFrame, matches: DataFrame, min_sites: int = 3, prose: tuple[str, ...] | None = None) -> DataFrame:
