@@ -6,6 +6,7 @@ input's rows."""
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -92,11 +93,11 @@ def sitemap_urls(captures: DataFrame, body: str, limit: int) -> DataFrame:
     return captures.select(*(c for c in captures.columns if c != body), F.posexplode(F.slice(F.array_distinct(found), 1, limit)).alias("pos", "link"))
 
 
-def blocked_or_shell(pages: DataFrame, html: str = "html", status: str = "http_status", markers: str = "(captcha|access denied|attention required|are you a robot|cf-browser-verification)") -> DataFrame:
+def blocked_or_shell(pages: DataFrame, html: str = "html", status: str = "http_status", markers: str = "(captcha|access denied|attention required|are you a robot|cf-browser-verification)", text: Callable[[Column], Column] = visible_text) -> DataFrame:
     """Adds is_blocked (status 403 or 503, or a marker in the first 4000 characters) and is_shell (under 400 characters
-    of visible text)."""
+    of visible text, as `text` gives it)."""
     marked = F.lower(F.substring(F.coalesce(html, F.lit("")), 1, 4000)).rlike(markers)
-    return once(pages, is_blocked=F.coalesce(F.col(status).isin(403, 503), F.lit(False)) | marked, is_shell=F.length(visible_text(F.col(html))) < 400)
+    return once(pages, is_blocked=F.coalesce(F.col(status).isin(403, 503), F.lit(False)) | marked, is_shell=F.length(text(F.col(html))) < 400)
 
 
 def detect_cms(html: Column, link_header: Column | None = None) -> Column:

@@ -2,6 +2,8 @@
 
 import json
 
+import duckdb
+
 from pyspark.sql import functions as F
 
 from leadloom.functions.urls import _SPLIT
@@ -48,3 +50,16 @@ def test_tags_and_links_are_read_once(spark):
     text = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
     assert listing.first()["title"] == "A" and [r["link"] for r in ranked.collect()] == ["https://x.fi/menu"]
     assert text(listing).count("(?:meta|link)") == 1 and text(ranked).count(_SPLIT) == 10  # five parts of two URLs
+
+
+def test_visible_text_of_cut_references_equals_the_sql(spark, tmp_path):
+    """A text may be cut within a reference; nested elements, other references and white space go by the SQL too."""
+    texts = ["<p>a &amp", "<p>b &copy 1</p>", "&amp;quot; &quot;&lt;&#65;&amp;amp;", "<style> <script> </style> x </script> y", "<noscript>n</noscript> \x0b\xa0 z ", "<SCRIPT a>b</script\n>c\r\n\td", "", None]
+    texts += [("x" * 390) + "&amp " * n for n in (1, 2)]
+    spark.createDataFrame([(k, "https://a.fi/", x) for k, x in enumerate(texts)], "page_id long, url string, html string").coalesce(1).write.parquet(f"{tmp_path}/pages.parquet")
+    duck = duckdb.connect()
+    duck.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    got = catalog.queries()["visible_text_len"](spark, str(tmp_path)).collect()
+    assert sorted(tuple(r) for r in got) == sorted(duck.sql(catalog.oracle_sql()["visible_text_len"]).fetchall())
+    tiers = duck.sql(f"SELECT page_id, cms, is_shell, tier FROM ({catalog.oracle_sql()['crawl_tiers']})").fetchall()
+    assert sorted(tuple(r) for r in catalog.queries()["crawl_tiers"](spark, str(tmp_path)).select("page_id", "cms", "is_shell", "tier").collect()) == sorted(tiers)
