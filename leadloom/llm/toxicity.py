@@ -9,7 +9,7 @@ set aside, and so are all misspelt forms of terms whose misspelt forms tell noth
 term's weight, by as much less for edits as hits of so many edits tell less in the sample. Hits in quotation marks (within a paragraph), or near a word of reporting, count by a share, which the sample
 decides if LEAST of its texts have such hits. A small logistic regression turns these sums into a score.
 
-Scoring is a narrow job: whole texts, no shuffle; the model (MAX_TERMS terms at most) travels with the tasks, and a
+Scoring is a narrow job: whole texts, no shuffle; the model (as many terms as the sample tells apart) travels with the tasks, and a
 worker remembers the hits of short chunks up to a bound.
 
 Defined results: null text counts as empty; an empty text or one without hits gets the score of no hits; repeated rows
@@ -33,10 +33,8 @@ from pyspark.sql import functions as F
 
 from .common import CACHE_CHARS, cut, whole_text
 
-#: Bounds of the fit: labelled rows, terms that are candidates, terms that are kept, forms that are set aside.
-SAMPLE_ROWS, CANDIDATES, MAX_TERMS, MAX_INNOCENT = 20_000, 100_000, 5_000, 50_000
-#: Words (not beginnings), the surest first, whose misspellings are looked for.
-MISSPELT = 100
+#: Labelled rows that the model is fitted on. What they hold bounds candidates, terms and forms; none of these is cut off.
+SAMPLE_ROWS = 20_000
 #: Toxic texts that a term is in and neighbours that it has at least, lengths of word beginnings that may become terms,
 #: and words of context on either side.
 LEAST, STEMS, CONTEXT = 4, (4, 5, 6, 7, 8), 6
@@ -232,8 +230,6 @@ def choose_terms(toxic: dict[str, int], clean: dict[str, int], n_toxic: int, n_c
         covered = any(f"{t[:n]}*" in chosen for n in STEMS if n <= len(t.rstrip("*")) and f"{t[:n]}*" != t)
         if not longer and not covered:
             chosen[t] = odds
-        if len(chosen) == MAX_TERMS:
-            break
     return chosen
 
 
@@ -261,8 +257,7 @@ def uses_of(rows: list[tuple[list, int]], part: int) -> dict[str, list[int]]:
 def plain_forms(rows: list[tuple[list, int]], size: dict[int, int]) -> frozenset[str]:
     """Misspelt forms that other texts use as ordinary words."""
     uses = uses_of(rows, 2)
-    plain = sorted((f for f, (a, b) in uses.items() if (b + 0.5) / (size[1] + 1) < 3 * (a + 0.5) / (size[0] + 1) and a), key=lambda f: (-uses[f][0], f))
-    return frozenset(plain[:MAX_INNOCENT])
+    return frozenset(f for f, (a, b) in uses.items() if (b + 0.5) / (size[1] + 1) < 3 * (a + 0.5) / (size[0] + 1) and a)
 
 
 def learned_closeness(rows: list[tuple[list, int]], innocent: frozenset[str], n_toxic: int, n_clean: int) -> tuple[float, ...]:
@@ -305,7 +300,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
         return rows.select("text").mapInArrow(run, "term string, n bigint").groupBy("term").agg(F.sum("n").alias("n"))
 
-    toxic = {r["term"]: r["n"] for r in counted(sample.where("toxic = 1"), None).where(F.col("n") >= LEAST).orderBy(F.desc("n"), "term").limit(CANDIDATES).collect()}
+    toxic = {r["term"]: r["n"] for r in counted(sample.where("toxic = 1"), None).where(F.col("n") >= LEAST).collect()}
     clean = {r["term"]: r["n"] for r in counted(sample.where("toxic = 0"), frozenset(toxic)).collect()}
     chosen = choose_terms(toxic, clean, size[1], size[0])
 
@@ -324,7 +319,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     if not weights:
         return None
 
-    misspelt = [t for t in weights if t[-1] != "*" and edits_allowed(t)][:MISSPELT]
+    misspelt = [t for t in weights if t[-1] != "*" and edits_allowed(t)]
     certain = frozenset(weights.keys() - set(misspelt))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

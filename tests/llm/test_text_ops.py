@@ -142,3 +142,23 @@ def test_toxicity_edges(spark):
     for labels in (spark.createDataFrame([], "doc_id long, quality int, toxic int"), spark.createDataFrame([(1, 1, None), (2, 1, 1)], "doc_id long, quality int, toxic int")):
         assert [r["predicted"] for r in toxicity.toxicity(d, labels).collect()] == [0] * 5
     assert toxicity.toxicity(d.limit(0), labels).count() == 0
+
+
+def test_every_word_of_the_lexicon_is_looked_for_with_edits(spark):
+    """150 toxic words, some of them misspelt: none is left out for being one too many."""
+    import random
+    import zlib
+    from collections import Counter
+
+    rng = random.Random(8)
+    word = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n))
+    bad, fill = [word(10) for _ in range(150)], [word(6) for _ in range(300)]
+    texts = [(" ".join(rng.choice(fill) if k % 3 else rng.choice(bad) for k in range(60)), 1) for _ in range(300)] + [(" ".join(rng.choice(fill) for _ in range(60)), 0) for _ in range(1500)]
+    ids = [k for k in range(4000) if zlib.crc32(str(k).encode()) % 5][: len(texts)]
+    docs = spark.createDataFrame([(k, t) for k, (t, _) in zip(ids, texts, strict=True)], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, y) for k, (_, y) in zip(ids, texts, strict=True)], "doc_id long, toxic int")
+    model = toxicity.fit(docs, labels)
+    assert set(bad) <= set(model.weights) and not set(bad) & model.innocent
+    reader, none = toxicity.Reader(model.weights, model.innocent), model.score(Counter())
+    found = {w: reader.hits(f"{fill[0]} {w[:4]}{w[5:]} {fill[1]}") for w in bad}
+    assert all([k[:2] for k in hits] == [(w, 1)] and model.score(hits) > none for w, hits in found.items())
