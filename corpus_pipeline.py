@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from leadloom.llm.common import ready_to_checkpoint
 from leadloom.llm.line_dedup import dedup_lines
-from leadloom.llm.near_copies import drop_near_copies
+from leadloom.llm.near_copies import drop_linked_copies
 from leadloom.llm.packing import pack_documents
 from leadloom.llm.suffix_dedup import remove_passages
 from leadloom.llm.toxicity import toxicity
@@ -38,8 +38,9 @@ def remove_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group linked by sets of five-word shingles with a Jaccard similarity of at least 0.8."""
-    return drop_near_copies(docs, 0.8, shingle=5).select(*COLUMNS)
+    """One document of each group linked by SimHash fingerprints that differ in at most 3 bits, or by sets of five-word
+    shingles with a Jaccard similarity of at least 0.8, which reach copies that are further apart in bits."""
+    return drop_linked_copies(docs, 0.8, shingle=5, most_bits=3).select(*COLUMNS)
 
 
 def remove_repeated_spans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

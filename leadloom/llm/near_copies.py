@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from .common import cut, whole_text
 from ..functions.components import connected_components
-from .simhash import one_of_each, shingle_hashes
+from .simhash import one_of_each, shingle_hashes, simhash_components
 
 BANDS, ROWS = 24, 4
 #: Shingles of a band from which on it is dealt into blocks of about as many.
@@ -153,3 +153,18 @@ def near_copy_components(docs: DataFrame, share: float = 0.8, shingle: int = 5,
 def drop_near_copies(docs: DataFrame, share: float = 0.8, shingle: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row of docs for each component, as near_duplicate_documents."""
     return one_of_each(docs, lambda keyed: near_copy_components(keyed, share, shingle, "__key", text_col), id_col, text_col)
+
+
+def linked_components(docs: DataFrame, share: float = 0.8, shingle: int = 5, most_bits: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id and component_id of every row of docs, over the links of SimHash fingerprints (of three-word shingles, found by
+    anchors) and those of sets together: a chain may have links of both kinds."""
+    by_bits = simhash_components(docs, most_bits=most_bits, id_col=id_col, text_col=text_col).select("doc_id", "component_id")
+    by_sets = cut(near_copy_components(docs, share, shingle, id_col, text_col))
+    links = by_bits.unionByName(by_sets).where("doc_id <> component_id").select(F.col("doc_id").alias("u"), F.col("component_id").alias("v"))
+    roots = connected_components(links).withColumnRenamed("node", "doc_id")
+    return by_sets.select("doc_id").join(roots, "doc_id", "left").select("doc_id", F.coalesce("root", "doc_id").alias("component_id"))
+
+
+def drop_linked_copies(docs: DataFrame, share: float = 0.8, shingle: int = 5, most_bits: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of docs for each of linked_components."""
+    return one_of_each(docs, lambda keyed: linked_components(keyed, share, shingle, most_bits, "__key", text_col), id_col, text_col)

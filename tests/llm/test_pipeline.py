@@ -1,4 +1,6 @@
 import corpus_pipeline as cp
+from leadloom.llm.near_copies import drop_near_copies
+from leadloom.llm.simhash import fingerprint, near_duplicate_documents
 
 
 def test_stages(spark, tmp_path):
@@ -41,3 +43,19 @@ def test_odd_rows(spark, tmp_path):
     assert sorted(got) == [1, 3, 5, 6, 7, 9] and got[3] == long and got[5].endswith(line) and line not in got[6] and got[1] in (None, "")
     packed = cp.run(spark, str(tmp_path)).collect()
     assert {r["doc_id"] for r in packed} == set(got)
+
+
+def test_near_copies_are_linked_by_fingerprints_and_by_sets(spark):
+    """2 has the fingerprint of 1 (a phrase that repeats) but few of its shingles; 3 has most shingles of 2; 4 is alone."""
+    import random
+
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(7))
+    phrase, tail, other = [word() for _ in range(5)], [word() for _ in range(40)], [word() for _ in range(40)]
+    texts = [phrase * 200 + tail, phrase * 200 + other, phrase + other, [word() for _ in range(60)]]
+    prints = [fingerprint(" ".join(t)) for t in texts]
+    assert (prints[0] ^ prints[1]).bit_count() <= 3 < min((prints[0] ^ prints[2]).bit_count(), (prints[1] ^ prints[2]).bit_count())
+    docs = spark.createDataFrame([(k + 1, " ".join(t), "en", "s", 0) for k, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
+    assert sorted(r["doc_id"] for r in drop_near_copies(docs).collect()) == [1, 2, 4]
+    assert sorted(r["doc_id"] for r in near_duplicate_documents(docs, 3).collect()) == [1, 3, 4]
+    assert sorted(r["doc_id"] for r in cp.keep_one_of_near_copies(spark, docs, "").collect()) == [1, 4]
