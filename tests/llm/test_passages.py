@@ -26,3 +26,25 @@ def test_stage_catches_passages_of_over_50_words(spark):
     assert {k: r["text"].split() for k, r in got.items()} == want
     assert all(r["n_chars"] == len(r["text"]) for r in got.values())
     assert cp.remove_repeated_spans(spark, df.limit(0), "").count() == 0
+
+
+def test_memory_of_a_slab_is_bounded_and_repeats_cross_slabs(spark):
+    """Two megabytes are cut with less than 30 MB of arrays, and a repeat that lies across the slabs' edge is found whole."""
+    import random
+    import tracemalloc
+
+    from leadloom.llm import superwords
+    from leadloom.llm.suffix_dedup import remove_repeats
+
+    rng = random.Random(3)
+    letters = lambda n: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=n))
+    big, cutter = letters(2_000_000).encode(), superwords.SuperWords(400, 64)
+    tracemalloc.start()
+    windows = sum(int(r.windows.sum()) for r in cutter.runs([big]))
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert windows == len(big) - 399 and most < 30e6
+    twice, edge = letters(900), superwords.SLAB
+    docs = spark.createDataFrame([(1, letters(edge - 450) + twice + letters(edge)), (2, "x" + twice + "y")], "doc_id long, text string")
+    got = {r["doc_id"]: r["repeats"] for r in remove_repeats(docs).collect()}
+    assert [(got[k]["n_removed"], got[k]["n_spans"]) for k in (1, 2)] == [(900, 1)] * 2
