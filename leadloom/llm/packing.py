@@ -29,11 +29,13 @@ from .token_counts import byte_symbols
 
 #: Open bins of a partition, and pieces that it puts into the order of their length at a time.
 OPEN_BINS, ROUND = 512, 1024
-#: Chunks and plain words that a worker remembers; of chunks it has the old ones beside the new.
-CHUNKS, WORDS = 250_000, 100_000
+#: Chunks, plain words and runs of signs that a worker remembers; of chunks it has the old ones beside the new.
+CHUNKS, WORDS, SIGNS = 500_000, 300_000, 10_000
 
 #: Letters of chunks that the vocabulary's pre-tokenizer cuts into a run of letters and perhaps a full stop or comma.
 _PLAIN = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
+#: The same with one run of other signs at the end.
+_SIGNED = re.compile(f"({_PLAIN.pattern})([!-&(-/:-@\\[-`{{-~]{{1,8}})")
 
 
 class WordIds(ChunkIds):
@@ -61,14 +63,22 @@ class WordIds(ChunkIds):
             word, end = (c[:-1], c[-1]) if c[-1] in ".," else (c, "")
             plain = word.isascii()
             if not (word.isalpha() if plain else _PLAIN.fullmatch(word)):
-                rest.add(c)
-                continue
+                if not (signed := _SIGNED.fullmatch(c)):
+                    rest.add(c)
+                    continue
+                word, end = signed.groups()
+                plain = word.isascii()
+                if end not in ends:
+                    if len(ends) >= SIGNS:
+                        rest.add(c)
+                        continue
+                    ends[end] = array("I", self.tok.encode(end, add_special_tokens=False).ids).tobytes()
             word = word.lower()
             ids = words.get(word)
             if ids is None:
                 ids = words[word] = b"".join([packed[t.id] for t in merge(word if plain else word.translate(letters))])
             known[c] = ids + ends[end]
-        return super().learn(rest) if rest else {}
+        return self.encode(rest) if rest else {}
 
     def of(self, chunks: list[str]) -> bytes:
         # a full memory becomes the old one; what is met again moves from there to the new one, and the rest goes with it

@@ -39,6 +39,31 @@ def test_chunks_give_the_library_s_ids():
         assert words.of(common.word_chunks(s)) == ids_of("word_bpe_49k.json", s).tobytes(), s
 
 
+def test_words_with_signs_pass_the_library_by(monkeypatch):
+    rng = random.Random(2)
+    words = packing.WordIds(common.public_vocabulary("word_bpe_49k.json"))
+    monkeypatch.setattr(packing, "SIGNS", 400)
+    seen, encode = set(), words.encode
+    monkeypatch.setattr(words, "encode", lambda chunks: seen.update(chunks) or encode(chunks))
+    signs = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+    for k in range(600):
+        c = rng.choice(["word", "THÉ", "Öß", "a"]) + "".join(rng.choice(signs) for _ in range(rng.randint(1, 8)))
+        assert words.of([c]) == ids_of("word_bpe_49k.json", c).tobytes(), c
+        assert c not in seen or k > 399
+    assert len(words.ends) == 400
+    for c in ("don't", "a1%%", "a%%b", "%%a", "a'", "ab<|endoftext|>", "e\u0301%", "x" * 39 + "%%", "漢%%"):
+        assert words.of([c]) == ids_of("word_bpe_49k.json", c).tobytes() and c in seen, c
+
+
+def test_a_text_of_more_words_than_are_remembered(monkeypatch):
+    monkeypatch.setattr(common, "CACHE_ENTRIES", 10)
+    monkeypatch.setattr(packing, "CHUNKS", 10)
+    words = packing.WordIds(common.public_vocabulary("word_bpe_49k.json"))
+    for shift in (0, 7):
+        text = " ".join(f"{'abcdefgh'[k % 8]}{'stuvwxyz'[k // 8]} {k} 漢{k}" for k in range(shift, 60))
+        assert words.of(common.word_chunks(text)) == ids_of("word_bpe_49k.json", text).tobytes()
+
+
 def test_encode_decode(docs, monkeypatch):
     monkeypatch.setattr(bpe, "BLOCK_CHARS", 600)
     want = []
