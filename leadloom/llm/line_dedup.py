@@ -14,15 +14,15 @@ earlier line and, if many name it, a salt.
 Groups of n alike lines have n * n matches, of which one a line is needed. So a line first names only NAMES of those that
 pass and are earlier, over all its words those whose sketches are the nearest. The nearest is verified, then the others
 of lines for which it fails; lines for which all fail, and which had more, then name them all. What is earlier is told by a coarse order of the ids that postings carry; the exact order
-decides after verification.
+decides after verification. What a word has beyond NAMES is found again from its postings, which are kept for that.
 
 A word with more than MOST postings is dealt into blocks, each pair of blocks being a group of its own, so no task holds
 more than two blocks; large buckets are dealt into parts by word. The second round opens, of each group, the sets that
 had others in it; groups without such sets don't take part. The number of buckets follows the size of the texts.
 
 Texts are split into words for their counts, for the hashes of lines (where the words of prefixes are counted, too), for
-postings and, where they hold lines that have candidates, for verification. Postings are more bytes than texts, so for
-the second round they are made again rather than kept, those of the open sets' words only. Counts, lines, postings and candidates travel packed by bucket. A task posts a repeated set once,
+postings and, where they hold lines that have candidates, for verification. Postings are more bytes than texts, so only
+those are kept for the second round whose word has a set with more than NAMES candidates. Counts, lines, postings and candidates travel packed by bucket. A task posts a repeated set once,
 with the least order of its occurrences; again only if an earlier one follows after it has been packed.
 
 Defined results: null text counts as empty; lines without words (blank ones) never match and stay; rows that repeat with
@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import cut, whole_text
+from .common import cut, memory_of, whole_text
 
 #: Words whose counts rank them; postings or counts, pairs, and texts that a task works on at a time.
 RANKED, AT_ONCE, PAIRS, FEW = 50_000, 200_000, 100_000, 1024
@@ -67,9 +67,10 @@ POSTINGS = tuple(map(_posting, LANES))
 POSTING = POSTINGS[0]
 COUNT, POSTED = np.dtype([("word", "<u8"), ("n", "<u4")]), np.dtype([("word", "<u2"), ("n", "<u4")])
 LINE = np.dtype([("k1", "<u8"), ("k2", "<u8"), ("rank", "<i8"), ("h", "<i8"), ("place", "<i4")])
-#: What words are hashed and mixed by.
-BASE, MIX = 0x9E3779B97F4A7C15, (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
-_SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+#: What hashes are mixed by, and bytes of a word from which on it is hashed apart.
+MIX, LONG = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93), 64
+#: Of eight bytes, the first so many.
+_FIRST = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
 NULL_RANK = -(1 << 63)
 _LOW48, _FREQUENT = np.uint64((1 << 48) - 1), np.uint64(1 << 47)
 
@@ -79,16 +80,22 @@ def _mixed(x: np.ndarray, by: int = MIX[0]) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-_powers: list[np.ndarray] = [np.zeros(0, np.uint64)] * 2
+def _hashes(part: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """47-bit hashes of the words part[a:b], of eight bytes at a time."""
+    padded = np.append(part, np.zeros(8, np.uint8))
+    eight = np.ndarray(len(part) + 1, "<u8", padded, strides=(1,))
+    n = b - a
+    h = _mixed(eight[a] & _FIRST[np.minimum(n, 8)] ^ n.astype(np.uint64) * np.uint64(MIX[1]))
+    at, more = 8, np.flatnonzero(n > 8)
+    while len(more) and at < LONG:
+        h[more] = _mixed(h[more] ^ eight[a[more] + at] & _FIRST[np.minimum(n[more] - at, 8)])
+        at += 8
+        more = more[n[more] > at]
+    if len(more):
+        from xxhash import xxh3_64_intdigest
 
-
-def _powers_up_to(n: int) -> list[np.ndarray]:
-    if len(_powers[0]) < n:
-        for k, base in enumerate((BASE, pow(BASE, -1, 1 << 64))):
-            x = np.full(max(n, SLAB + 1), base, np.uint64)
-            x[0] = 1
-            _powers[k] = np.multiply.accumulate(x)
-    return _powers
+        h[more] ^= np.fromiter((xxh3_64_intdigest(part[i + LONG : j].tobytes()) for i, j in zip(a[more].tolist(), b[more].tolist(), strict=True)), np.uint64, len(more))
+    return _mixed(h, MIX[1]) >> np.uint64(17)
 
 
 class Words(NamedTuple):
@@ -123,18 +130,15 @@ def _words_of_few(texts: pa.Array) -> Iterator[Words]:
         lo = first[at]
         part = data[lo : stop[to - 1]]
         solid = np.zeros(len(part) + 2, bool)
-        np.logical_not(_SPACE[part], out=solid[1:-1])
-        begins = solid[1:] & ~solid[:-1]
-        ends_here = solid[:-1] & ~solid[1:]
+        solid[1:-1] = (part - np.uint8(9) > 4) & (part != 32)  # neither of 9 to 13 nor a space
+        edges = np.flatnonzero(solid[1:] != solid[:-1])  # where words begin and end, in turn
         joints = first[at:to] - lo  # where texts meet without white space
         joints = joints[(joints > 0) & (joints < len(part))]
         joints = joints[solid[joints] & solid[joints + 1]]
-        begins[joints], ends_here[joints] = True, True
-        a, b = np.flatnonzero(begins), np.flatnonzero(ends_here)
-        up, down = _powers_up_to(len(part) + 1)
-        sums = np.zeros(len(part) + 1, np.uint64)
-        np.cumsum((part.astype(np.uint64) + np.uint64(1)) * up[: len(part)], out=sums[1:])
-        word = _mixed(_mixed((sums[b] - sums[a]) * down[a]), MIX[1]) >> np.uint64(17)
+        if len(joints):
+            edges = np.sort(np.concatenate([edges, joints, joints]))
+        a, b = edges[::2], edges[1::2]
+        word = _hashes(part, a, b)
         n = np.diff(np.searchsorted(a, np.append(first[at:to] - lo, len(part) + 1)))
         yield Words(text[at:to], place[at:to], n, word)
         at = to
@@ -173,11 +177,14 @@ class Ranks:
         """48 bits that name a word and order it."""
         if not self.tables:
             self._build()
-        out = words.copy()
-        for k, (word, place) in enumerate(self.tables):
-            at = self._at(words, k)
-            known = np.flatnonzero(word[at] == words)
-            out[known] = _FREQUENT | place[at[known]]
+        (word, place), (other, its_place) = self.tables
+        at = self._at(words, 0)
+        known = word[at] == words
+        out = np.where(known, _FREQUENT | place[at], words)
+        left = np.flatnonzero(~known)
+        at = self._at(words[left], 1)
+        known = np.flatnonzero(other[at] == words[left])
+        out[left[known]] = _FREQUENT | its_place[at[known]]
         return out
 
 
@@ -203,14 +210,17 @@ def lines_of(texts: pa.Array, ranks: Ranks) -> Iterator[Lines]:
         words, line = both & _LOW48, (both >> np.uint64(48)).astype(np.int64)
         first = np.flatnonzero(np.append(True, line[1:] != line[:-1]))
         end = np.append(first[1:], len(line))
-        key = np.stack([np.add.reduceat(_mixed(_mixed(words, by), MIX[0]), first) for by in MIX])
+        one = _mixed(_mixed(words), MIX[1])
+        key = np.stack([np.add.reduceat(x, first) for x in (one, _mixed(one))])
         own = line[first]
         yield Lines(x.text[own], x.place[own], end - first, end, key, words)
 
 
 def _packed(bucket: np.ndarray, rows: np.ndarray, names: list[str]) -> pa.RecordBatch:
     """(bucket, its rows as bytes)."""
-    order = np.argsort(bucket, kind="stable")
+    order = np.argsort((bucket & 0xFFFF).astype(np.uint16), kind="stable")  # 16 bits at a time are sorted by radix
+    if len(bucket) and bucket.max() > 0xFFFF:
+        order = order[np.argsort((bucket >> 16)[order].astype(np.uint16), kind="stable")]
     bucket, rows = bucket[order], rows[order]
     cuts = np.append(np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])[: len(rows)]), len(rows))
     ends = pa.array((cuts * rows.dtype.itemsize).astype(np.int32))
@@ -245,10 +255,16 @@ def _added(counts: list[np.ndarray]) -> np.ndarray:
 
 def frequent_words(texts: DataFrame, buckets: int = 1024) -> Ranks:
     """The order of words by the counts of all words of all texts; the RANKED most frequent ones have ranks."""
+    return counted_words(texts, buckets)[0]
+
+
+def counted_words(texts: DataFrame, buckets: int) -> tuple[Ranks, int]:
+    """As frequent_words, with the bytes that all texts have."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memory_of("line_dedup")
         held: list[np.ndarray] = []
-        size = 0
+        size = n_bytes = 0
 
         def sent() -> pa.RecordBatch:
             x = _added(held)
@@ -256,6 +272,7 @@ def frequent_words(texts: DataFrame, buckets: int = 1024) -> Ranks:
             return _packed((x["word"] % np.uint64(buckets)).astype(np.int64), x, ["bucket", "counts"])
 
         for b in batches:
+            n_bytes += pc.sum(pc.binary_length(b.column(0))).as_py() or 0
             for w in words_of(b.column(0)):
                 word = np.sort(w.word)
                 first = np.flatnonzero(np.append(True, word[1:] != word[:-1])[: len(word)])
@@ -268,9 +285,13 @@ def frequent_words(texts: DataFrame, buckets: int = 1024) -> Ranks:
                     size = 0
         if held:
             yield sent()
+        yield pa.RecordBatch.from_arrays([pa.array([-1], pa.int32()), pa.array([str(n_bytes).encode()])], ["bucket", "counts"])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, own in _groups(batches):
+        for bucket, own in _groups(batches):
+            if bucket < 0:
+                yield pa.RecordBatch.from_arrays([pa.array([-1]), pa.array([sum(map(int, own))])], ["word", "n"])
+                continue
             held: list[np.ndarray] = []
             for raw in own:
                 held.append(np.frombuffer(raw, COUNT))
@@ -279,8 +300,8 @@ def frequent_words(texts: DataFrame, buckets: int = 1024) -> Ranks:
             yield pa.RecordBatch.from_arrays([pa.array(x["word"].astype(np.int64)), pa.array(x["n"].astype(np.int64))], ["word", "n"])
 
     counts = texts.select("text").mapInArrow(count, "bucket int, counts binary").repartition("bucket").sortWithinPartitions("bucket").mapInArrow(add, "word bigint, n bigint")
-    top = counts.orderBy(F.desc("n"), "word").limit(RANKED).collect()
-    return Ranks(np.array([r["word"] for r in top], np.int64).astype(np.uint64))
+    n_bytes, *top = counts.orderBy(F.col("word") >= 0, F.desc("n"), "word").limit(RANKED + 1).collect() or [{"n": 0}]
+    return Ranks(np.array([r["word"] for r in top], np.int64).astype(np.uint64)), n_bytes["n"]
 
 
 def overlap_needed(a: np.ndarray, b: np.ndarray, share: float) -> np.ndarray:
@@ -456,11 +477,12 @@ def _prefixes(x: Lines, own: np.ndarray, share: float, buckets: int) -> tuple[np
     return prefix, place, (word % np.uint64(buckets)).astype(np.int64), (word >> np.uint64(48)).astype(np.uint16)
 
 
-def _postings(texts: DataFrame, ranks: Ranks, share: float, buckets: int = LEAST_BUCKETS, how: Dealing | None = None, only: np.ndarray | None = None) -> DataFrame:
+def _postings(texts: DataFrame, ranks: Ranks, share: float, buckets: int = LEAST_BUCKETS, how: Dealing | None = None) -> DataFrame:
     """(bucket, postings): the packed postings of texts (text, order from 0 to 1); bucket: of the words, then the class.
-    how: they are dealt as by _dealt, in the same task. only: of these (sorted) buckets and words, as word_of has them."""
+    how: they are dealt as by _dealt, in the same task."""
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memory_of("line_dedup")
         least: dict[int, int] = {}  # of each set's occurrences so far
         unpacked: set[int] = set()
         held: list[list] = [[] for _ in LANES]
@@ -494,14 +516,6 @@ def _postings(texts: DataFrame, ranks: Ranks, share: float, buckets: int = LEAST
                     prefix, place, bucket, word = _prefixes(x, own, share, buckets)
                     bucket = bucket * len(LANES) + c
                     line = np.repeat(np.arange(len(own)), prefix)
-                    if only is not None:
-                        key = word_of(bucket, word)
-                        asked = only[np.minimum(np.searchsorted(only, key), len(only) - 1)] == key
-                        place, bucket, word, line = place[asked], bucket[asked], word[asked], line[asked]
-                        posting, line = np.unique(line, return_inverse=True)
-                        own = own[posting]
-                        if not len(own):
-                            continue
                     n = x.size[own]
                     starts = np.cumsum(n) - n
                     words = x.words[np.arange(n.sum()) + np.repeat(x.end[own] - n - starts, n)]
@@ -634,26 +648,42 @@ def blocks_of(g: int, how: Dealing) -> int:
     return how.blocks[bucket_of(g)][word] if i != j else 1
 
 
-def _candidates(dealt: DataFrame, how: Dealing, share: float, buckets: int) -> DataFrame:
-    """(a, bs, more, gs, ws): for each set that has earlier candidates the nearest over all groups, and if there are more,
-    the groups that have some, with the buckets and words."""
+def _matched(dealt: DataFrame, how: Dealing, share: float, buckets: int) -> DataFrame:
+    """(bucket, g, rows): with a bucket, EACH rows of the sets that have earlier candidates; with a group g, its postings
+    of the words under which some set has more of them than it names."""
 
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
+        many: list[tuple[int, bytes]] = []
 
-        def sent() -> pa.RecordBatch:
+        def sent() -> Iterator[pa.RecordBatch]:
             rows = np.concatenate(held)
+            packed = _packed((_mixed(rows["own"]) % np.uint64(buckets)).astype(np.int64), rows, ["bucket", "rows"])
+            yield pa.RecordBatch.from_arrays([packed.column(0), pa.nulls(packed.num_rows, pa.int64()), packed.column(1)], ["bucket", "g", "rows"])
+            if many:
+                yield pa.RecordBatch.from_arrays([pa.nulls(len(many), pa.int32()), pa.array([g for g, _ in many], pa.int64()), pa.array([raw for _, raw in many], pa.binary())], ["bucket", "g", "rows"])
             held.clear()
-            return _packed((_mixed(rows["own"]) % np.uint64(buckets)).astype(np.int64), rows, ["bucket", "named"])
+            many.clear()
 
         for g, own in _groups(batches):
-            rows = nearest_earlier(np.frombuffer(b"".join(own), dtype_of(bucket_of(g))), share, blocks_of(g, how))
+            p = np.frombuffer(b"".join(own), dtype_of(bucket_of(g)))
+            rows = nearest_earlier(p, share, blocks_of(g, how))
             rows["g"] = g
             held.append(rows)
-            if sum(map(len, held)) > AT_ONCE:
-                yield sent()
+            dense = np.unique(rows["word"][rows["more"]])
+            if len(dense):
+                many.append((g, p[np.isin(p["word"], dense)].tobytes()))
+            if sum(map(len, held)) + sum(len(raw) for _, raw in many) // EACH.itemsize > AT_ONCE:
+                yield from sent()
         if held:
-            yield sent()
+            yield from sent()
+
+    return dealt.repartition("g").sortWithinPartitions("g").mapInArrow(match, "bucket int, g bigint, rows binary")
+
+
+def _candidates(named: DataFrame) -> DataFrame:
+    """(a, bs, more, rest, gs, ws): for each set that has earlier candidates the nearest over all groups, and if there are
+    more, all that are known, and the groups and words that have others; named: (bucket, rows) as in _matched."""
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, own in _groups(batches):
@@ -662,52 +692,59 @@ def _candidates(dealt: DataFrame, how: Dealing, share: float, buckets: int) -> D
             if not len(named):
                 continue
             first = _first_of_each(named["own"], 1)
-            n, several = np.diff(np.append(first, len(named))), more[first]
-            ends = lambda n: pa.array(np.append(0, np.cumsum(n)).astype(np.int32))
-            bs = pa.ListArray.from_arrays(ends(n), pa.array(np.ascontiguousarray(named["with"]).view(np.int64)))
-            # the groups and words of the sets that have more
+            sets, several = named["own"][first], more[first]
+
+            def lists(of: np.ndarray, values: np.ndarray) -> pa.ListArray:
+                """values of the sets `of`, which come in their order."""
+                n = np.bincount(np.searchsorted(sets, of), minlength=len(sets))
+                return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(n)).astype(np.int32)), pa.array(np.ascontiguousarray(values).view(np.int64)))
+
+            x = x[several[np.searchsorted(sets, x["own"])]]
+            x = x[np.lexsort((x["with"], x["own"]))]
+            rest = x[np.append(True, (x["own"][1:] != x["own"][:-1]) | (x["with"][1:] != x["with"][:-1]))[: len(x)]]
+            x = x[x["more"]]
             x = x[np.lexsort((x["word"], x["g"], x["own"]))]
-            x = x[np.append(True, (x["own"][1:] != x["own"][:-1]) | (x["g"][1:] != x["g"][:-1]) | (x["word"][1:] != x["word"][:-1]))]
-            all_of = np.diff(np.append(_first_of_each(x["own"], 1), len(x)))
-            x = x[np.repeat(several, all_of)]
+            x = x[np.append(True, (x["own"][1:] != x["own"][:-1]) | (x["g"][1:] != x["g"][:-1]) | (x["word"][1:] != x["word"][:-1]))[: len(x)]]
             g = np.ascontiguousarray(x["g"])
-            lists = [pa.ListArray.from_arrays(ends(all_of * several), pa.array(v)) for v in (g, word_of(g >> 41, x["word"].astype(np.int64)))]
-            yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(named["own"][first]).view(np.int64)), bs, pa.array(several), *lists], ["a", "bs", "more", "gs", "ws"])
+            cols = [lists(named["own"], named["with"]), pa.array(several), lists(rest["own"], rest["with"]), lists(x["own"], g), lists(x["own"], x["word"].astype(np.int64))]
+            yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(sets).view(np.int64)), *cols], ["a", "bs", "more", "rest", "gs", "ws"])
 
-    named = dealt.repartition("g").sortWithinPartitions("g").mapInArrow(match, "bucket int, named binary")
-    return named.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(merge, "a bigint, bs array<bigint>, more boolean, gs array<bigint>, ws array<bigint>")
+    return named.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(merge, "a bigint, bs array<bigint>, more boolean, rest array<bigint>, gs array<bigint>, ws array<bigint>")
 
 
-def _all_candidates(dealt: DataFrame, how: Dealing, share: float, open_: DataFrame) -> DataFrame:
-    """(a, b): all pairs that pass the filters of the sets in open_ (g, a) with earlier ones of their group."""
-    stills = cut(open_.groupBy("g").agg(F.collect_set("a").alias("still")))
+def _all_candidates(many: DataFrame, how: Dealing, share: float, open_: DataFrame) -> DataFrame:
+    """(a, b): all pairs that pass the filters of the sets in open_ (g, a, w: a word) with earlier ones under the word; many:
+    (g, postings), as in _matched."""
+    stills = cut(open_.groupBy("g").agg(F.collect_set("a").alias("still"), F.collect_set("w").alias("words")))
     if stills.count() <= BROADCAST:
-        dealt = dealt.join(F.broadcast(stills.select("g")), "g", "left_semi")
-    rows = dealt.withColumn("still", F.lit(None).cast("array<bigint>")).unionByName(stills.withColumn("postings", F.lit(None).cast("binary")))
+        many = many.join(F.broadcast(stills.select("g")), "g", "left_semi")
+    none = F.lit(None).cast("array<bigint>")
+    rows = many.withColumn("still", none).withColumn("words", none).unionByName(stills.withColumn("postings", F.lit(None).cast("binary")))
 
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own: list[bytes] = []
-        last, still = -1, None
+        last, still, words = -1, None, None
 
         def pairs() -> Iterator[pa.RecordBatch]:
             if own:
-                for found in open_pairs(np.frombuffer(b"".join(own), dtype_of(bucket_of(last))), share, still, blocks_of(last, how)):
+                p = np.frombuffer(b"".join(own), dtype_of(bucket_of(last)))
+                for found in open_pairs(p[np.isin(p["word"], words)], share, still, blocks_of(last, how)):
                     a, b = np.ascontiguousarray(found.T).view(np.int64)
                     yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
         for b in batches:
-            for g, raw, list_ in zip(b.column(0).to_pylist(), b.column(1), b.column(2), strict=True):
+            for g, raw, list_, asked in zip(b.column(0).to_pylist(), b.column(1), b.column(2), b.column(3), strict=True):
                 if g != last:
                     yield from pairs()
                     own.clear()
                     last, still = g, None
                 if list_.is_valid:  # before the group's postings
-                    still = np.sort(np.array(list_.as_py(), np.int64).view(np.uint64))
+                    still, words = np.sort(np.array(list_.as_py(), np.int64).view(np.uint64)), np.array(asked.as_py(), np.uint16)
                 elif still is not None:
                     own.append(raw.as_py())
         yield from pairs()
 
-    return rows.select("g", "postings", "still").repartition("g").sortWithinPartitions("g", F.col("postings").isNotNull()).mapInArrow(match, "a bigint, b bigint")
+    return rows.select("g", "postings", "still", "words").repartition("g").sortWithinPartitions("g", F.col("postings").isNotNull()).mapInArrow(match, "a bigint, b bigint")
 
 
 #: What is added to the buckets of counts where they travel with lines.
@@ -719,6 +756,7 @@ def _equal_lines(texts: DataFrame, ranks: Ranks, share: float, buckets: int) ->
     are counts of postings for dealing_by: k1, k2 and rank are bucket, word and n."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memory_of("line_dedup")
         seen: set[int] = set()
         held: list[np.ndarray] = []
         lines: list[np.ndarray] = []
@@ -851,17 +889,18 @@ def with_ranks(docs: DataFrame, id_col: str) -> DataFrame:
 
 def later_lines(texts: DataFrame, share: float = 0.8) -> DataFrame:
     """(rank, h, places): of each of texts (rank, h, text) the places of its lines that match an earlier line."""
-    low, high, n_bytes = texts.agg(F.min(F.when(F.col("rank") > NULL_RANK, F.col("rank"))), F.max("rank"), F.sum(F.octet_length("text"))).first()
+    low, high, n = texts.agg(F.min(F.when(F.col("rank") > NULL_RANK, F.col("rank"))), F.max("rank"), F.count("*")).first()
     low, high = low or 0, high or 0
-    buckets = min(MOST_BUCKETS, max(LEAST_BUCKETS, int(n_bytes or 0) // BUCKET_BYTES))
     order = F.greatest((F.col("rank").cast("double") - F.lit(float(low))) / F.lit(float(max(1, high - low))), F.lit(0.0))
-    ranks = frequent_words(texts, buckets)
+    ranks, n_bytes = counted_words(texts, min(MOST_BUCKETS, max(1024, n // 256)))
+    buckets = min(MOST_BUCKETS, max(LEAST_BUCKETS, n_bytes // BUCKET_BYTES))
     rows = cut(_equal_lines(texts, ranks, share, buckets))
     lines, firsts = rows.where("place >= 0"), rows.where("place >= 0 and not again").drop("again")
     how = dealing_by(rows.where("place < 0").select(F.col("k1").alias("bucket"), F.col("k2").alias("word"), F.col("rank").alias("n")))
 
     posting = texts.select("text", order.alias("order"))
-    each = cut(_candidates(_postings(posting, ranks, share, buckets, how), how, share, buckets))
+    matched = cut(_matched(_postings(posting, ranks, share, buckets, how), how, share, buckets))
+    each = cut(_candidates(matched.where("bucket is not null").select("bucket", "rows")))
     later = cut(verified(each.select("a", F.col("bs")[0].alias("b")), firsts, texts, ranks, share))
 
     def still(rows: DataFrame) -> DataFrame:
@@ -870,13 +909,13 @@ def later_lines(texts: DataFrame, share: float = 0.8) -> DataFrame:
     others = cut(still(each.where("size(bs) > 1")).select("a", F.explode(F.slice("bs", 2, NAMES)).alias("b")))
     if not others.isEmpty():
         later = later.unionByName(cut(verified(others, firsts, texts, ranks, share)))
-    open_ = cut(still(each.where("more")).select("a", F.explode(F.arrays_zip("gs", "ws")).alias("x")).select("a", F.col("x.gs").alias("g"), F.col("x.ws").alias("w")))
+    open_ = cut(still(each.where("more")).select("a", "rest", "gs", "ws"))
     if not open_.isEmpty():
-        words = open_.select("w").distinct().limit(BROADCAST + 1).collect()
-        only = np.sort(np.array([r["w"] for r in words])) if len(words) <= BROADCAST else None
+        asked = open_.select("a", F.explode(F.arrays_zip("gs", "ws")).alias("x")).select("a", F.col("x.gs").alias("g"), F.col("x.ws").alias("w"))
+        many = matched.where("g is not null").select("g", F.col("rows").alias("postings"))
+        pairs = _all_candidates(many, how, share, asked).unionByName(open_.select("a", F.explode("rest").alias("b")))
         tried = each.where("more").select("a", F.explode("bs").alias("b"))
-        pairs = _all_candidates(_postings(posting, ranks, share, buckets, how, only), how, share, open_).distinct().join(tried, ["a", "b"], "left_anti")
-        later = later.unionByName(verified(cut(pairs), firsts, texts, ranks, share))
+        later = later.unionByName(verified(cut(pairs.distinct().join(tried, ["a", "b"], "left_anti")), firsts, texts, ranks, share))
     copies = lines.where("again").select("rank", "h", "place")
     return copies.unionByName(later.drop("own")).groupBy("rank", "h").agg(F.collect_set("place").alias("places"))
 

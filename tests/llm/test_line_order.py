@@ -3,11 +3,12 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from pyspark.sql import functions as F
 
-from leadloom.llm import line_dedup
+from leadloom.llm import common, line_dedup
 
 from .test_dedup_search import brute_lines
 
@@ -71,3 +72,50 @@ def test_words_with_many_postings_are_dealt_into_blocks(spark, monkeypatch):
     assert how.blocks and groups.agg(F.max("n")).first()[0] <= 4 * 20 < postings.agg(F.sum(F.length("postings"))).first()[0] / line_dedup.POSTING.itemsize
     left = {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(df, 0.7).collect()}
     assert sum(t != "" for k, t in left.items() if k < 150) == 1 and left == brute_lines(rows, 0.7)
+
+
+def test_a_second_round_reads_no_text_again(spark, monkeypatch):
+    # of the lines that sketches hold to be near to the last one more than sixteen are under the threshold, and one isn't
+    rng = random.Random(5)
+    base, common_words = [f"b{k}" for k in range(60)], [f"f{k}" for k in range(40)]
+    changed = lambda n: " ".join([*rng.sample(base, 60 - n), *rng.sample(common_words, n)])
+    rows = [(k, changed(7)) for k in range(150)] + [(400, changed(6)), (500, " ".join(base)), (600, "\n".join([" ".join(common_words)] * 400))]
+    read, asked, all_of = spark.sparkContext.accumulator(0), [], line_dedup._all_candidates
+
+    def spied(many, how, share, open_):
+        asked.append(open_.count())
+        return all_of(many, how, share, open_)
+
+    monkeypatch.setattr(line_dedup, "_all_candidates", spied)
+
+    def count(text):
+        read.add(1)
+        return text
+
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3).withColumn("text", F.udf(count, "string").asNondeterministic()("text"))
+    assert kept(df) == brute_lines(rows)
+    assert asked and asked[0] > 0 and read.value <= 7 * len(rows)
+
+
+def test_long_words_are_told_apart_and_texts_meet_without_white_space():
+    stem = "a" * 70
+    words = ["a", "aa", "a\0", stem, stem + "b", stem + "c", "b" + stem, "12345678", "123456789", "x" * 64, "x" * 65]
+    own = [w for x in line_dedup.words_of(pa.array([" ".join(words)])) for w in x.word.tolist()]
+    assert len(set(own)) == len(words) == len(own)
+    alone = [(x.text.tolist(), x.n.tolist(), x.word.tolist()) for x in line_dedup.words_of(pa.array(words))]
+    assert alone == [(list(range(len(words))), [1] * len(words), own)]
+
+
+def test_workers_let_go_of_what_another_operator_remembered():
+    class Texts:
+        def select(self, *_):
+            return self
+
+        def mapInArrow(self, f, _):
+            return f
+
+    common.memory_of("packing")["ids"] = {"word": b""}
+    assert common.memory_of("packing")
+    batch = pa.RecordBatch.from_arrays([pa.array(["one two"]), pa.array([0.0])], ["text", "order"])
+    assert list(line_dedup._postings(Texts(), line_dedup.Ranks(np.zeros(0, np.uint64)), 0.8)(iter([batch]))) == []
+    assert not common.memory_of("packing")
