@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, whole_text
+from .common import cut, memory_of, whole_text
 from ..functions.components import connected_components
 from .simhash import one_of_each, shingle_hashes, simhash_components
 
@@ -74,6 +74,7 @@ def _sets(texts: DataFrame, shingle: int) -> DataFrame:
     """(key, node, n, bands) of each text; texts: key, text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memory_of("near_copies")
         from xxhash import xxh3_64_intdigest
 
         for b in batches:
@@ -91,6 +92,7 @@ def _shingles(texts: DataFrame, shingle: int) -> DataFrame:
     """(node, words): the set of each text; texts: node, text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memory_of("near_copies")
         for b in (x.slice(k, 256) for x in batches for k in range(0, x.num_rows, 256)):
             sets = [np.unique(shingle_hashes(t.as_py(), shingle)) for t in b.column(1)]
             ends = np.cumsum([0, *map(len, sets)]).astype(np.int32)

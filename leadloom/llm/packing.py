@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ChunkIds, public_vocabulary, whole_text, word_chunks
+from .common import ChunkIds, memory_of, public_vocabulary, whole_text, word_chunks
 from .token_counts import byte_symbols
 
 #: Open bins of a partition, and pieces that it puts into the order of their length at a time.
@@ -94,9 +94,6 @@ class WordIds(ChunkIds):
         return b"".join(map(known.__getitem__, chunks))
 
 
-_word_ids: dict[str, WordIds] = {}
-
-
 def token_pieces(docs: DataFrame, tokenizer_path: str, length: int = 2048, end_id: int = 0, with_ids: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row a piece: doc_id, piece, start, length, ids_crc32 and, if asked for, ids (little-endian uint32 bytes).
 
@@ -107,9 +104,10 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, length: int = 2048, end_i
     end, step = np.uint32(end_id).tobytes(), 4 * length
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if tokenizer_path not in _word_ids:
-            _word_ids[tokenizer_path] = WordIds(tokenizer_path)
-        ids = _word_ids[tokenizer_path]
+        memory = memory_of("packing")
+        if tokenizer_path not in memory:
+            memory[tokenizer_path] = WordIds(tokenizer_path)
+        ids = memory[tokenizer_path]
         for b in batches:
             doc, piece, start, size, crc, raw = [], [], [], [], [], []
             for d, t in zip(b.column(0).to_pylist(), b.column(1), strict=True):

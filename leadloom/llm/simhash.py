@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, whole_text
+from .common import cut, memory_of, whole_text
 from ..functions.components import connected_components
 
 #: Members of an anchor from which on it is dealt into blocks of about this many.
@@ -69,6 +69,7 @@ def simhash_fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_i
     fewer words are one shingle), XXH64 with seed 42; a bit is set if set in over half the hashes; no words: zero."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memory_of("simhash")
         for b in batches:
             fp = np.fromiter((fingerprint(t.as_py(), shingle) for t in b.column(1)), np.uint64, b.num_rows)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp.view(np.int64))], ["doc_id", "fp"])

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import CACHE_CHARS, cut, whole_text
+from .common import CACHE_CHARS, cut, memory_of, whole_text
 
 #: Labelled rows that the model is fitted on. What they hold bounds candidates, terms and forms; none of these is cut off.
 SAMPLE_ROWS = 20_000
@@ -349,9 +349,6 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     return min(models)[2]
 
 
-_readers: dict[tuple, Reader] = {}
-
-
 def score(docs: DataFrame, model: Model | None, text_col: str = "text", as_col: str = "score") -> DataFrame:
     """docs with a score from 0 to 1."""
     if model is None:
@@ -360,10 +357,11 @@ def score(docs: DataFrame, model: Model | None, text_col: str = "text", as_col:
     @F.pandas_udf("double")
     def of(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         key = (tuple(model.weights), model.innocent)
-        if key not in _readers:
-            _readers.clear()
-            _readers[key] = Reader(model.weights, model.innocent)
-        reader = _readers[key]
+        memory = memory_of("toxicity")
+        if key not in memory:
+            memory.clear()
+            memory[key] = Reader(model.weights, model.innocent)
+        reader = memory[key]
         for t in texts:
             yield pd.Series([model.score(reader.hits(x)) for x in t], dtype=float)
 
