@@ -48,3 +48,21 @@ def test_memory_of_a_slab_is_bounded_and_repeats_cross_slabs(spark):
     docs = spark.createDataFrame([(1, letters(edge - 450) + twice + letters(edge)), (2, "x" + twice + "y")], "doc_id long, text string")
     got = {r["doc_id"]: r["repeats"] for r in remove_repeats(docs).collect()}
     assert [(got[k]["n_removed"], got[k]["n_spans"]) for k in (1, 2)] == [(900, 1)] * 2
+
+
+def test_memory_of_a_refined_bucket_is_bounded():
+    """A bucket of the most bytes that a task refines takes under 60 bytes of arrays a position."""
+    import tracemalloc
+
+    import numpy as np
+
+    from leadloom.llm.suffix_dedup import MOST_BYTES, repeated_windows
+
+    one = np.random.default_rng(1).integers(97, 123, MOST_BYTES // 2, dtype=np.uint8)
+    data, valid = np.concatenate([one, one]), np.ones(2 * len(one), bool)
+    repeated_windows(data[:1000], valid[:1000], 400)
+    tracemalloc.start()
+    found = repeated_windows(data, valid, 400)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found.sum() >= 2 * (len(one) - 399) and most < 60 * len(data)
