@@ -29,6 +29,47 @@ def test_a_crowded_cell_is_dealt_into_parts(spark):
     assert got[0] == got[1] and len(got[0]) > 40
 
 
+def shuffled_rows(node) -> int:
+    """Rows that the exchanges of a run plan wrote."""
+    kind = node.getClass().getSimpleName()
+    if kind == "AdaptiveSparkPlanExec":
+        return shuffled_rows(node.executedPlan())
+    if kind.endswith("QueryStageExec"):
+        return shuffled_rows(node.plan())
+    own = node.metrics().apply("shuffleRecordsWritten").value() if kind == "ShuffleExchangeExec" else 0
+    return own + sum(shuffled_rows(node.children().apply(k)) for k in range(node.children().size()))
+
+
+def test_a_crowded_cell_is_copied_a_bounded_number_of_times(spark):
+    """What is shuffled grows as the points, not as their pairs."""
+    wrote, least = [], "spark.sql.autoBroadcastJoinThreshold"
+    spark.conf.set(least, -1)
+    try:
+        for n in (300, 600):
+            df = spark.range(n).select("id", (60 + F.col("id") / 1000000).alias("lat"), F.lit(25.0).alias("lng"))
+            out = v.radius_join(df, df, 1000.0, 3)
+            assert len(out.collect()) == n * n
+            wrote.append(shuffled_rows(out._jdf.queryExecution().executedPlan()))
+    finally:
+        spark.conf.unset(least)
+    assert wrote[1] < 2.1 * wrote[0] and wrote[1] < 30 * 600
+
+
+def test_points_of_one_place_are_compared_as_one(spark):
+    """Equal rows whatever the parts; ids that are missing or twice, and places of more ids than a row takes."""
+    places = [(60.0, 25.0), (60.0, 25.0005), (60.0002, 25.0), (0.0, 180.0), (-0.0, -180.0), (60.1, 25.0), (None, 25.0)]
+    rows = [(k % 90, *places[k * k % 7]) for k in range(100)] + [(None, 60.0, 25.0)]
+    df = spark.createDataFrame(rows, "id long, lat double, lng double")
+    plain = v.radius_join(df, df, 100.0).where("id < id2").select("id", "id2", F.round("metres", 3))
+    want = sorted(map(tuple, plain.collect()))
+    for a_task, a_place in ((2000, 100), (5, 3), (1, 1)):
+        got = v.haversine_pairs(df, "id", F.col("lat"), F.col("lng"), 100.0, 3, points_a_task=a_task, ids_a_place=a_place)
+        assert sorted(map(tuple, got.collect())) == want
+    out = v.haversine_pairs(df, "id", F.col("lat"), F.col("lng"), 100.0)
+    out.collect()
+    assert len(want) > 800 and shuffled_rows(out._jdf.queryExecution().executedPlan()) < 100
+
+
 def test_short_ranges_share_tasks(spark, tmp_path):
     (tmp_path / "d.json").write_text("\n".join(json.dumps({"n": k}) for k in range(400)))
     df = json_ranges.json_records(spark, str(tmp_path / "d.json"), range_bytes=16)
