@@ -77,7 +77,7 @@ def place_candidates_score(venues: DataFrame, places: DataFrame, least_similarit
     """Each venue's candidate places with similarity, distance_m, accepted and method: by name, by distance, or, only
     where the distance is unknown, by street and postcode. places: venue_id, query_no, place (sources.read_api_captures)."""
     rows = places.join(venues.select("venue_id", "name", "lat", "lng", "street_address", "postal_code"), "venue_id")
-    rows = rows.withColumn("similarity", similarity(normalise_name(F.col("name")), normalise_name(F.col("place.displayName.text"))))
+    rows = rows.withColumns({"__a": normalise_name(F.col("name")), "__b": normalise_name(F.col("place.displayName.text"))}).withColumn("similarity", similarity(F.col("__a"), F.col("__b")))
     metres = haversine_m(F.col("lat"), F.col("lng"), F.col("place.location.latitude"), F.col("place.location.longitude"))
     theirs = F.col("place.formattedAddress")
     post = F.regexp_extract(F.coalesce(theirs, F.lit("")), "\\b([0-9]{5})\\b", 1)
@@ -85,7 +85,7 @@ def place_candidates_score(venues: DataFrame, places: DataFrame, least_similarit
     number = (F.col("__n") == F.col("__u")) | (F.col("__n") == "") | (F.col("__u") == "")
     rows = rows.withColumn("__same", F.col("distance_m").isNull() & (F.col("__s") != "") & (F.col("__t") != "") & (F.coalesce("postal_code", F.lit("")) == post) & number & (similarity(F.col("__s"), F.col("__t")) >= 0.9))
     method = F.concat_ws("+", F.when(F.col("similarity") >= least_similarity, "name"), F.when(F.col("distance_m") <= most_metres, "distance"), F.when(F.col("__same"), "address"))
-    return rows.withColumns({"method": F.when(method == "", "none").otherwise(method), "accepted": method != ""}).drop("__s", "__t", "__n", "__u", "__same")
+    return rows.withColumns({"method": F.when(method == "", "none").otherwise(method), "accepted": method != ""}).drop("__a", "__b", "__s", "__t", "__n", "__u", "__same")
 
 
 def best_place(candidates: DataFrame) -> DataFrame:

@@ -104,3 +104,17 @@ def test_visible_text_of_cut_references_equals_the_sql(spark, tmp_path):
     assert sorted(tuple(r) for r in got) == sorted(duck.sql(catalog.oracle_sql()["visible_text_len"]).fetchall())
     tiers = duck.sql(f"SELECT page_id, cms, is_shell, tier FROM ({catalog.oracle_sql()['crawl_tiers']})").fetchall()
     assert sorted(tuple(r) for r in catalog.queries()["crawl_tiers"](spark, str(tmp_path)).select("page_id", "cms", "is_shell", "tier").collect()) == sorted(tiers)
+
+
+def test_names_that_need_alignment_are_scored(spark, tmp_path):
+    """Names that no bound decides go to Python, in the query on part names too; one row each, with the plain score."""
+    spark.createDataFrame([("kalla aoi",), ("aoi naoi",), ("bar kalla",)], "p_name string").coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    duck = duckdb.connect()
+    duck.execute(f"CREATE VIEW part AS SELECT * FROM '{tmp_path}/part.parquet/*.parquet'")
+    out = catalog.queries()["similarity_match"](spark, str(tmp_path))
+    assert out.columns == ["target", "name", "score"] and sorted(r["target"] for r in out.collect()) == sorted(r[0] for r in duck.sql(catalog.oracle_sql()["similarity_match"]).fetchall())
+    venues = spark.createDataFrame([(1, "Kalla Satama", None, None, None, None)], "venue_id long, name string, lat double, lng double, street_address string, postal_code string")
+    kind = "venue_id long, query_no int, place struct<id:string,displayName:struct<text:string>,formattedAddress:string,location:struct<latitude:double,longitude:double>>"
+    places = spark.createDataFrame([(1, 0, ("a", ("Kala Satamat",), None, None))], kind)
+    got = v.place_candidates_score(venues, places).collect()
+    assert [(r["similarity"], r["method"]) for r in got] == [(22 / 24, "name")]
