@@ -247,8 +247,8 @@ def json_records(spark: SparkSession, path: str, keys: tuple[str, ...] | None =
         else:
             kinds[file] = ("wrapped", wrapper)
     spans = [{"file": file, "start": at, "stop": min(at + range_bytes, size), "layout": kinds[file][0], "key": kinds[file][1]} for file, size in files for at in range(0, size, range_bytes)]
-    # short ranges share a task: up to RANGE bytes, as long as there are two tasks a core
-    together = max(1, min(RANGE // range_bytes, len(spans) // (2 * spark.sparkContext.defaultParallelism)))
+    # short ranges share a task: up to RANGE bytes, as long as there are three tasks a core
+    together = max(1, min(RANGE // range_bytes, len(spans) // (3 * spark.sparkContext.defaultParallelism)))
     load = lambda mode: spark.read.format("json_ranges").option("mode", mode).option("spans", json.dumps(spans)).option("together", str(together)).load()
     if not spans:
         return spark.createDataFrame([], "file string, place bigint, record string")
